@@ -97,20 +97,20 @@ def lower_percentile(
         ),
     ).otherwise(F.lit(0).cast("long"))
     bucketed = (
-        counts.join(groups_side.select(*keys, _LO, _HI, _NBK), on=keys)
+        counts.join(groups_side.select(*keys, _LO, _HI, _NBK, _T), on=keys)
         .withColumn(_B, bucket)
-        .select(*parts, *keys, _V, _C, _B)
+        .select(*parts, *keys, _V, _C, _B, _T)
     )
 
-    per_bucket = bucketed.groupBy(*keys, _B).agg(F.sum(_C).alias(_BC))
+    # The target index travels with the rows (it is constant per group), so no second join.
+    per_bucket = bucketed.groupBy(*keys, _T, _B).agg(F.sum(_C).alias(_BC))
     in_order = Window.partitionBy(*keys).orderBy(_B).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     chosen = (
         per_bucket.withColumn(_CUMB, F.sum(_BC).over(in_order))
-        .join(groups_side.select(*keys, _T), on=keys)
         .where((F.col(_CUMB) > F.col(_T)) & (F.col(_CUMB) - F.col(_BC) <= F.col(_T)))
-        .select(*keys, _B, _T, (F.col(_CUMB) - F.col(_BC)).alias(_BEFORE))
+        .select(*keys, _B, (F.col(_CUMB) - F.col(_BC)).alias(_BEFORE))
     )
     chosen_side = F.broadcast(chosen) if glob else chosen
 
@@ -124,4 +124,6 @@ def lower_percentile(
     )
     if glob:
         return passed.agg(F.coalesce(F.min(_V), F.lit(0.0)).alias(alias))
-    return passed.groupBy(*parts).agg(F.min(_V).alias(alias))
+    # Grouping by the surrogate keys as well (the originals are functions of them) lets the
+    # aggregate reuse the hash partitioning on the surrogates instead of shuffling again.
+    return passed.groupBy(*keys, *parts).agg(F.min(_V).alias(alias)).select(*parts, alias)

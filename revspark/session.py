@@ -43,6 +43,20 @@ def get_spark(
     return spark
 
 
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20,
+               max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle sizing for a given input size: start with about one shuffle partition per
+    ``partition_bytes`` of input (so each fits an executor's memory without spilling much) and
+    let AQE coalesce the small ones and split skewed ones at run time."""
+    parts = max(200, min(max_partitions, -(-int(input_bytes) // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes // 2),
+    }
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
@@ -80,3 +94,17 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 def sf_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def spread(df, *keys: str):
+    """Hash-spread ``df`` over all cores when its scan yields fewer partitions than cores.
+
+    A small file with few row groups scans as a handful of tasks, leaving most cores idle for
+    the per-row work that follows. Large inputs split into far more partitions than cores, so
+    there the check is false and no exchange is added. Hash (not round-robin) partitioning
+    keeps a recomputed task's rows the same.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, *keys)
+    return df

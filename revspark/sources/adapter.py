@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revspark.functions.scalar import epoch_seconds_utc
-from revspark.session import sf_table
+from revspark.session import sf_table, spread
 
 # ---- fixed values: the planted edge cases (shared with the SQL oracle) -----------------------
 NULL_NAME_EVERY = 10  # o_custkey % 10 == 0 -> no reviewer name
@@ -32,8 +32,12 @@ def _every(col: str, n: int):
 
 def reviews_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw review per line item, with both helpfulness fields (``vote`` and ``helpful``)."""
-    items = sf_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
+    items = spread(
+        sf_table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
+        ),
+        "l_orderkey",
+        "l_linenumber",
     )
     orders = sf_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     joined = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")

@@ -83,3 +83,22 @@ def test_null_product_written_and_read_back(spark, tmp_dir):
     stats = spark.read.schema(PRODUCT_STATS).json(f"{out}/product_stats").collect()
     assert [(r.productID, r.reviewCount) for r in stats] == [(None, 1)]
     assert spark.read.parquet(f"{out}/ranked_reviews").count() == 0
+
+
+def test_cli_runs_the_job(spark, tmp_dir, capsys):
+    from revspark.__main__ import main
+
+    src = os.path.join(tmp_dir, "in")
+    reviews_from_tables(spark, SF_SMALL).drop("helpful").write.json(src)
+    out = os.path.join(tmp_dir, "out")
+    assert main([src, out, "--partition-ranked-by-year"]) == 0
+    assert "Total high-quality reviews:" in capsys.readouterr().out
+    assert spark.read.parquet(f"{out}/ranked_reviews").select("year").distinct().count() > 1
+
+
+def test_scale_conf_sizes_partitions():
+    from revspark.session import scale_conf
+
+    assert scale_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"
+    assert scale_conf(100 << 40)["spark.sql.shuffle.partitions"] == "100000"
+    assert int(scale_conf(10 << 40)["spark.sql.shuffle.partitions"]) == 40960
