@@ -52,19 +52,24 @@ def auto_bucket_width(
     dtype = df.schema[order_col].dataType
     if not isinstance(dtype, _NUMERIC):
         raise TypeError(f"bucketing needs a numeric order column; {order_col} is {dtype}")
+    return _width_and_buckets(df, order_col, rows_per_bucket)[0]
+
+
+def _width_and_buckets(df: DataFrame, order_col: str, rows_per_bucket: int) -> tuple[float, int]:
+    dtype = df.schema[order_col].dataType
     row = df.agg(
-        F.min(order_col).alias("lo"), F.max(order_col).alias("hi"), F.count(order_col).alias("n")
+        F.min(order_col).alias("lo"), F.max(order_col).alias("hi"), F.count(F.lit(1)).alias("n")
     ).first()
-    if row is None or not row["n"]:
-        return 1.0
+    if row is None or not row["n"] or row["lo"] is None:
+        return 1.0, 1
     lo, hi, n = float(row["lo"]), float(row["hi"]), int(row["n"])
     integral = isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     span = (hi - lo + 1.0) if integral else (hi - lo)
     buckets = max(1, math.ceil(n / max(1, rows_per_bucket)))
     width = span / buckets
     if integral:
-        return float(max(1, math.ceil(width)))
-    return width if width > 0 and math.isfinite(width) else 1.0
+        return float(max(1, math.ceil(width))), buckets
+    return (width if width > 0 and math.isfinite(width) else 1.0), buckets
 
 
 def tag_runs(
@@ -82,7 +87,17 @@ def tag_runs(
     """
     orders = _as_list(order)
     parts = _as_list(partition_by)
-    width = bucket_width or auto_bucket_width(df, orders[0], rows_per_bucket)
+    if bucket_width:
+        width = bucket_width
+    else:
+        dtype = df.schema[orders[0]].dataType
+        if not isinstance(dtype, _NUMERIC):
+            raise TypeError(f"bucketing needs a numeric order column; {orders[0]} is {dtype}")
+        width, buckets = _width_and_buckets(df, orders[0], rows_per_bucket)
+        if buckets == 1:
+            # Everything fits in one bucket: the bucketed plan would compute exactly this window
+            # plus an empty bucket table, so run the window alone.
+            return tag_runs_window(df, key, orders, parts)
 
     rows, pkeys = non_null_keys(df, parts)
     rows = rows.withColumn(_BKT, F.floor(F.col(orders[0]) / F.lit(float(width))).cast("long"))

@@ -53,3 +53,19 @@ def test_auto_width_and_multi_column_order(spark):
     fast = tag_runs(df, "k", ["a", "b"], rows_per_bucket=16)
     plain = tag_runs_window(df, "k", ["a", "b"])
     assert as_set(fast) == as_set(plain)
+
+
+def test_single_bucket_input_takes_the_plain_window(spark):
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet").select(
+        "user_id", "event_id", "event_type")
+    fast = tag_runs(events, "event_type", "event_id", "user_id")
+    plan = fast._jdf.queryExecution().optimizedPlan().toString()
+    assert "__bkt" not in plan
+    assert as_set(fast) == as_set(tag_runs(events, "event_type", "event_id", "user_id",
+                                           bucket_width=50))
+
+
+def test_empty_input(spark):
+    df = spark.createDataFrame([], "pos long, k string")
+    assert tag_runs(df, "k", "pos").count() == 0
+    assert consecutive_runs(df, "k", "pos", bucket_width=10).count() == 0
