@@ -24,6 +24,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--variant", choices=("votes", "ratio"), default="votes")
     parser.add_argument("--on-missing", choices=("raise", "empty"), default="raise")
     parser.add_argument("--partition-ranked-by-year", action="store_true")
+    parser.add_argument("--cache", choices=("persist", "checkpoint"), default="persist",
+                        help="how the processed reviews and stats are kept for the outputs")
     args = parser.parse_args(argv)
 
     spark = SparkSession.getActiveSession()
@@ -35,7 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     try:
         schema = REVIEW if args.variant == "votes" else REVIEW_RATIO
         raw = read_reviews(spark, args.input, schema, on_missing=args.on_missing)
-        outputs = build_outputs(raw, args.variant, cache=True)
+        outputs = build_outputs(raw, args.variant, cache=args.cache)
         count = write_outputs(outputs, args.output,
                               partition_ranked_by_year=args.partition_ranked_by_year)
         print(f"Total high-quality reviews: {count}")

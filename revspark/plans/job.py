@@ -29,6 +29,7 @@ from revspark.plans.process import (
 from revspark.sources.reviews import read_reviews
 from revspark.sources.sinks import persist, write_json, write_parquet
 from revspark.schemas import REVIEW, REVIEW_RATIO
+from revspark.session import checkpoint_dir
 
 TOP_K = 100
 
@@ -68,10 +69,31 @@ def rank_enriched(processed: DataFrame, stats: DataFrame, order_column: str,
     return enrich(ranked, stats).select(*cols)
 
 
+def _materialize(df: DataFrame, mode: str | bool | None) -> DataFrame:
+    """Keep a table that several outputs read.
+
+    "persist": cached in executors (memory, then disk); lost blocks are recomputed from the plan.
+    "checkpoint": written once to the shared checkpoint folder (``spark.checkpoint.dir``); the
+    lineage is cut, so losing executors never sends the job back to the source.
+    """
+    if not mode:
+        return df
+    if mode is True or mode == "persist":
+        return persist(df)
+    if mode == "checkpoint":
+        checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    raise ValueError("cache must be False, True, 'persist' or 'checkpoint'")
+
+
 def build_outputs(raw: DataFrame, variant: str = "votes", min_rating: float = MIN_RATING,
                   min_helpfulness: float | None = None, k: int = TOP_K,
-                  cache: bool = False) -> JobOutputs:
-    """All outputs of the job for one variant ("votes": final, "ratio": draft)."""
+                  cache: str | bool = False) -> JobOutputs:
+    """All outputs of the job for one variant ("votes": final, "ratio": draft).
+
+    ``cache`` keeps the processed reviews and the product stats, which several outputs read:
+    False (recompute), True / "persist", or "checkpoint" (see ``_materialize``).
+    """
     v = variant_of(variant)
     if v.name == "votes":
         processed = process_reviews(raw, min_rating, int(min_helpfulness if min_helpfulness
@@ -80,11 +102,11 @@ def build_outputs(raw: DataFrame, variant: str = "votes", min_rating: float = MI
         processed = process_reviews_by_ratio(raw, min_rating, float(min_helpfulness
                                                                     if min_helpfulness
                                                                     is not None else MIN_RATIO))
-    if cache:
-        processed = persist(processed)
-    stats = product_stats(processed, v.helpfulness_column, dominant_sentiment=(v.name == "ratio"))
-    if cache:
-        stats = persist(stats)
+    processed = _materialize(processed, cache)
+    stats = _materialize(
+        product_stats(processed, v.helpfulness_column, dominant_sentiment=(v.name == "ratio")),
+        cache,
+    )
     rejected = rejected_reviews(raw, v)
     if v.name == "votes":
         flagged = mark_high_quality(processed, high_quality("votes"))
@@ -121,8 +143,8 @@ def write_outputs(outputs: JobOutputs, output_path: str, partition_ranked_by_yea
 
 
 def run_job(spark: SparkSession, input_path: str, output_path: str, variant: str = "votes",
-            on_missing: str = "raise", **kwargs) -> int:
+            on_missing: str = "raise", cache: str | bool = "persist", **kwargs) -> int:
     """Read JSON reviews, build every output, write them; returns the high-quality count."""
     schema = REVIEW if variant_of(variant).name == "votes" else REVIEW_RATIO
     raw = read_reviews(spark, input_path, schema, on_missing=on_missing)
-    return write_outputs(build_outputs(raw, variant, cache=True, **kwargs), output_path)
+    return write_outputs(build_outputs(raw, variant, cache=cache, **kwargs), output_path)

@@ -102,3 +102,13 @@ def test_scale_conf_sizes_partitions():
     assert scale_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"
     assert scale_conf(100 << 40)["spark.sql.shuffle.partitions"] == "100000"
     assert int(scale_conf(10 << 40)["spark.sql.shuffle.partitions"]) == 40960
+
+
+def test_checkpointed_job_equals_recomputed(spark, tmp_dir):
+    raw = reviews_from_tables(spark, SF_SMALL)
+    plain = build_outputs(raw, "votes")
+    ck = build_outputs(raw, "votes", cache="checkpoint")
+    assert "LogicalRDD" in ck.processed._jdf.queryExecution().optimizedPlan().toString()
+    assert as_set(ck.product_stats) == as_set(plain.product_stats)
+    assert as_set(ck.ranked_reviews) == as_set(plain.ranked_reviews)
+    assert ck.high_quality_count.collect() == plain.high_quality_count.collect()
