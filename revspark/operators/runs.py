@@ -35,6 +35,7 @@ _BKT, _BRK, _CUM = "__bkt", "__brk", "__cum"
 _FIRST, _LAST, _NB, _CONT, _OFF = "__first", "__last", "__nb", "__cont", "__off"
 
 _NUMERIC = NUMERIC_TYPES
+_NULL_BUCKET = -(2**63)
 
 
 def _as_list(x: str | Sequence[str]) -> list[str]:
@@ -100,7 +101,10 @@ def tag_runs(
             return tag_runs_window(df, key, orders, parts)
 
     rows, pkeys = non_null_keys(df, parts)
-    rows = rows.withColumn(_BKT, F.floor(F.col(orders[0]) / F.lit(float(width))).cast("long"))
+    # Null order values sort first, so they get the lowest bucket. The bucket is never null,
+    # which keeps every row in the equi-join below (and the plan free of inferred filters).
+    bucket = F.floor(F.col(orders[0]) / F.lit(float(width))).cast("long")
+    rows = rows.withColumn(_BKT, F.coalesce(bucket, F.lit(_NULL_BUCKET)))
 
     in_bucket = Window.partitionBy(*pkeys, _BKT).orderBy(*[F.col(c) for c in orders])
     key_struct = F.struct(F.col(key).alias("k"))
@@ -113,7 +117,10 @@ def tag_runs(
     )
 
     order_struct = F.struct(*[F.col(c) for c in orders])
-    buckets = rows.groupBy(*pkeys, _BKT).agg(
+    # Grouping by the original partition columns too changes nothing (they are functions of the
+    # surrogates) but makes this branch read the same columns as the run summary does, so both
+    # branches share one shuffle of the input instead of shuffling it twice.
+    buckets = rows.groupBy(*pkeys, *parts, _BKT).agg(
         F.min_by(key_struct, order_struct).alias(_FIRST),
         F.max_by(key_struct, order_struct).alias(_LAST),
         F.sum(_BRK).alias(_NB),

@@ -48,7 +48,7 @@ def _processed_ratio(spark: SparkSession, sf: str) -> DataFrame:
     return process_reviews_by_ratio(_raw(spark, sf))
 
 
-def reviews_adapter(spark, sf):
+def q_reviews_adapter(spark, sf):
     # The array columns are checked through the operators that read them.
     return _raw(spark, sf).drop("image", "helpful")
 
@@ -221,7 +221,7 @@ def q_json_malformed_lines(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "product_stats": q_product_stats,
-    "reviews_adapter": reviews_adapter,
+    "reviews_adapter": q_reviews_adapter,
     "valid_reviews": q_valid_reviews,
     "rejected_reviews": q_rejected_reviews,
     "rejects_by_reason": q_rejects_by_reason,

@@ -69,3 +69,11 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "pos long, k string")
     assert tag_runs(df, "k", "pos").count() == 0
     assert consecutive_runs(df, "k", "pos", bucket_width=10).count() == 0
+
+
+def test_null_order_values_keep_their_rows(spark):
+    rows = [(None, "a"), (None, "a"), (1, "a"), (2, "b"), (None, "b"), (40, "b")]
+    df = spark.createDataFrame(rows, "pos long, k string")
+    fast = tag_runs(df, "k", "pos", bucket_width=3)
+    assert fast.count() == 6
+    assert as_set(fast) == as_set(tag_runs_window(df, "k", "pos"))
