@@ -8,20 +8,28 @@ from pyspark.sql import functions as F
 ENRICH_COLUMNS = ("productAvgRating", "productReviewCount")
 
 
-def enrich(processed: DataFrame, stats: DataFrame) -> DataFrame:
+# Largest stats table (rows) broadcast to every task; ~100 bytes a row keeps it near 100 MB.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def enrich(processed: DataFrame, stats: DataFrame,
+           broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """Inner equi-join on productID; rows whose product has no stats (or a null id) drop.
 
-    The stats table has one row per product, so it is the small side, but its size still grows
-    with the number of products: no broadcast is forced. AQE measures the stats shuffle at run
-    time and turns the join into a broadcast join only when that side is actually small; for a
-    large stats table it stays a sort-merge join, and AQE's skew handling splits a product that
-    holds a large share of the reviews.
+    The stats table has one row per product: usually small, but it grows with the number of
+    products, so it is broadcast only after a check. One small job counts its rows; within
+    ``broadcast_max_rows`` the join broadcasts it and the (large) review table is joined where
+    it lies, with no shuffle at all. Beyond the limit, or with ``broadcast_max_rows=None``, it is
+    a sort-merge join: both sides shuffle on productID and AQE's skew handling splits a product
+    that holds a large share of the reviews.
     """
     right = stats.select(
         F.col("productID"),
         F.col("avgRating").alias("productAvgRating"),
         F.col("reviewCount").alias("productReviewCount"),
     )
+    if broadcast_max_rows is not None and right.count() <= broadcast_max_rows:
+        right = F.broadcast(right)
     return processed.join(right, on="productID", how="inner").select(
         *processed.columns, *ENRICH_COLUMNS
     )

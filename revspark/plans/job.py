@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from revspark.functions.predicates import high_quality
 from revspark.operators.aggregate import count_where, product_stats, reviewer_profiles
-from revspark.operators.join import ENRICH_COLUMNS, enrich
+from revspark.operators.join import BROADCAST_MAX_ROWS, ENRICH_COLUMNS, enrich
 from revspark.operators.transform import mark_high_quality
 from revspark.operators.validate import rejected_reviews, rejects_by_reason, variant_of
 from revspark.operators.window import rank_top_k
@@ -66,7 +66,8 @@ def rank_enriched(processed: DataFrame, stats: DataFrame, order_column: str,
         k=k,
     )
     cols = [*processed.columns, *ENRICH_COLUMNS, "helpfulnessRank"]
-    return enrich(ranked, stats).select(*cols)
+    # The ranked side is the small one here; AQE picks the join from the measured sizes.
+    return enrich(ranked, stats, broadcast_max_rows=None).select(*cols)
 
 
 def _materialize(df: DataFrame, mode: str | bool | None) -> DataFrame:
@@ -118,7 +119,9 @@ def build_outputs(raw: DataFrame, variant: str = "votes", min_rating: float = MI
         rejected=rejected,
         rejects_by_reason=rejects_by_reason(rejected),
         product_stats=stats,
-        enriched=enrich(processed, stats),
+        # With the stats kept, counting them for the broadcast check is cheap; otherwise the
+        # outputs stay lazy and the join is left to AQE.
+        enriched=enrich(processed, stats, BROADCAST_MAX_ROWS if cache else None),
         ranked_reviews=rank_enriched(processed, stats, v.helpfulness_column, k),
         reviewer_profiles=reviewer_profiles(processed, v.helpfulness_column),
         high_quality_count=hq,

@@ -77,3 +77,14 @@ def test_rank_enriched_equals_rank_of_enriched(spark):
     stats = product_stats(df)
     direct = rank_top_k(enrich(df, stats), k=20)
     assert as_set(rank_enriched(df, stats, "helpfulnessVotes", k=20)) == as_set(direct)
+
+
+def test_enrich_broadcasts_only_within_the_checked_size(spark):
+    rows = [(f"u{i}", f"p{i % 40}", float(1 + i % 5), i, i, "x", 2021) for i in range(400)]
+    df = processed(spark, rows)
+    stats = product_stats(df)
+    small = enrich(df, stats, broadcast_max_rows=40)
+    large = enrich(df, stats, broadcast_max_rows=39)
+    assert "ResolvedHint (strategy=broadcast)" in small._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" not in large._jdf.queryExecution().analyzed().toString()
+    assert as_set(small) == as_set(large) == as_set(enrich(df, stats, broadcast_max_rows=None))
