@@ -12,9 +12,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from revspark.plans.job import build_outputs, write_outputs
-from revspark.schemas import REVIEW, REVIEW_RATIO
-from revspark.sources.reviews import read_reviews
+from revspark.plans.job import run_job
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -35,11 +33,8 @@ def main(argv: list[str] | None = None) -> int:
 
         spark = get_spark(app_name="revspark-job")
     try:
-        schema = REVIEW if args.variant == "votes" else REVIEW_RATIO
-        raw = read_reviews(spark, args.input, schema, on_missing=args.on_missing)
-        outputs = build_outputs(raw, args.variant, cache=args.cache)
-        count = write_outputs(outputs, args.output,
-                              partition_ranked_by_year=args.partition_ranked_by_year)
+        count = run_job(spark, args.input, args.output, args.variant, on_missing=args.on_missing,
+                        cache=args.cache, partition_ranked_by_year=args.partition_ranked_by_year)
         print(f"Total high-quality reviews: {count}")
     finally:
         if owned:

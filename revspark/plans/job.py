@@ -26,7 +26,7 @@ from revspark.plans.process import (
     process_reviews,
     process_reviews_by_ratio,
 )
-from revspark.sources.reviews import read_reviews
+from revspark.sources.reviews import read_reviews_checked
 from revspark.sources.sinks import persist, write_json, write_parquet
 from revspark.schemas import REVIEW, REVIEW_RATIO
 from revspark.session import checkpoint_dir
@@ -129,9 +129,9 @@ def build_outputs(raw: DataFrame, variant: str = "votes", min_rating: float = MI
 
 
 def write_outputs(outputs: JobOutputs, output_path: str, partition_ranked_by_year: bool = False,
-                  keep_rejected: bool = True) -> int:
-    """Write the three tables (JSON, Parquet, JSON) and the rejected rows; return the
-    high-quality count."""
+                  keep_rejected: bool = True, malformed: DataFrame | None = None) -> int:
+    """Write the three tables (JSON, Parquet, JSON), the rejected rows and the malformed input
+    lines; return the high-quality count."""
     base = output_path.rstrip("/")
     try:
         write_json(outputs.product_stats, f"{base}/product_stats")
@@ -140,14 +140,22 @@ def write_outputs(outputs: JobOutputs, output_path: str, partition_ranked_by_yea
         write_json(outputs.reviewer_profiles, f"{base}/reviewer_profiles")
         if keep_rejected:
             write_parquet(outputs.rejected, f"{base}/rejected_reviews")
+            if malformed is not None:
+                write_parquet(malformed, f"{base}/malformed_lines")
         return int(outputs.high_quality_count.first()["highQualityCount"])
     finally:
         outputs.unpersist()
 
 
 def run_job(spark: SparkSession, input_path: str, output_path: str, variant: str = "votes",
-            on_missing: str = "raise", cache: str | bool = "persist", **kwargs) -> int:
-    """Read JSON reviews, build every output, write them; returns the high-quality count."""
+            on_missing: str = "raise", cache: str | bool = "persist",
+            partition_ranked_by_year: bool = False, **kwargs) -> int:
+    """Read JSON reviews, build every output, write them; returns the high-quality count.
+
+    Lines that are not JSON objects of the review schema go to ``malformed_lines`` with a
+    reason instead of failing the job or turning into all-null reviews.
+    """
     schema = REVIEW if variant_of(variant).name == "votes" else REVIEW_RATIO
-    raw = read_reviews(spark, input_path, schema, on_missing=on_missing)
-    return write_outputs(build_outputs(raw, variant, cache=cache, **kwargs), output_path)
+    raw, malformed = read_reviews_checked(spark, input_path, schema, on_missing=on_missing)
+    outputs = build_outputs(raw, variant, cache=cache, **kwargs)
+    return write_outputs(outputs, output_path, partition_ranked_by_year, malformed=malformed)

@@ -112,3 +112,18 @@ def test_checkpointed_job_equals_recomputed(spark, tmp_dir):
     assert as_set(ck.product_stats) == as_set(plain.product_stats)
     assert as_set(ck.ranked_reviews) == as_set(plain.ranked_reviews)
     assert ck.high_quality_count.collect() == plain.high_quality_count.collect()
+
+
+def test_run_job_quarantines_malformed_lines(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "reviews.json")
+    good = {"reviewerID": "u", "asin": "p", "overall": 4.0, "vote": "20", "reviewText": "ok",
+            "unixReviewTime": 1609459200}
+    with open(path, "w") as f:
+        f.write("\n".join([json.dumps(good), "{broken", "", json.dumps(good)]))
+    out = os.path.join(tmp_dir, "out")
+    run_job(spark, path, out)
+    stats = spark.read.schema(PRODUCT_STATS).json(f"{out}/product_stats").collect()
+    assert [(r.productID, r.reviewCount) for r in stats] == [("p", 2)]
+    bad = spark.read.parquet(f"{out}/malformed_lines").collect()
+    assert [(r.line, r.reason) for r in bad] == [("{broken", "Malformed record")]
+    assert spark.read.parquet(f"{out}/rejected_reviews").count() == 0
