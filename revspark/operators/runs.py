@@ -4,7 +4,10 @@ The reference walks an in-memory list and starts a new group whenever the key ch
 order is an explicit column and the work is split into buckets of the order column, so that no
 task ever holds a whole partition key or the whole table:
 
-1. ``bucket = floor(order / width)`` - deterministic, so a recomputed task sees the same bucket.
+1. Buckets of the order column: by default between quantile boundaries computed once (about
+   ``rows_per_bucket`` rows each, however unevenly the values are spread), or of a fixed width.
+   Either way the bucket is a fixed function of the value, so a recomputed task sees the same
+   bucket.
 2. Within each (partition, bucket), a window gives every row its break flag (key differs from
    the previous row's key) and the running count of breaks.
 3. A small table with one row per non-empty bucket keeps its first key, last key and break
@@ -24,7 +27,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from revspark.operators.keys import NUMERIC_TYPES, non_null_keys
 
@@ -42,35 +44,47 @@ def _as_list(x: str | Sequence[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def auto_bucket_width(
-    df: DataFrame, order_col: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET
-) -> float:
-    """Bucket width giving about ``rows_per_bucket`` rows per bucket for evenly spread values.
-
-    One small aggregate job (min, max, count). The number of buckets it implies is
-    ``count / rows_per_bucket`` at most, which bounds the bucket table.
-    """
+def _check_order_type(df: DataFrame, order_col: str) -> None:
     dtype = df.schema[order_col].dataType
     if not isinstance(dtype, _NUMERIC):
         raise TypeError(f"bucketing needs a numeric order column; {order_col} is {dtype}")
-    return _width_and_buckets(df, order_col, rows_per_bucket)[0]
 
 
-def _width_and_buckets(df: DataFrame, order_col: str, rows_per_bucket: int) -> tuple[float, int]:
-    dtype = df.schema[order_col].dataType
-    row = df.agg(
-        F.min(order_col).alias("lo"), F.max(order_col).alias("hi"), F.count(F.lit(1)).alias("n")
-    ).first()
-    if row is None or not row["n"] or row["lo"] is None:
-        return 1.0, 1
-    lo, hi, n = float(row["lo"]), float(row["hi"]), int(row["n"])
-    integral = isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-    span = (hi - lo + 1.0) if integral else (hi - lo)
-    buckets = max(1, math.ceil(n / max(1, rows_per_bucket)))
-    width = span / buckets
-    if integral:
-        return float(max(1, math.ceil(width))), buckets
-    return (width if width > 0 and math.isfinite(width) else 1.0), buckets
+def quantile_splits(
+    df: DataFrame, order_col: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET
+) -> list[float]:
+    """Bucket boundaries at quantiles of the order column, about ``rows_per_bucket`` rows apart.
+
+    Two small jobs: a row count, then Spark's approximate quantiles (a mergeable sketch per
+    task) with relative error 1/(2B) for B buckets, so every bucket holds between about a half
+    and one and a half times ``rows_per_bucket`` rows however unevenly the order values are
+    spread; only rows tied on the order value can make a bucket larger. Returns the B - 1 inner
+    boundaries (fewer when values tie); an empty list means one bucket is enough.
+    """
+    _check_order_type(df, order_col)
+    n = df.count()
+    buckets = math.ceil(n / max(1, rows_per_bucket))
+    if buckets <= 1:
+        return []
+    probabilities = [i / buckets for i in range(1, buckets)]
+    cuts = df.approxQuantile(order_col, probabilities, 1.0 / (2 * buckets))
+    return sorted({c for c in cuts if c is not None and math.isfinite(c)})
+
+
+def _quantile_bucket(df: DataFrame, order_col: str, splits: list[float]) -> DataFrame:
+    """``df`` plus the bucket of each row by the given boundaries (JVM-side binary search).
+
+    NaN sorts above every number and lands in the extra last bucket; null gets the null bucket.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    bounds = [float("-inf"), *splits, float("inf")]
+    raw_bucket = "__qb"
+    out = Bucketizer(splits=bounds, inputCol=order_col, outputCol=raw_bucket,
+                     handleInvalid="keep").transform(df)
+    bucket = F.when(F.col(order_col).isNull(), F.lit(_NULL_BUCKET)).otherwise(
+        F.col(raw_bucket).cast("long"))
+    return out.withColumn(_BKT, bucket).drop(raw_bucket)
 
 
 def tag_runs(
@@ -88,23 +102,19 @@ def tag_runs(
     """
     orders = _as_list(order)
     parts = _as_list(partition_by)
+    rows, pkeys = non_null_keys(df, parts)
     if bucket_width:
-        width = bucket_width
+        # Equal-width buckets. Null order values sort first, so they get the lowest bucket; the
+        # bucket is never null, which keeps every row in the equi-join below.
+        bucket = F.floor(F.col(orders[0]) / F.lit(float(bucket_width))).cast("long")
+        rows = rows.withColumn(_BKT, F.coalesce(bucket, F.lit(_NULL_BUCKET)))
     else:
-        dtype = df.schema[orders[0]].dataType
-        if not isinstance(dtype, _NUMERIC):
-            raise TypeError(f"bucketing needs a numeric order column; {orders[0]} is {dtype}")
-        width, buckets = _width_and_buckets(df, orders[0], rows_per_bucket)
-        if buckets == 1:
+        splits = quantile_splits(df, orders[0], rows_per_bucket)
+        if not splits:
             # Everything fits in one bucket: the bucketed plan would compute exactly this window
-            # plus an empty bucket table, so run the window alone.
+            # plus a one-row bucket table, so run the window alone.
             return tag_runs_window(df, key, orders, parts)
-
-    rows, pkeys = non_null_keys(df, parts)
-    # Null order values sort first, so they get the lowest bucket. The bucket is never null,
-    # which keeps every row in the equi-join below (and the plan free of inferred filters).
-    bucket = F.floor(F.col(orders[0]) / F.lit(float(width))).cast("long")
-    rows = rows.withColumn(_BKT, F.coalesce(bucket, F.lit(_NULL_BUCKET)))
+        rows = _quantile_bucket(rows, orders[0], splits)
 
     in_bucket = Window.partitionBy(*pkeys, _BKT).orderBy(*[F.col(c) for c in orders])
     key_struct = F.struct(F.col(key).alias("k"))

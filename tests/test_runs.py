@@ -77,3 +77,22 @@ def test_null_order_values_keep_their_rows(spark):
     fast = tag_runs(df, "k", "pos", bucket_width=3)
     assert fast.count() == 6
     assert as_set(fast) == as_set(tag_runs_window(df, "k", "pos"))
+
+
+def test_quantile_buckets_split_a_dense_stretch(spark):
+    from pyspark.sql import functions as F
+
+    from revspark.operators.runs import _quantile_bucket, quantile_splits
+
+    rnd = random.Random(5)
+    # a third of the rows packed into a tiny stretch of a wide, sparse id range
+    ids = set(rnd.sample(range(0, 10**12), 1200)) | set(range(5 * 10**11, 5 * 10**11 + 600))
+    rows = [(i, rnd.choice("xy")) for i in sorted(ids)]
+    df = spark.createDataFrame(rows, "pos long, k string")
+    splits = quantile_splits(df, "pos", rows_per_bucket=100)
+    sizes = [r[1] for r in _quantile_bucket(df, "pos", splits).groupBy("__bkt").count().collect()]
+    assert len(sizes) >= 12 and max(sizes) <= 200
+    fast = tag_runs(df, "k", "pos", rows_per_bucket=100)
+    assert as_set(fast) == as_set(tag_runs_window(df, "k", "pos"))
+    equal_width = df.groupBy(F.floor(F.col("pos") / 10**12 * 18)).count()
+    assert max(r[1] for r in equal_width.collect()) >= 600  # what equal widths would have done
