@@ -82,8 +82,9 @@ def _quantile_bucket(df: DataFrame, order_col: str, splits: list[float]) -> Data
     raw_bucket = "__qb"
     out = Bucketizer(splits=bounds, inputCol=order_col, outputCol=raw_bucket,
                      handleInvalid="keep").transform(df)
-    bucket = F.when(F.col(order_col).isNull(), F.lit(_NULL_BUCKET)).otherwise(
-        F.col(raw_bucket).cast("long"))
+    # coalesce, not CASE: the bucket must be provably non-null so that the join on it infers no
+    # extra filter, which would stop the two branches from sharing one input shuffle.
+    bucket = F.coalesce(F.col(raw_bucket).cast("long"), F.lit(_NULL_BUCKET))
     return out.withColumn(_BKT, bucket).drop(raw_bucket)
 
 

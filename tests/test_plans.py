@@ -78,8 +78,12 @@ def test_percentile_property(spark, values, p, per_bucket):
     assert got == (s[int((p / 100.0) * (len(s) - 1))] if s else 0.0)
 
 
-def test_run_summary_shuffles_its_input_once(spark):
-    df = consecutive_runs(events(spark), "event_type", "event_id", "user_id", bucket_width=100)
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("bucketing", [{"bucket_width": 100}, {"rows_per_bucket": 300}])
+def test_run_summary_shuffles_its_input_once(spark, bucketing):
+    df = consecutive_runs(events(spark), "event_type", "event_id", "user_id", **bucketing)
     df.collect()
     final = physical(df).split("== Initial Plan ==")[0]
     assert final.count("FileScan") == 1
