@@ -175,6 +175,9 @@ _RAW_COLS = (
     "reviewTime, verified"
 )
 
+# The JSON round trip cuts the lines of these reviews in half (every review is still written and
+# read back); cut lines are malformed, so they are absent from the parsed reviews and counted
+# as malformed lines instead.
 _JSON_KEPT = f"""
 kept AS (SELECT * FROM raw WHERE unixReviewTime % {TRUNCATE_EVERY} <> 0)"""
 
@@ -189,6 +192,10 @@ ORACLE: dict[str, str] = {
         f"WITH {_RAW}\nSELECT reason, CAST(count(*) AS BIGINT) AS n FROM "
         f"(SELECT {_REASON_VOTES} AS reason FROM raw) WHERE reason IS NOT NULL GROUP BY reason"
     ),
+    "rejects_by_reason_ratio": (
+        f"WITH {_RAW}\nSELECT reason, CAST(count(*) AS BIGINT) AS n FROM "
+        f"(SELECT {_REASON_RATIO} AS reason FROM raw) WHERE reason IS NOT NULL GROUP BY reason"
+    ),
     "process_reviews": f"{_WITH_VOTES}SELECT * FROM processed",
     "product_stats": f"{_WITH_VOTES},{_STATS}\nSELECT * FROM stats",
     "dominant_sentiment": (

@@ -65,6 +65,10 @@ def q_rejects_by_reason(spark, sf):
     return rejects_by_reason(rejected_reviews(_raw(spark, sf), "votes"))
 
 
+def q_rejects_by_reason_ratio(spark, sf):
+    return rejects_by_reason(rejected_reviews(_raw(spark, sf), "ratio"))
+
+
 def q_process_reviews(spark, sf):
     return _processed(spark, sf)
 
@@ -225,6 +229,7 @@ QUERIES: dict[str, Query] = {
     "valid_reviews": q_valid_reviews,
     "rejected_reviews": q_rejected_reviews,
     "rejects_by_reason": q_rejects_by_reason,
+    "rejects_by_reason_ratio": q_rejects_by_reason_ratio,
     "process_reviews": q_process_reviews,
     "dominant_sentiment": q_dominant_sentiment,
     "enrich_reviews": q_enrich_reviews,
