@@ -32,6 +32,7 @@ from revspark.operators.keys import NUMERIC_TYPES, non_null_keys
 
 RUN_ID = "run_id"
 DEFAULT_ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 100_000
 
 _BKT, _BRK, _CUM = "__bkt", "__brk", "__cum"
 _FIRST, _LAST, _NB, _CONT, _OFF = "__first", "__last", "__nb", "__cont", "__off"
@@ -57,13 +58,15 @@ def quantile_splits(
 
     Two small jobs: a row count, then Spark's approximate quantiles (a mergeable sketch per
     task) with relative error 1/(2B) for B buckets, so every bucket holds between about a half
-    and one and a half times ``rows_per_bucket`` rows however unevenly the order values are
-    spread; only rows tied on the order value can make a bucket larger. Returns the B - 1 inner
-    boundaries (fewer when values tie); an empty list means one bucket is enough.
+    and one and a half times n/B rows however unevenly the order values are spread; only rows
+    tied on the order value can make a bucket larger. B is n / ``rows_per_bucket``, at most
+    ``MAX_BUCKETS``. Returns the B - 1 inner boundaries (fewer when values tie); an empty list
+    means one bucket is enough.
     """
     _check_order_type(df, order_col)
     n = df.count()
-    buckets = math.ceil(n / max(1, rows_per_bucket))
+    # Capped so that the sketch (about 1/error entries) stays small; past the cap buckets grow.
+    buckets = min(math.ceil(n / max(1, rows_per_bucket)), MAX_BUCKETS)
     if buckets <= 1:
         return []
     probabilities = [i / buckets for i in range(1, buckets)]
