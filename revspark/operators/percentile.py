@@ -124,6 +124,6 @@ def lower_percentile(
     )
     if glob:
         return passed.agg(F.coalesce(F.min(_V), F.lit(0.0)).alias(alias))
-    # Grouping by the surrogate keys as well (the originals are functions of them) lets the
-    # aggregate reuse the hash partitioning on the surrogates instead of shuffling again.
-    return passed.groupBy(*keys, *parts).agg(F.min(_V).alias(alias)).select(*parts, alias)
+    # The answer's rows sit in one bucket of one group, so grouping by the surrogate keys and
+    # the bucket too (the originals are functions of them) reuses the partitioning in place.
+    return passed.groupBy(*keys, _B, *parts).agg(F.min(_V).alias(alias)).select(*parts, alias)

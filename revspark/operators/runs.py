@@ -28,69 +28,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revspark.operators.keys import NUMERIC_TYPES, non_null_keys
+from revspark.operators.buckets import (
+    DEFAULT_ROWS_PER_BUCKET,
+    NULL_BUCKET,
+    quantile_bucket,
+    quantile_splits,
+)
+from revspark.operators.keys import non_null_keys
 
 RUN_ID = "run_id"
-DEFAULT_ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 100_000
 
 _BKT, _BRK, _CUM = "__bkt", "__brk", "__cum"
 _FIRST, _LAST, _NB, _CONT, _OFF = "__first", "__last", "__nb", "__cont", "__off"
 
-_NUMERIC = NUMERIC_TYPES
-_NULL_BUCKET = -(2**63)
 
 
 def _as_list(x: str | Sequence[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _check_order_type(df: DataFrame, order_col: str) -> None:
-    dtype = df.schema[order_col].dataType
-    if not isinstance(dtype, _NUMERIC):
-        raise TypeError(f"bucketing needs a numeric order column; {order_col} is {dtype}")
-
-
-def quantile_splits(
-    df: DataFrame, order_col: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET
-) -> list[float]:
-    """Bucket boundaries at quantiles of the order column, about ``rows_per_bucket`` rows apart.
-
-    Two small jobs: a row count, then Spark's approximate quantiles (a mergeable sketch per
-    task) with relative error 1/(2B) for B buckets, so every bucket holds between about a half
-    and one and a half times n/B rows however unevenly the order values are spread; only rows
-    tied on the order value can make a bucket larger. B is n / ``rows_per_bucket``, at most
-    ``MAX_BUCKETS``. Returns the B - 1 inner boundaries (fewer when values tie); an empty list
-    means one bucket is enough.
-    """
-    _check_order_type(df, order_col)
-    n = df.count()
-    # Capped so that the sketch (about 1/error entries) stays small; past the cap buckets grow.
-    buckets = min(math.ceil(n / max(1, rows_per_bucket)), MAX_BUCKETS)
-    if buckets <= 1:
-        return []
-    probabilities = [i / buckets for i in range(1, buckets)]
-    cuts = df.approxQuantile(order_col, probabilities, 1.0 / (2 * buckets))
-    return sorted({c for c in cuts if c is not None and math.isfinite(c)})
-
-
-def _quantile_bucket(df: DataFrame, order_col: str, splits: list[float]) -> DataFrame:
-    """``df`` plus the bucket of each row by the given boundaries (JVM-side binary search).
-
-    NaN sorts above every number and lands in the extra last bucket; null gets the null bucket.
-    """
-    from pyspark.ml.feature import Bucketizer
-
-    bounds = [float("-inf"), *splits, float("inf")]
-    raw_bucket = "__qb"
-    out = Bucketizer(splits=bounds, inputCol=order_col, outputCol=raw_bucket,
-                     handleInvalid="keep").transform(df)
-    # coalesce, not CASE: the bucket must be provably non-null so that the join on it infers no
-    # extra filter, which would stop the two branches from sharing one input shuffle.
-    bucket = F.coalesce(F.col(raw_bucket).cast("long"), F.lit(_NULL_BUCKET))
-    return out.withColumn(_BKT, bucket).drop(raw_bucket)
-
-
 def tag_runs(
     df: DataFrame,
     key: str,
@@ -111,14 +67,14 @@ def tag_runs(
         # Equal-width buckets. Null order values sort first, so they get the lowest bucket; the
         # bucket is never null, which keeps every row in the equi-join below.
         bucket = F.floor(F.col(orders[0]) / F.lit(float(bucket_width))).cast("long")
-        rows = rows.withColumn(_BKT, F.coalesce(bucket, F.lit(_NULL_BUCKET)))
+        rows = rows.withColumn(_BKT, F.coalesce(bucket, F.lit(NULL_BUCKET)))
     else:
         splits = quantile_splits(df, orders[0], rows_per_bucket)
         if not splits:
             # Everything fits in one bucket: the bucketed plan would compute exactly this window
             # plus a one-row bucket table, so run the window alone.
             return tag_runs_window(df, key, orders, parts)
-        rows = _quantile_bucket(rows, orders[0], splits)
+        rows = quantile_bucket(rows, orders[0], splits, _BKT)
 
     in_bucket = Window.partitionBy(*pkeys, _BKT).orderBy(*[F.col(c) for c in orders])
     key_struct = F.struct(F.col(key).alias("k"))

@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -43,13 +44,16 @@ def test_global_runs_gather_only_the_bucket_table(spark):
     assert "Aggregate" in inputs[0]
 
 
-def test_grouped_percentile_never_gathers(spark):
+@pytest.mark.parametrize("per_bucket", [50, 1_000_000])
+def test_grouped_percentile_never_gathers(spark, per_bucket):
     df = events(spark)
-    assert "SinglePartition" not in physical(lower_percentile(df, "event_id", 90, by="user_id"))
+    plan = physical(lower_percentile(df, "event_id", 90, by="user_id",
+                                     values_per_bucket=per_bucket))
+    assert "SinglePartition" not in plan
 
 
 def test_global_percentile_gathers_only_small_tables(spark):
-    plan = physical(lower_percentile(events(spark), "event_id", 90))
+    plan = physical(lower_percentile(events(spark), "event_id", 90, values_per_bucket=50))
     for node in single_partition_inputs(plan):
         assert "Aggregate" in node or "Project" in node or "Filter" in node
 
@@ -78,9 +82,6 @@ def test_percentile_property(spark, values, p, per_bucket):
     assert got == (s[int((p / 100.0) * (len(s) - 1))] if s else 0.0)
 
 
-import pytest  # noqa: E402
-
-
 @pytest.mark.parametrize("bucketing", [{"bucket_width": 100}, {"rows_per_bucket": 300}])
 def test_run_summary_shuffles_its_input_once(spark, bucketing):
     df = consecutive_runs(events(spark), "event_type", "event_id", "user_id", **bucketing)

@@ -82,7 +82,7 @@ def test_null_order_values_keep_their_rows(spark):
 def test_quantile_buckets_split_a_dense_stretch(spark):
     from pyspark.sql import functions as F
 
-    from revspark.operators.runs import _quantile_bucket, quantile_splits
+    from revspark.operators.buckets import quantile_bucket, quantile_splits
 
     rnd = random.Random(5)
     # a third of the rows packed into a tiny stretch of a wide, sparse id range
@@ -90,7 +90,7 @@ def test_quantile_buckets_split_a_dense_stretch(spark):
     rows = [(i, rnd.choice("xy")) for i in sorted(ids)]
     df = spark.createDataFrame(rows, "pos long, k string")
     splits = quantile_splits(df, "pos", rows_per_bucket=100)
-    sizes = [r[1] for r in _quantile_bucket(df, "pos", splits).groupBy("__bkt").count().collect()]
+    sizes = [r[1] for r in quantile_bucket(df, "pos", splits, "__bkt").groupBy("__bkt").count().collect()]
     assert len(sizes) >= 12 and max(sizes) <= 200
     fast = tag_runs(df, "k", "pos", rows_per_bucket=100)
     assert as_set(fast) == as_set(tag_runs_window(df, "k", "pos"))
