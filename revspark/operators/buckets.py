@@ -18,7 +18,7 @@ from revspark.operators.keys import NUMERIC_TYPES
 
 DEFAULT_ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 100_000
-GRID = 1024  # quantiles computed with the row count, enough for up to GRID buckets
+GRID = 256  # quantiles computed with the row count, enough for up to GRID buckets
 NULL_BUCKET = -(2**63)  # null values sort first, so they get the lowest bucket
 
 
