@@ -96,3 +96,14 @@ def test_quantile_buckets_split_a_dense_stretch(spark):
     assert as_set(fast) == as_set(tag_runs_window(df, "k", "pos"))
     equal_width = df.groupBy(F.floor(F.col("pos") / 10**12 * 18)).count()
     assert max(r[1] for r in equal_width.collect()) >= 600  # what equal widths would have done
+
+
+def test_more_buckets_than_the_grid(spark):
+    from revspark.operators.buckets import GRID, quantile_splits
+
+    rnd = random.Random(9)
+    rows = [(i * 7 + rnd.randint(0, 3), rnd.choice("xyz")) for i in range(3 * GRID)]
+    df = spark.createDataFrame(rows, "pos long, k string")
+    assert len(quantile_splits(df, "pos", rows_per_bucket=2)) > GRID
+    fast = tag_runs(df, "k", "pos", rows_per_bucket=2)
+    assert as_set(fast) == as_set(tag_runs_window(df, "k", "pos"))
