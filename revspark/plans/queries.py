@@ -23,7 +23,7 @@ from revspark.plans.job import build_outputs, rank_enriched
 from revspark.plans.process import process_reviews, process_reviews_by_ratio
 from revspark.schemas import PRODUCT_STATS, REVIEW
 from revspark.session import sf_table, shared_path
-from revspark.sources.adapter import reviews_from_tables
+from revspark.sources.adapter import stored_reviews
 from revspark.sources.reviews import parse_json_column, read_reviews_checked
 from revspark.sources.sinks import write_json, write_parquet
 
@@ -37,7 +37,7 @@ TRUNCATE_EVERY = 97  # JSON round trip: lines of reviews whose time % 97 == 0 ar
 
 
 def _raw(spark: SparkSession, sf: str) -> DataFrame:
-    return reviews_from_tables(spark, sf)
+    return stored_reviews(spark, sf)
 
 
 def _processed(spark: SparkSession, sf: str) -> DataFrame:

@@ -127,3 +127,18 @@ def test_run_job_quarantines_malformed_lines(spark, tmp_dir):
     bad = spark.read.parquet(f"{out}/malformed_lines").collect()
     assert [(r.line, r.reason) for r in bad] == [("{broken", "Malformed record")]
     assert spark.read.parquet(f"{out}/rejected_reviews").count() == 0
+
+
+def test_stored_reviews_written_once_and_equal(spark):
+    from revspark.sources.adapter import stored_reviews
+
+    first = stored_reviews(spark, SF_SMALL)
+    again = stored_reviews(spark, SF_SMALL)
+    assert first.inputFiles() == again.inputFiles()
+    direct = reviews_from_tables(spark, SF_SMALL)
+    cols = [c for c in direct.columns if c not in ("image", "helpful")]
+    assert as_set(first.select(*cols)) == as_set(direct.select(*cols))
+    def shape(df):
+        return [(f.name, f.dataType.simpleString()) for f in df.schema]
+
+    assert shape(first) == shape(direct)  # Parquet reads every column back as nullable
