@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,15 +104,24 @@ def stored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     of the reviews, and losing executors never sends a query back to the join.
     """
     path = f"{checkpoint_dir(spark).rstrip('/')}/reviews-{_source_key(sf_dir)}"
-    if not _committed(spark, path):
-        reviews_from_tables(spark, sf_dir).write.mode("overwrite").parquet(path)
+    fs, to_path = _file_system(spark, path)
+    if not fs.exists(to_path(f"{path}/_SUCCESS")):
+        if fs.exists(to_path(path)):
+            # No _SUCCESS inside: left by an unfinished write (a finished one renames a
+            # committed table, marker included), and a rename onto it would nest inside it.
+            fs.delete(to_path(path), True)
+        # Written under a private name and renamed into place, so a reader never sees a
+        # half-written table and two first callers cannot overwrite each other's files.
+        staging = f"{path}-{uuid.uuid4().hex}"
+        reviews_from_tables(spark, sf_dir).write.parquet(staging)
+        if not fs.rename(to_path(staging), to_path(path)):  # another caller was first
+            fs.delete(to_path(staging), True)
     return spark.read.parquet(path)
 
 
-def _committed(spark: SparkSession, path: str) -> bool:
-    """Whether a complete write exists at ``path`` (the job committer's _SUCCESS marker), on
-    whatever file system the path names."""
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system that ``path`` names, and a str -> Hadoop Path converter."""
     jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(marker))
+    hadoop_path = jvm.org.apache.hadoop.fs.Path
+    fs = hadoop_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, hadoop_path
