@@ -27,6 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from revspark.operators.buckets import quantile_bucket, quantile_splits
 from revspark.operators.keys import non_null_keys
 
 DEFAULT_VALUES_PER_BUCKET = 1_000_000
@@ -49,12 +50,20 @@ def lower_percentile(
     by: str | Sequence[str] = (),
     alias: str = "percentile",
     values_per_bucket: int = DEFAULT_VALUES_PER_BUCKET,
+    buckets: str = "width",
 ) -> DataFrame:
     """Exact lower ``p``-th percentile of ``value``, per group of ``by`` or over all rows.
 
     Grouped: one row per group with at least one non-null value. Global: always one row, 0.0
     when there is no value.
+
+    ``buckets="width"`` (default, fully lazy): equal-width value buckets within each group.
+    ``buckets="quantile"``: buckets between quantile boundaries of the whole column, chosen by
+    one small job over the input first; every (group, bucket) then holds at most about
+    ``values_per_bucket`` distinct values whatever their spread.
     """
+    if buckets not in ("width", "quantile"):
+        raise ValueError("buckets must be 'width' or 'quantile'")
     frac = _check(p)
     parts = [by] if isinstance(by, str) else list(by)
     glob = not parts
@@ -67,6 +76,9 @@ def lower_percentile(
     else:
         values, keys = non_null_keys(values, parts)
 
+    if buckets == "quantile":
+        return _by_quantile_buckets(values, parts, keys, frac, alias, values_per_bucket, glob)
+
     counts = values.groupBy(*parts, *keys, _V).agg(F.count(F.lit(1)).alias(_C))
 
     lo, hi = F.col(_LO), F.col(_HI)
@@ -127,3 +139,43 @@ def lower_percentile(
     # The answer's rows sit in one bucket of one group, so grouping by the surrogate keys and
     # the bucket too (the originals are functions of them) reuses the partitioning in place.
     return passed.groupBy(*keys, _B, *parts).agg(F.min(_V).alias(alias)).select(*parts, alias)
+
+
+def _running(spec):
+    return spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _by_quantile_buckets(values: DataFrame, parts: list[str], keys: list[str], frac: float,
+                         alias: str, per_bucket: int, glob: bool) -> DataFrame:
+    """Value buckets between quantile boundaries of the whole column (``operators.buckets``).
+
+    A bucket holds about n/B rows in all, so at most that many of any one group. The group
+    totals come from a window over the (group, bucket) table, which has at most B rows per
+    group, so no group table has to be joined back.
+    """
+    splits = quantile_splits(values, _V, per_bucket)
+    if splits:
+        values = quantile_bucket(values, _V, splits, _B)
+    else:
+        values = values.withColumn(_B, F.lit(0).cast("long"))
+    counts = values.groupBy(*parts, *keys, _B, _V).agg(F.count(F.lit(1)).alias(_C))
+
+    per_bucket_counts = counts.groupBy(*keys, _B).agg(F.sum(_C).alias(_BC))
+    group = Window.partitionBy(*keys)
+    chosen = (
+        per_bucket_counts.withColumn(_N, F.sum(_BC).over(group))
+        .withColumn(_CUMB, F.sum(_BC).over(_running(group.orderBy(_B))))
+        .withColumn(_T, F.floor(F.lit(frac) * (F.col(_N) - 1).cast("double")).cast("long"))
+        .where((F.col(_CUMB) > F.col(_T)) & (F.col(_CUMB) - F.col(_BC) <= F.col(_T)))
+        .select(*keys, _B, _T, (F.col(_CUMB) - F.col(_BC)).alias(_BEFORE))
+    )
+    chosen_side = F.broadcast(chosen) if glob else chosen  # global: one row
+    within = Window.partitionBy(*keys, _B).orderBy(_V)
+    passed = (
+        counts.join(chosen_side, on=[*keys, _B])
+        .withColumn(_CUM, F.col(_BEFORE) + F.sum(_C).over(_running(within)))
+        .where(F.col(_CUM) > F.col(_T))
+    )
+    if glob:
+        return passed.agg(F.coalesce(F.min(_V), F.lit(0.0)).alias(alias))
+    return passed.groupBy(*keys, _B, *parts).agg(F.min(_V).alias(alias)).select(*parts, alias)

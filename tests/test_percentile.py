@@ -38,8 +38,9 @@ def test_out_of_range_percentile(spark):
         lower_percentile(df, "x", -1)
 
 
+@pytest.mark.parametrize("mode", ["width", "quantile"])
 @pytest.mark.parametrize("per_bucket", [1, 3, 40, 1_000_000])
-def test_grouped_against_brute_force(spark, per_bucket):
+def test_grouped_against_brute_force(spark, per_bucket, mode):
     rnd = random.Random(7)
     rows = []
     for g in range(12):
@@ -49,14 +50,15 @@ def test_grouped_against_brute_force(spark, per_bucket):
     rows.append(("g0", None))
     df = spark.createDataFrame(rows, "g string, x double")
     for p in (0, 37.5, 50, 90, 100):
-        got = {r[0]: r[1] for r in lower_percentile(df, "x", p, by="g",
+        got = {r[0]: r[1] for r in lower_percentile(df, "x", p, by="g", buckets=mode,
                                                     values_per_bucket=per_bucket).collect()}
         groups = {}
         for g, x in rows:
             if x is not None:
                 groups.setdefault(g, []).append(x)
         assert got == {g: reference_percentile(v, p) for g, v in groups.items()}
-        glob = lower_percentile(df, "x", p, values_per_bucket=per_bucket).collect()[0][0]
+        glob = lower_percentile(df, "x", p, values_per_bucket=per_bucket,
+                                buckets=mode).collect()[0][0]
         assert glob == reference_percentile([x for _, x in rows if x is not None], p)
 
 
@@ -70,3 +72,22 @@ def test_skewed_group_with_crowded_distinct_values(spark):
                                                     values_per_bucket=50).collect()}
         assert got["hot"] == reference_percentile(hot, p)
         assert got["c5"] == 5.0
+
+
+def test_quantile_buckets_bound_a_crowded_hot_group(spark):
+    from revspark.operators.buckets import quantile_bucket, quantile_splits
+
+    rnd = random.Random(4)
+    hot = [rnd.random() ** 8 * 1000 for _ in range(3000)]
+    rows = [("hot", x) for x in hot] + [(f"c{i}", float(i)) for i in range(100)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    for p in (1, 50, 99):
+        got = {r[0]: r[1] for r in lower_percentile(df, "x", p, by="g", buckets="quantile",
+                                                    values_per_bucket=50).collect()}
+        assert got["hot"] == reference_percentile(hot, p) and got["c7"] == 7.0
+    splits = quantile_splits(df, "x", 50)
+    sizes = [r[1] for r in quantile_bucket(df.where("g = 'hot'"), "x", splits, "b")
+             .groupBy("b").count().collect()]
+    assert len(sizes) > 30 and max(sizes) <= 100
+    with pytest.raises(ValueError):
+        lower_percentile(df, "x", 50, buckets="other")
