@@ -22,8 +22,8 @@ from revspark.operators.validate import rejected_reviews, rejects_by_reason, val
 from revspark.plans.job import build_outputs, rank_enriched
 from revspark.plans.process import process_reviews, process_reviews_by_ratio
 from revspark.schemas import PRODUCT_STATS, REVIEW
-from revspark.session import sf_table, shared_path
-from revspark.sources.adapter import stored_reviews
+from revspark.session import sf_table, shared_path, stored_once
+from revspark.sources.adapter import source_key, stored_reviews
 from revspark.sources.reviews import parse_json_column, read_reviews_checked
 from revspark.sources.sinks import write_json, write_parquet
 
@@ -199,17 +199,19 @@ def q_sink_roundtrip(spark, sf):
 
 
 def _json_reviews(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Reviews written as JSON lines, some cut short, then read back with quarantine."""
-    raw = _raw(spark, sf)
-    line = F.to_json(F.struct(*[F.col(f.name) for f in REVIEW.fields]))
-    cut = (F.col("unixReviewTime") % F.lit(TRUNCATE_EVERY)) == 0
-    text = raw.withColumn("__line", line).select(
-        F.when(cut, F.expr("substring(__line, 1, length(__line) div 2)"))
-        .otherwise(F.col("__line"))
-        .alias("value")
-    )
-    path = shared_path(spark, "reviews_json")
-    text.write.mode("overwrite").text(path)
+    """Reviews stored as JSON lines (once per checkpoint folder), some cut short, read back
+    with quarantine."""
+
+    def write(target: str) -> None:
+        line = F.to_json(F.struct(*[F.col(f.name) for f in REVIEW.fields]))
+        cut = (F.col("unixReviewTime") % F.lit(TRUNCATE_EVERY)) == 0
+        _raw(spark, sf).withColumn("__line", line).select(
+            F.when(cut, F.expr("substring(__line, 1, length(__line) div 2)"))
+            .otherwise(F.col("__line"))
+            .alias("value")
+        ).write.text(target)
+
+    path = stored_once(spark, f"reviews-json-{source_key(sf)}", write)
     return read_reviews_checked(spark, path, REVIEW)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -108,3 +109,31 @@ def spread(df, *keys: str):
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores, *keys)
     return df
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system that ``path`` names, and a str -> Hadoop Path converter."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, hadoop_path
+
+
+def stored_once(spark: SparkSession, name: str, write: Callable[[str], None]) -> str:
+    """Path of a table under the shared checkpoint folder, written by ``write(path)`` only if
+    no complete copy is there yet.
+
+    The table is written under a private name and renamed into place, so a reader never sees a
+    half-written table and two first callers cannot overwrite each other's files; a directory
+    without the committer's _SUCCESS marker is the leftover of an unfinished write and is
+    replaced.
+    """
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    fs, to_path = _file_system(spark, path)
+    if not fs.exists(to_path(f"{path}/_SUCCESS")):
+        if fs.exists(to_path(path)):
+            fs.delete(to_path(path), True)
+        staging = f"{path}-{uuid.uuid4().hex}"
+        write(staging)
+        if not fs.rename(to_path(staging), to_path(path)):  # another caller was first
+            fs.delete(to_path(staging), True)
+    return path

@@ -10,13 +10,12 @@ from __future__ import annotations
 
 import hashlib
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revspark.functions.scalar import epoch_seconds_utc
-from revspark.session import checkpoint_dir, sf_table, spread
+from revspark.session import sf_table, spread, stored_once
 
 # ---- fixed values: the planted edge cases (shared with the SQL oracle) -----------------------
 NULL_NAME_EVERY = 10  # o_custkey % 10 == 0 -> no reviewer name
@@ -84,7 +83,7 @@ def reviews_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _source_key(sf_dir: str) -> str:
+def source_key(sf_dir: str) -> str:
     """Identifies the source tables: their path, and size and modification time when local."""
     parts = [os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir]
     for name in ("lineitem", "orders"):
@@ -103,25 +102,9 @@ def stored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     one: the join and the derivations run once, filters and column pruning reach a Parquet scan
     of the reviews, and losing executors never sends a query back to the join.
     """
-    path = f"{checkpoint_dir(spark).rstrip('/')}/reviews-{_source_key(sf_dir)}"
-    fs, to_path = _file_system(spark, path)
-    if not fs.exists(to_path(f"{path}/_SUCCESS")):
-        if fs.exists(to_path(path)):
-            # No _SUCCESS inside: left by an unfinished write (a finished one renames a
-            # committed table, marker included), and a rename onto it would nest inside it.
-            fs.delete(to_path(path), True)
-        # Written under a private name and renamed into place, so a reader never sees a
-        # half-written table and two first callers cannot overwrite each other's files.
-        staging = f"{path}-{uuid.uuid4().hex}"
-        reviews_from_tables(spark, sf_dir).write.parquet(staging)
-        if not fs.rename(to_path(staging), to_path(path)):  # another caller was first
-            fs.delete(to_path(staging), True)
+    path = stored_once(
+        spark,
+        f"reviews-{source_key(sf_dir)}",
+        lambda target: reviews_from_tables(spark, sf_dir).write.parquet(target),
+    )
     return spark.read.parquet(path)
-
-
-def _file_system(spark: SparkSession, path: str):
-    """The Hadoop file system that ``path`` names, and a str -> Hadoop Path converter."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path
-    fs = hadoop_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs, hadoop_path
