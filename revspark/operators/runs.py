@@ -22,7 +22,6 @@ null keys are equal, as in the reference's comparison).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
