@@ -4,6 +4,7 @@ from revspark.operators.aggregate import (
     product_stats,
     reviewer_profiles,
 )
+from revspark.operators.buckets import quantile_bucket, quantile_splits
 from revspark.operators.join import enrich, enrich_self
 from revspark.operators.percentile import lower_percentile
 from revspark.operators.runs import consecutive_runs, summarize_runs, tag_runs, tag_runs_window
@@ -26,6 +27,8 @@ __all__ = [
     "lower_percentile",
     "mark_high_quality",
     "pipe",
+    "quantile_bucket",
+    "quantile_splits",
     "product_stats",
     "rank_top_k",
     "rejected_reviews",
