@@ -24,6 +24,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--partition-ranked-by-year", action="store_true")
     parser.add_argument("--cache", choices=("persist", "checkpoint"), default="persist",
                         help="how the processed reviews and stats are kept for the outputs")
+    parser.add_argument("--size-shuffle", action="store_true",
+                        help="set shuffle partitions and split size from the input's size")
     args = parser.parse_args(argv)
 
     spark = SparkSession.getActiveSession()
@@ -34,7 +36,8 @@ def main(argv: list[str] | None = None) -> int:
         spark = get_spark(app_name="revspark-job")
     try:
         count = run_job(spark, args.input, args.output, args.variant, on_missing=args.on_missing,
-                        cache=args.cache, partition_ranked_by_year=args.partition_ranked_by_year)
+                        cache=args.cache, partition_ranked_by_year=args.partition_ranked_by_year,
+                        size_shuffle=args.size_shuffle)
         print(f"Total high-quality reviews: {count}")
     finally:
         if owned:

@@ -29,7 +29,7 @@ from revspark.plans.process import (
 from revspark.sources.reviews import read_reviews_checked
 from revspark.sources.sinks import persist, write_json, write_parquet
 from revspark.schemas import REVIEW, REVIEW_RATIO
-from revspark.session import checkpoint_dir
+from revspark.session import checkpoint_dir, size_shuffle_for
 
 TOP_K = 100
 
@@ -149,12 +149,16 @@ def write_outputs(outputs: JobOutputs, output_path: str, partition_ranked_by_yea
 
 def run_job(spark: SparkSession, input_path: str, output_path: str, variant: str = "votes",
             on_missing: str = "raise", cache: str | bool = "persist",
-            partition_ranked_by_year: bool = False, **kwargs) -> int:
+            partition_ranked_by_year: bool = False, size_shuffle: bool = False,
+            **kwargs) -> int:
     """Read JSON reviews, build every output, write them; returns the high-quality count.
 
     Lines that are not JSON objects of the review schema go to ``malformed_lines`` with a
-    reason instead of failing the job or turning into all-null reviews.
+    reason instead of failing the job or turning into all-null reviews. ``size_shuffle`` sets
+    the shuffle partition count and split size from the input's size (``session.scale_conf``).
     """
+    if size_shuffle:
+        size_shuffle_for(spark, input_path)
     schema = REVIEW if variant_of(variant).name == "votes" else REVIEW_RATIO
     raw, malformed = read_reviews_checked(spark, input_path, schema, on_missing=on_missing)
     outputs = build_outputs(raw, variant, cache=cache, **kwargs)

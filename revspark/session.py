@@ -137,3 +137,18 @@ def stored_once(spark: SparkSession, name: str, write: Callable[[str], None]) ->
         if not fs.rename(to_path(staging), to_path(path)):  # another caller was first
             fs.delete(to_path(staging), True)
     return path
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path``, on whatever file system it names."""
+    fs, to_path = _file_system(spark, path)
+    return int(fs.getContentSummary(to_path(path)).getLength())
+
+
+def size_shuffle_for(spark: SparkSession, path: str) -> dict[str, str]:
+    """Apply ``scale_conf`` for the input at ``path`` to the session (runtime SQL settings) and
+    return what was set."""
+    conf = scale_conf(input_bytes(spark, path))
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return conf

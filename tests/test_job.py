@@ -142,3 +142,25 @@ def test_stored_reviews_written_once_and_equal(spark):
         return [(f.name, f.dataType.simpleString()) for f in df.schema]
 
     assert shape(first) == shape(direct)  # Parquet reads every column back as nullable
+
+
+def test_size_shuffle_from_input(spark, tmp_dir):
+    from revspark.session import input_bytes, size_shuffle_for
+
+    src = os.path.join(tmp_dir, "in")
+    reviews_from_tables(spark, SF_SMALL).drop("helpful").write.json(src)
+    assert input_bytes(spark, src) > 0
+    from revspark.session import scale_conf
+
+    keys = list(scale_conf(0))
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        conf = size_shuffle_for(spark, src)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == conf[
+            "spark.sql.shuffle.partitions"] == "200"
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
