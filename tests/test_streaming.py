@@ -47,3 +47,21 @@ def test_processed_file_sink(spark, tmp_dir):
     q = start_processed_sink(read_review_stream(spark, src), out, available_now=True)
     q.awaitTermination(120)
     assert spark.read.parquet(out).count() == 10
+
+
+def test_rejected_stream_keeps_reasons(spark, tmp_dir):
+    from revspark.streaming import rejected_review_stream
+
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    _write(src, "a.json", [raw_review(reviewerID="ok"), raw_review(reviewerID="t", reviewText=None),
+                           raw_review(reviewerID="r", overall=9.0)])
+    q = (rejected_review_stream(read_review_stream(spark, src)).select("reviewerID", "reason")
+         .writeStream.format("memory").queryName("stream_rejects").outputMode("append")
+         .option("checkpointLocation", os.path.join(tmp_dir, "ck")).start())
+    try:
+        q.processAllAvailable()
+        got = {tuple(r) for r in spark.sql("SELECT * FROM stream_rejects").collect()}
+        assert got == {("t", "Review text is empty or missing"), ("r", "Invalid rating value")}
+    finally:
+        q.stop()
