@@ -33,7 +33,7 @@ def main(argv: list[str] | None = None) -> int:
     if owned:
         from revspark.session import get_spark
 
-        spark = get_spark(app_name="revspark-job")
+        spark = get_spark(master=None, app_name="revspark-job")
     try:
         count = run_job(spark, args.input, args.output, args.variant, on_missing=args.on_missing,
                         cache=args.cache, partition_ranked_by_year=args.partition_ranked_by_year,

@@ -27,12 +27,16 @@ DEFAULT_CONF = {
 
 
 def get_spark(
-    master: str = "local[*]",
+    master: str | None = "local[*]",
     app_name: str = "revspark",
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """A session with ``DEFAULT_CONF``. ``master=None`` leaves the master to whoever launched
+    the process (``spark-submit --master ...``; local when run directly)."""
+    builder = SparkSession.builder.appName(app_name)
+    if master is not None:
+        builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
