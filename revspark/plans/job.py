@@ -97,12 +97,11 @@ def build_outputs(raw: DataFrame, variant: str = "votes", min_rating: float = MI
     """
     v = variant_of(variant)
     if v.name == "votes":
-        processed = process_reviews(raw, min_rating, int(min_helpfulness if min_helpfulness
-                                                          is not None else MIN_VOTES))
+        votes = MIN_VOTES if min_helpfulness is None else int(min_helpfulness)
+        processed = process_reviews(raw, min_rating, votes)
     else:
-        processed = process_reviews_by_ratio(raw, min_rating, float(min_helpfulness
-                                                                    if min_helpfulness
-                                                                    is not None else MIN_RATIO))
+        ratio = MIN_RATIO if min_helpfulness is None else float(min_helpfulness)
+        processed = process_reviews_by_ratio(raw, min_rating, ratio)
     processed = _materialize(processed, cache)
     stats = _materialize(
         product_stats(processed, v.helpfulness_column, dominant_sentiment=(v.name == "ratio")),
