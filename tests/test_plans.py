@@ -89,3 +89,13 @@ def test_run_summary_shuffles_its_input_once(spark, bucketing):
     final = physical(df).split("== Initial Plan ==")[0]
     assert final.count("FileScan") == 1
     assert "ReusedExchange" in final
+
+
+def test_spread_only_for_under_partitioned_scans(spark):
+    from revspark.session import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    few = spark.range(0, 1000, numPartitions=1)
+    many = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread(few, "id").rdd.getNumPartitions() == cores
+    assert "Exchange" not in physical(spread(many, "id"))
