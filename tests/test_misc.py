@@ -30,3 +30,22 @@ def test_checkpoint_folder_is_read_from_the_session(spark):
     assert base == spark.sparkContext.getCheckpointDir()
     a, b = shared_path(spark, "t"), shared_path(spark, "t")
     assert a != b and a.startswith(base.rstrip("/")) and b.startswith(base.rstrip("/"))
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.integers(2019, 2021), st.integers(0, 6)), max_size=40),
+       k=st.integers(1, 5))
+def test_rank_top_k_property(spark, rows, k):
+    data = [(i, y, v) for i, (y, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id int, year int, helpfulnessVotes int")
+    got = {(r.id, r.helpfulnessRank) for r in rank_top_k(df, k=k).collect()}
+    expected = set()
+    for i, y, v in data:
+        rank = 1 + sum(1 for _, y2, v2 in data if y2 == y and v2 > v)
+        if rank <= k:
+            expected.add((i, rank))
+    assert got == expected
