@@ -49,3 +49,31 @@ def test_rank_top_k_property(spark, rows, k):
         if rank <= k:
             expected.add((i, rank))
     assert got == expected
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.sampled_from(["u1", "u2", "u3"]),
+                               st.sampled_from(["p1", "p2", None]),
+                               st.sampled_from([1.0, 2.5, 4.0, 5.0]),
+                               st.integers(0, 50), st.integers(0, 300)),
+                     min_size=1, max_size=30))
+def test_aggregates_property(spark, rows):
+    from revspark.operators.aggregate import product_stats, reviewer_profiles
+    from revspark.schemas import PROCESSED
+
+    df = spark.createDataFrame([(u, p, r, v, n, "x", 2021, False) for u, p, r, v, n in rows],
+                               PROCESSED)
+    stats = {r.productID: r for r in product_stats(df).collect()}
+    for p in {row[1] for row in rows}:
+        g = [row for row in rows if row[1] == p]
+        s = stats[p]
+        assert s.reviewCount == len(g)
+        assert s.avgRating == pytest.approx(sum(x[2] for x in g) / len(g))
+        assert s.avgHelpfulness == pytest.approx(sum(x[3] for x in g) / len(g))
+    profiles = {r.reviewerID: r for r in reviewer_profiles(df).collect()}
+    for u in {row[0] for row in rows}:
+        g = [row for row in rows if row[0] == u]
+        q = profiles[u]
+        assert q.totalReviews == len(g)
+        assert q.avgReviewLength == pytest.approx(sum(x[4] for x in g) / len(g))
+        assert q.helpfulnessScore == pytest.approx(sum(x[3] for x in g) / len(g))
