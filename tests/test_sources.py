@@ -67,3 +67,21 @@ def test_parse_json_column(spark):
     schema = T.StructType([T.StructField("k", T.LongType())])
     got = as_set(parse_json_column(df, "props", schema), "id", "k", "malformed")
     assert got == {(1, 3, False), (2, None, True), (3, None, True), (4, None, True)}
+
+
+def test_unknown_and_absent_fields_are_not_malformed(spark, tmp_dir):
+    line = json.dumps({"reviewerID": "x", "overall": 4.0, "somethingElse": [1, 2]})
+    path = write_lines(tmp_dir, [line])
+    parsed, malformed = read_reviews_checked(spark, path)
+    assert malformed.count() == 0
+    row = parsed.collect()[0]
+    assert row.reviewerID == "x" and row.vote is None
+
+
+def test_checked_reader_on_missing_path(spark, tmp_dir):
+    missing = os.path.join(tmp_dir, "absent")
+    with pytest.raises(AnalysisException):
+        read_reviews_checked(spark, missing)
+    parsed, malformed = read_reviews_checked(spark, missing, on_missing="empty")
+    assert parsed.count() == 0 and malformed.count() == 0
+    assert malformed.columns == ["line", "reason"]
