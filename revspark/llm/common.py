@@ -128,32 +128,43 @@ LOWER[65:91] += 32
 SPACES = [0x20, *range(0x09, 0x0E)]
 
 
-def word_hashes(data: np.ndarray, offs: np.ndarray, is_word: np.ndarray
-                ) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words (runs of bytes in ``is_word``; A-Z lower-cased) of all rows, in
-    order, and the offset of each row's first word (one more at the end)."""
+def word_spans(data: np.ndarray, offs: np.ndarray, is_word: np.ndarray
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word (run of bytes in ``is_word``) of all rows, in order, and the
+    number of words before each row (one entry more, the total, at the end)."""
     n = len(data)
     if n == 0:
-        return np.zeros(0, U64), np.zeros(len(offs), np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offs), np.int64)
     inside = is_word[data]
     before = np.empty(n, bool)
     before[0] = False
     before[1:] = inside[:-1]
-    first = offs[:-1][offs[:-1] < n]
-    before[first] = False
+    before[offs[:-1][offs[:-1] < n]] = False
     starts = np.flatnonzero(inside & ~before)
     after = np.empty(n, bool)
     after[-1] = False
     after[:-1] = inside[1:]
-    last = offs[1:][offs[1:] > 0] - 1
-    after[last] = False
+    after[offs[1:][offs[1:] > 0] - 1] = False
     ends = np.flatnonzero(inside & ~after) + 1
+    return starts, ends, np.searchsorted(starts, offs)
+
+
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of a sequence of 64-bit values, from one running sum."""
+    n = len(values)
     with np.errstate(over="ignore"):
         sums = np.empty(n + 1, U64)
         sums[0] = 0
-        np.cumsum(BYTE_VALUES[LOWER[data]] * powers(n), out=sums[1:])
-        hashes = mix((sums[ends] - sums[starts]) * inverse_powers(n)[starts])
-    return hashes, np.searchsorted(starts, offs)
+        np.cumsum(values * powers(n), out=sums[1:])
+        return mix((sums[ends] - sums[starts]) * inverse_powers(n + 1)[starts])
+
+
+def word_hashes(data: np.ndarray, offs: np.ndarray, is_word: np.ndarray
+                ) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all rows (A-Z lower-cased), and the number of words before each
+    row."""
+    starts, ends, rows = word_spans(data, offs, is_word)
+    return span_hashes(BYTE_VALUES[LOWER[data]], starts, ends), rows
 
 
 _SHINGLE = _RNG.integers(1, 2**63, 8, dtype=np.int64).astype(U64) | U64(1)

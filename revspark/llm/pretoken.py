@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from revspark.llm.common import span_hashes
+
 # ---- fixed values: character classes and states of the splitting rule -------------------------
 SP, WS, LET, NUM, OTH, APO, STMD, R_V, E_, L_, END = range(11)  # R_V: r and v; STMD: s, t, m, d
 N_CLASSES = 11
@@ -143,17 +145,22 @@ def piece_starts(classes: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins[:n])
 
 
-def pieces(texts: list[str], classes: Classes) -> tuple[list[str], np.ndarray]:
-    """All pieces of all texts in order, and the number of pieces of each text."""
+def split(texts: list[str], classes: Classes
+          ) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts joined; start, end and 64-bit hash of every piece of all texts in order; and the
+    number of pieces of each text."""
     whole = "".join(texts)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
-    ends = np.cumsum(lengths)
-    with_ends = np.insert(points, ends, SENTINEL)
-    starts = piece_starts(classes(with_ends))
-    text_of = np.searchsorted(ends + np.arange(len(texts)), starts)  # its END's place
-    real = with_ends[starts] != SENTINEL
+    stops = np.cumsum(lengths)
+    with_stops = np.insert(points, stops, SENTINEL)
+    starts = piece_starts(classes(with_stops))
+    text_of = np.searchsorted(stops + np.arange(len(texts)), starts)  # its END's place
+    real = with_stops[starts] != SENTINEL
     starts = (starts - text_of)[real]  # places in `whole`
     counts = np.bincount(text_of[real], minlength=len(texts))
-    bounds = [*starts.tolist(), len(whole)]
-    return [whole[a:b] for a, b in zip(bounds, bounds[1:])], counts
+    ends = np.append(starts[1:], len(whole))[:len(starts)]
+    values = points.astype(np.uint64) + np.uint64(1)
+    values *= np.uint64(0xD6E8FEB86659FD93)
+    values ^= values >> np.uint64(32)
+    return whole, starts, ends, span_hashes(values, starts, ends), counts

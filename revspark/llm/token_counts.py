@@ -27,10 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revspark.llm.common import id_and_text, slices, utf8
-from revspark.llm.pretoken import SPECIAL, Classes, pieces
+from revspark.llm.piece_table import PieceTable
+from revspark.llm.pretoken import SPECIAL, Classes, split
 
 LIMIT = 1024
-MAX_PIECES = 250_000  # pieces a worker remembers; later ones run through the transducer
+MAX_PIECES = 1_000_000  # pieces a worker remembers; later ones run through the transducer
 MAX_TRANSITIONS = 500_000  # compiled transitions of a worker, after which it starts anew
 
 
@@ -127,20 +128,6 @@ class CountTransducer:
         return total
 
 
-class _PieceCounts(dict):
-    """Counts of the pieces met so far; others come from the transducer."""
-
-    def __init__(self, transducer: CountTransducer):
-        super().__init__()
-        self.transducer = transducer
-
-    def __missing__(self, piece: str) -> int:
-        n = self.transducer.count(piece.encode("utf-8", "surrogatepass"))
-        if len(self) < MAX_PIECES:
-            self[piece] = n
-        return n
-
-
 class TokenCounter:
     """Token counts of whole texts, for one tokenizer file."""
 
@@ -148,21 +135,39 @@ class TokenCounter:
         from tokenizers import Tokenizer
 
         self.classes = Classes(Tokenizer.from_file(path).pre_tokenizer)
-        self.known = _PieceCounts(CountTransducer(path))
+        self.transducer = CountTransducer(path)
+        self.table = PieceTable(MAX_PIECES)
+        self.known = np.zeros(MAX_PIECES, np.int32)
+
+    def _counts(self, whole: str, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray
+                ) -> np.ndarray:
+        at = self.table.get(hashes)
+        counts = self.known[at]
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new, first, back = np.unique(hashes[missing], return_index=True, return_inverse=True)
+            own = np.array([self.transducer.count(whole[a:b].encode("utf-8", "surrogatepass"))
+                            for a, b in zip(starts[missing[first]].tolist(),
+                                            ends[missing[first]].tolist())], np.int32)
+            counts[missing] = own[back]
+            size = self.table.size
+            n = self.table.add(new)
+            self.known[size:size + n] = own[:n]
+        return counts
 
     def __call__(self, texts: list[str]) -> np.ndarray:
         parts, owner, extra = [], [], np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
-            split = text.split(SPECIAL) if SPECIAL in text else [text]
-            extra[i] = len(split) - 1
-            parts += split
-            owner += [i] * len(split)
-        found, per_part = pieces(parts, self.classes)
-        counts = np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
-        ends = np.cumsum(per_part)
-        sums = np.concatenate([[0], np.cumsum(counts)])
-        per_part_tokens = sums[ends] - sums[ends - per_part]
-        return extra + np.bincount(owner, per_part_tokens, len(texts)).astype(np.int64)
+            within = text.split(SPECIAL) if SPECIAL in text else [text]
+            extra[i] = len(within) - 1
+            parts += within
+            owner += [i] * len(within)
+        whole, starts, ends, hashes, per_part = split(parts, self.classes)
+        counts = self._counts(whole, starts, ends, hashes)
+        sums = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+        stops = np.cumsum(per_part)
+        tokens = sums[stops] - sums[stops - per_part]
+        return extra + np.bincount(owner, tokens, len(texts)).astype(np.int64)
 
 
 _COUNTERS: dict[str, TokenCounter] = {}
