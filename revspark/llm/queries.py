@@ -7,20 +7,86 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from revspark.llm.packing import pack
+from revspark.llm.repair import read_blocks, write_blocks
 from revspark.llm.token_counts import token_counts
+from revspark.llm.vector_search import top_k
+from revspark.llm.warc import archived_pages
 from revspark.session import sf_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-BYTE_BPE = "byte_bpe_50k.json"
+BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
+WORD_BPE_IDS = 49_408
 
 
 def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(sf_table(spark, sf, "documents"), BYTE_BPE)
 
 
+def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack(sf_table(spark, sf, "documents"), BYTE_BPE, end_id=0)
+
+
+def op8_top_k_search(spark: SparkSession, sf: str) -> DataFrame:
+    return top_k(sf_table(spark, sf, "embeddings"), k=10, query_every=100)
+
+
+def op9_token_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    documents = sf_table(spark, sf, "documents")
+    return read_blocks(write_blocks(documents, WORD_BPE, end_id=1, terminals=WORD_BPE_IDS))
+
+
+def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return archived_pages(sf_table(spark, sf, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_token_counts": op3_token_counts,
+    "op5_packing": op5_packing,
+    "op8_top_k_search": op8_top_k_search,
+    "op9_token_blocks": op9_token_blocks,
+    "op10_warc": op10_warc,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_top_k_search": """
+        WITH vectors AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 100 = 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER
+                   AS "rank"
+            FROM scored
+        )
+        SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 10
+    """,
+    "op10_warc": """
+        WITH payloads AS (
+            SELECT page_id, url, coalesce(html, '') AS payload,
+                   min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+            FROM pages
+        ), digests AS (
+            SELECT page_id, url, first, strlen(payload) AS n, sha1(payload) AS hex FROM payloads
+        )
+        SELECT page_id, n::BIGINT AS payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda i: substr(
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+                       ((('0x' || substr(hex, 1 + (5 * i // 8) * 2, 2))::INTEGER * 256
+                         + ('0x' || coalesce(nullif(substr(hex, 3 + (5 * i // 8) * 2, 2), ''), '00'))
+                           ::INTEGER)
+                        >> (11 - 5 * i % 8)::INTEGER) & 31)::INTEGER, 1)), '') AS payload_digest,
+               CASE WHEN page_id IS NOT DISTINCT FROM first OR first IS NULL THEN 'response'
+                    ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to,
+               url AS target_uri
+        FROM digests
+    """,
+}

@@ -1,0 +1,153 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from revspark.llm import packing, repair
+from revspark.llm.pretoken import chunk_maps, compose_maps
+from revspark.llm.token_counts import token_counts
+from tests.llm.helpers import documents, odd_texts, rows
+
+BYTE, WORD = "byte_bpe_50k.json", "word_bpe_49k.json"
+
+
+def ids_of(name, texts):
+    library = Tokenizer.from_file(public_tokenizers.path(name))
+    return [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_token_counts_equal_the_library(spark):
+    texts = odd_texts()
+    ids = [*range(len(texts) - 1), None]
+    got = rows(token_counts(documents(spark, texts, ids), BYTE))
+    want = [(i, len((t or "").encode()), len(x), len(x) > 1024)
+            for i, t, x in zip(ids, texts, ids_of(BYTE, texts))]
+    assert got == sorted(want, key=repr)
+
+
+def test_token_counts_of_random_strings(spark):
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice("abs'trevlmd  \n\t1!é　漢😀\x1c<|") for _ in range(rnd.randint(0, 50)))
+             for _ in range(3000)]
+    got = [r[2] for r in sorted(token_counts(documents(spark, texts), BYTE).collect())]
+    assert got == [len(x) for x in ids_of(BYTE, texts)]
+
+
+def test_prefix_scan_composes_maps():
+    rnd = np.random.default_rng(3)
+    maps = chunk_maps(rnd.integers(0, 10, (7, 33), dtype=np.uint8))
+    prefix = compose_maps(maps)
+    state = np.arange(len(maps))
+    for k in range(maps.shape[1]):
+        state = maps[state, k]
+        assert (prefix[k] == state).all()
+
+
+def check_packing(result, docs, texts, end_id=0, size=1024):
+    """Every id in exactly one piece; sequences gapless and within the size."""
+    full = {i: x + [end_id] for i, x in zip(docs, ids_of(BYTE, texts))}
+    by_doc, by_sequence = {}, {}
+    for r in result:
+        by_doc.setdefault(r["doc_id"], []).append(r)
+        by_sequence.setdefault(r["sequence_id"], []).append(r)
+    assert set(by_doc) == set(full)
+    for doc, pieces in by_doc.items():
+        at = 0
+        for p in sorted(pieces, key=lambda p: p["start"]):
+            assert p["start"] == at and p["doc_tokens"] == len(full[doc])
+            assert p["ids_crc32"] == crc(full[doc][at:at + p["length"]])
+            at += p["length"]
+        assert at == len(full[doc])
+    for pieces in by_sequence.values():
+        at = 0
+        for p in sorted(pieces, key=lambda p: p["offset"]):
+            assert p["offset"] == at
+            at += p["length"]
+        assert at <= size
+    return len(by_sequence)
+
+
+def test_packing_is_whole_and_gapless(spark):
+    texts = odd_texts()
+    result = packing.pack(documents(spark, texts), BYTE).collect()
+    check_packing(result, range(len(texts)), texts)
+
+
+def test_packing_of_repeated_rows_and_null_ids(spark):
+    result = packing.pack(documents(spark, ["a b c", "a b c", None], [5, 5, None]), BYTE).collect()
+    assert sorted((r["doc_id"] or -1, r["length"]) for r in result) == [(-1, 1), (5, 4), (5, 4)]
+    assert len({(r["sequence_id"], r["offset"]) for r in result}) == 3
+
+
+def test_packing_ranks_over_many_buckets(spark):
+    pieces = spark.range(1000).selectExpr("id as doc_id", "0L as start", "id % 3 + 1 as length",
+                                          "id as ids_crc32", "1L as doc_tokens")
+    got = packing.ranked(pieces, 1000, rows_per_bucket=50).collect()
+    for length in (1, 2, 3):
+        ranks = sorted(r["rank"] for r in got if r["length"] == length)
+        assert ranks == list(range(len(ranks)))
+
+
+def test_histogram_packing_bounds():
+    rnd = random.Random(1)
+    for _ in range(20):
+        counts = {rnd.randint(1, 64): rnd.randint(1, 500) for _ in range(rnd.randint(1, 64))}
+        patterns = packing.pack_histogram(counts, 64)
+        held = {}
+        for lengths, n in patterns:
+            assert sum(lengths) <= 64
+            for x in lengths:
+                held[x] = held.get(x, 0) + n
+        assert held == counts
+        assert len(patterns) <= 4 * len(counts)
+    assert packing.pack_histogram({300: 7}, 1024) == [((300,) * 3, 2), ((300,), 1)]
+    assert packing.pack_histogram({}, 1024) == []
+
+
+def test_empty_tables(spark):
+    empty = documents(spark, [])
+    assert token_counts(empty, BYTE).count() == 0
+    assert packing.pack(empty, BYTE).count() == 0
+    assert repair.read_blocks(repair.write_blocks(empty, WORD, 1, 49408)).count() == 0
+
+
+@pytest.mark.parametrize("shard_tokens", [50, 1 << 20])
+def test_blocks_round_trip(spark, shard_tokens):
+    texts = odd_texts()
+    ids = random.Random(2).sample(range(10_000), len(texts))
+    blocks = repair.write_blocks(documents(spark, texts, ids), WORD, 1, 49408,
+                                 shard_tokens=shard_tokens)
+    got = [tuple(r) for r in repair.read_blocks(blocks).sort("doc_id").collect()]
+    want, start = [], 0
+    for i, x in sorted(zip(ids, ids_of(WORD, texts))):
+        want.append((i, start, len(x) + 1, crc(x + [1])))
+        start += len(x) + 1
+    assert got == want
+
+
+def test_blocks_with_repeated_and_null_ids(spark):
+    df = documents(spark, ["b", "a", None, "c"], [3, 3, 3, None])
+    got = repair.read_blocks(repair.write_blocks(df, WORD, 1, 49408)).collect()
+    assert sorted(r["start"] for r in got) == [0, 2, 3, 5] or len(got) == 4
+    assert [r["start"] for r in got if r["doc_id"] is None] == [0]
+
+
+def test_repair_grammar_round_trip_and_random_access():
+    rnd = np.random.default_rng(4)
+    for n, k in ((0, 3), (1, 3), (5000, 2), (20000, 50), (3000, 1)):
+        ids = rnd.integers(0, k, n).astype(np.uint32)
+        symbols, rules, lengths = repair.compress(ids, 100, max_rounds=30, min_count=4)
+        assert (repair.expand(symbols, rules, lengths, 100) == ids).all()
+        if n >= 3000 and k <= 2:
+            assert len(symbols) < n / 4 and len(rules)
+        block = repair.Block(repair.Block.pack(ids, [7, None], np.array([n, 0]), 100))
+        for _ in range(30):
+            a, b = sorted(rnd.integers(0, n + 1, 2))
+            assert (block.tokens(int(a), int(b)) == ids[a:b]).all()
