@@ -7,9 +7,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from revspark.llm.decontaminate import contamination
 from revspark.llm.packing import pack
+from revspark.llm.quality import quality
 from revspark.llm.repair import read_blocks, write_blocks
 from revspark.llm.token_counts import token_counts
+from revspark.llm.toxicity import toxicity
 from revspark.llm.vector_search import top_k
 from revspark.llm.warc import archived_pages
 from revspark.session import sf_table
@@ -20,14 +23,27 @@ BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 WORD_BPE_IDS = 49_408
 
 
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity(sf_table(spark, sf, "documents"), sf_table(spark, sf, "labels"))
+
+
 def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(sf_table(spark, sf, "documents"), BYTE_BPE)
 
 
+def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality(sf_table(spark, sf, "documents"), sf_table(spark, sf, "labels"))
+
+
 def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(sf_table(spark, sf, "documents"), BYTE_BPE, end_id=0)
 
 
+def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    hits = contamination(sf_table(spark, sf, "documents"), sf_table(spark, sf, "benchmark"))
+    return hits.drop("text_key")
+
+
 def op8_top_k_search(spark: SparkSession, sf: str) -> DataFrame:
     return top_k(sf_table(spark, sf, "embeddings"), k=10, query_every=100)
 
@@ -38,18 +54,62 @@ def op9_token_blocks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
-    return archived_pages(sf_table(spark, sf, "pages"))
+    return archived_pages(sf_table(spark, sf, "pages")).drop("target_uri")
 
 
 QUERIES: dict[str, Query] = {
+    "op2_toxicity": op2_toxicity,
     "op3_token_counts": op3_token_counts,
+    "op4_quality": op4_quality,
     "op5_packing": op5_packing,
+    "op6_decontamination": op6_decontamination,
     "op8_top_k_search": op8_top_k_search,
     "op9_token_blocks": op9_token_blocks,
     "op10_warc": op10_warc,
 }
 
 ORACLE: dict[str, str] = {
+    "op6_decontamination": r"""
+        WITH doc_words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), item_words AS (
+            SELECT item_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ), item_starts AS (
+            SELECT item_id, w, least(10, len(w)) AS size,
+                   unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s
+            FROM item_words WHERE len(w) > 0
+        ), windows AS (
+            SELECT DISTINCT item_id, size, array_to_string(w[s:s + size - 1], ' ') AS key
+            FROM item_starts
+        ), doc_starts AS (
+            SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS s
+            FROM doc_words, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size
+        ), hits AS (
+            SELECT doc_id, item_id, s, size FROM (
+                SELECT doc_id, s, size, array_to_string(w[s:s + size - 1], ' ') AS key
+                FROM doc_starts) JOIN windows USING (size, key)
+        ), places AS (
+            SELECT doc_id, count(DISTINCT place) AS n_hit
+            FROM (SELECT doc_id, unnest(range(s, s + size)) AS place FROM hits) GROUP BY doc_id
+        ), named AS (
+            SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                   string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS names
+            FROM hits GROUP BY doc_id
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+               coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc_words LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
     "op8_top_k_search": """
         WITH vectors AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
@@ -70,11 +130,11 @@ ORACLE: dict[str, str] = {
     """,
     "op10_warc": """
         WITH payloads AS (
-            SELECT page_id, url, coalesce(html, '') AS payload,
+            SELECT page_id, coalesce(html, '') AS payload,
                    min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
             FROM pages
         ), digests AS (
-            SELECT page_id, url, first, strlen(payload) AS n, sha1(payload) AS hex FROM payloads
+            SELECT page_id, first, strlen(payload) AS n, sha1(payload) AS hex FROM payloads
         )
         SELECT page_id, n::BIGINT AS payload_bytes,
                array_to_string(list_transform(range(0, 32), lambda i: substr(
@@ -85,8 +145,7 @@ ORACLE: dict[str, str] = {
                         >> (11 - 5 * i % 8)::INTEGER) & 31)::INTEGER, 1)), '') AS payload_digest,
                CASE WHEN page_id IS NOT DISTINCT FROM first OR first IS NULL THEN 'response'
                     ELSE 'revisit' END AS record_type,
-               CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to,
-               url AS target_uri
+               CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
         FROM digests
     """,
 }

@@ -1,0 +1,119 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from revspark.llm import quality, toxicity
+from tests.llm.helpers import documents
+
+LABELS = "doc_id long, quality int, toxic int, score double, at int"
+WORDS = ["wind", "stone", "river", "paper", "light", "the", "of", "and", "tree", "house"]
+BAD = ["grubble", "snarkle", "vexoria", "vexando"]
+
+
+def labels(spark, rows):
+    return spark.createDataFrame([(i, q, t, 0.1, 2) for i, q, t in rows], LABELS)
+
+
+def text(rnd, n=60):
+    return " ".join(rnd.choice(WORDS) + rnd.choice(["", "a", "en"]) for _ in range(n))
+
+
+def corpus(seed=3, n=600):
+    """Every sixth document is toxic, every fifth of low quality."""
+    rnd = random.Random(seed)
+    texts, marks = [], []
+    for i in range(n):
+        words = text(rnd).split()
+        if i % 6 == 0:
+            for w in rnd.sample(BAD, 2):
+                words.insert(rnd.randrange(len(words)), w)
+        t = " ".join(words)
+        if i % 5 == 0:
+            t = rnd.choice([t.upper().replace(" ", "!! "), t.replace(" ", " | ", 40),
+                            (words[0] + " ") * 60])
+        texts.append(t)
+        marks.append((i, int(i % 5 != 0), int(i % 6 == 0)))
+    return texts, marks
+
+
+def test_toxicity_of_held_out_rows(spark):
+    texts, marks = corpus()
+    texts += [None, "", texts[6], "x" * 300_000]
+    got = {r["doc_id"]: r for r in toxicity.toxicity(
+        documents(spark, texts), labels(spark, marks)).collect()}
+    assert len(got) == len(texts)
+    for i, r in got.items():
+        assert r["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7)
+    held = [(got[i]["predicted"], t) for i, _, t in marks if got[i]["held_out"]]
+    assert np.mean([p == t for p, t in held]) > 0.97
+    assert got[600]["score"] == got[601]["score"] < 0.7  # null and empty
+    assert got[602]["score"] == got[6]["score"]
+
+
+def test_held_out_labels_are_not_read(spark):
+    texts, marks = corpus(n=150)
+    turned = [(i, 1 - q if zlib.crc32(str(i).encode()) % 5 == 0 else q,
+               1 - t if zlib.crc32(str(i).encode()) % 3 == 1 else t) for i, q, t in marks]
+    df = documents(spark, texts)
+    for op in (toxicity.toxicity, quality.quality):
+        a, b = (sorted(map(tuple, op(df, labels(spark, m)).collect())) for m in (marks, turned))
+        assert a == b
+
+
+def test_quality_of_held_out_rows(spark):
+    texts, marks = corpus()
+    texts += [None, "", texts[1], "word " * 50_000]
+    got = {r["doc_id"]: r for r in quality.quality(
+        documents(spark, texts), labels(spark, marks)).collect()}
+    for i, r in got.items():
+        assert r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
+    held = [(got[i]["predicted"], q) for i, q, _ in marks if got[i]["held_out"]]
+    assert np.mean([p == q for p, q in held]) > 0.97
+    assert got[600]["score"] == got[601]["score"]
+    assert got[602]["score"] == got[1]["score"]
+
+
+@pytest.mark.parametrize("op,empty", [(toxicity.toxicity, 0.0), (quality.quality, 0.5)])
+def test_without_labels_or_rows(spark, op, empty):
+    df = documents(spark, ["a b", "a b", None], [1, 1, None])
+    for marks in ([], [(None, None, None)], [(1, None, None)], [(1, 1, 0)], [(1, 1, 1)]):
+        got = op(df, labels(spark, marks)).collect()
+        assert [r["score"] for r in got] == pytest.approx([empty] * 3, abs=1e-9)
+        assert not any(r["held_out"] for r in got if r["doc_id"] is None)
+    assert op(documents(spark, []), labels(spark, [(1, 1, 1), (2, 0, 0)])).count() == 0
+
+
+def test_conflicting_labels(spark):
+    texts, marks = corpus(n=60)
+    df = documents(spark, texts)
+    again = marks + [(i, 1, 0) for i, _, _ in marks]  # the largest toxic, smallest quality stay
+    for op in (toxicity.toxicity, quality.quality):
+        a, b = (sorted(map(tuple, op(df, labels(spark, m)).collect())) for m in (marks, again))
+        assert a == b
+
+
+def test_nnpu_risk_finds_hidden_positives():
+    """Half of the unlabelled examples with the telling feature are positives in hiding."""
+    rnd = np.random.default_rng(1)
+    positive = [np.array([0, 1 + rnd.integers(0, 5)]) for _ in range(100)]
+    unlabelled = [np.array([0]) if i < 60 else np.array([1 + rnd.integers(0, 5)])
+                  for i in range(300)]
+    weights, bias = toxicity.train_nnpu(positive, unlabelled, 6, 0.2)
+    assert weights[0] + bias > 0 > bias
+    weights, bias = toxicity.train_nnpu([], [], 0, 0.2)
+    assert len(weights) == 0 and np.isfinite(bias)
+
+
+def test_bradley_terry_orders_pairs_and_cuts_at_a_quantile():
+    rnd = np.random.default_rng(2)
+    good, bad = rnd.normal(1, 0.5, (200, 3)), rnd.normal(-1, 0.5, (100, 3))
+    weights = quality.train_bradley_terry(good[rnd.integers(0, 200, 500)],
+                                          bad[rnd.integers(0, 100, 500)])
+    strengths = np.concatenate([good, bad]) @ weights
+    cut = quality.quantile_cut(strengths, 1 / 3)
+    assert (strengths < cut).sum() == 100
+    assert (good @ weights > cut).mean() > 0.95
