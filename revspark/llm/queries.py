@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from revspark.llm.decontaminate import contamination
+from revspark.llm.ngram_join import near_duplicates
 from revspark.llm.packing import pack
 from revspark.llm.quality import quality
 from revspark.llm.repair import read_blocks, write_blocks
@@ -23,6 +24,10 @@ BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 WORD_BPE_IDS = 49_408
 
 
+def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(sf_table(spark, sf, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity(sf_table(spark, sf, "documents"), sf_table(spark, sf, "labels"))
 
@@ -58,6 +63,7 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
     "op3_token_counts": op3_token_counts,
     "op4_quality": op4_quality,
@@ -69,6 +75,35 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_ngram_join": r"""
+        WITH RECURSIVE doc_words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+                WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 3),
+                                                  lambda i: array_to_string(w[i:i + 4], ' ')))
+                END AS s
+            FROM doc_words
+        ), shingles AS (
+            SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+        ), links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n
+            HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+        ), reach AS (
+            SELECT a, b FROM links
+            UNION
+            SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        )
+        SELECT doc_id, len(s)::BIGINT AS n_shingles,
+               least(doc_id, coalesce(min(b), doc_id)) AS component_id
+        FROM sets LEFT JOIN reach ON a = doc_id GROUP BY doc_id, len(s)
+    """,
     "op6_decontamination": r"""
         WITH doc_words AS (
             SELECT doc_id, regexp_extract_all(
