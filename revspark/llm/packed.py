@@ -12,7 +12,7 @@ import numpy as np
 import zstandard
 
 
-def pack(*arrays: np.ndarray, ascending: int = 0) -> bytes:
+def pack(*arrays: np.ndarray, ascending: int = 0, level: int = 1) -> bytes:
     """Integer arrays in one blob; the first ``ascending`` ones are sorted."""
     heads, bodies = [], []
     for k, a in enumerate(arrays):
@@ -22,7 +22,7 @@ def pack(*arrays: np.ndarray, ascending: int = 0) -> bytes:
         heads.append(f"{a.dtype.str}:{len(a)}:{int(k < ascending)}")
         bodies.append(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
     head = ";".join(heads).encode()
-    packer = zstandard.ZstdCompressor(level=1)
+    packer = zstandard.ZstdCompressor(level=level)
     return packer.compress(struct.pack("<I", len(head)) + head + b"".join(bodies))
 
 

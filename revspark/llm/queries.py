@@ -12,6 +12,7 @@ from revspark.llm.ngram_join import near_duplicates
 from revspark.llm.packing import pack
 from revspark.llm.quality import quality
 from revspark.llm.repair import read_blocks, write_blocks
+from revspark.llm.substring_dedup import substring_dedup
 from revspark.llm.token_counts import token_counts
 from revspark.llm.toxicity import toxicity
 from revspark.llm.vector_search import top_k
@@ -49,6 +50,10 @@ def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return hits.drop("text_key")
 
 
+def op7_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup(sf_table(spark, sf, "documents")).drop("text_key")
+
+
 def op8_top_k_search(spark: SparkSession, sf: str) -> DataFrame:
     return top_k(sf_table(spark, sf, "embeddings"), k=10, query_every=100)
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
     "op6_decontamination": op6_decontamination,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_top_k_search": op8_top_k_search,
     "op9_token_blocks": op9_token_blocks,
     "op10_warc": op10_warc,
