@@ -13,7 +13,7 @@ class PieceTable:
 
     def __init__(self, limit: int):
         self.limit = limit
-        self.bits = max(4, (4 * limit - 1).bit_length())
+        self.bits = max(4, (2 * limit - 1).bit_length())
         self.keys = np.zeros(1 << self.bits, np.uint64)
         self.values = np.zeros(1 << self.bits, np.int32)
         self.size = 0

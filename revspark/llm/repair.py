@@ -31,59 +31,69 @@ MAGIC = b"RPR1"
 SHARD_TOKENS = 1 << 20
 MAX_ROUNDS = 4  # passes over a shard; each replaces many pairs at once
 MIN_COUNT = 64  # occurrences below which a pair is not worth a rule
+MIN_GAIN = 0.03  # a round that shortens the shard by less is the last
 BINS = 1 << 18
 
 BLOCKS = "part int, block int, start long, tokens long, payload binary"
 
 
-def frequent_pairs(seq: np.ndarray, min_count: int) -> np.ndarray:
-    """Codes (left << 32 | right) of the pairs seen at least ``min_count`` times, overlapping
-    occurrences included. A count by hash bins first leaves few positions to sort."""
-    left, right = seq[:-1].astype(np.uint64), seq[1:].astype(np.uint64)
-    code = left << np.uint64(32) | right
+def frequent_pairs(seq: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes (left << 32 | right, sorted) of the pairs seen at least ``min_count`` times,
+    overlapping occurrences included; the places of their occurrences; and which code is at each.
+    A count by hash bins first leaves few places to sort."""
+    wide = seq.astype(np.uint64)
+    code = wide[:-1] << np.uint64(32)
+    code |= wide[1:]
     bins = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int32)
-    full = np.bincount(bins, minlength=BINS) >= min_count
-    values, counts = np.unique(code[full[bins]], return_counts=True)
-    return values[counts >= min_count]
-
-
-def replace_pairs(seq: np.ndarray, codes: np.ndarray, first: int) -> np.ndarray:
-    """Replace the pairs ``codes`` (sorted) by the symbols ``first``, ``first + 1``, ...; of
-    overlapping occurrences every second one from the left is taken."""
-    code = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:].astype(np.uint64)
-    at = np.searchsorted(codes, code)
-    at[at == len(codes)] = 0
-    hit = np.flatnonzero(codes[at] == code)
-    if not len(hit):
-        return seq
-    runs = np.empty(len(hit), bool)
+    places = np.flatnonzero((np.bincount(bins, minlength=BINS) >= min_count)[bins])
+    code = code[places]
+    values, counts = np.unique(code, return_counts=True)
+    values = values[counts >= min_count]
+    if not len(values):
+        return values, places[:0], places[:0]
+    at = np.searchsorted(values, code)
+    at[at == len(values)] = 0
+    hit = values[at] == code
+    return values, places[hit], at[hit]
+
+
+def replace_pairs(seq: np.ndarray, places: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """Replace the pairs at ``places`` by ``symbols``; of overlapping occurrences every second
+    one from the left is taken."""
+    runs = np.empty(len(places), bool)
     runs[0] = True
-    runs[1:] = np.diff(hit) != 1
-    begin = np.maximum.accumulate(np.where(runs, np.arange(len(hit)), 0))
-    hit = hit[(np.arange(len(hit)) - begin) % 2 == 0]
+    runs[1:] = np.diff(places) != 1
+    begin = np.maximum.accumulate(np.where(runs, np.arange(len(places)), 0))
+    taken = (np.arange(len(places)) - begin) % 2 == 0
     out = seq.copy()
-    out[hit] = first + at[hit]
+    out[places[taken]] = symbols[taken]
     keep = np.ones(len(seq), bool)
-    keep[hit + 1] = False
+    keep[places[taken] + 1] = False
     return out[keep]
 
 
 def compress(ids: np.ndarray, terminals: int, max_rounds: int = MAX_ROUNDS,
-             min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+             min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN
+             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, rules (n, 2), expansion lengths of the rules)."""
     seq = ids.astype(np.uint32)
     rules = np.zeros((0, 2), np.uint32)
     lengths = np.zeros(0, np.uint32)
     for _ in range(max_rounds):
-        codes = frequent_pairs(seq, min_count) if len(seq) > 1 else np.zeros(0, np.uint64)
+        if len(seq) < 2:
+            break
+        codes, places, at = frequent_pairs(seq, min_count)
         if not len(codes):
             break
         new = np.stack([codes >> np.uint64(32), codes & np.uint64(0xFFFFFFFF)], 1)
         new = new.astype(np.uint32)
         known = np.concatenate([np.ones(terminals, np.uint32), lengths])
-        seq = replace_pairs(seq, codes, terminals + len(rules)).astype(np.uint32)
+        shorter = replace_pairs(seq, places, (terminals + len(rules) + at).astype(np.uint32))
         rules = np.concatenate([rules, new])
         lengths = np.concatenate([lengths, known[new].sum(1, dtype=np.uint32)])
+        gain, seq = 1 - len(shorter) / len(seq), shorter
+        if gain < min_gain:
+            break
     return seq, rules, lengths
 
 
@@ -183,7 +193,7 @@ def write_blocks(df: DataFrame, tokenizer: str, end_id: int, terminals: int,
             ids, docs, counts, held = [], [], [], 0
             return out
 
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             found, sizes = encode(batch.column(1).to_pylist())
             stops = np.cumsum(sizes)
             ids.append(np.insert(found, stops, end_id).astype(np.uint32))

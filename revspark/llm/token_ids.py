@@ -14,7 +14,7 @@ from revspark.llm.common import BYTE_VALUES, SPACES, lookup, span_hashes, word_s
 from revspark.llm.piece_table import PieceTable
 from revspark.llm.pretoken import Classes, split
 
-MAX_PIECES = 1_000_000  # pieces a worker remembers; later ones are encoded in each batch anew
+MAX_PIECES = 2_000_000  # pieces a worker remembers; later ones are encoded in each batch anew
 NOT_ASCII_SPACE = lookup(SPACES)
 
 
