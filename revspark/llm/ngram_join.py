@@ -128,10 +128,11 @@ def posting_runs(docs: DataFrame, ranges: int, run_shingles: int, width: int = W
         def flush() -> pa.RecordBatch:
             nonlocal number, held
             run = task << 20 | number
-            ids, nulls, sizes, prints = (np.concatenate([h[k] for h in held]) for k in range(4))
-            shingles = np.concatenate([h[5] for h in held])
+            ids, nulls, keys, sizes, prints = (
+                np.concatenate([h[k] for h in held]) for k in range(5))
+            shingles = np.concatenate([h[6] for h in held])
             first = np.cumsum([0, *(len(h[0]) for h in held)])
-            places = np.concatenate([h[4] + f for h, f in zip(held, first)]).astype(np.uint32)
+            places = np.concatenate([h[5] + f for h, f in zip(held, first)]).astype(np.uint32)
             _, where, back = np.unique(prints, return_index=True, return_inverse=True)
             same = where[back].astype(np.uint32)  # the first document with an equal set
             own = same[places] == places
@@ -140,7 +141,7 @@ def posting_runs(docs: DataFrame, ranges: int, run_shingles: int, width: int = W
             shingles, places = shingles[order], places[order]
             cuts = np.searchsorted(shingles, bounds)
             cuts[-1] = len(shingles)
-            rows = [(-1 - run, pack(ids, nulls, sizes, prints, same))]
+            rows = [(-1 - run, pack(ids, nulls, keys, sizes, prints, same))]
             rows += [(i, pack(shingles[a:b], places[a:b], ascending=1))
                      for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
             number, held = number + 1, []
@@ -153,7 +154,8 @@ def posting_runs(docs: DataFrame, ranges: int, run_shingles: int, width: int = W
         for batch in few_rows(slices(batches, "text", 2 << 20)):
             rows, shingles, sizes = shingle_sets(*utf8(batch.column(1)), width)
             ids = batch.column(0)
-            held.append((ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(False), sizes,
+            held.append((ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(False),
+                         batch.column(2).to_numpy(), sizes,
                          fingerprints(rows, shingles, sizes), rows, shingles))
             count += len(shingles) + len(sizes)
             if count >= run_shingles:
@@ -162,7 +164,8 @@ def posting_runs(docs: DataFrame, ranges: int, run_shingles: int, width: int = W
         if held:
             yield flush()
 
-    return docs.mapInArrow(work, "range long, run long, blob binary")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    return keyed.mapInArrow(work, "range long, run long, blob binary")
 
 
 def count_lists(runs: DataFrame) -> DataFrame:
@@ -201,7 +204,7 @@ def count_lists(runs: DataFrame) -> DataFrame:
     return runs.groupBy("range").applyInArrow(work, "run long, meta boolean, blob binary")
 
 
-SETS = ("doc_id long, n_shingles long, print long, node long, shared binary, prefix array<long>, "
+SETS = ("doc_id long, text_key long, n_shingles long, print long, node long, shared binary, prefix array<long>, "
         "offset int, centre double, keys array<long>")
 
 
@@ -217,7 +220,7 @@ def prefixes(lists: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
                 meta = unpack(blob.as_buffer())
             else:
                 parts.append(unpack(blob.as_buffer()))
-        ids, nulls, sizes, prints, same = meta
+        ids, nulls, text_keys, sizes, prints, _ = meta
         n = len(ids)
         columns = {k: [None] * n for k in ("shared", "prefix", "offset", "centre", "keys")}
         if parts:
@@ -239,7 +242,7 @@ def prefixes(lists: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
         kinds = {"shared": pa.binary(), "prefix": pa.list_(pa.int64()), "offset": pa.int32(),
                  "centre": pa.float64(), "keys": pa.list_(pa.int64())}
         return pa.table({
-            "doc_id": pa.array(ids, mask=nulls), "n_shingles": pa.array(sizes),
+            "doc_id": pa.array(ids, mask=nulls), "text_key": pa.array(text_keys), "n_shingles": pa.array(sizes),
             "print": pa.array(prints.view(np.int64)),
             "node": pa.array((run << ROW_BITS) + np.arange(n)),
             **{k: pa.array(columns[k], kinds[k]) for k in kinds}})
@@ -333,23 +336,27 @@ def rest_pairs(nodes: DataFrame, labels: DataFrame, similarity: int = SIMILARITY
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     width: int = WIDTH, similarity: int = SIMILARITY,
-                    run_shingles: int = RUN_SHINGLES) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+                    run_shingles: int = RUN_SHINGLES, with_key: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row; with ``with_key`` instead of the last text_key
+    (xxhash64 of the text) and component (the component's number, null for empty sets)."""
     docs = id_and_text(df, id_col, text_col)
     runs = posting_runs(docs, shuffle_partitions(df.sparkSession), run_shingles, width)
     sets = written(prefixes(count_lists(runs), similarity), "shingle-sets")
     candidates = sets.where("shared IS NOT NULL")
-    nodes = candidates.drop("doc_id", "shared").dropDuplicates(["print"])
+    nodes = candidates.drop("doc_id", "text_key", "shared").dropDuplicates(["print"])
     nodes = written(nodes, "shingle-nodes")
     stars = star_links(nodes, candidates, similarity)
     rest = rest_pairs(nodes, components(stars), similarity)
     links = stars.unionByName(written(linked(rest, candidates, similarity), "rest-links"))
     labels = components(links).select(F.col("node").alias("print"), "component")
-    documents = sets.select("doc_id", "n_shingles", "print")
-    full = documents.where("n_shingles > 0").join(labels, "print", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "print").alias("component"))
+    documents = sets.select("doc_id", "text_key", "n_shingles", "print")
+    full = documents.where("n_shingles > 0").join(labels, "print", "left").withColumn(
+        "component", F.coalesce("component", "print"))
+    empty = documents.where("n_shingles = 0").withColumn("component", F.lit(None).cast("long"))
+    if with_key:
+        columns = ["doc_id", "text_key", "n_shingles", "component"]
+        return full.select(*columns).unionByName(empty.select(*columns))
     least = full.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    empty = documents.where("n_shingles = 0").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return full.join(least, "component").select("doc_id", "n_shingles", "component_id").unionByName(
-        empty)
+    columns = ["doc_id", "n_shingles", "component_id"]
+    return full.join(least, "component").select(*columns).unionByName(
+        empty.withColumn("component_id", F.col("doc_id")).select(*columns))

@@ -46,7 +46,7 @@ SHARD_BYTES = 8 << 20  # text of one suffix array, unless a single anchor has mo
 EXTRA = LENGTH - 1
 
 RESULT = ("doc_id long, text_key long, n_bytes long, n_removed long, n_spans long, "
-          "kept_sha256 string, kept binary")
+          "kept_sha256 string, kept string")
 
 
 def _bounds(ranges: int) -> np.ndarray:
@@ -341,7 +341,8 @@ def remove(ranges: int, with_text: bool):
             "n_bytes": pa.array(b - a), "n_removed": pa.array(n_removed.astype(np.int64)),
             "n_spans": pa.array((spans[b] - spans[a]).astype(np.int64)),
             "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
-            "kept": pa.array(kept if with_text else [None] * n, pa.binary())})
+            "kept": pa.array([k.decode("utf-8", "ignore") for k in kept] if with_text
+                             else [None] * n, pa.string())})
 
     return work
 
@@ -354,7 +355,8 @@ def _cover(change: np.ndarray, starts: np.ndarray, sizes) -> None:
 def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     with_text: bool = False) -> DataFrame:
     """doc_id, text_key (xxhash64 of the text), n_bytes, n_removed, n_spans, kept_sha256 of every
-    row; with ``with_text`` also kept, the remaining bytes."""
+    row; with ``with_text`` also kept, the remaining bytes as text (what is left of a character that
+    a cut parts goes too)."""
     groups = shuffle_partitions(df.sparkSession)
     texts = dealt_texts(id_and_text(df, id_col, text_col), groups)
     posted = "range int, grp int, blob binary"
@@ -372,7 +374,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def finish(table: pa.Table, side: pa.Table) -> pa.Table:
         if not len(table):
             return pa.table({f.split()[0]: pa.array([], t) for f, t in zip(
-                RESULT.split(", "), (*(pa.int64(),) * 5, pa.string(), pa.binary()))})
+                RESULT.split(", "), (*(pa.int64(),) * 5, pa.string(), pa.string()))})
         is_answer = pa.array(side.column("range").to_numpy() >= 0)
         return work(table, side.filter(pa.array(~is_answer.to_numpy(False))),
                     side.filter(is_answer))

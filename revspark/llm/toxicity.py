@@ -226,6 +226,23 @@ def score(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     return id_and_text(documents, id_col, text_col).mapInArrow(work, "doc_id long, score double")
 
 
+def below(documents: DataFrame, model: Model, threshold: float = THRESHOLD,
+          text_col: str = "text") -> DataFrame:
+    """The rows of ``documents``, with all their columns, that score less than ``threshold``."""
+    place = documents.columns.index(text_col)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = model.scorer()
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1024):
+                part = batch.slice(start, 1024)
+                texts = part.column(place).cast(pa.string()).fill_null("")
+                keep = scorer(*utf8(texts)) < threshold
+                yield part.filter(pa.array(keep))
+
+    return documents.mapInArrow(work, documents.schema)
+
+
 def fit_from_labels(documents: DataFrame, labels: DataFrame, modulus: int = 3,
                     remainder: int = 1) -> Model:
     """Train on rows whose crc32(doc_id) mod ``modulus`` isn't ``remainder``."""
