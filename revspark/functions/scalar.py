@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # ---- fixed values: these must equal the reference's for equal results -----------------------
 POSITIVE, NEUTRAL, NEGATIVE = "positive", "neutral", "negative"
+SENTIMENTS = (NEGATIVE, NEUTRAL, POSITIVE)  # by name
 POSITIVE_FROM, NEUTRAL_FROM = 4.0, 3.0  # rating >= 4.0 positive, >= 3.0 neutral, else negative
 # A vote string counts only when it is a plain optionally signed decimal integer (what an
 # integer parse accepts); `\z` rather than `$`, which would let a trailing newline through.

@@ -4,7 +4,7 @@ from revspark.operators.aggregate import (
     product_stats,
     reviewer_profiles,
 )
-from revspark.operators.buckets import quantile_bucket, quantile_splits
+from revspark.operators.buckets import quantile_bucket, quantile_cuts
 from revspark.operators.join import enrich, enrich_self
 from revspark.operators.percentile import lower_percentile
 from revspark.operators.runs import consecutive_runs, summarize_runs, tag_runs, tag_runs_window
@@ -28,7 +28,7 @@ __all__ = [
     "mark_high_quality",
     "pipe",
     "quantile_bucket",
-    "quantile_splits",
+    "quantile_cuts",
     "product_stats",
     "rank_top_k",
     "rejected_reviews",

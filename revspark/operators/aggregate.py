@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revspark.functions.scalar import SENTIMENTS
+
 
 def product_stats(
     processed: DataFrame,
@@ -31,8 +33,14 @@ def product_stats(
 
 
 def dominant_sentiment_agg(column: str = "sentiment") -> Column:
-    """Most frequent value; ties go to the lowest value, so the answer is deterministic."""
-    return F.mode(column, deterministic=True).alias("dominantSentiment")
+    """Most frequent sentiment; ties go to the lowest name, so the answer is deterministic (null
+    if no row has one). Three plain counts, so the whole aggregate stays one hash aggregate."""
+    counts = [F.count_if(F.col(column) == F.lit(s)) for s in SENTIMENTS]
+    most = F.greatest(*counts)
+    chosen = F.when(most == 0, F.lit(None).cast("string"))
+    for name, count in zip(SENTIMENTS, counts):
+        chosen = chosen.when(count == most, F.lit(name))
+    return chosen.alias("dominantSentiment")
 
 
 def dominant_sentiment(processed: DataFrame, key: str = "productID") -> DataFrame:

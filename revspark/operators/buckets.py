@@ -1,25 +1,24 @@
 """Buckets of a numeric column between quantile boundaries.
 
-The boundaries are computed once (the row count and Spark's approximate quantiles in one small
-job), then every row's bucket is a fixed function of its value: a recomputed task sees the
-same buckets, and every bucket holds about the same number of rows however unevenly the values
-are spread. Used to split work that needs an order (runs, percentiles) into pieces of bounded
-size.
+The boundaries come from one small job (Spark's approximate quantiles: mergeable sketches), as
+many as the session has shuffle partitions, so a bucket holds about as many rows as any shuffle
+partition does. A row's bucket is a fixed function of its value: every branch of a plan and
+every recomputed task sees the same buckets. Used to split work that needs an order (runs,
+percentiles) into pieces of bounded size.
 """
 
 from __future__ import annotations
 
 import math
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revspark.operators.keys import NUMERIC_TYPES
 
-DEFAULT_ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 100_000
-GRID = 256  # quantiles computed with the row count, enough for up to GRID buckets
-NULL_BUCKET = -(2**63)  # null values sort first, so they get the lowest bucket
+NULL_BUCKET = -1  # null values sort first, so they get the lowest bucket
+ACCURACY = 10  # sketch entries per boundary
 
 
 def check_numeric(df: DataFrame, column: str) -> None:
@@ -28,51 +27,35 @@ def check_numeric(df: DataFrame, column: str) -> None:
         raise TypeError(f"bucketing needs a numeric column; {column} is {dtype}")
 
 
-def quantile_splits(
-    df: DataFrame, column: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET
-) -> list[float]:
-    """Bucket boundaries at quantiles of ``column``, about ``rows_per_bucket`` rows apart.
-
-    One small job computes the row count together with ``GRID`` evenly spaced approximate
-    quantiles (a mergeable sketch per task, relative error 1/(2·GRID)); for B buckets every
-    B-th part of the grid is a boundary, so each bucket holds roughly n/B rows however unevenly
-    the values are spread (only rows tied on one value can make a bucket larger). B is
-    n / ``rows_per_bucket``, at most ``MAX_BUCKETS``; above ``GRID`` buckets a second job asks
-    for B quantiles with error 1/(2B). Returns the inner boundaries (fewer when values tie);
-    an empty list means one bucket is enough.
-    """
+def quantile_cuts(df: DataFrame, column: str, buckets: int | None = None) -> list[float]:
+    """Inner boundaries of ``buckets`` (default: the session's shuffle partitions) buckets of
+    about equal row counts; fewer when values tie."""
     check_numeric(df, column)
-    grid = [i / GRID for i in range(1, GRID)]
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx(F.col(column), grid, 2 * GRID).alias("q"),
-    ).first()
-    n = int(row["n"]) if row else 0
-    # Capped so that the sketch (about 1/error entries) stays small; past the cap buckets grow.
-    buckets = min(math.ceil(n / max(1, rows_per_bucket)), MAX_BUCKETS)
-    if buckets <= 1:
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if n < 2:
         return []
-    if buckets <= GRID:
-        q = row["q"] or []
-        cuts = [q[round(j * GRID / buckets) - 1] for j in range(1, buckets)]
+    parts = [i / n for i in range(1, n)]
+    found = df.agg(F.percentile_approx(F.col(column), parts, ACCURACY * n).alias("q")).first()
+    cuts = (float(c) for c in (found["q"] or []))
+    return sorted({c for c in cuts if math.isfinite(c)})
+
+
+def quantile_bucket(df: DataFrame, column: str, cuts: list[float], out: str) -> DataFrame:
+    """``df`` plus the bucket of each row (JVM-side binary search): a cut's own value and what
+    is above it up to the next cut share a bucket; NaN sorts above every number."""
+    raw = "__qb"
+    if cuts:
+        bounds = [float("-inf"), *cuts, float("inf")]
+        df = Bucketizer(splits=bounds, inputCol=column, outputCol=raw,
+                        handleInvalid="keep").transform(df)
     else:
-        probabilities = [i / buckets for i in range(1, buckets)]
-        cuts = df.approxQuantile(column, probabilities, 1.0 / (2 * buckets))
-    return sorted({float(c) for c in cuts if c is not None and math.isfinite(c)})
-
-
-def quantile_bucket(df: DataFrame, column: str, splits: list[float], out: str) -> DataFrame:
-    """``df`` plus the bucket of each row by the given boundaries (JVM-side binary search).
-
-    NaN sorts above every number and lands in the extra last bucket; null gets the null bucket.
-    """
-    from pyspark.ml.feature import Bucketizer
-
-    bounds = [float("-inf"), *splits, float("inf")]
-    raw_bucket = "__qb"
-    bucketed = Bucketizer(splits=bounds, inputCol=column, outputCol=raw_bucket,
-                          handleInvalid="keep").transform(df)
+        # NaN apart from numbers, as the search puts it.
+        df = df.withColumn(raw, F.when(F.isnan(F.col(column).cast("double")), 1.0).when(
+            F.col(column).isNotNull(), 0.0))
     # coalesce, not CASE: the bucket must be provably non-null, so that a join on it infers no
     # extra filter (which would stop two branches of a plan from sharing one input shuffle).
-    bucket = F.coalesce(F.col(raw_bucket).cast("long"), F.lit(NULL_BUCKET))
-    return bucketed.withColumn(out, bucket).drop(raw_bucket)
+    bucket = F.coalesce(F.col(raw).cast("int"), F.lit(NULL_BUCKET))
+    if cuts:  # the search keeps nulls in the bucket of NaN
+        bucket = F.when(F.col(column).isNull(), NULL_BUCKET).otherwise(bucket)
+        bucket = F.coalesce(bucket, F.lit(NULL_BUCKET))
+    return df.withColumn(out, bucket).drop(raw)

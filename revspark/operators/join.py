@@ -2,50 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ENRICH_COLUMNS = ("productAvgRating", "productReviewCount")
-
+from revspark.operators.aggregate import product_stats
 
-# Largest stats table (rows) broadcast to every task; ~100 bytes a row keeps it near 100 MB.
-BROADCAST_MAX_ROWS = 1_000_000
+ENRICH_COLUMNS = ("productAvgRating", "productReviewCount")
 
 
-def enrich(processed: DataFrame, stats: DataFrame,
-           broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+def enrich(processed: DataFrame, stats: DataFrame) -> DataFrame:
     """Inner equi-join on productID; rows whose product has no stats (or a null id) drop.
 
-    The stats table has one row per product: usually small, but it grows with the number of
-    products, so it is broadcast only after a check. One small job counts its rows; within
-    ``broadcast_max_rows`` the join broadcasts it and the (large) review table is joined where
-    it lies, with no shuffle at all. Beyond the limit, or with ``broadcast_max_rows=None``, it is
-    a sort-merge join: both sides shuffle on productID and AQE's skew handling splits a product
-    that holds a large share of the reviews.
+    No hint and no job at plan time: AQE picks the join from the measured size of the stats
+    (one row per product), and splits a product that holds a large share of the reviews if
+    both sides are shuffled.
     """
     right = stats.select(
         F.col("productID"),
         F.col("avgRating").alias("productAvgRating"),
         F.col("reviewCount").alias("productReviewCount"),
     )
-    if broadcast_max_rows is not None and right.count() <= broadcast_max_rows:
-        right = F.broadcast(right)
     return processed.join(right, on="productID", how="inner").select(
         *processed.columns, *ENRICH_COLUMNS
     )
 
 
 def enrich_self(processed: DataFrame) -> DataFrame:
-    """Same rows as ``enrich(processed, product_stats(processed))`` by one window, no join.
-
-    One shuffle instead of an aggregate plus a join. The trade: a window partition is never
-    split, so a product holding a large share of the rows is processed by one task; prefer
-    ``enrich`` when product sizes are very uneven.
-    """
-    by_product = Window.partitionBy("productID")
-    return (
-        processed.where(F.col("productID").isNotNull())
-        .withColumn("productAvgRating", F.avg("rating").over(by_product))
-        .withColumn("productReviewCount", F.count(F.lit(1)).over(by_product))
-        .select(*processed.columns, *ENRICH_COLUMNS)
-    )
+    """``enrich`` with the product stats of the same reviews."""
+    return enrich(processed, product_stats(processed))

@@ -6,18 +6,17 @@ empty input gives 0.0. No built-in matches this: ``percentile`` interpolates,
 
 Plan, all on DataFrames, no value lists anywhere:
 
-1. Count rows per distinct value (partial aggregation: a group's duplicates collapse in the map
-   tasks, so a rating column of a product holding a third of all rows becomes a few rows).
-2. Per group: n, the target index t, the number of distinct values and their min/max.
-3. Split each group's distinct values into equal-width value buckets (a number of buckets
-   proportional to its distinct count), count rows per bucket, prefix-sum the buckets in value
-   order and keep the one bucket holding index t.
-4. Inside that bucket only: running count in value order; the answer is the first value whose
-   running count passes t.
-
-Step 3 is where a group with very many distinct values is cut into pieces; only one bucket per
-group reaches the sort of step 4. Every step is exact: bucketing only decides where work
-happens. Null values are ignored.
+1. Count rows per group and distinct value (partial aggregation: a group's duplicates collapse in
+   the map tasks). Each value lies in a bucket between quantiles of the whole column
+   (``operators.buckets``), so a group of any size is cut into pieces.
+2. Sum the counts per (group, bucket). A window over a group's buckets (as many as there are
+   shuffle partitions, at most) gives its row count, its target index and the one bucket that
+   holds it.
+3. Within that bucket a running count in value order; the answer is the value at which it passes
+   the target.
+
+Every step is exact: buckets only decide where work happens. Null values are ignored; NaN sorts
+above every number. The answer has the value column's type.
 """
 
 from __future__ import annotations
@@ -27,14 +26,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revspark.operators.buckets import quantile_bucket, quantile_splits
+from revspark.operators.buckets import quantile_bucket, quantile_cuts
 from revspark.operators.keys import non_null_keys
 
-DEFAULT_VALUES_PER_BUCKET = 1_000_000
-MAX_BUCKETS_PER_GROUP = 100_000
-
-_V, _C, _N, _D, _LO, _HI, _T, _NBK = "__v", "__c", "__n", "__d", "__lo", "__hi", "__t", "__nbk"
-_B, _BC, _CUMB, _BEFORE, _CUM, _G = "__b", "__bc", "__cumb", "__before", "__cum", "__g"
+_V, _C, _N, _T, _B, _BC = "__v", "__c", "__n", "__t", "__b", "__bc"
+_AHEAD, _CUM = "__ahead", "__cum"
 
 
 def _check(p: float) -> float:
@@ -49,133 +45,41 @@ def lower_percentile(
     p: float,
     by: str | Sequence[str] = (),
     alias: str = "percentile",
-    values_per_bucket: int = DEFAULT_VALUES_PER_BUCKET,
-    buckets: str = "width",
+    buckets: int | None = None,
 ) -> DataFrame:
     """Exact lower ``p``-th percentile of ``value``, per group of ``by`` or over all rows.
 
-    Grouped: one row per group with at least one non-null value. Global: always one row, 0.0
-    when there is no value.
-
-    ``buckets="width"`` (default, fully lazy): equal-width value buckets within each group.
-    ``buckets="quantile"``: buckets between quantile boundaries of the whole column, chosen by
-    one small job over the input first; every (group, bucket) then holds at most about
-    ``values_per_bucket`` distinct values whatever their spread.
+    Grouped: one row per group with at least one non-null value. Global: always one row, 0 when
+    there is no value. ``buckets``: how many to cut the values into (default: the session's
+    shuffle partitions).
     """
-    if buckets not in ("width", "quantile"):
-        raise ValueError("buckets must be 'width' or 'quantile'")
     frac = _check(p)
     parts = [by] if isinstance(by, str) else list(by)
-    glob = not parts
-
-    values = df.where(F.col(value).isNotNull()).select(
-        *parts, F.col(value).cast("double").alias(_V)
-    )
-    if glob:
-        values, keys = values.withColumn(_G, F.lit(0)), [_G]
-    else:
-        values, keys = non_null_keys(values, parts)
-
-    if buckets == "quantile":
-        return _by_quantile_buckets(values, parts, keys, frac, alias, values_per_bucket, glob)
-
-    counts = values.groupBy(*parts, *keys, _V).agg(F.count(F.lit(1)).alias(_C))
-
-    lo, hi = F.col(_LO), F.col(_HI)
-    finite = ~F.isnan(lo) & ~F.isnan(hi) & (lo > F.lit(float("-inf"))) & (hi < F.lit(float("inf")))
-    n_buckets = F.least(
-        F.ceil(F.col(_D) / F.lit(max(1, int(values_per_bucket)))), F.lit(MAX_BUCKETS_PER_GROUP)
-    )
-    groups = (
-        counts.groupBy(*keys)
-        .agg(
-            F.sum(_C).alias(_N),
-            F.count(F.lit(1)).alias(_D),
-            F.min(_V).alias(_LO),
-            F.max(_V).alias(_HI),
-        )
-        .withColumn(_T, F.floor(F.lit(frac) * (F.col(_N) - 1).cast("double")).cast("long"))
-        .withColumn(_NBK, F.when(finite & (hi > lo), n_buckets).otherwise(F.lit(1)).cast("long"))
-    )
-    # A global percentile has exactly one group row: broadcasting it is bounded by construction.
-    # Per-group tables grow with the number of groups; AQE picks the join from measured sizes.
-    groups_side = F.broadcast(groups) if glob else groups
-
-    bucket = F.when(
-        F.col(_NBK) > 1,
-        F.least(
-            F.col(_NBK) - 1,
-            F.floor((F.col(_V) - lo) / (hi - lo) * F.col(_NBK).cast("double")).cast("long"),
-        ),
-    ).otherwise(F.lit(0).cast("long"))
-    bucketed = (
-        counts.join(groups_side.select(*keys, _LO, _HI, _NBK, _T), on=keys)
-        .withColumn(_B, bucket)
-        .select(*parts, *keys, _V, _C, _B, _T)
-    )
-
-    # The target index travels with the rows (it is constant per group), so no second join.
-    per_bucket = bucketed.groupBy(*keys, _T, _B).agg(F.sum(_C).alias(_BC))
-    in_order = Window.partitionBy(*keys).orderBy(_B).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    chosen = (
-        per_bucket.withColumn(_CUMB, F.sum(_BC).over(in_order))
-        .where((F.col(_CUMB) > F.col(_T)) & (F.col(_CUMB) - F.col(_BC) <= F.col(_T)))
-        .select(*keys, _B, (F.col(_CUMB) - F.col(_BC)).alias(_BEFORE))
-    )
-    chosen_side = F.broadcast(chosen) if glob else chosen
-
-    within = Window.partitionBy(*keys, _B).orderBy(_V).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    passed = (
-        bucketed.join(chosen_side, on=[*keys, _B])
-        .withColumn(_CUM, F.col(_BEFORE) + F.sum(_C).over(within))
-        .where(F.col(_CUM) > F.col(_T))
-    )
-    if glob:
-        return passed.agg(F.coalesce(F.min(_V), F.lit(0.0)).alias(alias))
-    # The answer's rows sit in one bucket of one group, so grouping by the surrogate keys and
-    # the bucket too (the originals are functions of them) reuses the partitioning in place.
-    return passed.groupBy(*keys, _B, *parts).agg(F.min(_V).alias(alias)).select(*parts, alias)
-
-
-def _running(spec):
-    return spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
-def _by_quantile_buckets(values: DataFrame, parts: list[str], keys: list[str], frac: float,
-                         alias: str, per_bucket: int, glob: bool) -> DataFrame:
-    """Value buckets between quantile boundaries of the whole column (``operators.buckets``).
-
-    A bucket holds about n/B rows in all, so at most that many of any one group. The group
-    totals come from a window over the (group, bucket) table, which has at most B rows per
-    group, so no group table has to be joined back.
-    """
-    splits = quantile_splits(values, _V, per_bucket)
-    if splits:
-        values = quantile_bucket(values, _V, splits, _B)
-    else:
-        values = values.withColumn(_B, F.lit(0).cast("long"))
-    counts = values.groupBy(*parts, *keys, _B, _V).agg(F.count(F.lit(1)).alias(_C))
+    values = df.where(F.col(value).isNotNull()).select(*parts, F.col(value).alias(_V))
+    cuts = quantile_cuts(values, _V, buckets)
+    values, keys = non_null_keys(values, parts)
+    counts = quantile_bucket(values, _V, cuts, _B).groupBy(*keys, *parts, _B, _V).agg(
+        F.count(F.lit(1)).alias(_C))
 
-    per_bucket_counts = counts.groupBy(*keys, _B).agg(F.sum(_C).alias(_BC))
-    group = Window.partitionBy(*keys)
+    in_order = Window.partitionBy(*keys).orderBy(_B)
     chosen = (
-        per_bucket_counts.withColumn(_N, F.sum(_BC).over(group))
-        .withColumn(_CUMB, F.sum(_BC).over(_running(group.orderBy(_B))))
+        counts.groupBy(*keys, _B).agg(F.sum(_C).alias(_BC))
+        .withColumn(_N, F.sum(_BC).over(Window.partitionBy(*keys)))
+        .withColumn(_AHEAD, F.sum(_BC).over(
+            in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(_BC))
         .withColumn(_T, F.floor(F.lit(frac) * (F.col(_N) - 1).cast("double")).cast("long"))
-        .where((F.col(_CUMB) > F.col(_T)) & (F.col(_CUMB) - F.col(_BC) <= F.col(_T)))
-        .select(*keys, _B, _T, (F.col(_CUMB) - F.col(_BC)).alias(_BEFORE))
+        .where((F.col(_AHEAD) <= F.col(_T)) & (F.col(_AHEAD) + F.col(_BC) > F.col(_T)))
+        .select(*keys, _B, _T, _AHEAD)
     )
-    chosen_side = F.broadcast(chosen) if glob else chosen  # global: one row
     within = Window.partitionBy(*keys, _B).orderBy(_V)
-    passed = (
-        counts.join(chosen_side, on=[*keys, _B])
-        .withColumn(_CUM, F.col(_BEFORE) + F.sum(_C).over(_running(within)))
-        .where(F.col(_CUM) > F.col(_T))
+    found = (
+        counts.join(chosen, [*keys, _B])
+        .withColumn(_CUM, F.col(_AHEAD) + F.sum(_C).over(
+            within.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .where((F.col(_CUM) > F.col(_T)) & (F.col(_CUM) - F.col(_C) <= F.col(_T)))
+        .select(*parts, F.col(_V).alias(alias))
     )
-    if glob:
-        return passed.agg(F.coalesce(F.min(_V), F.lit(0.0)).alias(alias))
-    return passed.groupBy(*keys, _B, *parts).agg(F.min(_V).alias(alias)).select(*parts, alias)
+    if parts:
+        return found
+    nothing = F.lit(0).cast(df.schema[value].dataType)
+    return found.agg(F.coalesce(F.min(alias), nothing).alias(alias))

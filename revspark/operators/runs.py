@@ -1,23 +1,21 @@
 """Runs of consecutive rows with an equal key (gaps and islands).
 
 The reference walks an in-memory list and starts a new group whenever the key changes. Here the
-order is an explicit column and the work is split into buckets of the order column, so that no
-task ever holds a whole partition key or the whole table:
-
-1. Buckets of the order column: by default between quantile boundaries computed once (about
-   ``rows_per_bucket`` rows each, however unevenly the values are spread), or of a fixed width.
-   Either way the bucket is a fixed function of the value, so a recomputed task sees the same
-   bucket.
-2. Within each (partition, bucket), a window gives every row its break flag (key differs from
-   the previous row's key) and the running count of breaks.
-3. A small table with one row per non-empty bucket keeps its first key, last key and break
-   count; a window over that table decides whether each bucket continues the previous bucket's
-   last run, and a prefix sum gives each bucket's run-number offset.
-4. Rows join their bucket's offset: ``run_id = offset + local_breaks - continues``.
-
-Only the bucket table (one row per bucket) ever sees a window without a split key. A key held
-by a third of all rows is split over many buckets like any other. Keys compare null-safely (two
-null keys are equal, as in the reference's comparison).
+order is given by columns, and the work is split so that no task holds a whole partition key or
+the whole table, at any size:
+
+1. The order column is cut into buckets at its quantiles, as many as there are shuffle partitions
+   (``operators.buckets``); a row's bucket is a fixed function of its order value.
+2. Within (partition key, bucket) a window flags each row whose key differs from the row before
+   and numbers the bucket's local runs; a grouped aggregate over the same partitioning turns rows
+   into local runs.
+3. Only the first and the last run of each bucket can belong to a run that crosses a border.
+   They make a table of one row per (partition key, bucket); a window over it decides which
+   buckets go on with the run before and sums the run numbers.
+4. Inner runs are final. Border runs with the same number are merged.
+
+A key held by a third of all rows is split over the buckets like any other. Keys compare null-safely
+(two null keys are equal, as in the reference's comparison).
 """
 
 from __future__ import annotations
@@ -27,111 +25,87 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revspark.operators.buckets import (
-    DEFAULT_ROWS_PER_BUCKET,
-    NULL_BUCKET,
-    quantile_bucket,
-    quantile_splits,
-)
+from revspark.operators.buckets import quantile_bucket, quantile_cuts
 from revspark.operators.keys import non_null_keys
 
 RUN_ID = "run_id"
 
-_BKT, _BRK, _CUM = "__bkt", "__brk", "__cum"
+_BKT, _BRK, _CUM, _OPEN, _CLOSE = "__bkt", "__brk", "__cum", "__open", "__close"
 _FIRST, _LAST, _NB, _CONT, _OFF = "__first", "__last", "__nb", "__cont", "__off"
 
 
-
 def _as_list(x: str | Sequence[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def _running(spec):
+    return spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _local(df: DataFrame, key: str, orders: list[str], parts: list[str], buckets: int | None
+           ) -> tuple[DataFrame, list[str]]:
+    """Rows with their bucket, local run number and whether they open or close the bucket."""
+    rows, keys = non_null_keys(df, parts)
+    rows = quantile_bucket(rows, orders[0], quantile_cuts(df, orders[0], buckets), _BKT)
+    spec = Window.partitionBy(*keys, _BKT).orderBy(*orders)
+    before, after = F.lag(F.struct(F.col(key).alias("k"))).over(spec), F.lead(F.lit(1)).over(spec)
+    same = before.isNotNull() & before["k"].eqNullSafe(F.col(key))
+    rows = rows.withColumns({_BRK: F.when(same, 0).otherwise(1), _OPEN: before.isNull(),
+                             _CLOSE: after.isNull()})
+    return rows.withColumn(_CUM, F.sum(_BRK).over(_running(spec))), keys
+
+
+def _bucket_offsets(ends: DataFrame, key: str, keys: list[str]) -> DataFrame:
+    """One row per (partition key, bucket): the number of its first run, less one, and whether
+    that run goes on from the bucket before. ``ends``: the first and last local run of each."""
+    value = F.struct(F.col(key).alias("k"))
+    buckets = ends.groupBy(*keys, _BKT).agg(
+        F.min_by(value, _CUM).alias(_FIRST), F.max_by(value, _CUM).alias(_LAST),
+        F.max(_CUM).alias(_NB))
+    across = Window.partitionBy(*keys).orderBy(_BKT)
+    last = F.lag(_LAST).over(across)
+    goes_on = last.isNotNull() & last["k"].eqNullSafe(F.col(_FIRST)["k"])
+    buckets = buckets.withColumn(_CONT, goes_on.cast("long"))
+    own = F.col(_NB) - F.col(_CONT)
+    ahead = F.sum(own).over(_running(across)) - own
+    return buckets.withColumn(_OFF, ahead - F.col(_CONT)).select(*keys, _BKT, _OFF)
+
+
 def tag_runs(
     df: DataFrame,
     key: str,
     order: str | Sequence[str],
     partition_by: str | Sequence[str] = (),
-    bucket_width: float | None = None,
-    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Every row plus ``run_id``: the number of its run, from 1, within its partition.
 
     ``order`` must be a total order within each partition (add tie-breakers); its first column
-    must be numeric and is the one bucketed.
+    must be numeric and is the one cut into ``buckets`` (default: the session's shuffle
+    partitions).
     """
-    orders = _as_list(order)
-    parts = _as_list(partition_by)
-    rows, pkeys = non_null_keys(df, parts)
-    if bucket_width:
-        # Equal-width buckets. Null order values sort first, so they get the lowest bucket; the
-        # bucket is never null, which keeps every row in the equi-join below.
-        bucket = F.floor(F.col(orders[0]) / F.lit(float(bucket_width))).cast("long")
-        rows = rows.withColumn(_BKT, F.coalesce(bucket, F.lit(NULL_BUCKET)))
-    else:
-        splits = quantile_splits(df, orders[0], rows_per_bucket)
-        if not splits:
-            # Everything fits in one bucket: the bucketed plan would compute exactly this window
-            # plus a one-row bucket table, so run the window alone.
-            return tag_runs_window(df, key, orders, parts)
-        rows = quantile_bucket(rows, orders[0], splits, _BKT)
-
-    in_bucket = Window.partitionBy(*pkeys, _BKT).orderBy(*[F.col(c) for c in orders])
-    key_struct = F.struct(F.col(key).alias("k"))
-    prev = F.lag(key_struct).over(in_bucket)
-    same = prev.isNotNull() & prev["k"].eqNullSafe(F.col(key))
-    rows = rows.withColumn(_BRK, F.when(same, F.lit(0)).otherwise(F.lit(1)))
-    rows = rows.withColumn(
-        _CUM,
-        F.sum(_BRK).over(in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-    )
-
-    order_struct = F.struct(*[F.col(c) for c in orders])
-    # Grouping by the original partition columns too changes nothing (they are functions of the
-    # surrogates) but makes this branch read the same columns as the run summary does, so both
-    # branches share one shuffle of the input instead of shuffling it twice.
-    buckets = rows.groupBy(*pkeys, *parts, _BKT).agg(
-        F.min_by(key_struct, order_struct).alias(_FIRST),
-        F.max_by(key_struct, order_struct).alias(_LAST),
-        F.sum(_BRK).alias(_NB),
-    )
-    across = Window.partitionBy(*pkeys).orderBy(_BKT) if pkeys else Window.orderBy(_BKT)
-    prev_last = F.lag(_LAST).over(across)
-    continues = prev_last.isNotNull() & prev_last["k"].eqNullSafe(F.col(_FIRST)["k"])
-    buckets = buckets.withColumn(_CONT, continues.cast("long"))
-    adjusted = F.col(_NB) - F.col(_CONT)
-    buckets = buckets.withColumn(
-        _OFF,
-        F.sum(adjusted).over(across.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        - adjusted,
-    ).select(*pkeys, _BKT, _OFF, _CONT)
-
-    tagged = rows.join(buckets, on=[*pkeys, _BKT], how="inner")
-    return tagged.withColumn(
-        RUN_ID, (F.col(_OFF) + F.col(_CUM) - F.col(_CONT)).cast("long")
-    ).select(*df.columns, RUN_ID)
+    rows, keys = _local(df, key, _as_list(order), _as_list(partition_by), buckets)
+    ends = rows.where(F.col(_OPEN) | F.col(_CLOSE)).select(*keys, _BKT, _CUM, key)
+    # Joined on the columns the rows are already partitioned by.
+    tagged = rows.join(_bucket_offsets(ends, key, keys), [*keys, _BKT])
+    return tagged.withColumn(RUN_ID, (F.col(_OFF) + F.col(_CUM)).cast("long")).select(
+        *df.columns, RUN_ID)
 
 
 def tag_runs_window(
     df: DataFrame, key: str, order: str | Sequence[str], partition_by: str | Sequence[str] = ()
 ) -> DataFrame:
-    """Plain window form: one window partition per partition key (the whole table if none).
-
-    Right, and fine for small partitions; used as the brute-force check of ``tag_runs``.
-    """
+    """Plain window form, one task per partition key (the whole table if none): the brute-force
+    check of ``tag_runs``, not used by any plan."""
     orders = _as_list(order)
     parts = _as_list(partition_by)
     spec = Window.partitionBy(*parts) if parts else Window.partitionBy()
     spec = spec.orderBy(*[F.col(c) for c in orders])
     prev = F.lag(F.struct(F.col(key).alias("k"))).over(spec)
     same = prev.isNotNull() & prev["k"].eqNullSafe(F.col(key))
-    brk = F.when(same, F.lit(0)).otherwise(F.lit(1))
     return (
-        df.withColumn(_BRK, brk)
-        .withColumn(
-            RUN_ID,
-            F.sum(_BRK).over(spec.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-            .cast("long"),
-        )
+        df.withColumn(_BRK, F.when(same, F.lit(0)).otherwise(F.lit(1)))
+        .withColumn(RUN_ID, F.sum(_BRK).over(_running(spec)).cast("long"))
         .drop(_BRK)
     )
 
@@ -139,14 +113,11 @@ def tag_runs_window(
 def summarize_runs(
     tagged: DataFrame, key: str, order: str | Sequence[str], partition_by: str | Sequence[str] = ()
 ) -> DataFrame:
-    """One row per run: partition keys, run_id, key, first and last order value, length.
-
-    A grouped aggregate with partial aggregation, so a run of any length costs one row per task.
-    """
+    """One row per run of tagged rows: partition keys, run_id, key, first and last order value,
+    length; partial aggregation makes a run of any length one row per task."""
     o = _as_list(order)[0]
     parts = _as_list(partition_by)
-    return tagged.groupBy(*parts, RUN_ID).agg(
-        F.min(key).alias(key),
+    return tagged.groupBy(*parts, RUN_ID, key).agg(
         F.min(o).alias(f"first_{o}"),
         F.max(o).alias(f"last_{o}"),
         F.count(F.lit(1)).alias("run_len"),
@@ -158,9 +129,24 @@ def consecutive_runs(
     key: str,
     order: str | Sequence[str],
     partition_by: str | Sequence[str] = (),
-    bucket_width: float | None = None,
-    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """Run rows: ``tag_runs`` then ``summarize_runs``."""
-    tagged = tag_runs(df, key, order, partition_by, bucket_width, rows_per_bucket)
-    return summarize_runs(tagged, key, order, partition_by)
+    """One row per run: partition keys, run_id, key, first and last order value, run_len.
+
+    Rows become local runs before anything is joined; only runs at a bucket's border are merged.
+    """
+    orders, parts = _as_list(order), _as_list(partition_by)
+    o = orders[0]
+    first, last = f"first_{o}", f"last_{o}"
+    rows, keys = _local(df, key, orders, parts, buckets)
+    local = rows.groupBy(*keys, _BKT, *parts, _CUM, key).agg(
+        F.min(o).alias(first), F.max(o).alias(last), F.count(F.lit(1)).alias("run_len"),
+        F.max(_OPEN).alias(_OPEN), F.max(_CLOSE).alias(_CLOSE))
+    border = F.col(_OPEN) | F.col(_CLOSE)
+    offsets = _bucket_offsets(local.where(border).select(*keys, _BKT, _CUM, key), key, keys)
+    runs = local.join(offsets, [*keys, _BKT]).withColumn(
+        RUN_ID, (F.col(_OFF) + F.col(_CUM)).cast("long"))
+    columns = [*parts, RUN_ID, key, first, last, "run_len"]
+    merged = runs.where(border).groupBy(*parts, RUN_ID, key).agg(
+        F.min(first).alias(first), F.max(last).alias(last), F.sum("run_len").alias("run_len"))
+    return runs.where(~border).select(*columns).unionByName(merged.select(*columns))

@@ -68,10 +68,27 @@ def rejection_reason(variant: str | Variant = "votes") -> Column:
     )
 
 
+def validity(variant: str | Variant = "votes") -> Column:
+    """True exactly where ``rejection_reason`` is null, as a plain conjunction that a Parquet scan
+    can take over (NaN sorts above every number, so it fails the upper bound)."""
+    v = variant_of(variant)
+    valid = F.col("reviewText").isNotNull()
+    if v.reject_empty_text:
+        valid = valid & (F.col("reviewText") != F.lit(""))
+    rating = F.col("overall")
+    return (valid & (rating >= F.lit(RATING_MIN)) & (rating <= F.lit(RATING_MAX))
+            & F.col("unixReviewTime").isNotNull())
+
+
 def classify(raw: DataFrame, variant: str | Variant = "votes") -> DataFrame:
     return raw.withColumn(REASON, rejection_reason(variant))
 
 
+def accepted(classified: DataFrame, variant: str | Variant = "votes") -> DataFrame:
+    """The valid rows of ``classify``, projected to the processed schema."""
+    return classified.where(F.col(REASON).isNull()).select(*processed_columns(variant))
+
+
 def processed_columns(variant: str | Variant = "votes") -> list[Column]:
     """The processed-review projection (rename, derive helpfulness, length, sentiment, year)."""
     v = variant_of(variant)
@@ -95,7 +112,7 @@ def processed_columns(variant: str | Variant = "votes") -> list[Column]:
 
 def valid_reviews(raw: DataFrame, variant: str | Variant = "votes") -> DataFrame:
     """Valid rows, projected to the processed schema."""
-    return raw.where(rejection_reason(variant).isNull()).select(*processed_columns(variant))
+    return raw.where(validity(variant)).select(*processed_columns(variant))
 
 
 def rejected_reviews(raw: DataFrame, variant: str | Variant = "votes") -> DataFrame:

@@ -1,32 +1,33 @@
 """The full batch job: processed reviews -> product stats, ranked reviews, reviewer profiles,
 high-quality count; with the rejected rows kept beside them.
 
-All outputs are lazy DataFrames over one processed table. ``write_outputs`` runs them; the
-processed table and the product stats are persisted while the outputs are written, because
-several outputs read them, and released afterwards.
+The raw reviews are classified once (valid, or why not); every output is a lazy DataFrame over
+that one table. ``run_job`` keeps it while the outputs are written, because all of them read it,
+and releases it afterwards: the input is read and parsed once.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revspark.functions.predicates import high_quality
 from revspark.operators.aggregate import count_where, product_stats, reviewer_profiles
-from revspark.operators.join import BROADCAST_MAX_ROWS, ENRICH_COLUMNS, enrich
+from revspark.operators.join import ENRICH_COLUMNS, enrich
 from revspark.operators.transform import mark_high_quality
-from revspark.operators.validate import rejected_reviews, rejects_by_reason, variant_of
-from revspark.operators.window import rank_top_k
-from revspark.plans.process import (
-    MIN_RATING,
-    MIN_RATIO,
-    MIN_VOTES,
-    process_reviews,
-    process_reviews_by_ratio,
+from revspark.operators.validate import (
+    MALFORMED,
+    REASON,
+    accepted,
+    classify,
+    rejects_by_reason,
+    variant_of,
 )
-from revspark.sources.reviews import read_reviews_checked
+from revspark.operators.window import rank_top_k
+from revspark.plans.process import MIN_RATING, keep_quality
+from revspark.sources.reviews import read_review_lines
 from revspark.sources.sinks import persist, write_json, write_parquet
 from revspark.schemas import REVIEW, REVIEW_RATIO
 from revspark.session import checkpoint_dir, size_shuffle_for
@@ -36,6 +37,7 @@ TOP_K = 100
 
 @dataclass
 class JobOutputs:
+    classified: DataFrame
     processed: DataFrame
     rejected: DataFrame
     rejects_by_reason: DataFrame
@@ -46,8 +48,9 @@ class JobOutputs:
     high_quality_count: DataFrame
 
     def unpersist(self) -> None:
-        for f in fields(self):
-            getattr(self, f.name).unpersist()
+        """Release what ``cache`` keeps."""
+        self.classified.unpersist()
+        self.product_stats.unpersist()
 
 
 def rank_enriched(processed: DataFrame, stats: DataFrame, order_column: str,
@@ -55,22 +58,14 @@ def rank_enriched(processed: DataFrame, stats: DataFrame, order_column: str,
     """``rank_top_k(enrich(processed, stats))`` for stats computed from ``processed`` itself.
 
     With such stats every review with a non-null productID has exactly one match, so the join
-    only drops null ids and adds two columns: ranking first and joining the (at most k-per-year,
-    plus ties) survivors gives the same rows while the join touches a few hundred rows instead
-    of the whole table.
+    only drops null ids and adds two columns: ranking first and joining the survivors gives the
+    same rows while the join touches few of them.
     """
-    ranked = rank_top_k(
-        processed.where(F.col("productID").isNotNull()),
-        partition_by="year",
-        order_by=F.desc(order_column),
-        k=k,
-    )
-    cols = [*processed.columns, *ENRICH_COLUMNS, "helpfulnessRank"]
-    # The ranked side is the small one here; AQE picks the join from the measured sizes.
-    return enrich(ranked, stats, broadcast_max_rows=None).select(*cols)
+    ranked = rank_top_k(processed.where(F.col("productID").isNotNull()), "year", order_column, k)
+    return enrich(ranked, stats).select(*processed.columns, *ENRICH_COLUMNS, "helpfulnessRank")
 
 
-def _materialize(df: DataFrame, mode: str | bool | None) -> DataFrame:
+def _keep(df: DataFrame, mode: str | bool | None) -> DataFrame:
     """Keep a table that several outputs read.
 
     "persist": cached in executors (memory, then disk); lost blocks are recomputed from the plan.
@@ -92,35 +87,35 @@ def build_outputs(raw: DataFrame, variant: str = "votes", min_rating: float = MI
                   cache: str | bool = False) -> JobOutputs:
     """All outputs of the job for one variant ("votes": final, "ratio": draft).
 
-    ``cache`` keeps the processed reviews and the product stats, which several outputs read:
-    False (recompute), True / "persist", or "checkpoint" (see ``_materialize``).
+    ``raw`` may come with a ``reason`` of its own for rows that can't be reviews at all.
+    ``cache`` keeps the classified reviews and the product stats, which several outputs read:
+    False (recompute), True / "persist", or "checkpoint" (see ``_keep``).
     """
     v = variant_of(variant)
-    if v.name == "votes":
-        votes = MIN_VOTES if min_helpfulness is None else int(min_helpfulness)
-        processed = process_reviews(raw, min_rating, votes)
-    else:
-        ratio = MIN_RATIO if min_helpfulness is None else float(min_helpfulness)
-        processed = process_reviews_by_ratio(raw, min_rating, ratio)
-    processed = _materialize(processed, cache)
-    stats = _materialize(
+    classified = classify(raw.drop(REASON), v)
+    if REASON in raw.columns:
+        own = F.col("__own")
+        classified = classify(raw.withColumnRenamed(REASON, "__own"), v).withColumn(
+            REASON, F.coalesce(own, F.col(REASON))).drop("__own")
+    classified = _keep(classified, cache)
+    processed = keep_quality(accepted(classified, v), v.name, min_rating, min_helpfulness)
+    stats = _keep(
         product_stats(processed, v.helpfulness_column, dominant_sentiment=(v.name == "ratio")),
         cache,
     )
-    rejected = rejected_reviews(raw, v)
+    rejected = classified.where(F.col(REASON).isNotNull())
     if v.name == "votes":
         flagged = mark_high_quality(processed, high_quality("votes"))
         hq = count_where(flagged, "isHighQuality", alias="highQualityCount")
     else:
         hq = count_where(processed, high_quality("ratio"), alias="highQualityCount")
     return JobOutputs(
+        classified=classified,
         processed=processed,
         rejected=rejected,
         rejects_by_reason=rejects_by_reason(rejected),
         product_stats=stats,
-        # With the stats kept, counting them for the broadcast check is cheap; otherwise the
-        # outputs stay lazy and the join is left to AQE.
-        enriched=enrich(processed, stats, BROADCAST_MAX_ROWS if cache else None),
+        enriched=enrich(processed, stats),
         ranked_reviews=rank_enriched(processed, stats, v.helpfulness_column, k),
         reviewer_profiles=reviewer_profiles(processed, v.helpfulness_column),
         high_quality_count=hq,
@@ -128,7 +123,7 @@ def build_outputs(raw: DataFrame, variant: str = "votes", min_rating: float = MI
 
 
 def write_outputs(outputs: JobOutputs, output_path: str, partition_ranked_by_year: bool = False,
-                  keep_rejected: bool = True, malformed: DataFrame | None = None) -> int:
+                  keep_rejected: bool = True) -> int:
     """Write the three tables (JSON, Parquet, JSON), the rejected rows and the malformed input
     lines; return the high-quality count."""
     base = output_path.rstrip("/")
@@ -138,9 +133,13 @@ def write_outputs(outputs: JobOutputs, output_path: str, partition_ranked_by_yea
                       partition_by=["year"] if partition_ranked_by_year else None)
         write_json(outputs.reviewer_profiles, f"{base}/reviewer_profiles")
         if keep_rejected:
-            write_parquet(outputs.rejected, f"{base}/rejected_reviews")
-            if malformed is not None:
-                write_parquet(malformed, f"{base}/malformed_lines")
+            rejected = outputs.rejected
+            if "line" in rejected.columns:
+                bad = F.col(REASON) == F.lit(MALFORMED)
+                write_parquet(rejected.where(bad).select("line", REASON),
+                              f"{base}/malformed_lines")
+                rejected = rejected.where(~bad).drop("line")
+            write_parquet(rejected, f"{base}/rejected_reviews")
         return int(outputs.high_quality_count.first()["highQualityCount"])
     finally:
         outputs.unpersist()
@@ -159,6 +158,10 @@ def run_job(spark: SparkSession, input_path: str, output_path: str, variant: str
     if size_shuffle:
         size_shuffle_for(spark, input_path)
     schema = REVIEW if variant_of(variant).name == "votes" else REVIEW_RATIO
-    raw, malformed = read_reviews_checked(spark, input_path, schema, on_missing=on_missing)
+    lines = read_review_lines(spark, input_path, schema, on_missing=on_missing)
+    raw = lines.withColumns({
+        REASON: F.when(F.col("malformed"), F.lit(MALFORMED)),
+        "line": F.when(F.col("malformed"), F.col("line")),  # good lines needn't be kept
+    }).drop("malformed")
     outputs = build_outputs(raw, variant, cache=cache, **kwargs)
-    return write_outputs(outputs, output_path, partition_ranked_by_year, malformed=malformed)
+    return write_outputs(outputs, output_path, partition_ranked_by_year)

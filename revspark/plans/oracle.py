@@ -8,7 +8,7 @@ integers are HUGEINT there, so counts and run numbers are cast to BIGINT.
 
 from __future__ import annotations
 
-from revspark.plans.queries import MEDIAN, PERCENTILE, TRUNCATE_EVERY
+from revspark.plans.queries import MEDIAN, PERCENTILE
 
 _RAW = r"""
 raw AS (
@@ -33,7 +33,8 @@ raw AS (
          CAST(epoch(l_shipdate) AS BIGINT) AS unixReviewTime,
          strftime(l_shipdate, '%m %d, %Y') AS reviewTime,
          (o_orderstatus = 'F') AS verified,
-         [CAST(trunc(l_quantity) AS INTEGER), CAST((l_linenumber % 4) * 20 AS INTEGER)] AS helpful
+         [CAST(trunc(l_quantity) AS INTEGER), CAST((l_linenumber % 4) * 20 AS INTEGER)] AS helpful,
+         CAST(NULL AS VARCHAR[]) AS image
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 )"""
 
@@ -170,16 +171,11 @@ SELECT {cols}run_id, min({key}) AS {key}, min({order}) AS first_{order},
 FROM g GROUP BY {cols}run_id"""
 
 
-_RAW_COLS = (
+_REVIEW_COLS = (
     "reviewerID, asin, reviewerName, vote, reviewText, overall, summary, unixReviewTime, "
-    "reviewTime, verified"
+    "reviewTime, image, verified"
 )
-
-# The JSON round trip cuts the lines of these reviews in half (every review is still written and
-# read back); cut lines are malformed, so they are absent from the parsed reviews and counted
-# as malformed lines instead.
-_JSON_KEPT = f"""
-kept AS (SELECT * FROM raw WHERE unixReviewTime % {TRUNCATE_EVERY} <> 0)"""
+_RAW_COLS = f"{_REVIEW_COLS}, helpful"
 
 ORACLE: dict[str, str] = {
     "reviews_adapter": f"WITH {_RAW}\nSELECT {_RAW_COLS} FROM raw",
@@ -263,12 +259,45 @@ ORACLE: dict[str, str] = {
         "try_cast(json_extract(props, '$.k') AS BIGINT) END AS k, "
         "NOT coalesce(json_valid(props), false) AS malformed FROM events"
     ),
+    "percentile_event_value": _percentile_sql(
+        "WITH event_values AS (SELECT event_type, value FROM events)", "event_values", "value",
+        PERCENTILE, "event_type", "valueP90"
+    ),
+    "event_run_tags": """
+WITH b AS (
+  SELECT user_id, event_id, event_type,
+         CASE WHEN row_number() OVER w > 1 AND lag(event_type) OVER w IS NOT DISTINCT FROM event_type
+              THEN 0 ELSE 1 END AS brk
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)
+)
+SELECT user_id, event_id, event_type,
+       CAST(sum(brk) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING
+                           AND CURRENT ROW) AS BIGINT) AS run_id
+FROM b""",
     "sink_roundtrip": f"{_WITH_VOTES},{_STATS}\nSELECT * FROM stats",
-    "json_product_stats": (
-        f"WITH {_RAW},{_JSON_KEPT},{_valid_votes('kept')},{_STATS}\nSELECT * FROM stats"
+    "json_reader": f"WITH {_RAW}\nSELECT {_REVIEW_COLS} FROM raw",
+    "json_reader_missing": (
+        f"WITH {_RAW}\nSELECT 'there' AS source, CAST(count(*) AS BIGINT) AS n FROM raw "
+        f"UNION ALL SELECT 'missing', CAST(0 AS BIGINT)"
     ),
+    "json_product_stats": f"{_WITH_VOTES},{_STATS}\nSELECT * FROM stats",
     "json_malformed_lines": (
-        f"WITH {_RAW}\nSELECT 'Malformed record' AS reason, CAST(count(*) AS BIGINT) AS n "
-        f"FROM raw WHERE unixReviewTime % {TRUNCATE_EVERY} = 0 GROUP BY ALL"
+        "SELECT 'Malformed record' AS reason, CAST(count(*) AS BIGINT) AS n FROM orders"
+    ),
+    "job_rejected": (
+        f"WITH {_RAW}\nSELECT reason, CAST(count(*) AS BIGINT) AS n FROM "
+        f"(SELECT {_REASON_VOTES} AS reason FROM raw) WHERE reason IS NOT NULL GROUP BY reason "
+        f"UNION ALL SELECT 'Malformed record', CAST(count(*) AS BIGINT) FROM orders"
     ),
 }
+ORACLE |= {
+    "sink_ranked_parquet": ORACLE["rank_reviews"],
+    "sink_profiles_json": ORACLE["reviewer_profiles"],
+    "job_product_stats": ORACLE["product_stats"],
+    "job_ranked_reviews": ORACLE["rank_reviews"],
+    "job_reviewer_profiles": ORACLE["reviewer_profiles"],
+    "job_ratio_product_stats": ORACLE["product_stats_ratio"],
+    "job_ratio_ranked_reviews": ORACLE["rank_reviews_ratio"],
+    "job_ratio_reviewer_profiles": ORACLE["reviewer_profiles_ratio"],
+    "job_cached_stats": ORACLE["product_stats"],
+}

@@ -16,15 +16,15 @@ from revspark.functions.predicates import high_quality, min_length, min_rating,
 from revspark.operators.aggregate import dominant_sentiment, product_stats, reviewer_profiles
 from revspark.operators.join import enrich, enrich_self
 from revspark.operators.percentile import lower_percentile
-from revspark.operators.runs import consecutive_runs
+from revspark.operators.runs import consecutive_runs, tag_runs
 from revspark.operators.transform import mark_high_quality, pipe, when_then
 from revspark.operators.validate import rejected_reviews, rejects_by_reason, valid_reviews
-from revspark.plans.job import build_outputs, rank_enriched
+from revspark.plans.job import build_outputs, rank_enriched, run_job
 from revspark.plans.process import process_reviews, process_reviews_by_ratio
-from revspark.schemas import PRODUCT_STATS, REVIEW
-from revspark.session import sf_table, shared_path, stored_once
-from revspark.sources.adapter import source_key, stored_reviews
-from revspark.sources.reviews import parse_json_column, read_reviews_checked
+from revspark.schemas import PRODUCT_STATS, PRODUCT_STATS_RATIO, PROFILE, REVIEW, REVIEW_RATIO
+from revspark.session import sf_table, shared_path
+from revspark.sources.adapter import reviews_from_tables
+from revspark.sources.reviews import parse_json_column, read_reviews, read_reviews_checked
 from revspark.sources.sinks import write_json, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,12 +32,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 # ---- fixed values: parameters of the registered queries (shared with the oracle SQL) ---------
 PERCENTILE = 90.0
 MEDIAN = 50.0
-TRUNCATE_EVERY = 97  # JSON round trip: lines of reviews whose time % 97 == 0 are cut in half
+BROKEN_LINE = "order "  # and the order's key: lines among the JSON reviews that are no JSON
 # ----------------------------------------------------------------------------------------------
 
 
 def _raw(spark: SparkSession, sf: str) -> DataFrame:
-    return stored_reviews(spark, sf)
+    return reviews_from_tables(spark, sf)
 
 
 def _processed(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,8 +49,7 @@ def _processed_ratio(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_reviews_adapter(spark, sf):
-    # The array columns are checked through the operators that read them.
-    return _raw(spark, sf).drop("image", "helpful")
+    return _raw(spark, sf)
 
 
 def q_valid_reviews(spark, sf):
@@ -58,7 +57,7 @@ def q_valid_reviews(spark, sf):
 
 
 def q_rejected_reviews(spark, sf):
-    return rejected_reviews(_raw(spark, sf), "votes").drop("image", "helpful")
+    return rejected_reviews(_raw(spark, sf), "votes")
 
 
 def q_rejects_by_reason(spark, sf):
@@ -187,44 +186,135 @@ def q_safe_json_parse(spark, sf):
     return parse_json_column(events, "props", schema).select("event_id", "k", "malformed")
 
 
+def q_percentile_event_value(spark, sf):
+    """Nearly every event has a value of its own, so the value buckets do split."""
+    events = sf_table(spark, sf, "events").select("event_type", "value")
+    return lower_percentile(events, "value", PERCENTILE, by="event_type", alias="valueP90")
+
+
+def q_event_run_tags(spark, sf):
+    events = sf_table(spark, sf, "events").select("user_id", "event_id", "event_type")
+    return tag_runs(events, key="event_type", order="event_id", partition_by="user_id")
+
+
+# ---- sinks and sources: what is written is read back -----------------------------------------
+
+
 def q_sink_roundtrip(spark, sf):
-    """Product stats written as JSON (and ranked reviews as Parquet), then read back."""
+    """Product stats written as JSON and read back."""
+    path = shared_path(spark, "product_stats")
+    write_json(product_stats(_processed(spark, sf)), path)
+    return spark.read.schema(PRODUCT_STATS).json(path)
+
+
+def q_sink_ranked_parquet(spark, sf):
+    """Ranked reviews written as Parquet by year and read back."""
     processed = _processed(spark, sf)
-    stats = product_stats(processed)
-    json_path = shared_path(spark, "product_stats")
-    write_json(stats, json_path)
-    write_parquet(rank_enriched(processed, stats, "helpfulnessVotes"),
-                  shared_path(spark, "ranked_reviews"), partition_by=["year"])
-    return spark.read.schema(PRODUCT_STATS).json(json_path)
+    ranked = rank_enriched(processed, product_stats(processed), "helpfulnessVotes")
+    path = shared_path(spark, "ranked_reviews")
+    write_parquet(ranked, path, partition_by=["year"])
+    return spark.read.schema(ranked.schema).parquet(path).select(*ranked.columns)
 
 
-def _json_reviews(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Reviews stored as JSON lines (once per checkpoint folder), some cut short, read back
-    with quarantine."""
+def q_sink_profiles_json(spark, sf):
+    """Reviewer profiles written as JSON and read back."""
+    path = shared_path(spark, "reviewer_profiles")
+    write_json(reviewer_profiles(_processed(spark, sf)), path)
+    return spark.read.schema(PROFILE).json(path)
 
-    def write(target: str) -> None:
-        line = F.to_json(F.struct(*[F.col(f.name) for f in REVIEW.fields]))
-        cut = (F.col("unixReviewTime") % F.lit(TRUNCATE_EVERY)) == 0
-        _raw(spark, sf).withColumn("__line", line).select(
-            F.when(cut, F.expr("substring(__line, 1, length(__line) div 2)"))
-            .otherwise(F.col("__line"))
-            .alias("value")
-        ).write.text(target)
 
-    path = stored_once(spark, f"reviews-json-{source_key(sf)}", write)
-    return read_reviews_checked(spark, path, REVIEW)
+def _json_lines(reviews: DataFrame, schema: T.StructType) -> DataFrame:
+    return reviews.select(
+        F.to_json(F.struct(*[F.col(f.name) for f in schema.fields])).alias("value"))
+
+
+def _json_reviews(spark, sf, schema: T.StructType = REVIEW, broken: bool = False) -> str:
+    """All reviews as a source of JSON lines; with ``broken``, a line that is no JSON for each
+    order among them."""
+    lines = _json_lines(_raw(spark, sf), schema)
+    if broken:
+        keys = sf_table(spark, sf, "orders").select("o_orderkey")
+        lines = lines.unionByName(keys.select(F.concat(
+            F.lit(BROKEN_LINE), F.col("o_orderkey").cast("string")).alias("value")))
+    path = shared_path(spark, "reviews-json")
+    lines.write.text(path)
+    return path
+
+
+def q_json_reader(spark, sf):
+    """The plain reader over all reviews as JSON lines."""
+    return read_reviews(spark, _json_reviews(spark, sf))
+
+
+def q_json_reader_missing(spark, sf):
+    """The silent fallback: rows of a source that is there and of one that isn't."""
+    path = _json_reviews(spark, sf)
+    there = read_reviews(spark, path, on_missing="empty")
+    missing = read_reviews(spark, f"{path}-none", on_missing="empty")
+    count = lambda df, name: df.agg(F.lit(name).alias("source"),
+                                    F.count(F.lit(1)).alias("n"))
+    return count(there, "there").unionByName(count(missing, "missing"))
 
 
 def q_json_product_stats(spark, sf):
-    parsed, _ = _json_reviews(spark, sf)
+    """All reviews read with quarantine; lines that are no JSON change nothing."""
+    parsed, _ = read_reviews_checked(spark, _json_reviews(spark, sf, broken=True), REVIEW)
     return product_stats(process_reviews(parsed))
 
 
 def q_json_malformed_lines(spark, sf):
-    _, malformed = _json_reviews(spark, sf)
+    _, malformed = read_reviews_checked(spark, _json_reviews(spark, sf, broken=True), REVIEW)
     return malformed.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+# ---- the whole job, from JSON lines to written tables ----------------------------------------
+
+
+def _job(spark, sf, variant: str) -> str:
+    out = shared_path(spark, f"job-{variant}")
+    schema = REVIEW if variant == "votes" else REVIEW_RATIO
+    run_job(spark, _json_reviews(spark, sf, schema, broken=True), out, variant)
+    return out
+
+
+def q_job_product_stats(spark, sf):
+    return spark.read.schema(PRODUCT_STATS).json(f"{_job(spark, sf, 'votes')}/product_stats")
+
+
+def q_job_ranked_reviews(spark, sf):
+    return spark.read.parquet(f"{_job(spark, sf, 'votes')}/ranked_reviews")
+
+
+def q_job_reviewer_profiles(spark, sf):
+    return spark.read.schema(PROFILE).json(f"{_job(spark, sf, 'votes')}/reviewer_profiles")
+
+
+def q_job_rejected(spark, sf):
+    """Rejected reviews and malformed lines of one run, by reason."""
+    out = _job(spark, sf, "votes")
+    rejected = spark.read.parquet(f"{out}/rejected_reviews").select("reason")
+    return rejects_by_reason(rejected.unionByName(
+        spark.read.parquet(f"{out}/malformed_lines").select("reason")))
+
+
+def q_job_ratio_product_stats(spark, sf):
+    return spark.read.schema(PRODUCT_STATS_RATIO).json(
+        f"{_job(spark, sf, 'ratio')}/product_stats")
+
+
+def q_job_ratio_ranked_reviews(spark, sf):
+    return spark.read.parquet(f"{_job(spark, sf, 'ratio')}/ranked_reviews")
+
+
+def q_job_ratio_reviewer_profiles(spark, sf):
+    return spark.read.schema(PROFILE).json(f"{_job(spark, sf, 'ratio')}/reviewer_profiles")
+
+
+def q_job_cached_stats(spark, sf):
+    """Product stats of the job with its tables kept; the same as without."""
+    return build_outputs(_raw(spark, sf), "votes", cache="checkpoint").product_stats
+
+
 QUERIES: dict[str, Query] = {
     "product_stats": q_product_stats,
     "reviews_adapter": q_reviews_adapter,
@@ -255,7 +345,21 @@ QUERIES: dict[str, Query] = {
     "when_then_update": q_when_then_update,
     "transform_pipe": q_transform_pipe,
     "safe_json_parse": q_safe_json_parse,
+    "percentile_event_value": q_percentile_event_value,
+    "event_run_tags": q_event_run_tags,
     "sink_roundtrip": q_sink_roundtrip,
+    "sink_ranked_parquet": q_sink_ranked_parquet,
+    "sink_profiles_json": q_sink_profiles_json,
+    "json_reader": q_json_reader,
+    "json_reader_missing": q_json_reader_missing,
     "json_product_stats": q_json_product_stats,
     "json_malformed_lines": q_json_malformed_lines,
+    "job_product_stats": q_job_product_stats,
+    "job_ranked_reviews": q_job_ranked_reviews,
+    "job_reviewer_profiles": q_job_reviewer_profiles,
+    "job_rejected": q_job_rejected,
+    "job_ratio_product_stats": q_job_ratio_product_stats,
+    "job_ratio_ranked_reviews": q_job_ratio_ranked_reviews,
+    "job_ratio_reviewer_profiles": q_job_ratio_reviewer_profiles,
+    "job_cached_stats": q_job_cached_stats,
 }

@@ -8,9 +8,7 @@ intermediate tables.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -48,12 +46,11 @@ def get_spark(
     return spark
 
 
-def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20,
-               max_partitions: int = 100_000) -> dict[str, str]:
-    """Shuffle sizing for a given input size: start with about one shuffle partition per
-    ``partition_bytes`` of input (so each fits an executor's memory without spilling much) and
-    let AQE coalesce the small ones and split skewed ones at run time."""
-    parts = max(200, min(max_partitions, -(-int(input_bytes) // partition_bytes)))
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle sizing for a given input size: one shuffle partition per ``partition_bytes`` of
+    input (so each fits an executor's memory without spilling much); AQE coalesces small ones and
+    splits skewed ones at run time."""
+    parts = max(1, -(-int(input_bytes) // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
@@ -62,16 +59,9 @@ def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20,
     }
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    On a cluster the folder must already be configured (a path every executor can reach).
-    Only a local session without one gets a fresh folder of its own, as in tests.
-    """
+    """The shared folder named by ``spark.checkpoint.dir``, else one beside the tables of
+    ``spark.sql.warehouse.dir``: both are places that the driver and all executors reach."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -79,16 +69,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None
     )
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if not _is_local(spark):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a shared folder (HDFS, S3, ...) "
-            "that all executors can reach"
-        )
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="revspark-ckpt-"))
-    return sc.getCheckpointDir()
+    if not configured:
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -101,20 +85,6 @@ def sf_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df, *keys: str):
-    """Hash-spread ``df`` over all cores when its scan yields fewer partitions than cores.
-
-    A small file with few row groups scans as a handful of tasks, leaving most cores idle for
-    the per-row work that follows. Large inputs split into far more partitions than cores, so
-    there the check is false and no exchange is added. Hash (not round-robin) partitioning
-    keeps a recomputed task's rows the same.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, *keys)
-    return df
-
-
 def _file_system(spark: SparkSession, path: str):
     """The Hadoop file system that ``path`` names, and a str -> Hadoop Path converter."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
@@ -122,27 +92,6 @@ def _file_system(spark: SparkSession, path: str):
     return fs, hadoop_path
 
 
-def stored_once(spark: SparkSession, name: str, write: Callable[[str], None]) -> str:
-    """Path of a table under the shared checkpoint folder, written by ``write(path)`` only if
-    no complete copy is there yet.
-
-    The table is written under a private name and renamed into place, so a reader never sees a
-    half-written table and two first callers cannot overwrite each other's files; a directory
-    without the committer's _SUCCESS marker is the leftover of an unfinished write and is
-    replaced.
-    """
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
-    fs, to_path = _file_system(spark, path)
-    if not fs.exists(to_path(f"{path}/_SUCCESS")):
-        if fs.exists(to_path(path)):
-            fs.delete(to_path(path), True)
-        staging = f"{path}-{uuid.uuid4().hex}"
-        write(staging)
-        if not fs.rename(to_path(staging), to_path(path)):  # another caller was first
-            fs.delete(to_path(staging), True)
-    return path
-
-
 def input_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files under ``path``, on whatever file system it names."""
     fs, to_path = _file_system(spark, path)

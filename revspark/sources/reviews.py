@@ -44,56 +44,71 @@ def read_reviews(
 
 
 def parse_json_lines(lines: DataFrame, column: str, schema: T.StructType) -> DataFrame:
-    """Parse a JSON string column against ``schema``; a ``_corrupt_record`` column holds the
-    text of every value that is not a JSON object of that schema (null when it parsed)."""
+    """``lines`` plus a struct of the fields in a JSON string column; its ``_corrupt_record`` holds
+    the text of every value that is not a JSON object of that schema (null when it parsed).
+
+    The struct comes out of a generator, which the optimizer doesn't fold into what is above it:
+    a line is parsed once, however many fields and filters read it.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     parsed = F.from_json(F.col(column), with_corrupt_column(schema), options)
-    return lines.withColumn(_PARSED, parsed)
+    return lines.select(*lines.columns, F.inline(F.array(F.struct(parsed.alias(_PARSED)))))
 
 
-def split_parsed(parsed: DataFrame, column: str, schema: T.StructType):
-    """(good rows with the schema's columns, malformed rows with ``line`` and ``reason``)."""
-    struct = F.col(_PARSED)
-    bad = struct.isNull() | struct[CORRUPT_COLUMN].isNotNull()
-    good = parsed.where(~bad).select(*[struct[f.name].alias(f.name) for f in schema.fields])
-    malformed = parsed.where(bad).select(
-        F.col(column).alias("line"), F.lit(MALFORMED).alias(REASON)
-    )
-    return good, malformed
+def _malformed(struct):
+    return struct.isNull() | struct[CORRUPT_COLUMN].isNotNull()
 
 
-def read_reviews_checked(
+def read_review_lines(
     spark: SparkSession,
     path: str,
     schema: T.StructType = REVIEW,
     on_missing: str = "raise",
-):
-    """(parsed reviews, malformed lines). Blank lines are skipped, as the JSON reader does.
+) -> DataFrame:
+    """Every non-blank line at ``path``: ``line``, ``malformed`` and the schema's columns (null
+    in malformed lines).
 
     Reading lines as text and parsing each against the full schema flags a bad line the same way
     whichever columns a later query uses (the JSON reader's corrupt-record column depends on the
     columns it was asked for).
     """
+    if on_missing not in ("raise", "empty"):
+        raise ValueError("on_missing must be 'raise' or 'empty'")
     try:
         lines = spark.read.text(path)
     except AnalysisException as exc:
-        if on_missing == "empty" and "PATH_NOT_FOUND" in (exc.getCondition() or str(exc)):
-            return _empty(spark, schema), _empty(
-                spark, T.StructType([T.StructField("line", T.StringType()),
-                                     T.StructField(REASON, T.StringType())])
-            )
-        raise
-    lines = lines.where(F.col("value").rlike(r"\S"))
-    return split_parsed(parse_json_lines(lines, "value", schema), "value", schema)
+        if on_missing != "empty" or "PATH_NOT_FOUND" not in (exc.getCondition() or str(exc)):
+            raise
+        lines = _empty(spark, T.StructType([T.StructField("value", T.StringType())]))
+    lines = lines.where(F.col("value").rlike(r"\S")).select(F.col("value").alias("line"))
+    struct = F.col(_PARSED)
+    return parse_json_lines(lines, "line", schema).select(
+        "line", _malformed(struct).alias("malformed"),
+        *[F.when(~_malformed(struct), struct[f.name]).alias(f.name) for f in schema.fields])
+
+
+def split_lines(lines: DataFrame):
+    """(parsed reviews, malformed lines with a reason) of ``read_review_lines``."""
+    good = lines.where(~F.col("malformed")).drop("line", "malformed")
+    bad = lines.where("malformed").select("line", F.lit(MALFORMED).alias(REASON))
+    return good, bad
+
+
+def read_reviews_checked(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = REVIEW,
+    on_missing: str = "raise",
+):
+    """(parsed reviews, malformed lines). Blank lines are skipped, as the JSON reader does."""
+    return split_lines(read_review_lines(spark, path, schema, on_missing))
 
 
 def parse_json_column(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
     """``df`` plus the fields of the JSON object in ``column`` and a ``malformed`` flag."""
-    parsed = parse_json_lines(df, column, schema)
     struct = F.col(_PARSED)
-    bad = struct.isNull() | struct[CORRUPT_COLUMN].isNotNull()
-    return parsed.select(
+    return parse_json_lines(df, column, schema).select(
         *df.columns,
-        *[F.when(~bad, struct[f.name]).alias(f.name) for f in schema.fields],
-        bad.alias("malformed"),
+        *[F.when(~_malformed(struct), struct[f.name]).alias(f.name) for f in schema.fields],
+        _malformed(struct).alias("malformed"),
     )

@@ -35,13 +35,13 @@ def raw_review(**kw):
     row = {
         "reviewerID": "U1",
         "asin": "P1",
-        "reviewerName": "Name",
+        "reviewerName": "Noor K.",
         "vote": "12",
-        "reviewText": "Great product",
+        "reviewText": "Hums at night but brews well",
         "overall": 5.0,
-        "summary": "s",
-        "unixReviewTime": 1609459200,
-        "reviewTime": "01 01, 2021",
+        "summary": "Fine kettle",
+        "unixReviewTime": 1623750000,
+        "reviewTime": "06 15, 2021",
         "image": None,
         "verified": True,
     }

@@ -7,6 +7,7 @@ from revspark.operators.transform import mark_high_quality, pipe, when_then
 from revspark.plans.job import build_outputs, run_job
 from revspark.schemas import PRODUCT_STATS, PROFILE
 from revspark.sources.adapter import reviews_from_tables
+from revspark.sources.reviews import read_review_lines, split_lines
 from tests.conftest import SF_SMALL, as_set
 
 
@@ -75,7 +76,7 @@ def test_run_job_on_missing_input(spark, tmp_dir):
 def test_null_product_written_and_read_back(spark, tmp_dir):
     path = os.path.join(tmp_dir, "reviews.json")
     rows = [{"reviewerID": "u", "overall": 4.0, "vote": "20", "reviewText": "ok",
-             "unixReviewTime": 1609459200}]
+             "unixReviewTime": 1577000000}]
     with open(path, "w") as f:
         f.write("\n".join(json.dumps(r) for r in rows))
     out = os.path.join(tmp_dir, "out")
@@ -99,16 +100,16 @@ def test_cli_runs_the_job(spark, tmp_dir, capsys):
 def test_scale_conf_sizes_partitions():
     from revspark.session import scale_conf
 
-    assert scale_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"
-    assert scale_conf(100 << 40)["spark.sql.shuffle.partitions"] == "100000"
-    assert int(scale_conf(10 << 40)["spark.sql.shuffle.partitions"]) == 40960
+    assert scale_conf(0)["spark.sql.shuffle.partitions"] == "1"
+    assert scale_conf(1 << 30)["spark.sql.shuffle.partitions"] == "4"
+    assert scale_conf(100 << 40)["spark.sql.shuffle.partitions"] == "409600"
 
 
 def test_checkpointed_job_equals_recomputed(spark, tmp_dir):
     raw = reviews_from_tables(spark, SF_SMALL)
     plain = build_outputs(raw, "votes")
     ck = build_outputs(raw, "votes", cache="checkpoint")
-    assert "LogicalRDD" in ck.processed._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in ck.classified._jdf.queryExecution().optimizedPlan().toString()
     assert as_set(ck.product_stats) == as_set(plain.product_stats)
     assert as_set(ck.ranked_reviews) == as_set(plain.ranked_reviews)
     assert ck.high_quality_count.collect() == plain.high_quality_count.collect()
@@ -117,7 +118,7 @@ def test_checkpointed_job_equals_recomputed(spark, tmp_dir):
 def test_run_job_quarantines_malformed_lines(spark, tmp_dir):
     path = os.path.join(tmp_dir, "reviews.json")
     good = {"reviewerID": "u", "asin": "p", "overall": 4.0, "vote": "20", "reviewText": "ok",
-            "unixReviewTime": 1609459200}
+            "unixReviewTime": 1577000000}
     with open(path, "w") as f:
         f.write("\n".join([json.dumps(good), "{broken", "", json.dumps(good)]))
     out = os.path.join(tmp_dir, "out")
@@ -129,19 +130,33 @@ def test_run_job_quarantines_malformed_lines(spark, tmp_dir):
     assert spark.read.parquet(f"{out}/rejected_reviews").count() == 0
 
 
-def test_stored_reviews_written_once_and_equal(spark):
-    from revspark.sources.adapter import stored_reviews
+def test_run_job_reads_its_input_once(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    reviews_from_tables(spark, SF_SMALL).drop("helpful").write.json(src)
+    raw, _ = split_lines(read_review_lines(spark, src))
+    out = build_outputs(raw, "votes", cache="persist")
+    try:
+        for df in (out.rejected, out.product_stats, out.ranked_reviews, out.reviewer_profiles):
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            assert "InMemoryRelation" in plan
+        text = out.classified._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("from_json") == 1
+    finally:
+        out.unpersist()
+    assert not out.classified.is_cached and not out.product_stats.is_cached
 
-    first = stored_reviews(spark, SF_SMALL)
-    again = stored_reviews(spark, SF_SMALL)
-    assert first.inputFiles() == again.inputFiles()
-    direct = reviews_from_tables(spark, SF_SMALL)
-    cols = [c for c in direct.columns if c not in ("image", "helpful")]
-    assert as_set(first.select(*cols)) == as_set(direct.select(*cols))
-    def shape(df):
-        return [(f.name, f.dataType.simpleString()) for f in df.schema]
 
-    assert shape(first) == shape(direct)  # Parquet reads every column back as nullable
+def test_cached_job_equals_recomputed(spark):
+    raw = reviews_from_tables(spark, SF_SMALL)
+    plain, kept = build_outputs(raw, "ratio"), build_outputs(raw, "ratio", cache="persist")
+    try:
+        for name in ("rejected", "product_stats", "enriched", "ranked_reviews",
+                     "reviewer_profiles"):
+            a, b = getattr(plain, name), getattr(kept, name)
+            cols = [c for c in a.columns if c not in ("image", "helpful")]
+            assert as_set(a, *cols) == as_set(b, *cols)
+    finally:
+        kept.unpersist()
 
 
 def test_size_shuffle_from_input(spark, tmp_dir):
@@ -157,7 +172,7 @@ def test_size_shuffle_from_input(spark, tmp_dir):
     try:
         conf = size_shuffle_for(spark, src)
         assert spark.conf.get("spark.sql.shuffle.partitions") == conf[
-            "spark.sql.shuffle.partitions"] == "200"
+            "spark.sql.shuffle.partitions"] == "1"
     finally:
         for k, v in old.items():
             if v is None:

@@ -1,3 +1,6 @@
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
 from revspark.operators.aggregate import product_stats
@@ -12,21 +15,23 @@ def processed(spark, rows):
     return spark.createDataFrame([(*r, False) for r in rows], PROCESSED)
 
 
-def test_enrich_fixture(spark):
-    df = processed(spark, [("u1", "p1", 4.0, 12, 10, "positive", 2021),
-                           ("u2", "p1", 2.0, 8, 10, "negative", 2021),
-                           ("u3", "p2", 5.0, 20, 10, "positive", 2021)])
-    stats = spark.createDataFrame([("p1", 3.0, 2, 10.0), ("p2", 5.0, 1, 20.0)], PRODUCT_STATS)
+def test_enrich_adds_the_products_figures(spark):
+    df = processed(spark, [("ada", "oven", 1.0, 50, 12, "negative", 2014),
+                           ("ben", "lamp", 3.5, 19, 80, "neutral", 2015),
+                           ("cyd", "oven", 4.0, 22, 31, "positive", 2016),
+                           ("dov", "oven", 2.5, 90, 7, "negative", 2016)])
+    stats = spark.createDataFrame([("lamp", 3.25, 17, 4.0), ("oven", 2.75, 40, 9.5),
+                                   ("sieve", 1.0, 1, 0.0)], PRODUCT_STATS)
     got = as_set(enrich(df, stats), "reviewerID", "productAvgRating", "productReviewCount")
-    assert got == {("u1", 3.0, 2), ("u2", 3.0, 2), ("u3", 5.0, 1)}
+    assert got == {("ada", 2.75, 40), ("ben", 3.25, 17), ("cyd", 2.75, 40), ("dov", 2.75, 40)}
     assert enrich(df, stats).columns == PROCESSED.names + ["productAvgRating",
                                                           "productReviewCount"]
 
 
 def test_enrich_unmatched_and_null_drop(spark):
-    df = processed(spark, [("u4", "p3", 4.0, 12, 10, "positive", 2021),
-                           ("u5", None, 4.0, 12, 10, "positive", 2021)])
-    stats = spark.createDataFrame([("p1", 3.0, 2, 10.0), (None, 4.0, 1, 12.0)], PRODUCT_STATS)
+    df = processed(spark, [("ada", "kite", 3.0, 15, 10, "neutral", 2019),
+                           ("ben", None, 2.0, 15, 10, "negative", 2019)])
+    stats = spark.createDataFrame([("oven", 1.5, 6, 3.0), (None, 2.5, 3, 30.0)], PRODUCT_STATS)
     assert enrich(df, stats).count() == 0
 
 
@@ -37,37 +42,66 @@ def test_enrich_self_equals_join(spark):
     assert as_set(enrich_self(df)) == as_set(enrich(df, product_stats(df)))
 
 
-def rank_input(spark, rows):
-    return spark.createDataFrame(rows, "reviewerID string, productID string, year int, "
-                                       "helpfulnessVotes int")
+def test_enrich_runs_no_job_and_leaves_the_join_to_aqe(spark):
+    df = processed(spark, [("ada", "oven", 1.0, 50, 12, "negative", 2014)])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-time", "")
+    try:
+        out = enrich(df, product_stats(df))
+        assert not tracker.getJobIdsForGroup("plan-time")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "strategy=broadcast" not in out._jdf.queryExecution().analyzed().toString()
+
+
+def ranked(spark, rows):
+    return spark.createDataFrame(rows, "reviewerID string, year int, helpfulnessVotes int")
 
 
-def test_rank_fixture(spark):
-    df = rank_input(spark, [("u1", "p", 2021, 50), ("u2", "p", 2021, 30), ("u3", "p", 2021, 70),
-                            ("u4", "p", 2022, 100), ("u5", "p", 2022, 10)])
+def test_rank_restarts_in_each_year(spark):
+    df = ranked(spark, [("ada", 2012, 18), ("ben", 2012, 44), ("cyd", 2012, 18), ("dov", 2012, 3),
+                        ("eve", 2013, 5), ("fay", None, 9), ("gus", None, 12), ("hal", 2013, None)])
     assert as_set(rank_top_k(df), "reviewerID", "helpfulnessRank") == {
-        ("u3", 1), ("u1", 2), ("u2", 3), ("u4", 1), ("u5", 2)}
+        ("ben", 1), ("ada", 2), ("cyd", 2), ("dov", 4), ("eve", 1), ("hal", 2), ("gus", 1),
+        ("fay", 2)}
+    assert as_set(rank_top_k(df, k=2), "reviewerID") == {
+        (x,) for x in ("ben", "ada", "cyd", "eve", "hal", "gus", "fay")}
+
+
+def test_rank_keeps_the_best_k(spark):
+    df = ranked(spark, [(f"r{i}", 2010, 7 * i % 401) for i in range(401)])
+    out = rank_top_k(df, k=60)
+    assert out.count() == 60
+    row = out.agg(F.min("helpfulnessVotes"), F.min("helpfulnessRank"), F.max("helpfulnessRank"))
+    assert tuple(row.first()) == (341, 1, 60)
 
 
-def test_rank_keeps_top_100(spark):
-    df = rank_input(spark, [(f"u{i}", "p", 2021, 199 - i) for i in range(150)])
-    out = rank_top_k(df)
-    assert out.count() == 100
-    assert out.agg(F.min("helpfulnessRank")).collect()[0][0] == 1
+@pytest.mark.parametrize("k", [3, 5000])
+def test_rank_by_any_k_equals_a_window(spark, k):
+    from pyspark.sql import Window
+
+    df = spark.range(12_000).selectExpr(
+        "cast(id AS string) AS reviewerID", "cast(2000 + id % 2 AS int) AS year",
+        "cast(id * 7919 % 6151 AS int) AS helpfulnessVotes")
+    spec = Window.partitionBy("year").orderBy(F.desc("helpfulnessVotes"))
+    plain = df.withColumn("helpfulnessRank", F.rank().over(spec)).where(f"helpfulnessRank <= {k}")
+    assert as_set(rank_top_k(df, k=k)) == as_set(plain)
 
 
 def test_rank_ties_are_all_kept(spark):
-    rows = [(f"a{i}", "p", 2021, 500) for i in range(5)]
-    rows += [(f"t{i}", "p", 2021, 7) for i in range(101)]
-    out = rank_top_k(rank_input(spark, rows))
-    assert out.count() == 106
-    assert out.where("helpfulnessVotes = 7").select("helpfulnessRank").distinct().collect()[0][0] == 6
+    rows = [(f"a{i}", 1999, 81 + i) for i in range(3)] + [(f"t{i}", 1999, 2) for i in range(240)]
+    out = rank_top_k(ranked(spark, rows), k=10)
+    assert out.count() == 243
+    assert as_set(out.where("helpfulnessVotes = 2"), "helpfulnessRank") == {(4,)}
+    everyone = rank_top_k(ranked(spark, [(f"t{i}", 1999, 2) for i in range(500)]), k=1)
+    assert everyone.count() == 500
 
 
-def test_rank_limit_is_planned_before_the_shuffle(spark):
-    df = rank_input(spark, [(f"u{i}", "p", 2020 + i % 3, i) for i in range(300)])
+def test_no_window_sees_review_rows(spark):
+    df = ranked(spark, [(f"u{i}", 2020 + i % 3, i % 40) for i in range(300)])
     plan = rank_top_k(df)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+    for line in re.findall(r".*Window.*", plan):
+        assert "reviewerID" not in line
 
 
 def test_rank_enriched_equals_rank_of_enriched(spark):
@@ -77,14 +111,3 @@ def test_rank_enriched_equals_rank_of_enriched(spark):
     stats = product_stats(df)
     direct = rank_top_k(enrich(df, stats), k=20)
     assert as_set(rank_enriched(df, stats, "helpfulnessVotes", k=20)) == as_set(direct)
-
-
-def test_enrich_broadcasts_only_within_the_checked_size(spark):
-    rows = [(f"u{i}", f"p{i % 40}", float(1 + i % 5), i, i, "x", 2021) for i in range(400)]
-    df = processed(spark, rows)
-    stats = product_stats(df)
-    small = enrich(df, stats, broadcast_max_rows=40)
-    large = enrich(df, stats, broadcast_max_rows=39)
-    assert "ResolvedHint (strategy=broadcast)" in small._jdf.queryExecution().analyzed().toString()
-    assert "strategy=broadcast" not in large._jdf.queryExecution().analyzed().toString()
-    assert as_set(small) == as_set(large) == as_set(enrich(df, stats, broadcast_max_rows=None))

@@ -10,10 +10,10 @@ from tests.conftest import as_set
 def test_rank_custom_partition_order_and_k(spark):
     rows = [("a", 1, 5.0), ("a", 2, 7.0), ("a", 3, 7.0), ("b", 4, 1.0), ("b", 5, 2.0)]
     df = spark.createDataFrame(rows, "g string, id int, x double")
-    out = rank_top_k(df, partition_by=["g"], order_by=[F.desc("x"), F.asc("id")], k=1,
-                     rank_column="r")
+    out = rank_top_k(df, partition_by=["g"], order_by=["x", "id"], k=1, rank_column="r",
+                     descending=[True, False])
     assert as_set(out, "g", "id", "r") == {("a", 2, 1), ("b", 5, 1)}
-    tied = rank_top_k(df, partition_by="g", order_by=F.desc("x"), k=1, rank_column="r")
+    tied = rank_top_k(df, partition_by="g", order_by="x", k=1, rank_column="r")
     assert as_set(tied, "g", "id") == {("a", 2), ("a", 3), ("b", 5)}
     with pytest.raises(ValueError):
         rank_top_k(df, k=0)
@@ -28,6 +28,7 @@ def test_when_then_null_predicate_leaves_row(spark):
 def test_checkpoint_folder_is_read_from_the_session(spark):
     base = checkpoint_dir(spark)
     assert base == spark.sparkContext.getCheckpointDir()
+    assert spark.conf.get("spark.checkpoint.dir") in base
     a, b = shared_path(spark, "t"), shared_path(spark, "t")
     assert a != b and a.startswith(base.rstrip("/")) and b.startswith(base.rstrip("/"))
 

@@ -31,71 +31,56 @@ def events(spark):
 
 
 def test_partitioned_runs_never_gather_rows(spark):
-    plan = physical(consecutive_runs(events(spark), "event_type", "event_id", "user_id",
-                                     bucket_width=100))
+    plan = physical(consecutive_runs(events(spark), "event_type", "event_id", "user_id"))
     assert "SinglePartition" not in plan
 
 
-def test_global_runs_gather_only_the_bucket_table(spark):
-    plan = physical(consecutive_runs(events(spark), "event_type", "event_id", bucket_width=100))
-    # exactly one gather: the one-row-per-bucket table (an aggregate), never the rows
+@pytest.mark.parametrize("op", [consecutive_runs, tag_runs])
+def test_global_runs_gather_only_the_bucket_table(spark, op):
+    plan = physical(op(events(spark), "event_type", "event_id"))
+    # only the one-row-per-bucket table (an aggregate) is gathered, never the rows
     inputs = single_partition_inputs(plan)
-    assert len(inputs) == 1
-    assert "Aggregate" in inputs[0]
+    assert inputs and all("Aggregate" in node for node in inputs)
 
 
-@pytest.mark.parametrize("per_bucket", [50, 1_000_000])
-def test_grouped_percentile_never_gathers(spark, per_bucket):
-    df = events(spark)
-    plan = physical(lower_percentile(df, "event_id", 90, by="user_id",
-                                     values_per_bucket=per_bucket))
+def test_grouped_percentile_never_gathers(spark):
+    plan = physical(lower_percentile(events(spark), "event_id", 90, by="user_id"))
     assert "SinglePartition" not in plan
 
 
 def test_global_percentile_gathers_only_small_tables(spark):
-    plan = physical(lower_percentile(events(spark), "event_id", 90, values_per_bucket=50))
+    plan = physical(lower_percentile(events(spark), "event_id", 90))
     for node in single_partition_inputs(plan):
-        assert "Aggregate" in node or "Project" in node or "Filter" in node
+        assert "Aggregate" in node
 
 
 keys = st.lists(st.sampled_from(["a", "b", None]), min_size=0, max_size=60)
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
-@given(keys=keys, width=st.integers(min_value=1, max_value=9), stride=st.integers(1, 4))
-def test_runs_property(spark, keys, width, stride):
+@given(keys=keys, buckets=st.integers(min_value=1, max_value=9), stride=st.integers(1, 4))
+def test_runs_property(spark, keys, buckets, stride):
     rows = [(i * stride, i % 3, k) for i, k in enumerate(keys)]
     df = spark.createDataFrame(rows, "pos long, part long, k string")
     for part in ((), "part"):
-        fast = tag_runs(df, "k", "pos", part, bucket_width=width)
+        fast = tag_runs(df, "k", "pos", part, buckets)
         assert as_set(fast) == as_set(tag_runs_window(df, "k", "pos", part))
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(values=st.lists(st.integers(-20, 20), min_size=0, max_size=60),
        p=st.sampled_from([0, 10, 33.3, 50, 90, 99.9, 100]),
-       per_bucket=st.integers(1, 5))
-def test_percentile_property(spark, values, p, per_bucket):
+       buckets=st.integers(1, 20))
+def test_percentile_property(spark, values, p, buckets):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
-    got = lower_percentile(df, "x", p, values_per_bucket=per_bucket).collect()[0][0]
+    got = lower_percentile(df, "x", p, buckets=buckets).collect()[0][0]
     s = sorted(float(v) for v in values)
     assert got == (s[int((p / 100.0) * (len(s) - 1))] if s else 0.0)
 
 
-@pytest.mark.parametrize("bucketing", [{"bucket_width": 100}, {"rows_per_bucket": 300}])
-def test_run_summary_shuffles_its_input_once(spark, bucketing):
-    df = consecutive_runs(events(spark), "event_type", "event_id", "user_id", **bucketing)
+def test_run_summary_shuffles_its_input_once(spark):
+    df = consecutive_runs(events(spark), "event_type", "event_id", "user_id")
     df.collect()
     final = physical(df).split("== Initial Plan ==")[0]
     assert final.count("FileScan") == 1
     assert "ReusedExchange" in final
-
-
-def test_spread_only_for_under_partitioned_scans(spark):
-    from revspark.session import spread
-
-    cores = spark.sparkContext.defaultParallelism
-    few = spark.range(0, 1000, numPartitions=1)
-    many = spark.range(0, 1000, numPartitions=cores * 2)
-    assert spread(few, "id").rdd.getNumPartitions() == cores
-    assert "Exchange" not in physical(spread(many, "id"))

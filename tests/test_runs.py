@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from revspark.operators.buckets import quantile_bucket, quantile_cuts
 from revspark.operators.runs import (
     consecutive_runs,
     summarize_runs,
@@ -11,28 +12,34 @@ from revspark.operators.runs import (
 from tests.conftest import SF_SMALL, as_set
 
 
-def test_reference_case(spark):
-    df = spark.createDataFrame(list(enumerate("AABABB")), "pos long, reviewerID string")
-    runs = consecutive_runs(df, "reviewerID", "pos", bucket_width=2)
-    got = sorted(as_set(runs, "run_id", "reviewerID", "run_len"))
-    assert got == [(1, "A", 2), (2, "B", 1), (3, "A", 1), (4, "B", 2)]
+def events(spark):
+    return spark.read.parquet(f"{SF_SMALL}/events.parquet").select(
+        "user_id", "event_id", "event_type")
+
+
+@pytest.mark.parametrize("buckets", [1, 2, 4, 9])
+def test_runs_of_a_short_list(spark, buckets):
+    df = spark.createDataFrame([(10 * i, k) for i, k in enumerate("ccaccccbb")], "pos long, k string")
+    got = sorted(as_set(consecutive_runs(df, "k", "pos", buckets=buckets)))
+    assert got == [(1, "c", 0, 10, 2), (2, "a", 20, 20, 1), (3, "c", 30, 60, 4), (4, "b", 70, 80, 2)]
 
 
 def test_null_keys_compare_equal(spark):
     keys = [None, None, "A", None, "A", "A"]
     df = spark.createDataFrame(list(enumerate(keys)), "pos long, k string")
-    got = sorted(as_set(consecutive_runs(df, "k", "pos", bucket_width=1), "run_id", "run_len"))
+    got = sorted(as_set(consecutive_runs(df, "k", "pos", buckets=6), "run_id", "run_len"))
     assert got == [(1, 2), (2, 1), (3, 1), (4, 2)]
 
 
-@pytest.mark.parametrize("width", [1, 3, 7, 700, 100_000])
-def test_bucketed_equals_plain_window_on_events(spark, width):
-    events = spark.read.parquet(f"{SF_SMALL}/events.parquet").select(
-        "user_id", "event_id", "event_type")
+@pytest.mark.parametrize("buckets", [1, 2, 7, 60])
+def test_equals_the_plain_window_on_events(spark, buckets):
+    df = events(spark)
     for part in ((), "user_id"):
-        fast = tag_runs(events, "event_type", "event_id", part, bucket_width=width)
-        plain = tag_runs_window(events, "event_type", "event_id", part)
-        assert as_set(fast) == as_set(plain)
+        plain = tag_runs_window(df, "event_type", "event_id", part)
+        assert as_set(tag_runs(df, "event_type", "event_id", part, buckets)) == as_set(plain)
+        runs = consecutive_runs(df, "event_type", "event_id", part, buckets)
+        assert as_set(runs) == as_set(summarize_runs(plain, "event_type", "event_id", part),
+                                      *runs.columns)
 
 
 def test_hot_partition_key_with_sparse_nulls(spark):
@@ -42,68 +49,66 @@ def test_hot_partition_key_with_sparse_nulls(spark):
         user = 0 if rnd.random() < 0.4 else (None if rnd.random() < 0.1 else rnd.randint(1, 30))
         rows.append((i * 3, user, rnd.choice(["a", "b", None])))
     df = spark.createDataFrame(rows, "ord long, user long, k string")
-    fast = summarize_runs(tag_runs(df, "k", "ord", "user", bucket_width=50), "k", "ord", "user")
     plain = summarize_runs(tag_runs_window(df, "k", "ord", "user"), "k", "ord", "user")
-    assert as_set(fast) == as_set(plain)
+    fast = consecutive_runs(df, "k", "ord", "user", buckets=40)
+    assert as_set(fast) == as_set(plain, *fast.columns)
 
 
-def test_auto_width_and_multi_column_order(spark):
+def test_multi_column_order(spark):
     rows = [(i // 4, i % 4, "x" if (i // 5) % 2 else "y") for i in range(400)]
     df = spark.createDataFrame(rows, "a long, b long, k string")
-    fast = tag_runs(df, "k", ["a", "b"], rows_per_bucket=16)
     plain = tag_runs_window(df, "k", ["a", "b"])
-    assert as_set(fast) == as_set(plain)
+    assert as_set(tag_runs(df, "k", ["a", "b"], buckets=16)) == as_set(plain)
+    fast = consecutive_runs(df, "k", ["a", "b"], buckets=16)
+    assert as_set(fast) == as_set(summarize_runs(plain, "k", ["a", "b"]), *fast.columns)
 
 
-def test_single_bucket_input_takes_the_plain_window(spark):
-    events = spark.read.parquet(f"{SF_SMALL}/events.parquet").select(
-        "user_id", "event_id", "event_type")
-    fast = tag_runs(events, "event_type", "event_id", "user_id")
-    plan = fast._jdf.queryExecution().optimizedPlan().toString()
-    assert "__bkt" not in plan
-    assert as_set(fast) == as_set(tag_runs(events, "event_type", "event_id", "user_id",
-                                           bucket_width=50))
+def test_one_run_over_all_buckets(spark):
+    df = spark.range(500).selectExpr("id AS pos", "'same' AS k")
+    assert as_set(consecutive_runs(df, "k", "pos", buckets=20)) == {(1, "same", 0, 499, 500)}
+
+
+def test_default_buckets_are_the_shuffle_partitions(spark):
+    df = events(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(quantile_cuts(df, "event_id")) == n - 1
+    plan = tag_runs(df, "event_type", "event_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "__bkt" in plan
 
 
 def test_empty_input(spark):
     df = spark.createDataFrame([], "pos long, k string")
     assert tag_runs(df, "k", "pos").count() == 0
-    assert consecutive_runs(df, "k", "pos", bucket_width=10).count() == 0
+    assert consecutive_runs(df, "k", "pos").count() == 0
 
 
-def test_null_order_values_keep_their_rows(spark):
-    rows = [(None, "a"), (None, "a"), (1, "a"), (2, "b"), (None, "b"), (40, "b")]
+@pytest.mark.parametrize("buckets", [1, 5])
+def test_null_order_values_keep_their_rows(spark, buckets):
+    rows = [(None, "a"), (None, "a"), (1, "a"), (2, "b"), (None, "a"), (40, "b")]
     df = spark.createDataFrame(rows, "pos long, k string")
-    fast = tag_runs(df, "k", "pos", bucket_width=3)
+    fast = tag_runs(df, "k", "pos", buckets=buckets)
     assert fast.count() == 6
     assert as_set(fast) == as_set(tag_runs_window(df, "k", "pos"))
 
 
 def test_quantile_buckets_split_a_dense_stretch(spark):
-    from pyspark.sql import functions as F
-
-    from revspark.operators.buckets import quantile_bucket, quantile_splits
-
     rnd = random.Random(5)
     # a third of the rows packed into a tiny stretch of a wide, sparse id range
     ids = set(rnd.sample(range(0, 10**12), 1200)) | set(range(5 * 10**11, 5 * 10**11 + 600))
-    rows = [(i, rnd.choice("xy")) for i in sorted(ids)]
-    df = spark.createDataFrame(rows, "pos long, k string")
-    splits = quantile_splits(df, "pos", rows_per_bucket=100)
-    sizes = [r[1] for r in quantile_bucket(df, "pos", splits, "__bkt").groupBy("__bkt").count().collect()]
+    df = spark.createDataFrame([(i, rnd.choice("xy")) for i in sorted(ids)], "pos long, k string")
+    cuts = quantile_cuts(df, "pos", 18)
+    sizes = [r[1] for r in quantile_bucket(df, "pos", cuts, "b").groupBy("b").count().collect()]
     assert len(sizes) >= 12 and max(sizes) <= 200
-    fast = tag_runs(df, "k", "pos", rows_per_bucket=100)
+    fast = tag_runs(df, "k", "pos", buckets=18)
     assert as_set(fast) == as_set(tag_runs_window(df, "k", "pos"))
-    equal_width = df.groupBy(F.floor(F.col("pos") / 10**12 * 18)).count()
-    assert max(r[1] for r in equal_width.collect()) >= 600  # what equal widths would have done
 
 
-def test_more_buckets_than_the_grid(spark):
-    from revspark.operators.buckets import GRID, quantile_splits
-
-    rnd = random.Random(9)
-    rows = [(i * 7 + rnd.randint(0, 3), rnd.choice("xyz")) for i in range(3 * GRID)]
-    df = spark.createDataFrame(rows, "pos long, k string")
-    assert len(quantile_splits(df, "pos", rows_per_bucket=2)) > GRID
-    fast = tag_runs(df, "k", "pos", rows_per_bucket=2)
-    assert as_set(fast) == as_set(tag_runs_window(df, "k", "pos"))
+def test_buckets_of_null_nan_and_infinite_values(spark):
+    values = [None, float("-inf"), -1.0, 0.0, 2.0, float("inf"), float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for cuts in ([], [0.0, 1.0]):
+        got = {repr(r.x): r.b for r in quantile_bucket(df, "x", cuts, "b").collect()}
+        order = [got[repr(v)] for v in values]
+        assert order == sorted(order) and order[0] < order[1] and order[-2] < order[-1]
+    with pytest.raises(TypeError):
+        quantile_cuts(df.selectExpr("'a' AS x"), "x")

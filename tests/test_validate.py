@@ -17,10 +17,10 @@ from tests.conftest import as_set, raw_df, raw_review
 
 
 def test_valid_review_is_projected(spark):
-    df = raw_df(spark, [raw_review(vote="12", overall=5.0)])
+    df = raw_df(spark, [raw_review(vote="77", overall=3.5, reviewText="a quiet fan")])
     row = valid_reviews(df).collect()[0]
-    assert (row.productID, row.rating, row.helpfulnessVotes, row.sentiment, row.year) == (
-        "P1", 5.0, 12, "positive", 2021)
+    assert (row.productID, row.rating, row.helpfulnessVotes, row.sentiment, row.year,
+            row.reviewLength) == ("P1", 3.5, 77, "neutral", 2021, 11)
     assert row.isHighQuality is False
 
 
@@ -60,17 +60,45 @@ def test_empty_text_is_valid_with_length_zero_in_final_variant(spark):
     assert row.reviewLength == 0
 
 
-def test_process_reviews_fixture(spark):
-    cases = [
-        ("u1", "15", "Great!", 4.0), ("u2", "20", None, 4.0), ("u3", "10", "Bad data", 0.5),
-        ("u4", "5", "Not enough votes", 5.0), ("u5", "10", "Decent", 3.0),
-        ("u6", "12", "Loved it", 5.0), ("u7", "15", "It was fine", 3.0),
-        ("u8", "20", "Terrible", 2.0),
+def test_process_reviews_keeps_valid_and_helpful(spark):
+    cases = [  # id, votes, text, rating
+        ("kept-high", "64", "Cuts bread like butter", 4.5),
+        ("kept-at-both-bounds", "10", "", 2.0),
+        ("kept-neutral", "33", "Does the job", 3.9),
+        ("votes-below", "9", "Cuts bread", 4.5),
+        ("votes-formatted", "1,100", "Cuts bread", 4.5),
+        ("votes-missing", None, "Cuts bread", 4.5),
+        ("rating-below-filter", "64", "Blunt", 1.99),
+        ("rating-invalid", "64", "Blunt", 5.5),
+        ("text-missing", "64", None, 4.5),
     ]
     rows = [raw_review(reviewerID=i, vote=v, reviewText=t, overall=r) for i, v, t, r in cases]
     got = as_set(process_reviews(raw_df(spark, rows)), "reviewerID", "sentiment")
-    assert got == {("u1", "positive"), ("u5", "neutral"), ("u6", "positive"),
-                   ("u7", "neutral"), ("u8", "negative")}
+    assert got == {("kept-high", "positive"), ("kept-at-both-bounds", "negative"),
+                   ("kept-neutral", "neutral")}
+
+
+def test_valid_rows_are_those_without_a_reason(spark):
+    ratings = [None, float("nan"), 0.5, 1.0, 3.0, 5.0, 5.5]
+    rows = [raw_review(reviewerID=f"{r}|{t}|{u}", overall=r, reviewText=t, unixReviewTime=u,
+                       helpful=[1, 2])
+            for r in ratings for t in (None, "", "x") for u in (None, 5)]
+    df = raw_df(spark, rows, REVIEW_ALL)
+    for variant in ("votes", "ratio"):
+        free = classify(df, variant).where("reason IS NULL").select("reviewerID")
+        assert as_set(valid_reviews(df, variant), "reviewerID") == as_set(free)
+
+
+def test_validity_reaches_a_parquet_scan(spark, tmp_dir):
+    raw_df(spark, [raw_review()]).write.parquet(f"{tmp_dir}/reviews")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = valid_reviews(spark.read.parquet(f"{tmp_dir}/reviews"))._jdf.queryExecution()
+    text = plan.executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = text.split("PushedFilters:")[1].split("ReadSchema")[0]
+    for part in ("IsNotNull(reviewText)", "GreaterThanOrEqual(overall,1.0)",
+                 "LessThanOrEqual(overall,5.0)", "IsNotNull(unixReviewTime)"):
+        assert part in pushed
 
 
 def test_rejects_by_reason_counts(spark):
