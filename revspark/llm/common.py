@@ -18,10 +18,14 @@ U64 = np.uint64
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared checkpoint folder and read back: the lineage is
-    cut there, so a lost executor never sends a later step back to the source."""
+    cut there, so a lost executor never sends a later step back to the source.
+
+    At most two files for each core: a task takes shuffle partitions one after the other, so it
+    needs no more memory, and small tables don't end up as hundreds of tiny files.
+    """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.coalesce(2 * spark.sparkContext.defaultParallelism).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -15,9 +15,9 @@ rarest one. The join key is that word:
    shuffled.
 4. Verified windows become hit positions and items, counted per document.
 
-What is broadcast is made of the benchmark. Its bytes are measured first; beyond
-``BROADCAST_BYTES`` the rows are dealt into parts of at most that size, each joined in a pass of
-its own, and the parts' hits are united.
+What is broadcast is made of the benchmark. A bound of its bytes is computed from the benchmark
+first; beyond ``BROADCAST_BYTES`` the rows are dealt into parts of at most that size, each joined
+in a pass of its own, and the parts' hits are united.
 
 Defined results: a null text has no words; an item without words or with a null id has no
 windows; repeated items count once; rows with the same id and text get the same result,
@@ -57,10 +57,9 @@ def n_words(words: Column) -> Column:
     return (F.size(words) - edge(words[0]) - last).cast("long")
 
 
-def _parts(df: DataFrame, row_bytes: Column, most: int) -> list[DataFrame]:
-    """``df`` (a written table) in parts of at most about ``most`` bytes each."""
-    total = df.agg(F.sum(row_bytes).alias("b")).first()["b"] or 0
-    n = max(1, -(-int(total) // most))
+def _parts(df: DataFrame, total_bytes: int, most: int) -> list[DataFrame]:
+    """``df``, known to have at most ``total_bytes``, in parts of at most about ``most`` bytes."""
+    n = max(1, -(-total_bytes // most))
     if n == 1:
         return [df]
     return [df.where(F.pmod(F.xxhash64(*df.columns), F.lit(n)) == i) for i in range(n)]
@@ -163,31 +162,38 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"),
                             F.xxhash64(text).alias("text_key"),
                             raw_words(F.col(text_col)).alias("words"))
-    items = written(benchmark_words(benchmark, item_col, item_text_col), "benchmark-words")
-    vocabulary = written(items.select(F.explode("words").alias("word")).select(
-        F.lower("word").alias("key")).distinct(), "benchmark-vocabulary")
-    counts = word_counts(docs, _parts(vocabulary, F.octet_length("key") + 64, broadcast_bytes))
+    items = benchmark_words(benchmark, item_col, item_text_col)
+    # Bounds of what is broadcast: a vocabulary row and a prefix row for each word at most, a
+    # prefix row with up to 2 * window - 1 words around it, its key, its item and its starts.
+    word_bytes = F.octet_length(F.concat_ws(" ", "words")) + 32 * F.size("words")
+    totals = items.agg(
+        F.sum(word_bytes + 64 * F.size("words")).alias("vocabulary"),
+        F.sum(2 * window * word_bytes + F.size("words") * (
+            F.octet_length("item") + 8 * window + 192)).alias("prefixes")).first()
+    vocabulary = items.select(F.explode("words").alias("word")).select(
+        F.lower("word").alias("key")).distinct()
+    counts = word_counts(docs, _parts(vocabulary, totals["vocabulary"] or 0, broadcast_bytes))
+    # Written, so that the pass that counts words is over before the join's broadcast begins.
     prefixes = written(rarest_words(items, counts, window), "rarest-words")
-    row_bytes = (F.octet_length("key") + F.octet_length("item") + 8 * F.size("starts")
-                 + F.octet_length(F.concat_ws(" ", "context")) + 16 * F.size("context") + 160)
-    found = [occurrences(docs, part, window) for part in _parts(prefixes, row_bytes, broadcast_bytes)]
-    hits = written(reduce(DataFrame.unionByName, found), "benchmark-hits")
-    key = ["doc_id", "text_key"]
-    places = hits.select(*key, F.explode(F.sequence(
-        F.col("start"), F.col("start") + F.col("size") - 1)).alias("place"))
-    n_hit = places.distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("n_hit"))
-    named = hits.select(*key, "item").distinct().groupBy(*key).agg(
-        F.array_sort(F.collect_list("item")).alias("items"))
-    same = lambda a, b: (a["doc_id"].eqNullSafe(b["doc_id"])
-                         & (a["text_key"] == b["text_key"]))
-    marked = n_hit.join(named, same(n_hit, named)).select(
-        *[n_hit[c] for c in n_hit.columns], named["items"])
-    counted = docs.select(*key, n_words(F.col("words")).alias("n_words"))
+    found = [occurrences(docs, part, window) for part in _parts(
+        prefixes, totals["prefixes"] or 0, broadcast_bytes)]
+    hits = reduce(DataFrame.unionByName, found)
+    # One row per document with hits; what it collects is bounded by the document's own words.
+    place = F.struct("start", "size")
+    marked = hits.groupBy("doc_id", "text_key").agg(
+        F.collect_set(place).alias("places"), F.collect_set("item").alias("items"))
+    covered = F.flatten(F.transform("places", lambda p: F.sequence(
+        p["start"], p["start"] + p["size"] - 1)))
+    marked = marked.select("doc_id", "text_key", F.size(F.array_distinct(covered)).alias("n_hit"),
+                           F.array_sort("items").alias("items"))
+    counted = docs.select("doc_id", "text_key", n_words(F.col("words")).alias("n_words"))
+    same = (counted["doc_id"].eqNullSafe(marked["doc_id"])
+            & (counted["text_key"] == marked["text_key"]))
     none = F.array().cast("array<string>")
-    return counted.join(marked, same(counted, marked), "left").select(
+    return counted.join(marked, same, "left").select(
         counted["doc_id"], counted["text_key"], counted["n_words"],
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+        F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", F.coalesce("items", none)), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
     )
