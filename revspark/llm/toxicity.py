@@ -46,10 +46,10 @@ MAX_POSITIVE = 3000
 MAX_UNLABELLED = 9000
 MAX_FEATURES = 8192
 MIN_SHARE = 0.004  # of the confirmed examples, that a feature must be in
-MIN_RATIO = 1.5  # how much more often a feature is in confirmed examples than in other text
+MIN_RATIO = 8.0  # how much more often a feature is in confirmed examples than in other text
 BEGINNINGS = (4, 5, 6)  # bytes
 THRESHOLD = 0.7
-STEPS, RATE, PENALTY = 400, 0.05, 1e-4
+STEPS, RATE, PENALTY = 1500, 0.05, 3e-5
 
 # Words: letters and digits of ASCII, and all bytes of other characters.
 WORD_BYTES = np.zeros(256, bool)
@@ -200,7 +200,8 @@ def fit(documents: DataFrame, confirmed: DataFrame, prior: float,
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["doc_id", "at"])
 
     held = sample.select("doc_id", "text").mapInArrow(which, "doc_id long, at array<int>")
-    examples = {r["doc_id"]: np.array(r["at"], np.int64) for r in held.sort("doc_id").collect()}
+    held = held.groupBy("doc_id").agg(F.min("at").alias("at"))  # an id may come in many rows
+    examples = {r["doc_id"]: np.array(r["at"], np.int64) for r in held.collect()}
     of = lambda ids: [examples[i] for i in sorted(ids) if i in examples]
     share = lambda xs: np.bincount(
         np.concatenate([*xs, np.zeros(0, np.int64)]), minlength=len(keys)) / max(1, len(xs))
