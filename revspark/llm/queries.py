@@ -151,6 +151,40 @@ ORACLE: dict[str, str] = {
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc_words LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)
     """,
+    "op7_substring_dedup": """
+        WITH docs AS (
+            SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS h
+            FROM documents
+        ), strings AS (
+            SELECT doc_id, s, substr(h, 2 * s + 1, 100) AS string
+            FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS s FROM docs WHERE n >= 50)
+        ), least_ids AS (
+            SELECT string, min(doc_id) AS least_id FROM strings GROUP BY string
+        ), found AS (
+            SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS before
+            FROM strings JOIN least_ids USING (string) WHERE least_id < doc_id
+        ), islands AS (
+            SELECT doc_id, s, sum(CASE WHEN s <= before + 50 THEN 0 ELSE 1 END)
+                       OVER (PARTITION BY doc_id ORDER BY s) AS island
+            FROM found
+        ), spans AS (
+            SELECT doc_id, min(s) AS a, max(s) + 50 AS b FROM islands GROUP BY doc_id, island
+        ), gaps AS (
+            SELECT doc_id, a, b,
+                   coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS kept_from
+            FROM spans
+        ), cut AS (
+            SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+                   string_agg(substr(h, 2 * kept_from + 1, 2 * (a - kept_from)), '' ORDER BY a)
+                       AS kept
+            FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id
+        )
+        SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+               coalesce(n_spans, 0)::BIGINT AS n_spans,
+               sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1)))
+                   AS kept_sha256
+        FROM docs LEFT JOIN cut USING (doc_id)
+    """,
     "op8_top_k_search": """
         WITH vectors AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
