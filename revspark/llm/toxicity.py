@@ -46,7 +46,7 @@ MAX_POSITIVE = 3000
 MAX_UNLABELLED = 9000
 MAX_FEATURES = 8192
 MIN_SHARE = 0.004  # of the confirmed examples, that a feature must be in
-MIN_RATIO = 8.0  # how much more often a feature is in confirmed examples than in other text
+MIN_RATIO = 20.0  # how much more often a feature is in toxic than in other text
 BEGINNINGS = (4, 5, 6)  # bytes
 THRESHOLD = 0.7
 STEPS, RATE, PENALTY = 1500, 0.05, 3e-5
@@ -206,7 +206,9 @@ def fit(documents: DataFrame, confirmed: DataFrame, prior: float,
     share = lambda xs: np.bincount(
         np.concatenate([*xs, np.zeros(0, np.int64)]), minlength=len(keys)) / max(1, len(xs))
     p, u = of(positive), of(unlabelled)
-    telling = share(p) > MIN_RATIO * share(u)
+    # The unlabelled text is a mixture; without its share of toxic text it shows the rest.
+    rest = np.maximum(0, share(u) - prior * share(p)) / (1 - prior)
+    telling = share(p) > MIN_RATIO * rest
     number = np.cumsum(telling) - 1
     p, u = ([number[x[telling[x]]] for x in xs] for xs in (p, u))
     weights, bias = train_nnpu(p, u, int(telling.sum()), prior)
