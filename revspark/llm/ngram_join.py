@@ -63,7 +63,7 @@ from revspark.llm.packed import pack, unpack
 WIDTH = 5
 SIMILARITY = 75  # percent
 KEY_BITS = 52
-RUN_SHINGLES = 3_000_000  # shingles a map task sorts at once
+RUN_SHINGLES = 1_000_000  # shingles a map task sorts at once: some 100 MB of a worker
 ROW_BITS = 24  # of a node's number, for its place in the run
 STAR_KEYS = 3
 NOT_SPACE = lookup(SPACES)
