@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -20,12 +21,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared checkpoint folder and read back: the lineage is
     cut there, so a lost executor never sends a later step back to the source.
 
-    At most two files for each core: a task takes shuffle partitions one after the other, so it
-    needs no more memory, and small tables don't end up as hundreds of tiny files.
+    Two files for each core, or one for eight shuffle partitions if that is more: a task takes
+    its partitions one after the other, so it needs no more memory, and small tables don't end up
+    as hundreds of tiny files.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.coalesce(2 * spark.sparkContext.defaultParallelism).write.parquet(path)
+    files = max(2 * spark.sparkContext.defaultParallelism, shuffle_partitions(spark) // 8)
+    df.coalesce(files).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -63,9 +66,19 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0]: offs[-1]], offs - offs[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker outlives its tasks, and several of them
+    share an executor's memory with its JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 << 20
            ) -> Iterator[pa.RecordBatch]:
-    """The same rows in pieces of about ``max_bytes`` of text (one row at least)."""
+    """The same rows in pieces of about ``max_bytes`` of text (one row at least): numpy arrays over
+    a text take some ten times its bytes at a time."""
     for batch in batches:
         _, offs = utf8(batch.column(batch.schema.get_field_index(column)))
         start, n = 0, batch.num_rows
@@ -74,6 +87,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 <<
             end = min(n, max(end, start + 1))
             yield batch.slice(start, end - start)
             start = end
+    give_back()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -35,14 +35,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revspark.llm.anchors import K, LENGTH, W, prefix_sums, segments, span
-from revspark.llm.common import U64, id_and_text, mix, shuffle_partitions, slices, utf8, written
+from revspark.llm.common import (
+    U64,
+    give_back,
+    id_and_text,
+    mix,
+    shuffle_partitions,
+    slices,
+    utf8,
+    written,
+)
 from revspark.llm.packed import pack, unpack
 from revspark.llm.suffix_array import common_prefix_at_least, suffix_array
 from revspark.session import shared_path
 
 KEY_BITS = 40
-HELD_BYTES = 32 << 20  # text a map task deals out at once
-SHARD_BYTES = 8 << 20  # text of one suffix array, unless a single anchor has more
+HELD_BYTES = 16 << 20  # text a map task deals out at once
+SHARD_BYTES = 2 << 20  # text of one suffix array, unless a single anchor has more
+HASH_BYTES = 1 << 20  # text hashed at once
 EXTRA = LENGTH - 1
 
 RESULT = ("doc_id long, text_key long, n_bytes long, n_removed long, n_spans long, "
@@ -119,8 +129,10 @@ class Group:
         starts = np.cumsum(sizes) - sizes
         order = np.lexsort((sizes, keys, ids, nulls))
         self.ids, self.nulls, self.keys = ids[order], nulls[order], keys[order]
-        self.data = _gather(data, starts[order], sizes[order])
+        self.data = np.concatenate([data[a:a + n] for a, n in zip(
+            starts[order].tolist(), sizes[order].tolist())])
         self.offs = np.append(0, np.cumsum(sizes[order]))
+        del parts, data
         rows, self.first, self.counts, self.anchor, kmers, self.hashes = segments(
             self.data, self.offs)
         self.rows, self.kmers = rows, kmers >> U64(64 - KEY_BITS)
@@ -165,6 +177,8 @@ def post_anchors(ranges: int):
             last = np.append(first[1:], len(kmers)) - 1
             many = ids[first] != ids[last]
         kmers = kmers[first]
+        del group, order, ids
+        give_back()
         cuts = np.searchsorted(kmers, _bounds(ranges))
         cuts[-1] = len(kmers)
         pieces = [(i, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
@@ -207,6 +221,8 @@ def post_segments(ranges: int):
                 out.append(pack(group.counts[own].astype(np.uint8),
                                 group.anchor[own].astype(np.uint8), group.least[a:b], text))
                 rows.append(i)
+        del group
+        give_back()
         return _binary_table(range=rows, grp=[number] * len(rows), blob=out)
 
     return work
@@ -232,6 +248,26 @@ def window_minima(text: np.ndarray, starts: np.ndarray, counts: np.ndarray, leas
     return out
 
 
+def _hashes(text: np.ndarray, starts: np.ndarray, sizes: np.ndarray, counts: np.ndarray,
+            anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of segments that lie side by side in ``text``, and of their anchors, as ``segments``
+    has them."""
+    hashes, kmers = np.empty(len(starts), np.uint64), np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        end = max(at + 1, int(np.searchsorted(starts, starts[at] + HASH_BYTES)))
+        own = slice(at, end)
+        base = starts[at]
+        sums = prefix_sums(text[base:starts[end - 1] + sizes[end - 1]])
+        with np.errstate(over="ignore"):
+            hashes[own] = mix(span(sums, starts[own] - base, sizes[own])
+                              + counts[own].astype(np.uint64) * U64(W + 1)
+                              + anchors[own].astype(np.uint64))
+        kmers[own] = span(sums, starts[own] + anchors[own] - base, K)
+        at = end
+    return hashes, kmers
+
+
 def answer_segments(table: pa.Table) -> pa.Table:
     """For each group's segments, as posted: the number of minima (1: one for all windows) and
     the minima."""
@@ -240,11 +276,7 @@ def answer_segments(table: pa.Table) -> pa.Table:
     least, text = (np.concatenate([p[k] for p in parts]) for k in (2, 3))
     sizes = counts + EXTRA
     starts = np.cumsum(sizes) - sizes
-    sums = prefix_sums(text)
-    with np.errstate(over="ignore"):
-        hashes = mix(span(sums, starts, sizes) + counts.astype(np.uint64) * U64(W + 1)
-                     + anchors.astype(np.uint64))
-    kmers = span(sums, starts + anchors, K)
+    hashes, kmers = _hashes(text, starts, sizes, counts, anchors)
     order = np.lexsort((hashes, kmers))
     k, h = kmers[order], hashes[order]
     new = np.append(True, (k[1:] != k[:-1]) | (h[1:] != h[:-1]))
@@ -293,6 +325,8 @@ def answer_segments(table: pa.Table) -> pa.Table:
         at += len(part[0])
         blobs.append(pack(n_minima[mine].astype(np.uint8),
                           _gather(pool, value_at[mine], n_minima[mine])))
+    del parts, text, hashes, kmers, order, pool
+    give_back()
     return pa.table({"grp": table.column("grp").combine_chunks(),
                      "range": table.column("range").combine_chunks(),
                      "blob": pa.array(blobs, pa.binary())})
@@ -301,8 +335,9 @@ def answer_segments(table: pa.Table) -> pa.Table:
 def remove(ranges: int, with_text: bool):
     def work(table: pa.Table, shared: pa.Table, answers: pa.Table) -> pa.Table:
         group = Group(table)
-        n = len(group.ids)
-        change = np.zeros(len(group.data) + 1, np.int32)
+        # +1 where removal begins and -1 where it ends, at one place at most two of either; each
+        # document has a place more, for an end at its end.
+        change = np.zeros(len(group.data) + len(group.ids), np.int8)
         if len(answers):
             group.select([unpack(b.as_buffer())[0] for b in shared.column("blob")])
             found = sorted(zip(answers.column("range").to_pylist(), answers.column("blob")),
@@ -316,40 +351,37 @@ def remove(ranges: int, with_text: bool):
             ids = group.ids[group.rows]
             uniform = n_minima[group.number] == 1
             gone = uniform & (minima[begin[group.number]] < ids)
-            _cover(change, group.first[gone], group.counts[gone] + EXTRA)
+            _cover(change, (group.first + group.rows)[gone], group.counts[gone] + EXTRA)
             mixed = np.flatnonzero(~uniform)
             counts = group.counts[mixed]
             owner = np.repeat(mixed, counts)
             inner = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
             gone = minima[begin[group.number[owner]] + inner] < ids[owner]
-            _cover(change, (group.first[owner] + inner)[gone], LENGTH)
-        removed = np.cumsum(change[:-1]) > 0
-        sums = np.append(0, np.cumsum(removed))
-        starts = removed.copy()
-        starts[1:] &= ~removed[:-1]
-        edges = group.offs[:-1][group.offs[:-1] < len(removed)]
-        starts[edges] = removed[edges]
-        spans = np.append(0, np.cumsum(starts))
-        a, b = group.offs[:-1], group.offs[1:]
-        n_removed = sums[b] - sums[a]
-        kept = []
-        for i in range(n):
-            text = group.data[a[i]:b[i]]
-            kept.append((text[~removed[a[i]:b[i]]] if n_removed[i] else text).tobytes())
-        return pa.table({
+            _cover(change, (group.first[owner] + group.rows[owner] + inner)[gone], LENGTH)
+        removed, spans, hashes, kept = [], [], [], []
+        for i, (a, b) in enumerate(zip(group.offs[:-1].tolist(), group.offs[1:].tolist())):
+            gone = np.cumsum(change[a + i:b + i], dtype=np.int32) > 0
+            text = group.data[a:b]
+            removed.append(int(gone.sum()))
+            spans.append(int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()))
+            text = (text[~gone] if removed[-1] else text).tobytes()
+            hashes.append(hashlib.sha256(text).hexdigest())
+            kept.append(text.decode("utf-8", "ignore") if with_text else None)
+        out = pa.table({
             "doc_id": pa.array(group.ids, mask=group.nulls), "text_key": pa.array(group.keys),
-            "n_bytes": pa.array(b - a), "n_removed": pa.array(n_removed.astype(np.int64)),
-            "n_spans": pa.array((spans[b] - spans[a]).astype(np.int64)),
-            "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
-            "kept": pa.array([k.decode("utf-8", "ignore") for k in kept] if with_text
-                             else [None] * n, pa.string())})
+            "n_bytes": pa.array(np.diff(group.offs)), "n_removed": pa.array(removed, pa.int64()),
+            "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(hashes, pa.string()),
+            "kept": pa.array(kept, pa.string())})
+        del group, change
+        give_back()
+        return out
 
     return work
 
 
 def _cover(change: np.ndarray, starts: np.ndarray, sizes) -> None:
-    change += np.bincount(starts, minlength=len(change)).astype(np.int32)
-    change -= np.bincount(starts + sizes, minlength=len(change)).astype(np.int32)
+    np.add.at(change, starts, 1)
+    np.add.at(change, starts + sizes, -1)
 
 
 def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
