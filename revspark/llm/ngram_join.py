@@ -46,6 +46,7 @@ from revspark.llm.common import (
     LOWER,
     SPACES,
     U64,
+    give_back,
     id_and_text,
     lookup,
     mix,
@@ -151,7 +152,7 @@ def posting_runs(docs: DataFrame, ranges: int, run_shingles: int, width: int = W
                  pa.array([r[1] for r in rows], pa.binary())], names=["range", "run", "blob"])
 
         count = 0
-        for batch in few_rows(slices(batches, "text", 2 << 20)):
+        for batch in few_rows(slices(batches, "text")):
             rows, shingles, sizes = shingle_sets(*utf8(batch.column(1)), width)
             ids = batch.column(0)
             held.append((ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(False),
@@ -199,6 +200,8 @@ def count_lists(runs: DataFrame) -> DataFrame:
                 blobs.append(pack(own[hit], places[hit], lengths[where[hit]].astype(np.uint32),
                                   ascending=1))
         out = [runs, [False] * len(runs), blobs]
+        del parts, shingles, at, first, lengths, shared
+        give_back()
         return pa.table({n: pa.array(v, k) for n, v, k in zip(names, out, kinds)})
 
     return runs.groupBy("range").applyInArrow(work, "run long, meta boolean, blob binary")

@@ -178,9 +178,8 @@ def fit(documents: DataFrame, confirmed: DataFrame, prior: float,
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.view(np.int64)), pa.array(counts)], names=["feature", "n"])
 
-    of_positive = sample.where(F.col("doc_id").isin(*positive)) if len(positive) < 10 else (
-        sample.join(F.broadcast(spark.createDataFrame([(i,) for i in positive], "doc_id long")),
-                    "doc_id"))
+    confirmed_ids = spark.createDataFrame([(i,) for i in positive], "doc_id long")
+    of_positive = sample.join(F.broadcast(confirmed_ids), "doc_id")
     frequent = (
         of_positive.select("doc_id", "text").mapInArrow(shared, "feature long, n long")
         .groupBy("feature").agg(F.sum("n").alias("n"))
