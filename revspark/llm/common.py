@@ -17,18 +17,21 @@ from revspark.session import checkpoint_dir
 U64 = np.uint64
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, merge: bool = True) -> DataFrame:
     """``df`` written as Parquet in the shared checkpoint folder and read back: the lineage is
     cut there, so a lost executor never sends a later step back to the source.
 
     Two files for each core, or one for eight shuffle partitions if that is more: a task takes
     its partitions one after the other, so it needs no more memory, and small tables don't end up
-    as hundreds of tiny files.
+    as hundreds of tiny files. ``merge=False`` leaves the tasks as they are, for what numbers its
+    rows by task.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    files = max(2 * spark.sparkContext.defaultParallelism, shuffle_partitions(spark) // 8)
-    df.coalesce(files).write.parquet(path)
+    if merge:
+        df = df.coalesce(
+            max(2 * spark.sparkContext.defaultParallelism, shuffle_partitions(spark) // 8))
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -75,10 +78,36 @@ def give_back() -> None:
         trim(0)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 << 20
-           ) -> Iterator[pa.RecordBatch]:
+ARROW_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark hand rows to Python by the thousand, not by tens of thousands (unless the session
+    has its own setting): of texts that is some megabytes, in the JVM and in the worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":  # Spark's default
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(key: tuple, build):
+    """What a worker keeps between tasks, of one operator at a time."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        give_back()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 << 20,
+           keep: bool = False) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of about ``max_bytes`` of text (one row at least): numpy arrays over
-    a text take some ten times its bytes at a time."""
+    a text take some ten times its bytes at a time. What other operators have kept in the worker
+    goes, unless ``keep``."""
+    if not keep:
+        _KEPT.clear()
     for batch in batches:
         _, offs = utf8(batch.column(batch.schema.get_field_index(column)))
         start, n = 0, batch.num_rows

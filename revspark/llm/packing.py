@@ -38,7 +38,7 @@ def cut(df: DataFrame, tokenizer: str, end_id: int, size: int, id_col: str = "do
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", keep=True):
             ids, counts = encode(batch.column(1).to_pylist())
             docs, starts, lengths, sums, totals = [], [], [], [], []
             at = 0

@@ -193,7 +193,7 @@ def write_blocks(df: DataFrame, tokenizer: str, end_id: int, terminals: int,
             ids, docs, counts, held = [], [], [], 0
             return out
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", keep=True):
             found, sizes = encode(batch.column(1).to_pylist())
             stops = np.cumsum(sizes)
             ids.append(np.insert(found, stops, end_id).astype(np.uint32))
@@ -211,7 +211,7 @@ def write_blocks(df: DataFrame, tokenizer: str, end_id: int, terminals: int,
         .repartitionByRange(parts, "doc_id")
         .sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     )
-    return written(ordered.mapInArrow(work, BLOCKS), "token-blocks")
+    return written(ordered.mapInArrow(work, BLOCKS), "token-blocks", merge=False)
 
 
 def read_blocks(blocks: DataFrame) -> DataFrame:

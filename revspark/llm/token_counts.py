@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revspark.llm.common import id_and_text, slices, utf8
+from revspark.llm.common import id_and_text, kept, slices, utf8
 from revspark.llm.piece_table import PieceTable
 from revspark.llm.pretoken import SPECIAL, Classes, split
 
@@ -170,14 +170,9 @@ class TokenCounter:
         return extra + np.bincount(owner, tokens, len(texts)).astype(np.int64)
 
 
-_COUNTERS: dict[str, TokenCounter] = {}
-
-
 def counter(path: str) -> TokenCounter:
     """The worker's counter for a file (compiled once)."""
-    if path not in _COUNTERS:
-        _COUNTERS[path] = TokenCounter(path)
-    return _COUNTERS[path]
+    return kept(("counts", path), lambda: TokenCounter(path))
 
 
 def token_counts(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
@@ -191,7 +186,7 @@ def token_counts(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
         import public_tokenizers
 
         counts = counter(public_tokenizers.path(tokenizer))
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", keep=True):
             _, offs = utf8(batch.column(1))
             tokens = counts(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(

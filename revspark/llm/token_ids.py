@@ -8,9 +8,11 @@ the pieces' ids with numpy. A text that holds a special string goes to the libra
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 
-from revspark.llm.common import BYTE_VALUES, SPACES, lookup, span_hashes, word_spans
+from revspark.llm.common import BYTE_VALUES, SPACES, kept, lookup, span_hashes, word_spans
 from revspark.llm.piece_table import PieceTable
 from revspark.llm.pretoken import Classes, split
 
@@ -63,10 +65,10 @@ class Encoder:
         ids, counts = self._encode(texts)
         size = self.table.size
         n = self.table.add(new)
-        kept = int(counts[:n].sum())
+        first_ids = int(counts[:n].sum())
         self.start[size:size + n] = len(self.ids) + np.cumsum(counts[:n]) - counts[:n]
         self.count[size:size + n] = counts[:n]
-        self.ids = np.concatenate([self.ids, ids[:kept].astype(np.uint16)])
+        self.ids = np.concatenate([self.ids, ids[:first_ids].astype(np.uint16)])
         return ids, (np.cumsum(counts) - counts)[back], counts[back]
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -98,16 +100,9 @@ class Encoder:
         return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(name: str) -> Encoder:
     """The worker's encoder for a public tokenizer file."""
-    if name not in _ENCODERS:
-        import os
-
-        import public_tokenizers
+    import public_tokenizers
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        _ENCODERS[name] = Encoder(public_tokenizers.path(name))
-    return _ENCODERS[name]
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    return kept(("ids", name), lambda: Encoder(public_tokenizers.path(name)))
