@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from revspark.llm.common import small_batches
 from revspark.llm.decontaminate import contamination
 from revspark.llm.ngram_join import near_duplicates
 from revspark.llm.packing import pack
@@ -67,7 +68,15 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
     return archived_pages(sf_table(spark, sf, "pages")).drop("target_uri")
 
 
-QUERIES: dict[str, Query] = {
+def _prepared(query: Query) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {name: _prepared(query) for name, query in {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
     "op3_token_counts": op3_token_counts,
@@ -78,7 +87,7 @@ QUERIES: dict[str, Query] = {
     "op8_top_k_search": op8_top_k_search,
     "op9_token_blocks": op9_token_blocks,
     "op10_warc": op10_warc,
-}
+}.items()}
 
 ORACLE: dict[str, str] = {
     "op1_ngram_join": r"""

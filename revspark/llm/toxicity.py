@@ -200,7 +200,13 @@ def fit(documents: DataFrame, confirmed: DataFrame, prior: float,
 
     held = sample.select("doc_id", "text").mapInArrow(which, "doc_id long, at array<int>")
     held = held.groupBy("doc_id").agg(F.min("at").alias("at"))  # an id may come in many rows
-    examples = {r["doc_id"]: np.array(r["at"], np.int64) for r in held.collect()}
+    table = held.toArrow().combine_chunks()
+    lists = table.column("at").combine_chunks()
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.chunk(0)
+    values, offs = lists.values.to_numpy(), lists.offsets.to_numpy()
+    examples = {i: values[a:b].astype(np.int64) for i, a, b in zip(
+        table.column("doc_id").to_pylist(), offs, offs[1:])}
     of = lambda ids: [examples[i] for i in sorted(ids) if i in examples]
     share = lambda xs: np.bincount(
         np.concatenate([*xs, np.zeros(0, np.int64)]), minlength=len(keys)) / max(1, len(xs))
