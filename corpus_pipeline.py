@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revspark.llm.common import written
+from revspark.llm.common import small_batches, written
 from revspark.llm.decontaminate import contamination
 from revspark.llm.ngram_join import near_duplicates
 from revspark.llm.packing import pack
@@ -43,11 +43,13 @@ def _matched(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: toxic documents go. It learns from the labels that op2 learns from."""
+    small_batches(spark)
     return below(docs, fit_from_labels(docs, sf_table(spark, sf_dir, "labels")), TOXIC)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: of each group of near copies the document with the smallest id stays."""
+    small_batches(spark)
     found = written(near_duplicates(docs, with_key=True), "near-copies")
     rows = found.groupBy("doc_id", "text_key", "component").agg(F.count(F.lit(1)).alias("__rows"))
     # The first of each group by (id, key): a group of any size is one row a task before the shuffle.
@@ -66,6 +68,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: strings of 50 bytes that a document with a smaller id has are cut out. Where a
     cut parts a character's bytes, what is left of the character goes too."""
+    small_batches(spark)
     found = substring_dedup(docs, with_text=True).where("n_removed > 0")
     changed = found.select("doc_id", "text_key", "kept").dropDuplicates(["doc_id", "text_key"])
     joined = _matched(docs, changed, "left")
@@ -85,6 +88,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: sequences of at most 1024 tokens."""
+    small_batches(spark)
     return pack(docs, TOKENIZER, END_ID)
 
 
