@@ -21,16 +21,16 @@ def written(df: DataFrame, name: str, merge: bool = True) -> DataFrame:
     """``df`` written as Parquet in the shared checkpoint folder and read back: the lineage is
     cut there, so a lost executor never sends a later step back to the source.
 
-    Two files for each core, or one for eight shuffle partitions if that is more: a task takes
-    its partitions one after the other, so it needs no more memory, and small tables don't end up
-    as hundreds of tiny files. ``merge=False`` leaves the tasks as they are, for what numbers its
+    A file for each core, or one for eight shuffle partitions if that is more: a task takes its
+    partitions one after the other, so it needs no more memory, and small tables don't end up as
+    hundreds of tiny files. ``merge=False`` leaves the tasks as they are, for what numbers its
     rows by task.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     if merge:
-        df = df.coalesce(
-            max(2 * spark.sparkContext.defaultParallelism, shuffle_partitions(spark) // 8))
+        files = max(spark.sparkContext.defaultParallelism, shuffle_partitions(spark) // 8)
+        df = df.coalesce(files)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
