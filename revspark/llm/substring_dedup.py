@@ -51,7 +51,7 @@ from revspark.session import shared_path
 
 KEY_BITS = 40
 HELD_BYTES = 16 << 20  # text a map task deals out at once
-SHARD_BYTES = 2 << 20  # text of one suffix array, unless a single anchor has more
+SHARD_BYTES = 1 << 20  # text of one suffix array, unless a single anchor has more
 HASH_BYTES = 1 << 20  # text hashed at once
 EXTRA = LENGTH - 1
 
@@ -332,7 +332,7 @@ def answer_segments(table: pa.Table) -> pa.Table:
                      "blob": pa.array(blobs, pa.binary())})
 
 
-def remove(ranges: int, with_text: bool):
+def remove(with_text: bool):
     def work(table: pa.Table, shared: pa.Table, answers: pa.Table) -> pa.Table:
         group = Group(table)
         # +1 where removal begins and -1 where it ends, at one place at most two of either; each
@@ -390,18 +390,19 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     row; with ``with_text`` also kept, the remaining bytes as text (what is left of a character that
     a cut parts goes too)."""
     groups = shuffle_partitions(df.sparkSession)
+    ranges = 2 * groups
     texts = dealt_texts(id_and_text(df, id_col, text_col), groups)
     posted = "range int, grp int, blob binary"
-    anchors = texts.groupBy("grp").applyInArrow(post_anchors(groups), posted)
+    anchors = texts.groupBy("grp").applyInArrow(post_anchors(ranges), posted)
     shared = written(anchors.groupBy("range").applyInArrow(
         shared_anchors, "grp int, blob binary"), "shared-anchors")
     asked = texts.groupBy("grp").cogroup(shared.groupBy("grp")).applyInArrow(
-        post_segments(groups), posted)
+        post_segments(ranges), posted)
     answers = written(asked.groupBy("range").applyInArrow(
         answer_segments, "grp int, range int, blob binary"), "segment-answers")
     # The removal needs both small tables; they come in one, told apart by `range`.
     both = answers.unionByName(shared.withColumn("range", F.lit(-1)))
-    work = remove(groups, with_text)
+    work = remove(with_text)
 
     def finish(table: pa.Table, side: pa.Table) -> pa.Table:
         if not len(table):
