@@ -1,15 +1,16 @@
 """Token ids in Re-Pair compressed shards, and random-access reading of them.
 
 Re-Pair: the most frequent pairs of neighbouring symbols become new symbols (nonterminals), again
-and again. A shard's file block holds the rules (left, right), the expansion length of every
+and again, until no pair repeats often enough to pay for its rule. A shard's file block holds the rules (left, right), the expansion length of every
 rule, the compressed sequence, and the documents' token counts, so any token range is decoded by
 finding its first symbol through the running expansion lengths and expanding only the symbols
 that cover it.
 
-Block layout (little-endian): magic ``RPR1``; uint32 counts of terminals, rules, symbols and
-documents; rules as two uint32 columns; expansion lengths uint32; symbols, uint16 or uint32;
-documents' ids int64 with a null bitmap, token counts uint32. The part behind the magic is
-deflated. Blocks are rows of a Parquet table (part, block, start within the part, tokens,
+Block layout (little-endian): magic ``RPR2``; uint32 counts of terminals, rules, symbols and
+documents; rules as two uint32 columns; expansion lengths uint32; symbols, uint16 or uint32 (each of
+these uint32 columns as its low uint16 halves, then its high ones, which nearly vanish when
+deflated); documents' ids int64 with a null bitmap, token counts uint32. The part behind the magic
+is deflated. Blocks are rows of a Parquet table (part, block, start within the part, tokens,
 payload), written by Spark's committer: a lost executor leaves no partial block.
 """
 
@@ -27,93 +28,138 @@ from pyspark.sql import functions as F
 from revspark.llm.common import crc32_ids, id_and_text, shuffle_partitions, slices, written
 from revspark.llm.token_ids import encoder
 
-MAGIC = b"RPR1"
+MAGIC = b"RPR2"
 SHARD_TOKENS = 1 << 20
-MAX_ROUNDS = 4  # passes over a shard; each replaces many pairs at once
-MIN_COUNT = 64  # occurrences below which a pair is not worth a rule
-MIN_GAIN = 0.03  # a round that shortens the shard by less is the last
-BINS = 1 << 18
+MIN_COUNT = 4  # a rule's 12 bytes cost as much as three symbols
 
 BLOCKS = "part int, block int, start long, tokens long, payload binary"
 
 
-def frequent_pairs(seq: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes (left << 32 | right, sorted) of the pairs seen at least ``min_count`` times,
-    overlapping occurrences included; the places of their occurrences; and which code is at each.
-    A count by hash bins first leaves few places to sort."""
-    wide = seq.astype(np.uint64)
-    code = wide[:-1] << np.uint64(32)
-    code |= wide[1:]
-    bins = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int32)
-    places = np.flatnonzero((np.bincount(bins, minlength=BINS) >= min_count)[bins])
-    code = code[places]
-    values, counts = np.unique(code, return_counts=True)
-    values = values[counts >= min_count]
-    if not len(values):
-        return values, places[:0], places[:0]
-    at = np.searchsorted(values, code)
-    at[at == len(values)] = 0
-    hit = values[at] == code
-    return values, places[hit], at[hit]
-
-
-def replace_pairs(seq: np.ndarray, places: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-    """Replace the pairs at ``places`` by ``symbols``; of overlapping occurrences every second
-    one from the left is taken."""
-    runs = np.empty(len(places), bool)
-    runs[0] = True
-    runs[1:] = np.diff(places) != 1
-    begin = np.maximum.accumulate(np.where(runs, np.arange(len(places)), 0))
-    taken = (np.arange(len(places)) - begin) % 2 == 0
-    out = seq.copy()
-    out[places[taken]] = symbols[taken]
-    keep = np.ones(len(seq), bool)
-    keep[places[taken] + 1] = False
-    return out[keep]
-
-
-def compress(ids: np.ndarray, terminals: int, max_rounds: int = MAX_ROUNDS,
-             min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN
-             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, rules (n, 2), expansion lengths of the rules)."""
+def counted_pairs(seq: np.ndarray, live: np.ndarray
+                  ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes (left << 32 | right, sorted) of the pairs at the ``live`` places, how often each is
+    there without overlap, and the places, pair by pair. In a run of one symbol every second pair
+    from the left counts."""
+    equal = np.flatnonzero(seq[:-1] == seq[1:])
+    starts = np.append(True, np.diff(equal) != 1)[:len(equal)]
+    within = np.arange(len(equal))
+    within -= np.maximum.accumulate(np.where(starts, within, 0))
+    live = live.copy()
+    live[equal[within % 2 == 1]] = False
+    places = np.flatnonzero(live)
+    left, right = seq[places], seq[places + 1]
+    left, right = left.astype(np.uint64), right.astype(np.uint64)
+    place_bits = len(seq).bit_length()
+    bits = int(max(left.max(initial=0), right.max(initial=0))).bit_length()
+    if 2 * bits + place_bits <= 64:  # one sort of numbers that hold pair and place
+        key = (left << np.uint64(bits) | right) << np.uint64(place_bits)
+        key |= places.astype(np.uint64)
+        key.sort()
+        places = (key & np.uint64((1 << place_bits) - 1)).astype(np.int64)
+        key >>= np.uint64(place_bits)
+    else:
+        key = left << np.uint64(32) | right
+        order = np.argsort(key, kind="stable")
+        key, places, bits = key[order], places[order], 32
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
+    counts = np.diff(np.append(first, len(key)))
+    key = key[first]
+    low = np.uint64((1 << bits) - 1)
+    return (key >> np.uint64(bits)) << np.uint64(32) | key & low, counts, places
+
+
+def compress(ids: np.ndarray, terminals: int, max_rounds: int | None = None,
+             min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, rules (n, 2), expansion lengths of the rules).
+
+    A round replaces each pair where it is more frequent than both pairs that overlap it (of
+    equally frequent ones the larger code goes first), so the most frequent pair of all goes
+    everywhere. Rounds end (``max_rounds`` None) when no pair without a rule is there
+    ``min_count`` times and no pair with a rule is left. Between full counts only places are
+    counted whose pair was frequent or has a new symbol: other pairs don't become more.
+    """
     seq = ids.astype(np.uint32)
     rules = np.zeros((0, 2), np.uint32)
     lengths = np.zeros(0, np.uint32)
-    for _ in range(max_rounds):
-        if len(seq) < 2:
-            break
-        codes, places, at = frequent_pairs(seq, min_count)
-        if not len(codes):
-            break
-        new = np.stack([codes >> np.uint64(32), codes & np.uint64(0xFFFFFFFF)], 1)
+    codes = symbols = np.zeros(0, np.uint64)  # of the rules, in the order of codes
+    live, full, rounds = np.ones(max(0, len(seq) - 1), bool), True, 0
+    while len(seq) > 1 and (max_rounds is None or rounds < max_rounds):
+        pairs, counts, places = counted_pairs(seq, live)
+        at = np.searchsorted(codes, pairs)
+        at[at == len(codes)] = 0
+        ruled = codes[at] == pairs if len(codes) else np.zeros(len(pairs), bool)
+        frequent = ruled | (counts >= min_count)
+        if not frequent.any():
+            if full:
+                break
+            live, full = np.ones(len(seq) - 1, bool), True
+            continue
+        rounds += 1
+        places = places[np.repeat(frequent, counts)]
+        pairs, counts, ruled, at = (x[frequent] for x in (pairs, counts, ruled, at))
+        which = np.repeat(np.arange(len(pairs)), counts)
+        rank = np.empty(len(pairs), np.int32)
+        rank[np.argsort(counts, kind="stable")] = np.arange(1, len(pairs) + 1)
+        own, weight = rank[which], np.zeros(len(seq) + 1, np.int32)
+        weight[places + 1] = own
+        taken = (own > weight[places]) & (own > weight[places + 2])
+        pays = ruled | (np.bincount(which[taken], minlength=len(pairs)) >= min_count)
+        taken &= pays[which]
+        live = np.zeros(len(seq), bool)
+        live[places] = True
+        places, which = places[taken], which[taken]
+
+        fresh = pays & ~ruled
+        number = np.zeros(len(pairs), np.uint64)
+        number[ruled] = symbols[at[ruled]]
+        number[fresh] = terminals + len(rules) + np.arange(fresh.sum())
+        new = np.stack([pairs[fresh] >> np.uint64(32), pairs[fresh] & np.uint64(0xFFFFFFFF)], 1)
         new = new.astype(np.uint32)
-        known = np.concatenate([np.ones(terminals, np.uint32), lengths])
-        shorter = replace_pairs(seq, places, (terminals + len(rules) + at).astype(np.uint32))
+        lengths = np.concatenate([lengths, _sizes(new, lengths, terminals).sum(1, dtype=np.uint32)])
         rules = np.concatenate([rules, new])
-        lengths = np.concatenate([lengths, known[new].sum(1, dtype=np.uint32)])
-        gain, seq = 1 - len(shorter) / len(seq), shorter
-        if gain < min_gain:
-            break
+        codes = np.concatenate([codes, pairs[fresh]])
+        symbols = np.concatenate([symbols, number[fresh]])
+        order = np.argsort(codes, kind="stable")  # two sorted runs
+        codes, symbols = codes[order], symbols[order]
+
+        seq[places] = number[which]
+        live[places] = True
+        live[np.maximum(places - 1, 0)] = True
+        keep = np.ones(len(seq), bool)
+        keep[places + 1] = False
+        seq, live, full = seq[keep], live[keep][:-1], False
     return seq, rules, lengths
 
 
+def _halves(column: np.ndarray) -> np.ndarray:
+    """Low halves of all numbers, then high halves: these are nearly all alike."""
+    return np.ascontiguousarray(column.astype("<u4")).view("<u2").reshape(-1, 2).T
+
+
+def _sizes(symbols: np.ndarray, lengths: np.ndarray, terminals: int) -> np.ndarray:
+    """How many ids each symbol stands for."""
+    out = np.ones(symbols.shape, np.int64)
+    nonterminal = symbols >= terminals
+    out[nonterminal] = lengths[symbols[nonterminal] - terminals]
+    return out
+
+
 def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, terminals: int
            ) -> np.ndarray:
-    """The ids that ``symbols`` stand for: all symbols are expanded one level at a time."""
-    seq = symbols.astype(np.uint32)
-    while len(rules):
-        nonterminal = seq >= terminals
+    """The ids that ``symbols`` stand for: all nonterminals are expanded one level at a time, each
+    at its place in the result."""
+    sizes = _sizes(symbols, lengths, terminals)
+    place = np.cumsum(sizes) - sizes
+    out = np.empty(int(sizes.sum()), np.uint32)
+    symbols = symbols.astype(np.uint32)
+    while True:
+        nonterminal = symbols >= terminals
+        out[place[~nonterminal]] = symbols[~nonterminal]
         if not nonterminal.any():
-            break
-        sizes = 1 + nonterminal.astype(np.int64)
-        at = np.cumsum(sizes) - sizes
-        out = np.empty(int(sizes.sum()), np.uint32)
-        out[at[~nonterminal]] = seq[~nonterminal]
-        pairs = rules[seq[nonterminal] - terminals]
-        out[at[nonterminal]] = pairs[:, 0]
-        out[at[nonterminal] + 1] = pairs[:, 1]
-        seq = out
-    return seq
+            return out
+        pairs, place = rules[symbols[nonterminal] - terminals], place[nonterminal]
+        place = np.concatenate([place, place + _sizes(pairs[:, 0], lengths, terminals)])
+        symbols = np.concatenate([pairs[:, 0], pairs[:, 1]])
 
 
 class Block:
@@ -132,15 +178,17 @@ class Block:
             at += out.nbytes
             return out
 
-        self.rules = take("<u4", 2 * n_rules).reshape(2, n_rules).T
-        self.lengths = take("<u4", n_rules)
+        def halves(n: int) -> np.ndarray:
+            return np.ascontiguousarray(take("<u2", 2 * n).reshape(2, n).T).view("<u4").reshape(n)
+
+        self.rules = np.stack([halves(n_rules), halves(n_rules)], 1)
+        self.lengths = halves(n_rules)
         wide = self.terminals + n_rules > 1 << 16
-        self.symbols = take("<u4" if wide else "<u2", n_symbols)
+        self.symbols = halves(n_symbols) if wide else take("<u2", n_symbols)
         self.doc_ids = take("<i8", n_docs)
         self.doc_nulls = take("u1", n_docs).astype(bool)
         self.doc_tokens = take("<u4", n_docs).astype(np.int64)
-        sizes = np.concatenate([np.ones(self.terminals, np.uint32), self.lengths])[self.symbols]
-        self.ends = np.cumsum(sizes, dtype=np.int64)
+        self.ends = np.cumsum(_sizes(self.symbols, self.lengths, self.terminals))
 
     @staticmethod
     def pack(ids: np.ndarray, docs: list, counts: np.ndarray, terminals: int) -> bytes:
@@ -148,8 +196,8 @@ class Block:
         wide = terminals + len(rules) > 1 << 16
         parts = [
             np.array([terminals, len(rules), len(symbols), len(docs)], "<u4"),
-            np.ascontiguousarray(rules.T, "<u4"), lengths.astype("<u4"),
-            symbols.astype("<u4" if wide else "<u2"),
+            _halves(rules[:, 0]), _halves(rules[:, 1]), _halves(lengths),
+            _halves(symbols) if wide else symbols.astype("<u2"),
             np.array([0 if d is None else d for d in docs], "<i8"),
             np.array([d is None for d in docs], "u1"), np.asarray(counts).astype("<u4"),
         ]

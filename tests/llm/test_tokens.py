@@ -151,3 +151,40 @@ def test_repair_grammar_round_trip_and_random_access():
         for _ in range(30):
             a, b = sorted(rnd.integers(0, n + 1, 2))
             assert (block.tokens(int(a), int(b)) == ids[a:b]).all()
+
+
+def repeated_pairs(symbols):
+    """The largest number of places without overlap at which one pair is."""
+    seen, last = {}, {}
+    for i, pair in enumerate(zip(symbols.tolist(), symbols[1:].tolist())):
+        if last.get(pair) != i - 1:
+            seen[pair], last[pair] = seen.get(pair, 0) + 1, i
+    return max(seen.values(), default=0)
+
+
+@pytest.mark.parametrize("copies", [4, 20, 63])
+def test_repair_replaces_copied_passages_by_default(copies):
+    rnd = np.random.default_rng(copies)
+    passage = rnd.permutation(40_000)[:200]
+    parts = [np.concatenate([rnd.integers(0, 49_000, 300), passage]) for _ in range(copies)]
+    ids = np.concatenate(parts).astype(np.uint32)
+    symbols, rules, lengths = repair.compress(ids, 49_408)
+    assert (repair.expand(symbols, rules, lengths, 49_408) == ids).all()
+    assert len(symbols) <= copies * 310 and lengths.max() >= 150
+    assert repeated_pairs(symbols) < 4
+
+
+def test_repair_goes_on_until_no_pair_repeats():
+    rnd = np.random.default_rng(8)
+    words = [rnd.integers(0, 50, rnd.integers(2, 9)) for _ in range(300)]
+    texts = [np.concatenate([words[int(i) % 300] for i in rnd.zipf(1.3, 4000) - 1]),
+             np.zeros(1000, np.int64), np.tile([1, 2, 2], 500), np.tile([3, 3, 3, 3, 4], 9)]
+    for ids in [*texts, np.concatenate(texts)]:
+        ids = ids.astype(np.uint32)
+        symbols, rules, lengths = repair.compress(ids, 49_408)
+        assert repeated_pairs(symbols) < 4
+        assert len({tuple(r) for r in rules.tolist()}) == len(rules)
+        assert (repair.expand(symbols, rules, lengths, 49_408) == ids).all()
+        block = repair.Block(repair.Block.pack(ids, [1], np.array([len(ids)]), 49_408))
+        for a, b in ((0, len(ids)), (5, 6), (17, len(ids) - 3), (len(ids) - 1, len(ids)), (4, 4)):
+            assert (block.tokens(a, b) == ids[a:b]).all()
