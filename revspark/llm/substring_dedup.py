@@ -6,12 +6,15 @@ windows with one anchor. The work, over documents dealt into groups by hash and
 table bucketed by group (later steps read a bucket where it lies):
 
 1. Each group posts its distinct anchors by hash range; a range's task sends back to each group
-   those that more documents have. (40 bits of the hash: a chance match costs work, nothing else.)
+   those that more documents have, and which of them are hot: posted with HOT_SEGMENTS distinct
+   segments or more. (40 bits of the hash: a chance match costs work, nothing else.)
 2. Each group posts the distinct segments of those anchors, with the smallest id that has each: a
    passage in a third of all documents is one row a group. A range's task is a shard: it merges
    equal segments, builds the suffix array of those that share an anchor but differ, by induced
    sorting, and marks by permuted common prefixes which neighbours have LENGTH bytes in common.
-   Every window gets the smallest id among its equals.
+   Every window gets the smallest id among its equals. Segments of a hot anchor (a common string
+   of 31 to 49 bytes between differing words) are posted as single windows, dealt by the window's
+   own hash, so that no range gets all of them; equal windows meet by that hash, unsorted.
 3. Each group takes the answers, in the order it asked, flags the windows whose smallest id is
    smaller than their document's, and removes what they cover.
 
@@ -51,7 +54,9 @@ from revspark.session import shared_path
 
 KEY_BITS = 40
 HELD_BYTES = 16 << 20  # text a map task deals out at once
-SHARD_BYTES = 1 << 20  # text of one suffix array, unless a single anchor has more
+SHARD_BYTES = 1 << 20  # text of one suffix array; its last anchor may have as much again
+HOT_SEGMENTS = SHARD_BYTES // (LENGTH + W - 1)  # distinct, over all groups: an anchor is split
+ALONE = 64  # in place of the anchor's offset: a single window of a hot anchor
 HASH_BYTES = 1 << 20  # text hashed at once
 EXTRA = LENGTH - 1
 
@@ -142,12 +147,44 @@ class Group:
         for name in ("rows", "first", "counts", "anchor", "kmers", "hashes"):
             setattr(self, name, getattr(self, name)[mask])
 
-    def select(self, shared: list[np.ndarray]) -> None:
-        """Keep the segments of shared anchors; number the distinct ones by (anchor, hash)."""
-        known = np.sort(np.concatenate([*shared, np.zeros(0, np.uint64)]))
+    def _among(self, kmers: list[np.ndarray]) -> np.ndarray:
+        known = np.sort(np.concatenate([*kmers, np.zeros(0, np.uint64)]))
         at = np.searchsorted(known, self.kmers)
         at[at == len(known)] = 0
-        self._keep(known[at] == self.kmers if len(known) else np.zeros(len(at), bool))
+        return known[at] == self.kmers if len(known) else np.zeros(len(at), bool)
+
+    def _split(self, hot: np.ndarray) -> None:
+        """Put single windows, dealt by their own hashes, in the place of the ``hot`` segments."""
+        whole, hot = np.flatnonzero(~hot), np.flatnonzero(hot)
+        stops = np.cumsum(self.counts[hot])
+        owner = np.repeat(hot, self.counts[hot])
+        inner = np.arange(len(owner)) - np.repeat(stops - self.counts[hot], self.counts[hot])
+        hashes = np.empty(len(owner), np.uint64)
+        step = HASH_BYTES // (LENGTH + W - 1)
+        for at in range(0, len(hot), step):
+            some = hot[at:at + step]
+            own = slice(int(stops[at] - self.counts[some[0]]), int(stops[at + len(some) - 1]))
+            sizes = self.counts[some] + EXTRA
+            starts = np.repeat(np.cumsum(sizes) - sizes, self.counts[some]) + inner[own]
+            sums = prefix_sums(_gather(self.data, self.first[some], sizes))
+            hashes[own] = span(sums, starts, LENGTH)
+        self.home = np.concatenate([self.kmers[whole], self.kmers[owner]])
+        dealt = mix(hashes ^ U64(ALONE)) >> U64(64 - KEY_BITS)
+        self.kmers = np.concatenate([self.kmers[whole], dealt])
+        self.hashes = np.concatenate([self.hashes[whole], hashes])
+        self.rows = np.concatenate([self.rows[whole], self.rows[owner]])
+        self.first = np.concatenate([self.first[whole], self.first[owner] + inner])
+        self.counts = np.append(self.counts[whole], np.ones(len(owner), self.counts.dtype))
+        self.anchor = np.append(self.anchor[whole], np.full(len(owner), ALONE, self.anchor.dtype))
+
+    def select(self, shared: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """Keep the segments of shared anchors, those of hot ones as windows; number the distinct
+        ones by (anchor, hash)."""
+        self._keep(self._among([kmers for kmers, _ in shared]))
+        self.home = self.kmers
+        hot = self._among([kmers[hot] for kmers, hot in shared])
+        if hot.any():
+            self._split(hot)
         order = np.lexsort((self.hashes, self.kmers))
         k, h = self.kmers[order], self.hashes[order]
         new = np.ones(len(k), bool)
@@ -176,6 +213,16 @@ def post_anchors(ranges: int):
         if len(first):  # rows are in the order of ids, so more ids show at the ends
             last = np.append(first[1:], len(kmers)) - 1
             many = ids[first] != ids[last]
+        sizes = np.diff(np.append(first, len(kmers)))
+        n_distinct = np.ones(len(first), np.uint32)
+        again = np.repeat(sizes > 1, sizes)
+        if again.any():
+            k, h = kmers[again], group.hashes[order[again]]
+            by_hash = np.lexsort((h, k))
+            k, h = k[by_hash], h[by_hash]
+            differs = np.append(True, (k[1:] != k[:-1]) | (h[1:] != h[:-1]))
+            n_distinct[sizes > 1] = np.add.reduceat(
+                differs, np.flatnonzero(np.append(True, k[1:] != k[:-1])), dtype=np.uint32)
         kmers = kmers[first]
         del group, order, ids
         give_back()
@@ -184,24 +231,31 @@ def post_anchors(ranges: int):
         pieces = [(i, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
         return _binary_table(
             range=[p[0] for p in pieces], grp=[table.column("grp")[0].as_py()] * len(pieces),
-            blob=[pack(kmers[a:b], many[a:b], ascending=1) for _, a, b in pieces])
+            blob=[pack(kmers[a:b], many[a:b], n_distinct[a:b], ascending=1) for _, a, b in pieces])
 
     return work
 
 
 def shared_anchors(table: pa.Table) -> pa.Table:
-    """For each group, its anchors that another group or another of its documents has."""
+    """For each group, its anchors that another group or another of its documents has, and whether
+    they are hot."""
     parts = [unpack(b.as_buffer()) for b in table.column("blob")]
     every = np.sort(np.concatenate([p[0] for p in parts]))
     often = np.zeros(len(every), bool)
     often[1:] = every[1:] == every[:-1]
     several = np.unique(np.concatenate([every[often], *(p[0][p[1]] for p in parts)]))
+    segments_of, asked = np.zeros(len(several), np.int64), []
+    for kmers, _, n_distinct in parts:
+        own = np.isin(kmers, several, assume_unique=True)
+        at = np.searchsorted(several, kmers[own])
+        segments_of[at] += n_distinct[own]
+        asked.append(at)
+    hot = segments_of >= HOT_SEGMENTS
     groups, blobs = [], []
-    for number, (kmers, _) in zip(table.column("grp").to_pylist(), parts):
-        own = kmers[np.isin(kmers, several, assume_unique=True)]
-        if len(own):
+    for number, at in zip(table.column("grp").to_pylist(), asked):
+        if len(at):
             groups.append(number)
-            blobs.append(pack(own, ascending=1))
+            blobs.append(pack(several[at], hot[at], ascending=1))
     return _binary_table(grp=groups, blob=blobs)
 
 
@@ -210,16 +264,19 @@ def post_segments(ranges: int):
         if not len(table) or not len(shared):
             return _binary_table(range=[], grp=[], blob=[])
         group = Group(table)
-        group.select([unpack(b.as_buffer())[0] for b in shared.column("blob")])
+        group.select([tuple(unpack(b.as_buffer())) for b in shared.column("blob")])
         number = table.column("grp")[0].as_py()
         rows, out = [], []
         cuts = group.cuts(ranges)
         for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
             if b > a:
                 own = group.distinct[a:b]
-                text = _gather(group.data, group.first[own], group.counts[own] + EXTRA)
+                alone = group.anchor[own] == ALONE
+                rest = own[~alone]
+                text = _gather(group.data, group.first[rest], group.counts[rest] + EXTRA)
                 out.append(pack(group.counts[own].astype(np.uint8),
-                                group.anchor[own].astype(np.uint8), group.least[a:b], text))
+                                group.anchor[own].astype(np.uint8), group.least[a:b], text,
+                                group.home[own[alone]], group.hashes[own[alone]]))
                 rows.append(i)
         del group
         give_back()
@@ -274,9 +331,13 @@ def answer_segments(table: pa.Table) -> pa.Table:
     parts = [unpack(b.as_buffer()) for b in table.column("blob")]
     counts, anchors = (np.concatenate([p[k] for p in parts]).astype(np.int64) for k in (0, 1))
     least, text = (np.concatenate([p[k] for p in parts]) for k in (2, 3))
-    sizes = counts + EXTRA
+    alone = anchors == ALONE  # posted as hashes, without text
+    sizes = np.where(alone, 0, counts + EXTRA)
     starts = np.cumsum(sizes) - sizes
-    hashes, kmers = _hashes(text, starts, sizes, counts, anchors)
+    kmers, hashes = (np.empty(len(counts), np.uint64) for _ in range(2))
+    hashes[~alone], kmers[~alone] = _hashes(
+        text, *(x[~alone] for x in (starts, sizes, counts, anchors)))
+    kmers[alone], hashes[alone] = (np.concatenate([p[k] for p in parts]) for k in (4, 5))
     order = np.lexsort((hashes, kmers))
     k, h = kmers[order], hashes[order]
     new = np.append(True, (k[1:] != k[:-1]) | (h[1:] != h[:-1]))
@@ -287,7 +348,7 @@ def answer_segments(table: pa.Table) -> pa.Table:
     smallest = np.minimum.reduceat(least[order], first)
     anchor_first = np.append(True, k[first][1:] != k[first][:-1])
     per_anchor = np.diff(np.append(np.flatnonzero(anchor_first), len(own)))
-    differ = np.flatnonzero(np.repeat(per_anchor, per_anchor) > 1)
+    differ = np.flatnonzero((np.repeat(per_anchor, per_anchor) > 1) & ~alone[own])
 
     n_minima = np.ones(len(own), np.int64)
     minima: list[tuple[np.ndarray, np.ndarray]] = []
@@ -339,7 +400,7 @@ def remove(with_text: bool):
         # document has a place more, for an end at its end.
         change = np.zeros(len(group.data) + len(group.ids), np.int8)
         if len(answers):
-            group.select([unpack(b.as_buffer())[0] for b in shared.column("blob")])
+            group.select([tuple(unpack(b.as_buffer())) for b in shared.column("blob")])
             found = sorted(zip(answers.column("range").to_pylist(), answers.column("blob")),
                            key=lambda x: x[0])
             parts = [unpack(b.as_buffer()) for _, b in found]

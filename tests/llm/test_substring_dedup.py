@@ -2,9 +2,11 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from revspark.llm import anchors, substring_dedup as module
+from revspark.llm.packed import pack, unpack
 from revspark.llm.substring_dedup import substring_dedup, window_minima
 from revspark.llm.suffix_array import common_prefix_at_least, suffix_array
 from tests.llm.helpers import documents, odd_texts
@@ -119,3 +121,59 @@ def test_anchors_depend_on_the_window_alone(block):
             assert by_window.setdefault(window, at - k) == at - k
             covered += 1
     assert covered == sum(max(0, len(t) - 49) for t in texts)
+
+
+def removed_in_process(ids, texts, groups=3, ranges=8):
+    """The operator's steps over hand-made groups, without Spark; also the largest range's bytes."""
+    def by(name, tables):
+        whole = pa.concat_tables(tables)
+        return [whole.filter(pa.array(whole.column(name).to_numpy() == k))
+                for k in sorted(set(whole.column(name).to_pylist()))]
+
+    rows = [[i for i in range(len(ids)) if i % groups == g] for g in range(groups)]
+    dealt = []
+    for g, own in enumerate(rows):
+        raw = [texts[i].encode() for i in own]
+        blob = pack(np.array([ids[i] for i in own]), np.zeros(len(own), bool), np.array(own),
+                    np.array([len(r) for r in raw]), np.frombuffer(b"".join(raw), np.uint8))
+        dealt.append(pa.table({"grp": pa.array([g], pa.int32()), "blob": pa.array([blob])}))
+    posted = [module.post_anchors(ranges)(t) for t in dealt]
+    shared = pa.concat_tables([module.shared_anchors(t) for t in by("range", posted)])
+    of = lambda table, g: table.filter(pa.array(table.column("grp").to_numpy() == g))
+    asked = by("range", [module.post_segments(ranges)(t, of(shared, g))
+                         for g, t in enumerate(dealt)])
+    answers = pa.concat_tables([module.answer_segments(t) for t in asked])
+    out = pa.concat_tables([module.remove(False)(t, of(shared, g), of(answers, g))
+                            for g, t in enumerate(dealt)])
+    largest = max(sum(x.nbytes for b in t.column("blob") for x in unpack(b.as_buffer()))
+                  for t in asked)
+    names = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    result = sorted(zip(*(out.column(n).to_pylist() for n in names)), key=repr)
+    return result, largest, sum(x.nbytes for t in asked for b in t.column("blob")
+                                for x in unpack(b.as_buffer()))
+
+
+def test_hot_anchor_is_split_over_ranges_and_shards(monkeypatch):
+    rnd = random.Random(12)
+    say = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    menu = "Home | News | About us | Terms of licence | Help "  # 49 bytes
+    texts = [say(25) + menu + say(25) for _ in range(40_000)]
+    for i in range(0, 3000, 3):  # windows with the hot anchor that do repeat
+        texts[i] = texts[i][:-25] + texts[i + 1][-25:]
+    ids = rnd.sample(range(10**6), len(texts))
+    sizes = []
+    whole = module.suffix_array
+    monkeypatch.setattr(module, "suffix_array",
+                        lambda text, depth: sizes.append(len(text)) or whole(text, depth))
+    got, largest, posted = removed_in_process(ids, texts)
+    assert got == brute_force(ids, texts)
+    assert max(sizes, default=0) <= 2 * module.SHARD_BYTES
+    assert largest <= 1.5 * posted / 8
+
+
+@pytest.mark.parametrize("hot", [1, 3, 10])
+def test_split_anchors_equal_brute_force(monkeypatch, hot):
+    monkeypatch.setattr(module, "HOT_SEGMENTS", hot, raising=False)
+    texts = passages(7) + [t or "" for t in odd_texts(n=20)]
+    ids = [random.Random(i).choice([1, 2, 2, 3, i, 2 * i]) for i in range(len(texts))]
+    assert removed_in_process(ids, texts)[0] == brute_force(ids, texts)
