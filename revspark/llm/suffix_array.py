@@ -132,14 +132,39 @@ def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
     return induce(text, s_type, lms)
 
 
-def common_prefix_at_least(text: np.ndarray, suffixes: np.ndarray, length: int) -> np.ndarray:
-    """For each of the suffixes but the first, whether it has ``length`` bytes in common with the
-    one before it: permuted common prefixes cut at ``length``, compared eight bytes at a time.
-    All suffixes must have that many bytes (8 at least)."""
+def permuted_prefixes(text: np.ndarray, suffixes: np.ndarray, length: int
+                      ) -> tuple[np.ndarray, np.ndarray]:
+    """Permuted common prefixes cut at ``length``: in the order of the text, the places of all
+    suffixes but the first, and whether each has ``length`` bytes in common with its predecessor
+    in the order of suffixes.
+
+    If the suffix one byte before has the predecessor one byte before, its common prefix less one
+    carries on, so one more byte is compared; others are compared eight bytes at a time. All
+    suffixes must have ``length`` bytes (8 at least)."""
     raw = np.ascontiguousarray(text)
     words = np.ndarray((max(0, len(raw) - 7),), "<u8", raw, 0, (1,))
-    same = np.ones(max(0, len(suffixes) - 1), bool)
-    a, b = suffixes[:-1], suffixes[1:]
+    before = np.full(len(raw), -1, np.int64)
+    before[suffixes[1:]] = suffixes[:-1]
+    places = np.flatnonzero(before >= 0)
+    before = before[places]
+    carried = np.zeros(len(places), bool)
+    carried[1:] = (np.diff(places) == 1) & (np.diff(before) == 1)
+    same = raw[places + length - 1] == raw[before + length - 1]
+    first = np.flatnonzero(~carried)
+    a, b, whole = places[first], before[first], np.ones(len(first), bool)
     for at in [*range(0, length - 7, 8), length - 8]:
-        same &= words[a + at] == words[b + at]
-    return same
+        whole &= words[a + at] == words[b + at]
+    same[first] = whole
+    # A carried prefix is long enough if nothing differed since the last one compared in full.
+    number = np.arange(len(places))
+    differs = np.maximum.accumulate(np.where(same, -1, number))
+    return places, differs < np.maximum.accumulate(np.where(carried, 0, number))
+
+
+def common_prefix_at_least(text: np.ndarray, suffixes: np.ndarray, length: int) -> np.ndarray:
+    """For each of the suffixes but the first, whether it has ``length`` bytes in common with the
+    one before it, by permuted common prefixes."""
+    places, same = permuted_prefixes(text, suffixes, length)
+    at = np.zeros(len(text), bool)
+    at[places] = same
+    return at[suffixes[1:]]

@@ -8,7 +8,7 @@ import pytest
 from revspark.llm import anchors, substring_dedup as module
 from revspark.llm.packed import pack, unpack
 from revspark.llm.substring_dedup import substring_dedup, window_minima
-from revspark.llm.suffix_array import common_prefix_at_least, suffix_array
+from revspark.llm.suffix_array import common_prefix_at_least, permuted_prefixes, suffix_array
 from tests.llm.helpers import documents, odd_texts
 
 
@@ -177,3 +177,24 @@ def test_split_anchors_equal_brute_force(monkeypatch, hot):
     texts = passages(7) + [t or "" for t in odd_texts(n=20)]
     ids = [random.Random(i).choice([1, 2, 2, 3, i, 2 * i]) for i in range(len(texts))]
     assert removed_in_process(ids, texts)[0] == brute_force(ids, texts)
+
+
+@pytest.mark.parametrize("alphabet", [1, 2, 3, 26])
+def test_permuted_prefixes_equal_direct_comparison(alphabet):
+    rng = np.random.default_rng(alphabet)
+    passage = rng.integers(0, alphabet, 120)
+    text = np.concatenate([np.concatenate([rng.integers(0, alphabet, 9), passage[a:]])
+                           for a in (0, 3, 40, 60, 0)] + [rng.integers(0, alphabet, 80)])
+    text = text.astype(np.uint8)
+    raw, length = text.tobytes(), 50
+    for depth in (length, None):
+        suffixes = suffix_array(text, depth)
+        suffixes = suffixes[(suffixes <= len(text) - length) & (suffixes % 17 != 5)]
+        want = {b: raw[a:a + length] == raw[b:b + length]
+                for a, b in zip(suffixes[:-1].tolist(), suffixes[1:].tolist())}
+        places, same = permuted_prefixes(text, suffixes, length)
+        assert places.tolist() == sorted(want)
+        assert dict(zip(places.tolist(), same.tolist())) == want
+        assert any(want.values())
+    for n in (0, 1):
+        assert len(common_prefix_at_least(text, suffixes[:n], length)) == 0
