@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from revspark.llm.block_naming import exact_duplicates
 from revspark.llm.common import small_batches
 from revspark.llm.decontaminate import contamination
 from revspark.llm.ngram_join import near_duplicates
@@ -68,6 +69,10 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
     return archived_pages(sf_table(spark, sf, "pages")).drop("target_uri")
 
 
+def op11_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_duplicates(sf_table(spark, sf, "documents"))
+
+
 def _prepared(query: Query) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         small_batches(spark)
@@ -87,6 +92,7 @@ QUERIES: dict[str, Query] = {name: _prepared(query) for name, query in {
     "op8_top_k_search": op8_top_k_search,
     "op9_token_blocks": op9_token_blocks,
     "op10_warc": op10_warc,
+    "op11_exact_dedup": op11_exact_dedup,
 }.items()}
 
 ORACLE: dict[str, str] = {
@@ -232,4 +238,19 @@ ORACLE: dict[str, str] = {
                CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
         FROM digests
     """,
+    "op11_exact_dedup": r"""
+        WITH texts AS (
+            SELECT doc_id, coalesce(text, '') AS text,
+                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS normal
+            FROM documents
+        ), ordered AS (
+            SELECT doc_id, normal, count(*) OVER (PARTITION BY normal) AS group_size,
+                   row_number() OVER w AS place, first_value(doc_id) OVER w AS keep_id
+            FROM texts
+            WINDOW w AS (PARTITION BY normal ORDER BY length(text) DESC, doc_id NULLS LAST)
+        )
+        SELECT doc_id, keep_id, group_size::BIGINT AS group_size, place = 1 AS kept,
+               sha256(normal) AS text_sha256
+        FROM ordered
+    """,
 }
