@@ -150,8 +150,9 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = identities(docs, block_bytes, block_hash)
     order = F.struct((-F.col("points")).alias("p"), F.col("doc_id").isNull().alias("none"),
                      "doc_id", "row")
-    groups = rows.groupBy("rounds", "name").agg(
-        F.min(order).alias("stays"), F.count(F.lit(1)).alias("group_size"))
+    # Written, so that the join below deals both sides anew and Spark can split a large group.
+    groups = written(rows.groupBy("rounds", "name").agg(
+        F.min(order).alias("stays"), F.count(F.lit(1)).alias("group_size")), "groups", merge=False)
     return rows.join(groups, ["rounds", "name"]).select(
         "doc_id", F.col("stays.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("stays.row")).alias("kept"), "text_sha256")
