@@ -7,8 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from revspark.llm.alignment import aligned
 from revspark.llm.block_naming import exact_duplicates
 from revspark.llm.common import small_batches
+from revspark.llm.conversations import conversation_audits, damaged
 from revspark.llm.decontaminate import contamination
 from revspark.llm.ngram_join import near_duplicates
 from revspark.llm.packing import pack
@@ -24,6 +26,7 @@ from revspark.session import sf_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 WORD_BPE_IDS = 49_408
 
 
@@ -73,6 +76,14 @@ def op11_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_duplicates(sf_table(spark, sf, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return conversation_audits(damaged(sf_table(spark, sf, "conversations")))
+
+
+def op13_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return aligned(sf_table(spark, sf, "documents"), BYTE_BPE, PIECE_BPE)
+
+
 def _prepared(query: Query) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         small_batches(spark)
@@ -93,6 +104,8 @@ QUERIES: dict[str, Query] = {name: _prepared(query) for name, query in {
     "op9_token_blocks": op9_token_blocks,
     "op10_warc": op10_warc,
     "op11_exact_dedup": op11_exact_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_token_alignment": op13_token_alignment,
 }.items()}
 
 ORACLE: dict[str, str] = {
