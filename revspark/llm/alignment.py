@@ -61,17 +61,23 @@ class Alignment:
     def __init__(self, a: Tokens, b: Tokens):
         self.n_a, self.n_b = a.counts, b.counts
         ends_a, ends_b = np.cumsum(a.sizes, dtype=np.int64), np.cumsum(b.sizes, dtype=np.int64)
-        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        merged = np.union1d(ends_a, ends_b)
-        # Of each link: its tokens; of each token: its group. Ends of texts are common ends.
-        self.link_a = a.ids[np.searchsorted(ends_a, merged)]
-        self.link_b = b.ids[np.searchsorted(ends_b, merged)]
-        self.group_a, self.group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
-        self.last_a, self.last_b = common[self.group_a] == ends_a, common[self.group_b] == ends_b
+        total = int(ends_a[-1]) if len(ends_a) else 0
+        at_a, at_b = np.zeros(total + 1, bool), np.zeros(total + 1, bool)
+        at_a[ends_a] = True
+        at_b[ends_b] = True
+        both, either = at_a & at_b, at_a | at_b
+        merged = np.flatnonzero(either)
+        until = lambda marks: np.cumsum(marks, dtype=np.int32)
+        groups = until(both)
+        # Of each link: its tokens; of each token: its group. Ends of texts are ends of both.
+        self.link_a = a.ids[until(at_a)[merged] - at_a[merged]]
+        self.link_b = b.ids[until(at_b)[merged] - at_b[merged]]
+        self.last_a, self.last_b = both[ends_a], both[ends_b]
+        self.group_a, self.group_b = groups[ends_a] - self.last_a, groups[ends_b] - self.last_b
         self.ids_a, self.ids_b = a.ids, b.ids
         stops = np.concatenate([[0], np.cumsum(_by_text_sizes(a))])
-        self.n_groups = np.diff(np.searchsorted(common, stops, side="right"))
-        self.n_links = np.diff(np.searchsorted(merged, stops, side="right"))
+        self.n_groups = np.diff(groups[stops]).astype(np.int64)
+        self.n_links = np.diff(until(either)[stops]).astype(np.int64)
 
     def groups(self) -> list[bytes]:
         """``a1,a2|b1;a3|b2`` of each text: decimal ids of each group's A and B tokens in order."""
@@ -121,6 +127,13 @@ def _plane(values: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(values.astype("<u4")).view(np.uint8).reshape(-1, 4).T
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and how often each is there."""
+    values = np.sort(values)
+    first = np.flatnonzero(np.append(True, values[1:] != values[:-1])[:len(values)])
+    return values[first], np.diff(np.append(first, len(values)))
+
+
 class _Run:
     """Documents of one run, until it is written."""
 
@@ -133,7 +146,7 @@ class _Run:
     def add(self, doc_ids: list, found: Alignment, good: np.ndarray, shas: list) -> None:
         code = found.link_a.astype(np.int64) * WIDTH + found.link_b
         document = np.repeat(np.arange(len(doc_ids)), found.n_links)
-        key, times = np.unique(document << 32 | code, return_counts=True)
+        key, times = _distinct(document << 32 | code)
         self.codes.append((key & 0xFFFFFFFF).astype(np.uint32))
         self.times.append(times.astype(np.uint32))
         c = self.columns
@@ -146,7 +159,7 @@ class _Run:
     def row(self, run: int) -> pa.RecordBatch:
         codes = np.concatenate(self.codes) if self.codes else np.zeros(0, np.uint32)
         times = np.concatenate(self.times) if self.times else np.zeros(0, np.uint32)
-        pairs = np.unique(codes)
+        pairs, _ = _distinct(codes)
         at = np.searchsorted(pairs, codes)
         counts = np.bincount(at, weights=times, minlength=len(pairs)).astype(np.int32)
         # Places of a document's pairs as steps from the one before: small numbers.

@@ -109,6 +109,39 @@ def _by_text(values: np.ndarray, per_text: np.ndarray, how) -> np.ndarray:
     return out
 
 
+class _Spelling:
+    """The bytes that a vocabulary's entries decode to."""
+
+    def __init__(self, entries: list[bytes]):
+        self.sizes = np.fromiter(map(len, entries), np.int64, len(entries))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.pool = np.frombuffer(b"".join(entries), np.uint8)
+
+    def whole(self, ids: np.ndarray, counts: np.ndarray, units: list[bytes]) -> np.ndarray:
+        """Whether each unit's tokens, ``counts`` of them, spell it."""
+        lengths = np.fromiter(map(len, units), np.int64, len(units))
+        spelt = np.add.reduceat(np.append(self.sizes[ids], 0), np.cumsum(counts) - counts)
+        spelt = np.where(counts > 0, spelt, 0)
+        good = spelt == lengths
+        own = np.repeat(good, counts)
+        found = self.pool[_ranges(self.starts[ids[own]], self.sizes[ids[own]])]
+        asked = np.frombuffer(b"".join([u for u, ok in zip(units, good.tolist()) if ok]), np.uint8)
+        wrong = np.flatnonzero(found != asked)
+        stops = np.cumsum(lengths[good])
+        good[np.flatnonzero(good)[np.searchsorted(stops, wrong, side="right")]] = False
+        return good
+
+
+def refined(cuts: np.ndarray, coarse: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Token sizes from the cuts at the ends of tokens. Where a cut isn't the token's own end (not
+    ``coarse``), the token ends as many bytes behind the one before it as its entry has."""
+    spelt = np.cumsum(sizes)
+    at = np.arange(len(cuts))
+    known = np.maximum.accumulate(np.where(coarse, at, -1))
+    stops = np.where(known >= 0, cuts[known] - spelt[known], 0) + spelt
+    return np.diff(stops, prepend=0)
+
+
 class ByteLevel:
     """A byte-level BPE file, special strings taken as text."""
 
@@ -119,51 +152,49 @@ class ByteLevel:
         self.library.encode_special_tokens = True
         self.classes = Classes(self.library.pre_tokenizer)
         alphabet = byte_level_alphabet()
-        self.bytes = {}
-        for token, i in self.library.get_vocab().items():
-            try:
-                self.bytes[i] = bytes(alphabet[c] for c in token)
-            except KeyError:  # a special token's own string
-                self.bytes[i] = token.encode()
+        vocabulary = self.library.get_vocab()
+        entries = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            known = all(c in alphabet for c in token)  # not so: a special token's own string
+            entries[i] = bytes(alphabet[c] for c in token) if known else token.encode()
+        self.spelling = _Spelling(entries)
         self.units = _Units()
 
-    def _unit(self, text: str) -> tuple[list[int], list[int], bool]:
-        """Ids and byte sizes of a unit's tokens."""
-        found = self.library.encode(text, add_special_tokens=False)
-        ids, offsets = found.ids, found.offsets
-        cuts = np.concatenate([[0], np.cumsum([len(c.encode()) for c in text])]).tolist()
-        sizes, at = [], 0
-        for i, (token, (_, end)) in enumerate(zip(ids, offsets)):
-            stop = cuts[end]
-            if i + 1 < len(ids) and offsets[i + 1][0] < end:  # the next token has bytes of this
-                stop = at + len(self.bytes[token])            # token's last character
-            sizes.append(stop - at)
-            at = stop
-        return ids, sizes, b"".join(self.bytes[i] for i in ids) == text.encode()
+    def _ask(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and byte sizes of all units' tokens, their number, and whether they are whole."""
+        out = []
+        for a in range(0, len(units), 4096):
+            some = units[a:a + 4096]
+            found = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids, unit = np.array(found.ids, np.int32), np.array(found.word_ids, np.int64)
+            counts = np.bincount(unit, minlength=len(some))
+            spans = np.array(found.offsets, np.int64).reshape(-1, 2)  # characters of the unit
+            raw = [u.encode() for u in some]
+            points = np.frombuffer("".join(some).encode("utf-32-le"), np.uint32)
+            widths = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
+            until = np.concatenate([[0], np.cumsum(widths)])  # bytes before each character
+            first = np.cumsum([0, *map(len, some[:-1])])
+            end = first[unit] + spans[:, 1]
+            # A token whose last character the next token has bytes of ends inside that character.
+            shared = np.zeros(len(ids), bool)
+            shared[:-1] = (unit[1:] == unit[:-1]) & (spans[1:, 0] < spans[:-1, 1])
+            sizes = refined(until[end], ~shared, self.spelling.sizes[ids])
+            out.append((ids, sizes.astype(np.int32), counts,
+                        self.spelling.whole(ids, counts, raw)))
+        return tuple(np.concatenate(x) for x in zip(*out))
 
     def __call__(self, texts: list[str]) -> Tokens:
         whole, starts, ends, hashes, per_text = split(texts, self.classes)
 
         def ask(places: np.ndarray):
-            return _asked([whole[starts[p]:ends[p]] for p in places.tolist()], self._unit)
+            pairs = zip(starts[places].tolist(), ends[places].tolist())
+            return self._ask([whole[a:b] for a, b in pairs])
 
         ids, sizes, count, good = self.units.tokens(hashes, (ends - starts) * 4, ask)
         return Tokens(ids, sizes, _by_text(count, per_text, np.add),
                       _by_text(good, per_text, np.logical_and))
 
 
-def _asked(units: list, one) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    ids, sizes, counts, good = [], [], [], []
-    for unit in units:
-        i, s, ok = one(unit)
-        ids += i
-        sizes += s
-        counts.append(len(i))
-        good.append(ok)
-    return (np.array(ids, np.int32), np.array(sizes, np.int32), np.array(counts, np.int64),
-            np.array(good, bool))
-
-
 class SentencePiece:
     """A sentencepiece model; it puts a space before each text itself."""
 
@@ -174,28 +205,48 @@ class SentencePiece:
         n = self.library.get_piece_size()
         pieces = [self.library.id_to_piece(i) for i in range(n)]
         self.fallback = np.array([self.library.is_byte(i) for i in range(n)])
-        self.bytes = [bytes([int(p[3:5], 16)]) if self.fallback[i]
-                      else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)]
+        self.spelling = _Spelling([
+            bytes([int(p[3:5], 16)]) if self.fallback[i] else p.replace(SPACE_MARK, " ").encode()
+            for i, p in enumerate(pieces)])
         self.space = self.library.piece_to_id(SPACE_MARK)
         # Units are encoded apart only if no entry goes across their border.
         self.apart = not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces)
         self.units = _Units()
 
-    def _unit(self, unit: bytes) -> tuple[list[int], list[int], bool]:
-        """Ids and byte sizes of a unit's tokens; ``unit`` begins with the space that the library
-        puts before it."""
-        if unit == b" ":  # the library gives an empty text nothing at all
-            return [self.space], [1], True
-        found = self.library.encode(unit[1:].decode(), return_type="proto").pieces
-        ids, sizes, at = [], [], 0
-        for piece in found:
-            stop = 1 + piece.end  # of the text, which has no space before it
-            if self.fallback[piece.id] or piece.end == piece.begin:
-                stop = at + len(self.bytes[piece.id])  # a byte, or the space before the text alone
-            ids.append(piece.id)
-            sizes.append(stop - at)
-            at = stop
-        return ids, sizes, b"".join(self.bytes[i] for i in ids) == unit
+    def _together(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and byte sizes of the tokens of units that are one text, and the tokens' number by
+        unit. Each begins with a space, the first one's being the one that the library adds."""
+        lengths = np.fromiter(map(len, units), np.int64, len(units))
+        text = b"".join(units)
+        if text == b" ":  # the library gives an empty text nothing at all
+            return np.array([self.space], np.int32), np.ones(1, np.int64), np.ones(1, np.int64)
+        found = self.library.encode(text[1:].decode(), return_type="proto").pieces
+        table = np.array([(p.id, p.begin, p.end) for p in found], np.int64).reshape(-1, 3)
+        ids, cuts = table[:, 0].astype(np.int32), table[:, 2] + 1  # of the text with its space
+        # Byte-fallback tokens have the span of their character at the last one, and the space that
+        # is added to the text has none.
+        coarse = ~self.fallback[ids] & (table[:, 2] > table[:, 1])
+        sizes = refined(cuts, coarse, self.spelling.sizes[ids])
+        owner = np.searchsorted(np.cumsum(lengths), np.cumsum(sizes))
+        return ids, sizes, np.bincount(np.minimum(owner, len(units) - 1), minlength=len(units))
+
+    def _ask(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As ``ByteLevel._ask``. Thousands of units make one text, as their tokens don't depend on
+        what is before or behind them; those that end with a space would, and go alone."""
+        mark = SPACE_MARK.encode()
+        alone = np.array([not self.apart or u.endswith(b" ") or mark in u for u in units], bool)
+        runs = [[i] for i in np.flatnonzero(alone).tolist()]
+        others = np.flatnonzero(~alone).tolist()
+        runs += [others[a:a + 4096] for a in range(0, len(others), 4096)]
+        found = []
+        for run in runs:
+            own = [units[i] for i in run]
+            ids, sizes, counts = self._together(own)
+            found.append((ids, sizes.astype(np.int32), counts, self.spelling.whole(ids, counts, own)))
+        ids, sizes, counts, good = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(np.concatenate(runs))  # back to the order in which they were asked for
+        take = _ranges((np.cumsum(counts) - counts)[order], counts[order])
+        return ids[take], sizes[take], counts[order], good[order]
 
     def __call__(self, texts: list[str]) -> Tokens:
         """``texts``: with the space before them."""
@@ -216,7 +267,8 @@ class SentencePiece:
         per_text = np.diff(np.searchsorted(starts, offs))
 
         def ask(places: np.ndarray):
-            return _asked([whole[starts[p]:ends[p]] for p in places.tolist()], self._unit)
+            pairs = zip(starts[places].tolist(), ends[places].tolist())
+            return self._ask([whole[a:b] for a, b in pairs])
 
         hashes = span_hashes(BYTE_VALUES[data], starts, ends)
         ids, sizes, count, good = self.units.tokens(hashes, ends - starts, ask)
