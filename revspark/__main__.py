@@ -22,7 +22,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--variant", choices=("votes", "ratio"), default="votes")
     parser.add_argument("--on-missing", choices=("raise", "empty"), default="raise")
     parser.add_argument("--partition-ranked-by-year", action="store_true")
-    parser.add_argument("--cache", choices=("persist", "checkpoint"), default="persist",
+    parser.add_argument("--cache", choices=("persist", "checkpoint"), default="checkpoint",
                         help="how the processed reviews and stats are kept for the outputs")
     parser.add_argument("--size-shuffle", action="store_true",
                         help="set shuffle partitions and split size from the input's size")

@@ -4,10 +4,10 @@ from revspark.operators.aggregate import (
     product_stats,
     reviewer_profiles,
 )
-from revspark.operators.buckets import quantile_bucket, quantile_cuts
 from revspark.operators.join import enrich, enrich_self
 from revspark.operators.percentile import lower_percentile
 from revspark.operators.runs import consecutive_runs, summarize_runs, tag_runs, tag_runs_window
+from revspark.operators.splitters import splitters, with_range
 from revspark.operators.transform import mark_high_quality, pipe, when_then
 from revspark.operators.validate import (
     classify,
@@ -27,16 +27,16 @@ __all__ = [
     "lower_percentile",
     "mark_high_quality",
     "pipe",
-    "quantile_bucket",
-    "quantile_cuts",
     "product_stats",
     "rank_top_k",
     "rejected_reviews",
     "rejects_by_reason",
     "reviewer_profiles",
+    "splitters",
     "summarize_runs",
     "tag_runs",
     "tag_runs_window",
     "valid_reviews",
     "when_then",
+    "with_range",
 ]

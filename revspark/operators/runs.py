@@ -4,17 +4,18 @@ The reference walks an in-memory list and starts a new group whenever the key ch
 order is given by columns, and the work is split so that no task holds a whole partition key or
 the whole table, at any size:
 
-1. The order column is cut into buckets at its quantiles, as many as there are shuffle partitions
-   (``operators.buckets``); a row's bucket is a fixed function of its order value.
-2. Within (partition key, bucket) a window flags each row whose key differs from the row before
-   and numbers the bucket's local runs; a grouped aggregate over the same partitioning turns rows
-   into local runs.
-3. Only the first and the last run of each bucket can belong to a run that crosses a border.
-   They make a table of one row per (partition key, bucket); a window over it decides which
-   buckets go on with the run before and sums the run numbers.
+1. The whole order (partition keys, then order columns, of any orderable types) is cut into ranges
+   inside the plan (``operators.splitters``): rows tied in the first order column are split by the
+   next one. Rows are shuffled once, by their range.
+2. A window over each range flags the rows whose partition key or key differs from the row before and
+   numbers the range's local runs; a grouped aggregate over the same partitioning turns rows into local
+   runs. A partition key that starts within a range has its final run numbers already.
+3. Only the first and the last run of each range can cross a border, whatever the number of partition
+   keys in it. They make a table of two rows a range; a window over it carries the run number of the
+   partition key that is open at each border from range to range.
 4. Inner runs are final. Border runs with the same number are merged.
 
-A key held by a third of all rows is split over the buckets like any other. Keys compare null-safely
+A key held by a third of all rows is split over the ranges like any other. Keys compare null-safely
 (two null keys are equal, as in the reference's comparison).
 """
 
@@ -22,16 +23,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revspark.operators.buckets import quantile_bucket, quantile_cuts
-from revspark.operators.keys import non_null_keys
+from revspark.operators.splitters import range_count, splitters, with_range
 
 RUN_ID = "run_id"
 
-_BKT, _BRK, _CUM, _OPEN, _CLOSE = "__bkt", "__brk", "__cum", "__open", "__close"
-_FIRST, _LAST, _NB, _CONT, _OFF = "__first", "__last", "__nb", "__cont", "__off"
+_RNG, _BRK, _CUM, _OPEN, _CLOSE = "__range", "__brk", "__cum", "__open", "__close"
+_PREV, _AHEAD, _LOCAL, _CARRIED = "__prev", "__ahead", "__local", "__carried"
+_SUM, _VALUE, _OFF = "__sum", "__value", "__off"
 
 
 def _as_list(x: str | Sequence[str]) -> list[str]:
@@ -42,33 +43,59 @@ def _running(spec):
     return spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _local(df: DataFrame, key: str, orders: list[str], parts: list[str], buckets: int | None
-           ) -> tuple[DataFrame, list[str]]:
-    """Rows with their bucket, local run number and whether they open or close the bucket."""
-    rows, keys = non_null_keys(df, parts)
-    rows = quantile_bucket(rows, orders[0], quantile_cuts(df, orders[0], buckets), _BKT)
-    spec = Window.partitionBy(*keys, _BKT).orderBy(*orders)
-    before, after = F.lag(F.struct(F.col(key).alias("k"))).over(spec), F.lead(F.lit(1)).over(spec)
-    same = before.isNotNull() & before["k"].eqNullSafe(F.col(key))
-    rows = rows.withColumns({_BRK: F.when(same, 0).otherwise(1), _OPEN: before.isNull(),
-                             _CLOSE: after.isNull()})
-    return rows.withColumn(_CUM, F.sum(_BRK).over(_running(spec))), keys
-
-
-def _bucket_offsets(ends: DataFrame, key: str, keys: list[str]) -> DataFrame:
-    """One row per (partition key, bucket): the number of its first run, less one, and whether
-    that run goes on from the bucket before. ``ends``: the first and last local run of each."""
-    value = F.struct(F.col(key).alias("k"))
-    buckets = ends.groupBy(*keys, _BKT).agg(
-        F.min_by(value, _CUM).alias(_FIRST), F.max_by(value, _CUM).alias(_LAST),
-        F.max(_CUM).alias(_NB))
-    across = Window.partitionBy(*keys).orderBy(_BKT)
-    last = F.lag(_LAST).over(across)
-    goes_on = last.isNotNull() & last["k"].eqNullSafe(F.col(_FIRST)["k"])
-    buckets = buckets.withColumn(_CONT, goes_on.cast("long"))
-    own = F.col(_NB) - F.col(_CONT)
-    ahead = F.sum(own).over(_running(across)) - own
-    return buckets.withColumn(_OFF, ahead - F.col(_CONT)).select(*keys, _BKT, _OFF)
+def _identity(parts: list[str], key: str) -> Column:
+    """A row's partition key and key in one value, for null-safe comparison with another row's."""
+    part = F.struct(F.lit(0).alias("none"), *[F.col(p).alias(f"p{i}") for i, p in enumerate(parts)])
+    return F.struct(part.alias("part"), F.struct(F.col(key).alias("k")).alias("key"))
+
+
+def _follows(before: Column, own: Column) -> tuple[Column, Column]:
+    """Whether a row goes on with the partition key, and with the run, of the row before it."""
+    part = before.isNotNull() & before["part"].eqNullSafe(own["part"])
+    return part, part & before["key"].eqNullSafe(own["key"])
+
+
+def _local(df: DataFrame, key: str, orders: list[str], parts: list[str], ranges: int | None
+           ) -> DataFrame:
+    """Rows with their range, the number of their local run in it (``_CUM``) and within their
+    partition key's rows of it (``_LOCAL``), whether that key may have begun in an earlier range
+    (``_CARRIED``), and whether the row opens or closes the range."""
+    by = [*parts, *orders]
+    n = range_count(df, ranges)
+    rows = with_range(df, _RNG, by, splitters(df, by, n), n)
+    spec = Window.partitionBy(_RNG).orderBy(*by)
+    own = _identity(parts, key)
+    rows = rows.withColumns({_PREV: F.lag(own).over(spec),
+                             _CLOSE: F.lead(F.lit(1)).over(spec).isNull()})
+    same_part, same = _follows(F.col(_PREV), own)
+    rows = rows.withColumns({_BRK: F.when(same, 0).otherwise(1), _OPEN: F.col(_PREV).isNull(),
+                             _AHEAD: ~same_part}).drop(_PREV)
+    rows = rows.withColumn(_CUM, F.sum(_BRK).over(_running(spec)))
+    ahead = F.max(F.when(F.col(_AHEAD), F.col(_CUM) - 1)).over(_running(spec))
+    rows = rows.withColumn(_AHEAD, ahead)
+    return rows.withColumns({_LOCAL: F.col(_CUM) - F.col(_AHEAD),
+                             _CARRIED: F.col(_AHEAD) == 0}).drop(_BRK, _AHEAD)
+
+
+def _range_offsets(ends: DataFrame, key: str, parts: list[str]) -> DataFrame:
+    """How many runs the partition key that is open at a range's start has before that range's
+    first run. ``ends``: the first and last local run (or row) of each range; their run numbers are a
+    sum over the borders that starts anew where a partition key does."""
+    across = Window.orderBy(_RNG, _CUM, F.desc(_OPEN))
+    same_part, same = _follows(F.lag(_identity(parts, key)).over(across), _identity(parts, key))
+    step = F.when(F.col(_OPEN), F.when(same, 0).otherwise(1)).otherwise(
+        F.when(F.col(_CARRIED), F.col(_LOCAL) - 1).otherwise(F.col(_LOCAL)))
+    anew = F.when(F.col(_OPEN), ~same_part).otherwise(~F.col(_CARRIED))
+    found = ends.withColumns({_VALUE: step.cast("long"), _BRK: anew})
+    found = found.withColumn(_SUM, F.sum(_VALUE).over(_running(across)))
+    before = F.max(F.when(F.col(_BRK), F.col(_SUM) - F.col(_VALUE))).over(_running(across))
+    return found.withColumn(_OFF, F.col(_SUM) - before - 1).where(_OPEN).select(_RNG, _OFF)
+
+
+def _numbered(rows: DataFrame, offsets: DataFrame) -> DataFrame:
+    """Local runs or rows with their final run number; joined on the column they are dealt by."""
+    carried = F.when(F.col(_CARRIED), F.col(_OFF)).otherwise(F.lit(0))
+    return rows.join(offsets, _RNG).withColumn(RUN_ID, (F.col(_LOCAL) + carried).cast("long"))
 
 
 def tag_runs(
@@ -76,20 +103,19 @@ def tag_runs(
     key: str,
     order: str | Sequence[str],
     partition_by: str | Sequence[str] = (),
-    buckets: int | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Every row plus ``run_id``: the number of its run, from 1, within its partition.
 
-    ``order`` must be a total order within each partition (add tie-breakers); its first column
-    must be numeric and is the one cut into ``buckets`` (default: the session's shuffle
-    partitions).
+    ``order`` must be a total order within each partition (add tie-breakers); its columns may be of
+    any orderable type. ``ranges``: how many to cut the order into (default: a few for each of the
+    session's shuffle partitions).
     """
-    rows, keys = _local(df, key, _as_list(order), _as_list(partition_by), buckets)
-    ends = rows.where(F.col(_OPEN) | F.col(_CLOSE)).select(*keys, _BKT, _CUM, key)
-    # Joined on the columns the rows are already partitioned by.
-    tagged = rows.join(_bucket_offsets(ends, key, keys), [*keys, _BKT])
-    return tagged.withColumn(RUN_ID, (F.col(_OFF) + F.col(_CUM)).cast("long")).select(
-        *df.columns, RUN_ID)
+    parts = _as_list(partition_by)
+    rows = _local(df, key, _as_list(order), parts, ranges)
+    ends = rows.where(F.col(_OPEN) | F.col(_CLOSE)).select(
+        _RNG, _CUM, _LOCAL, _CARRIED, _OPEN, *dict.fromkeys([*parts, key]))
+    return _numbered(rows, _range_offsets(ends, key, parts)).select(*df.columns, RUN_ID)
 
 
 def tag_runs_window(
@@ -129,23 +155,22 @@ def consecutive_runs(
     key: str,
     order: str | Sequence[str],
     partition_by: str | Sequence[str] = (),
-    buckets: int | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """One row per run: partition keys, run_id, key, first and last order value, run_len.
 
-    Rows become local runs before anything is joined; only runs at a bucket's border are merged.
+    Rows become local runs before anything is joined; only runs at a range's border are merged.
     """
     orders, parts = _as_list(order), _as_list(partition_by)
     o = orders[0]
     first, last = f"first_{o}", f"last_{o}"
-    rows, keys = _local(df, key, orders, parts, buckets)
-    local = rows.groupBy(*keys, _BKT, *parts, _CUM, key).agg(
+    rows = _local(df, key, orders, parts, ranges)
+    by = dict.fromkeys([_RNG, _CUM, _LOCAL, _CARRIED, *parts, key])
+    local = rows.groupBy(*by).agg(
         F.min(o).alias(first), F.max(o).alias(last), F.count(F.lit(1)).alias("run_len"),
         F.max(_OPEN).alias(_OPEN), F.max(_CLOSE).alias(_CLOSE))
     border = F.col(_OPEN) | F.col(_CLOSE)
-    offsets = _bucket_offsets(local.where(border).select(*keys, _BKT, _CUM, key), key, keys)
-    runs = local.join(offsets, [*keys, _BKT]).withColumn(
-        RUN_ID, (F.col(_OFF) + F.col(_CUM)).cast("long"))
+    runs = _numbered(local, _range_offsets(local.where(border), key, parts))
     columns = [*parts, RUN_ID, key, first, last, "run_len"]
     merged = runs.where(border).groupBy(*parts, RUN_ID, key).agg(
         F.min(first).alias(first), F.max(last).alias(last), F.sum("run_len").alias("run_len"))

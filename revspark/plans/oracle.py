@@ -151,18 +151,20 @@ ordered AS (
             f"END), CAST(0.0 AS DOUBLE)) AS {alias} FROM ordered")
 
 
-def _runs_sql(table: str, key: str, order: str, part: str | None) -> str:
+def _runs_sql(table: str, key: str, order: str, part: str | None, ties: str = "") -> str:
+    """Runs of ``key`` in the order of ``order``, then of the columns named in ``ties``."""
+    by = f"{order}{ties}"
     pb = f"PARTITION BY {part} " if part else ""
     cols = f"{part}, " if part else ""
     return f"""
 WITH b AS (
-  SELECT {cols}{order}, {key},
+  SELECT {cols}{by}, {key},
          CASE WHEN row_number() OVER w > 1 AND lag({key}) OVER w IS NOT DISTINCT FROM {key}
               THEN 0 ELSE 1 END AS brk
-  FROM {table} WINDOW w AS ({pb}ORDER BY {order})
+  FROM {table} WINDOW w AS ({pb}ORDER BY {by})
 ),
 g AS (
-  SELECT *, CAST(sum(brk) OVER ({pb}ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING
+  SELECT *, CAST(sum(brk) OVER ({pb}ORDER BY {by} ROWS BETWEEN UNBOUNDED PRECEDING
                                 AND CURRENT ROW) AS BIGINT) AS run_id
   FROM b
 )
@@ -230,6 +232,14 @@ ORACLE: dict[str, str] = {
     ),
     "event_runs_by_user": _runs_sql("events", "event_type", "event_id", "user_id"),
     "event_runs_global": _runs_sql("events", "event_type", "event_id", None),
+    "event_runs_by_time": (
+        "SELECT run_id, event_type, strftime(first_ts, '%Y-%m-%d %H:%M:%S.%f') AS first_ts, "
+        "strftime(last_ts, '%Y-%m-%d %H:%M:%S.%f') AS last_ts, run_len FROM ("
+        + _runs_sql("events", "event_type", "ts", None, ", event_id") + ")"
+    ),
+    "event_runs_tied_order": _runs_sql(
+        "(SELECT event_type, user_id % 3 AS shard, event_id, value >= 50 AS high FROM events)",
+        "high", "shard", "event_type", ", event_id"),
     "conversation_role_runs": _runs_sql("conversations", "role", "turn", "conv_id"),
     "process_reviews_by_ratio": f"{_WITH_RATIO}SELECT * FROM processed_r",
     "product_stats_ratio": f"{_WITH_RATIO}{_STATS_RATIO}\nSELECT * FROM stats_r",

@@ -22,8 +22,10 @@ from revspark.operators.validate import rejected_reviews, rejects_by_reason, val
 from revspark.plans.job import build_outputs, rank_enriched, run_job
 from revspark.plans.process import process_reviews, process_reviews_by_ratio
 from revspark.schemas import PRODUCT_STATS, PRODUCT_STATS_RATIO, PROFILE, REVIEW, REVIEW_RATIO
-from revspark.session import sf_table, shared_path
+from revspark.scratch import shared_path
+from revspark.session import sf_table
 from revspark.sources.adapter import reviews_from_tables
+from revspark.sources.publish import read_published
 from revspark.sources.reviews import parse_json_column, read_reviews, read_reviews_checked
 from revspark.sources.sinks import write_json, write_parquet
 
@@ -32,6 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # ---- fixed values: parameters of the registered queries (shared with the oracle SQL) ---------
 PERCENTILE = 90.0
 MEDIAN = 50.0
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 BROKEN_LINE = "order "  # and the order's key: lines among the JSON reviews that are no JSON
 # ----------------------------------------------------------------------------------------------
 
@@ -130,6 +133,23 @@ def q_event_runs_global(spark, sf):
     return consecutive_runs(events, key="event_type", order="event_id")
 
 
+def q_event_runs_by_time(spark, sf):
+    """All events in order of their time, ties by id."""
+    events = sf_table(spark, sf, "events").select("ts", "event_id", "event_type")
+    runs = consecutive_runs(events, key="event_type", order=["ts", "event_id"])
+    return runs.withColumns({c: F.date_format(c, TIME_FORMAT) for c in ("first_ts", "last_ts")})
+
+
+def q_event_runs_tied_order(spark, sf):
+    """Runs in an order whose first column has a handful of values: rows tied in it are told apart by
+    the next ones, a string-ordered partition key beside them."""
+    events = sf_table(spark, sf, "events").select(
+        "event_type", (F.col("user_id") % 3).alias("shard"), "event_id",
+        (F.col("value") >= 50).alias("high"))
+    return consecutive_runs(events, key="high", order=["shard", "event_id"],
+                            partition_by="event_type")
+
+
 def q_conversation_role_runs(spark, sf):
     turns = sf_table(spark, sf, "conversations").select("conv_id", "turn", "role")
     return consecutive_runs(turns, key="role", order="turn", partition_by="conv_id")
@@ -187,7 +207,7 @@ def q_safe_json_parse(spark, sf):
 
 
 def q_percentile_event_value(spark, sf):
-    """Nearly every event has a value of its own, so the value buckets do split."""
+    """Nearly every event has a value of its own, so the ranges do split."""
     events = sf_table(spark, sf, "events").select("event_type", "value")
     return lower_percentile(events, "value", PERCENTILE, by="event_type", alias="valueP90")
 
@@ -278,36 +298,35 @@ def _job(spark, sf, variant: str) -> str:
 
 
 def q_job_product_stats(spark, sf):
-    return spark.read.schema(PRODUCT_STATS).json(f"{_job(spark, sf, 'votes')}/product_stats")
+    return read_published(spark, _job(spark, sf, "votes"), "product_stats", PRODUCT_STATS)
 
 
 def q_job_ranked_reviews(spark, sf):
-    return spark.read.parquet(f"{_job(spark, sf, 'votes')}/ranked_reviews")
+    return read_published(spark, _job(spark, sf, "votes"), "ranked_reviews")
 
 
 def q_job_reviewer_profiles(spark, sf):
-    return spark.read.schema(PROFILE).json(f"{_job(spark, sf, 'votes')}/reviewer_profiles")
+    return read_published(spark, _job(spark, sf, "votes"), "reviewer_profiles", PROFILE)
 
 
 def q_job_rejected(spark, sf):
     """Rejected reviews and malformed lines of one run, by reason."""
     out = _job(spark, sf, "votes")
-    rejected = spark.read.parquet(f"{out}/rejected_reviews").select("reason")
+    rejected = read_published(spark, out, "rejected_reviews").select("reason")
     return rejects_by_reason(rejected.unionByName(
-        spark.read.parquet(f"{out}/malformed_lines").select("reason")))
+        read_published(spark, out, "malformed_lines").select("reason")))
 
 
 def q_job_ratio_product_stats(spark, sf):
-    return spark.read.schema(PRODUCT_STATS_RATIO).json(
-        f"{_job(spark, sf, 'ratio')}/product_stats")
+    return read_published(spark, _job(spark, sf, "ratio"), "product_stats", PRODUCT_STATS_RATIO)
 
 
 def q_job_ratio_ranked_reviews(spark, sf):
-    return spark.read.parquet(f"{_job(spark, sf, 'ratio')}/ranked_reviews")
+    return read_published(spark, _job(spark, sf, "ratio"), "ranked_reviews")
 
 
 def q_job_ratio_reviewer_profiles(spark, sf):
-    return spark.read.schema(PROFILE).json(f"{_job(spark, sf, 'ratio')}/reviewer_profiles")
+    return read_published(spark, _job(spark, sf, "ratio"), "reviewer_profiles", PROFILE)
 
 
 def q_job_cached_stats(spark, sf):
@@ -335,6 +354,8 @@ QUERIES: dict[str, Query] = {
     "median_length_by_year": q_median_length_by_year,
     "event_runs_by_user": q_event_runs_by_user,
     "event_runs_global": q_event_runs_global,
+    "event_runs_by_time": q_event_runs_by_time,
+    "event_runs_tied_order": q_event_runs_tied_order,
     "conversation_role_runs": q_conversation_role_runs,
     "process_reviews_by_ratio": q_process_reviews_by_ratio,
     "product_stats_ratio": q_product_stats_ratio,

@@ -8,7 +8,7 @@ intermediate tables.
 from __future__ import annotations
 
 import os
-import uuid
+import re
 
 from pyspark.sql import SparkSession
 
@@ -60,8 +60,9 @@ def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``, else one beside the tables of
-    ``spark.sql.warehouse.dir``: both are places that the driver and all executors reach."""
+    """The shared folder named by ``spark.checkpoint.dir``. Only in local mode, where driver and
+    executors are one process, an unset one becomes a folder beside the tables of
+    ``spark.sql.warehouse.dir``; a cluster must name a folder that all its machines reach."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -70,22 +71,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
         configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path under the shared checkpoint folder for a written table."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
-
-
 def sf_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """The Hadoop file system that ``path`` names, and a str -> Hadoop Path converter."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = hadoop_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -94,7 +91,7 @@ def _file_system(spark: SparkSession, path: str):
 
 def input_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files under ``path``, on whatever file system it names."""
-    fs, to_path = _file_system(spark, path)
+    fs, to_path = file_system(spark, path)
     return int(fs.getContentSummary(to_path(path)).getLength())
 
 

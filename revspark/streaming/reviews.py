@@ -16,7 +16,7 @@ from revspark.operators.aggregate import product_stats
 from revspark.operators.validate import rejected_reviews, variant_of
 from revspark.plans.process import process_reviews, process_reviews_by_ratio
 from revspark.schemas import REVIEW
-from revspark.session import shared_path
+from revspark.scratch import shared_path
 
 
 def read_review_stream(spark: SparkSession, path: str, schema: T.StructType = REVIEW,

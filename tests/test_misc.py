@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from revspark.operators.transform import when_then
 from revspark.operators.window import rank_top_k
-from revspark.session import checkpoint_dir, shared_path
+from revspark.scratch import shared_path
+from revspark.session import checkpoint_dir
 from tests.conftest import as_set
 
 
