@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -12,14 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revspark.session import checkpoint_dir
+from revspark.scratch import shared_path
 
 U64 = np.uint64
 
 
 def written(df: DataFrame, name: str, merge: bool = True) -> DataFrame:
     """``df`` written as Parquet in the shared checkpoint folder and read back: the lineage is
-    cut there, so a lost executor never sends a later step back to the source.
+    cut there, so a lost executor never sends a later step back to the source. It belongs to the
+    current scratch scope and goes with it.
 
     A file for each core, or one for eight shuffle partitions if that is more: a task takes its
     partitions one after the other, so it needs no more memory, and small tables don't end up as
@@ -27,7 +27,7 @@ def written(df: DataFrame, name: str, merge: bool = True) -> DataFrame:
     rows by task.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(spark, name)
     if merge:
         files = max(spark.sparkContext.defaultParallelism, shuffle_partitions(spark) // 8)
         df = df.coalesce(files)
