@@ -6,15 +6,17 @@ windows with one anchor. The work, over documents dealt into groups by hash and
 table bucketed by group (later steps read a bucket where it lies):
 
 1. Each group posts its distinct anchors by hash range; a range's task sends back to each group
-   those that more documents have, and which of them are hot: posted with HOT_SEGMENTS distinct
-   segments or more. (40 bits of the hash: a chance match costs work, nothing else.)
+   those that more documents have, and into how many shards each is dealt: as many as its distinct
+   segments have SHARD_BYTES, one for nearly all. (40 bits of the hash: a chance match costs work,
+   nothing else.)
 2. Each group posts the distinct segments of those anchors, with the smallest id that has each: a
-   passage in a third of all documents is one row a group. A range's task is a shard: it merges
-   equal segments, builds the suffix array of those that share an anchor but differ, by induced
+   passage in a third of all documents is one row a group. Equal windows have equal hashes, so a
+   window's hash says in which of its anchor's shards it lies; a segment is posted as runs of
+   neighbouring windows of one shard, so an anchor with any number of segments (a common string of
+   31 to 49 bytes between differing words) goes over many ranges, its text with it. A range's task
+   merges equal segments, builds the suffix arrays of those that share a shard but differ, by induced
    sorting, and marks by permuted common prefixes which neighbours have LENGTH bytes in common.
-   Every window gets the smallest id among its equals. Segments of a hot anchor (a common string
-   of 31 to 49 bytes between differing words) are posted as single windows, dealt by the window's
-   own hash, so that no range gets all of them; equal windows meet by that hash, unsorted.
+   Every window gets the smallest id among its equals.
 3. Each group takes the answers, in the order it asked, flags the windows whose smallest id is
    smaller than their document's, and removes what they cover.
 
@@ -29,7 +31,6 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,13 +51,12 @@ from revspark.llm.common import (
 )
 from revspark.llm.packed import pack, unpack
 from revspark.llm.suffix_array import common_prefix_at_least, suffix_array
-from revspark.session import shared_path
+from revspark.scratch import current, shared_path
 
 KEY_BITS = 40
 HELD_BYTES = 16 << 20  # text a map task deals out at once
-SHARD_BYTES = 1 << 20  # text of one suffix array; its last anchor may have as much again
-HOT_SEGMENTS = SHARD_BYTES // (LENGTH + W - 1)  # distinct, over all groups: an anchor is split
-ALONE = 64  # in place of the anchor's offset: a single window of a hot anchor
+SHARD_BYTES = 1 << 20  # text of one suffix array; its last shard may have as much again
+DEALT = 64  # added to the anchor's offset: the segment comes with the key of its shard
 HASH_BYTES = 1 << 20  # text hashed at once
 EXTRA = LENGTH - 1
 
@@ -118,7 +118,7 @@ def dealt_texts(docs: DataFrame, groups: int) -> DataFrame:
     number = F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int")
     packed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"),
                          number.alias("grp")).mapInArrow(work, "grp int, blob binary")
-    name = f"dealt_texts_{uuid.uuid4().hex}"
+    name = current(spark).table("dealt_texts")
     packed.repartition(groups, "grp").write.bucketBy(groups, "grp").option(
         "path", shared_path(spark, "dealt-texts")).saveAsTable(name)
     return spark.table(name)
@@ -147,44 +147,63 @@ class Group:
         for name in ("rows", "first", "counts", "anchor", "kmers", "hashes"):
             setattr(self, name, getattr(self, name)[mask])
 
-    def _among(self, kmers: list[np.ndarray]) -> np.ndarray:
-        known = np.sort(np.concatenate([*kmers, np.zeros(0, np.uint64)]))
+    def _shards(self, shared: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Into how many shards each segment's anchor is dealt; 0: no other document has it."""
+        known = np.concatenate([*(k for k, _ in shared), np.zeros(0, np.uint64)])
+        shards = np.concatenate([*(n for _, n in shared), np.zeros(0, np.uint32)])
+        if not len(known):
+            return np.zeros(len(self.kmers), np.int64)
+        order = np.argsort(known)
+        known, shards = known[order], shards[order].astype(np.int64)
         at = np.searchsorted(known, self.kmers)
         at[at == len(known)] = 0
-        return known[at] == self.kmers if len(known) else np.zeros(len(at), bool)
-
-    def _split(self, hot: np.ndarray) -> None:
-        """Put single windows, dealt by their own hashes, in the place of the ``hot`` segments."""
-        whole, hot = np.flatnonzero(~hot), np.flatnonzero(hot)
-        stops = np.cumsum(self.counts[hot])
-        owner = np.repeat(hot, self.counts[hot])
-        inner = np.arange(len(owner)) - np.repeat(stops - self.counts[hot], self.counts[hot])
-        hashes = np.empty(len(owner), np.uint64)
+        return np.where(known[at] == self.kmers, shards[at], 0)
+
+    def _deal(self, shards: np.ndarray) -> None:
+        """Put runs of neighbouring windows of one shard in the place of segments whose anchor has
+        several. A window's shard is its hash modulo their number."""
+        whole, split = np.flatnonzero(shards == 1), np.flatnonzero(shards > 1)
+        counts = self.counts[split]
+        stops = np.cumsum(counts)
+        owner = np.repeat(split, counts)
+        inner = np.arange(len(owner)) - np.repeat(stops - counts, counts)
+        number = np.empty(len(owner), np.int64)
         step = HASH_BYTES // (LENGTH + W - 1)
-        for at in range(0, len(hot), step):
-            some = hot[at:at + step]
-            own = slice(int(stops[at] - self.counts[some[0]]), int(stops[at + len(some) - 1]))
+        for at in range(0, len(split), step):
+            some = split[at:at + step]
+            own = slice(int(stops[at] - counts[at]), int(stops[at + len(some) - 1]))
             sizes = self.counts[some] + EXTRA
             starts = np.repeat(np.cumsum(sizes) - sizes, self.counts[some]) + inner[own]
             sums = prefix_sums(_gather(self.data, self.first[some], sizes))
-            hashes[own] = span(sums, starts, LENGTH)
-        self.home = np.concatenate([self.kmers[whole], self.kmers[owner]])
-        dealt = mix(hashes ^ U64(ALONE)) >> U64(64 - KEY_BITS)
+            number[own] = (span(sums, starts, LENGTH) >> U64(1)).astype(np.int64)
+        number %= shards[owner]
+        new = inner == 0
+        new[1:] |= number[1:] != number[:-1]
+        runs = np.flatnonzero(new)
+        of, at, number = owner[runs], inner[runs], number[runs]
+        sizes = np.diff(np.append(runs, len(owner)))
+        anchor = self.anchor[of] - at
+        first = self.first[of] + at
+        hashes = np.empty(len(of), np.uint64)
+        for a in range(0, len(of), step):
+            own = slice(a, a + step)
+            text = sizes[own] + EXTRA
+            sums = prefix_sums(_gather(self.data, first[own], text))
+            hashes[own] = _segment_hashes(sums, np.cumsum(text) - text, text, sizes[own], anchor[own])
+        dealt = mix(self.kmers[of] ^ mix(number.astype(np.uint64) + U64(1))) >> U64(64 - KEY_BITS)
         self.kmers = np.concatenate([self.kmers[whole], dealt])
         self.hashes = np.concatenate([self.hashes[whole], hashes])
-        self.rows = np.concatenate([self.rows[whole], self.rows[owner]])
-        self.first = np.concatenate([self.first[whole], self.first[owner] + inner])
-        self.counts = np.append(self.counts[whole], np.ones(len(owner), self.counts.dtype))
-        self.anchor = np.append(self.anchor[whole], np.full(len(owner), ALONE, self.anchor.dtype))
+        self.rows = np.concatenate([self.rows[whole], self.rows[of]])
+        self.first = np.concatenate([self.first[whole], first])
+        self.counts = np.concatenate([self.counts[whole], sizes.astype(self.counts.dtype)])
+        self.anchor = np.concatenate([self.anchor[whole], anchor + DEALT])
 
     def select(self, shared: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """Keep the segments of shared anchors, those of hot ones as windows; number the distinct
-        ones by (anchor, hash)."""
-        self._keep(self._among([kmers for kmers, _ in shared]))
-        self.home = self.kmers
-        hot = self._among([kmers[hot] for kmers, hot in shared])
-        if hot.any():
-            self._split(hot)
+        """Keep the segments of shared anchors, as they are dealt into shards; number the distinct
+        ones by (shard, hash)."""
+        shards = self._shards(shared)
+        self._keep(shards > 0)
+        self._deal(shards[shards > 0])
         order = np.lexsort((self.hashes, self.kmers))
         k, h = self.kmers[order], self.hashes[order]
         new = np.ones(len(k), bool)
@@ -237,8 +256,8 @@ def post_anchors(ranges: int):
 
 
 def shared_anchors(table: pa.Table) -> pa.Table:
-    """For each group, its anchors that another group or another of its documents has, and whether
-    they are hot."""
+    """For each group, its anchors that another group or another of its documents has, and into how
+    many shards they are dealt."""
     parts = [unpack(b.as_buffer()) for b in table.column("blob")]
     every = np.sort(np.concatenate([p[0] for p in parts]))
     often = np.zeros(len(every), bool)
@@ -250,12 +269,15 @@ def shared_anchors(table: pa.Table) -> pa.Table:
         at = np.searchsorted(several, kmers[own])
         segments_of[at] += n_distinct[own]
         asked.append(at)
-    hot = segments_of >= HOT_SEGMENTS
+    # As whole segments if one shard takes them, else as windows with their own bytes at worst; small
+    # shards, so that ranges get about as much each.
+    shards = np.where(segments_of * (LENGTH + W - 1) <= SHARD_BYTES, 1,
+                      -(-4 * segments_of * W * LENGTH // SHARD_BYTES)).astype(np.uint32)
     groups, blobs = [], []
     for number, at in zip(table.column("grp").to_pylist(), asked):
         if len(at):
             groups.append(number)
-            blobs.append(pack(several[at], hot[at], ascending=1))
+            blobs.append(pack(several[at], shards[at], ascending=1))
     return _binary_table(grp=groups, blob=blobs)
 
 
@@ -271,12 +293,11 @@ def post_segments(ranges: int):
         for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
             if b > a:
                 own = group.distinct[a:b]
-                alone = group.anchor[own] == ALONE
-                rest = own[~alone]
-                text = _gather(group.data, group.first[rest], group.counts[rest] + EXTRA)
+                text = _gather(group.data, group.first[own], group.counts[own] + EXTRA)
+                dealt = own[group.anchor[own] >= DEALT]
                 out.append(pack(group.counts[own].astype(np.uint8),
                                 group.anchor[own].astype(np.uint8), group.least[a:b], text,
-                                group.home[own[alone]], group.hashes[own[alone]]))
+                                group.kmers[dealt]))
                 rows.append(i)
         del group
         give_back()
@@ -305,10 +326,17 @@ def window_minima(text: np.ndarray, starts: np.ndarray, counts: np.ndarray, leas
     return out
 
 
+def _segment_hashes(sums: np.ndarray, starts: np.ndarray, sizes: np.ndarray, counts: np.ndarray,
+                    anchors: np.ndarray) -> np.ndarray:
+    """Hashes of segments (text, windows and the anchor's offset), as ``segments`` has them."""
+    with np.errstate(over="ignore"):
+        return mix(span(sums, starts, sizes) + counts.astype(np.uint64) * U64(W + 1)
+                   + anchors.astype(np.uint64))
+
+
 def _hashes(text: np.ndarray, starts: np.ndarray, sizes: np.ndarray, counts: np.ndarray,
             anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of segments that lie side by side in ``text``, and of their anchors, as ``segments``
-    has them."""
+    """Hashes of segments that lie side by side in ``text``, and of their anchors."""
     hashes, kmers = np.empty(len(starts), np.uint64), np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):
@@ -316,10 +344,7 @@ def _hashes(text: np.ndarray, starts: np.ndarray, sizes: np.ndarray, counts: np.
         own = slice(at, end)
         base = starts[at]
         sums = prefix_sums(text[base:starts[end - 1] + sizes[end - 1]])
-        with np.errstate(over="ignore"):
-            hashes[own] = mix(span(sums, starts[own] - base, sizes[own])
-                              + counts[own].astype(np.uint64) * U64(W + 1)
-                              + anchors[own].astype(np.uint64))
+        hashes[own] = _segment_hashes(sums, starts[own] - base, sizes[own], counts[own], anchors[own])
         kmers[own] = span(sums, starts[own] + anchors[own] - base, K)
         at = end
     return hashes, kmers
@@ -331,13 +356,12 @@ def answer_segments(table: pa.Table) -> pa.Table:
     parts = [unpack(b.as_buffer()) for b in table.column("blob")]
     counts, anchors = (np.concatenate([p[k] for p in parts]).astype(np.int64) for k in (0, 1))
     least, text = (np.concatenate([p[k] for p in parts]) for k in (2, 3))
-    alone = anchors == ALONE  # posted as hashes, without text
-    sizes = np.where(alone, 0, counts + EXTRA)
+    dealt = anchors >= DEALT  # their shards' keys are posted; others' are their anchors
+    anchors[dealt] -= DEALT
+    sizes = counts + EXTRA
     starts = np.cumsum(sizes) - sizes
-    kmers, hashes = (np.empty(len(counts), np.uint64) for _ in range(2))
-    hashes[~alone], kmers[~alone] = _hashes(
-        text, *(x[~alone] for x in (starts, sizes, counts, anchors)))
-    kmers[alone], hashes[alone] = (np.concatenate([p[k] for p in parts]) for k in (4, 5))
+    hashes, kmers = _hashes(text, starts, sizes, counts, anchors)
+    kmers[dealt] = np.concatenate([p[4] for p in parts])
     order = np.lexsort((hashes, kmers))
     k, h = kmers[order], hashes[order]
     new = np.append(True, (k[1:] != k[:-1]) | (h[1:] != h[:-1]))
@@ -348,14 +372,14 @@ def answer_segments(table: pa.Table) -> pa.Table:
     smallest = np.minimum.reduceat(least[order], first)
     anchor_first = np.append(True, k[first][1:] != k[first][:-1])
     per_anchor = np.diff(np.append(np.flatnonzero(anchor_first), len(own)))
-    differ = np.flatnonzero((np.repeat(per_anchor, per_anchor) > 1) & ~alone[own])
+    differ = np.flatnonzero(np.repeat(per_anchor, per_anchor) > 1)
 
     n_minima = np.ones(len(own), np.int64)
     minima: list[tuple[np.ndarray, np.ndarray]] = []
     at = 0
     held = np.cumsum(sizes[own[differ]])
     borders = np.flatnonzero(anchor_first[differ])
-    while at < len(differ):  # shards of whole anchors
+    while at < len(differ):  # whole shards, small ones together
         base = held[at - 1] if at else 0
         end = int(np.searchsorted(held, base + SHARD_BYTES))
         following = borders[np.searchsorted(borders, max(end, at + 1)):]

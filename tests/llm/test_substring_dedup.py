@@ -167,13 +167,13 @@ def test_hot_anchor_is_split_over_ranges_and_shards(monkeypatch):
                         lambda text, depth: sizes.append(len(text)) or whole(text, depth))
     got, largest, posted = removed_in_process(ids, texts)
     assert got == brute_force(ids, texts)
-    assert max(sizes, default=0) <= 2 * module.SHARD_BYTES
+    assert sizes and max(sizes) <= 2 * module.SHARD_BYTES
     assert largest <= 1.5 * posted / 8
 
 
-@pytest.mark.parametrize("hot", [1, 3, 10])
-def test_split_anchors_equal_brute_force(monkeypatch, hot):
-    monkeypatch.setattr(module, "HOT_SEGMENTS", hot, raising=False)
+@pytest.mark.parametrize("shard_bytes", [60, 500, 5000])
+def test_split_anchors_equal_brute_force(monkeypatch, shard_bytes):
+    monkeypatch.setattr(module, "SHARD_BYTES", shard_bytes)
     texts = passages(7) + [t or "" for t in odd_texts(n=20)]
     ids = [random.Random(i).choice([1, 2, 2, 3, i, 2 * i]) for i in range(len(texts))]
     assert removed_in_process(ids, texts)[0] == brute_force(ids, texts)
@@ -198,3 +198,21 @@ def test_permuted_prefixes_equal_direct_comparison(alphabet):
         assert any(want.values())
     for n in (0, 1):
         assert len(common_prefix_at_least(text, suffixes[:n], length)) == 0
+
+
+def test_windows_of_split_anchors_are_told_apart_by_their_bytes(monkeypatch):
+    """With every window's hash alike, only the suffix arrays can tell them apart."""
+    monkeypatch.setattr(module, "SHARD_BYTES", 2000)
+    seen = []
+    minima = module.window_minima
+    monkeypatch.setattr(module, "window_minima",
+                        lambda text, *rest: seen.append(len(text)) or minima(text, *rest))
+    rnd = random.Random(14)
+    say = lambda n: "".join(rnd.choice("abcdef ") for _ in range(n))
+    menu = "Home | News | About us | Terms of licence | "
+    texts = [say(30) + menu + say(30) for _ in range(300)]
+    for i in range(0, 200, 2):
+        texts[i] = texts[i][:-30] + texts[i + 1][-30:]
+    ids = list(range(len(texts)))
+    assert removed_in_process(ids, texts)[0] == brute_force(ids, texts)
+    assert len(seen) > 5
