@@ -9,9 +9,11 @@ with the logistic loss; where the second part is negative (the classifier has be
 positive examples hidden in the unlabelled text), the step goes the other way.
 
 Training reads a bounded sample, chosen by id hash: ``MAX_POSITIVE`` confirmed examples and
-``MAX_UNLABELLED`` documents of any kind, neither from held-out rows. What reaches the driver is
-bounded too: at most ``MAX_FEATURES`` candidate features and, per sampled document, which of them
-it has. The prior is the toxic share of all labelled rows that are not held out. Scoring is one
+``MAX_UNLABELLED`` documents of any kind, neither from held-out rows. A feature is a candidate if it
+is significantly more frequent in the confirmed examples than in other text (``MIN_EVIDENCE``, a
+likelihood ratio); of the candidates the ``MAX_FEATURES`` with the highest ratio of frequencies are
+the model's, and their weights decide. What reaches the driver is bounded too: these features and,
+per sampled document, which of them it has. The prior is the toxic share of all labelled rows that are not held out. Scoring is one
 narrow map over all documents and whole texts.
 
 Defined results: a null text is empty and scores the classifier's bias; a null id is not held
@@ -26,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revspark.llm.common import (
@@ -45,8 +47,7 @@ from revspark.llm.common import (
 MAX_POSITIVE = 3000
 MAX_UNLABELLED = 9000
 MAX_FEATURES = 8192
-MIN_SHARE = 0.004  # of the confirmed examples, that a feature must be in
-MIN_RATIO = 20.0  # how much more often a feature is in toxic than in other text
+MIN_EVIDENCE = 20.0  # G of a feature's counts in toxic and in other text; by chance one in 100,000
 BEGINNINGS = (4, 5, 6)  # bytes
 THRESHOLD = 0.7
 STEPS, RATE, PENALTY = 1500, 0.05, 3e-5
@@ -144,6 +145,20 @@ def train_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], n_featu
     return theta[:-1], float(theta[-1])
 
 
+def told_apart(p: Column, u: Column, n_p: float, n_u: float, prior: float
+               ) -> tuple[Column, Column]:
+    """How many times as frequent a feature is in toxic as in other text, and the evidence for it (G,
+    the logarithm of a likelihood ratio, doubled). The unlabelled text is a mixture; without its
+    share of toxic text it shows the rest. Half an example is added to either side."""
+    size = n_u * (1 - prior)
+    rest = F.greatest(F.lit(0.0), u - F.lit(prior * n_u / n_p) * p) + F.lit(0.5)
+    own = p + F.lit(0.5)
+    together = (own + rest) / F.lit(n_p + size + 1)
+    part = lambda x, n: x * F.log(x / (F.lit(n) * together))
+    ratio = (own / F.lit(n_p + 0.5)) / (rest / F.lit(size + 0.5))
+    return ratio, F.lit(2.0) * (part(own, n_p + 0.5) + part(rest, size + 0.5))
+
+
 def fit(documents: DataFrame, confirmed: DataFrame, prior: float,
         max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> Model:
     """Train from ``confirmed`` ids (doc_id) and text of ``documents`` (doc_id, text)."""
@@ -167,26 +182,31 @@ def fit(documents: DataFrame, confirmed: DataFrame, prior: float,
     sample = documents.join(F.broadcast(wanted), "doc_id")
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Features of a task's confirmed examples, and in how many of them each is."""
+        """Features of a task's examples: in how many confirmed ones and in how many of the
+        unlabelled sample each is."""
         for batch in slices(batches, "text"):
             rows, found = features(*utf8(batch.column(1)))
             order = np.lexsort((found, rows))
             rows, found = rows[order], found[order]
             new = np.ones(len(rows), bool)
             new[1:] = (found[1:] != found[:-1]) | (rows[1:] != rows[:-1])
-            keys, counts = np.unique(found[new], return_counts=True)
+            keys, at = np.unique(found[new], return_inverse=True)
+            ids = batch.column(0).to_pylist()
+            counts = [np.bincount(at, np.array([i in some for i in ids], float)[rows[new]], len(keys))
+                      for some in (positive, unlabelled)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(counts)], names=["feature", "n"])
-
-    confirmed_ids = spark.createDataFrame([(i,) for i in positive], "doc_id long")
-    of_positive = sample.join(F.broadcast(confirmed_ids), "doc_id")
-    frequent = (
-        of_positive.select("doc_id", "text").mapInArrow(shared, "feature long, n long")
-        .groupBy("feature").agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= max(2, int(MIN_SHARE * len(positive))))
-        .orderBy(F.desc("n"), "feature").limit(MAX_FEATURES).collect()
-    )
-    keys = np.sort(np.array([r["feature"] for r in frequent], np.int64).view(np.uint64))
+                [pa.array(keys.view(np.int64)), *[pa.array(c) for c in counts]],
+                names=["feature", "p", "u"])
+
+    sizes = [max(1.0, float(n)) for n in (len(positive), len(unlabelled))]
+    counted = sample.select("doc_id", "text").mapInArrow(
+        shared, "feature long, p double, u double").groupBy("feature").agg(
+        F.sum("p").alias("p"), F.sum("u").alias("u"))
+    ratio, evidence = told_apart(F.col("p"), F.col("u"), *sizes, prior)
+    telling = counted.where(F.col("p") >= 2).select("feature", ratio.alias("r"), evidence.alias("g"))
+    chosen = telling.where((F.col("r") > 1) & (F.col("g") >= MIN_EVIDENCE)).orderBy(
+        F.desc("r"), "feature").limit(MAX_FEATURES).collect()
+    keys = np.sort(np.array([r["feature"] for r in chosen], np.int64).view(np.uint64))
 
     def which(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         selected = Selected(keys)
@@ -208,16 +228,9 @@ def fit(documents: DataFrame, confirmed: DataFrame, prior: float,
     examples = {i: values[a:b].astype(np.int64) for i, a, b in zip(
         table.column("doc_id").to_pylist(), offs, offs[1:])}
     of = lambda ids: [examples[i] for i in sorted(ids) if i in examples]
-    share = lambda xs: np.bincount(
-        np.concatenate([*xs, np.zeros(0, np.int64)]), minlength=len(keys)) / max(1, len(xs))
     p, u = of(positive), of(unlabelled)
-    # The unlabelled text is a mixture; without its share of toxic text it shows the rest.
-    rest = np.maximum(0, share(u) - prior * share(p)) / (1 - prior)
-    telling = share(p) > MIN_RATIO * rest
-    number = np.cumsum(telling) - 1
-    p, u = ([number[x[telling[x]]] for x in xs] for xs in (p, u))
-    weights, bias = train_nnpu(p, u, int(telling.sum()), prior)
-    return Model(keys[telling], weights, bias)
+    weights, bias = train_nnpu(p, u, len(keys), prior)
+    return Model(keys, weights, bias)
 
 
 def score(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
@@ -248,7 +261,9 @@ def below(documents: DataFrame, model: Model, threshold: float = THRESHOLD,
                 keep = scorer(*utf8(texts)) < threshold
                 yield part.filter(pa.array(keep))
 
-    return documents.mapInArrow(work, documents.schema)
+    # By number, as a name may hold a dot.
+    numbered = documents.toDF(*[f"c{i}" for i in range(len(documents.columns))])
+    return numbered.mapInArrow(work, numbered.schema).toDF(*documents.columns)
 
 
 def fit_from_labels(documents: DataFrame, labels: DataFrame, modulus: int = 3,

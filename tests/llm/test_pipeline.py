@@ -122,3 +122,22 @@ def test_empty_documents(spark, tables):
     folder = tables[0]
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, documents(spark, []), folder).count() == 0
+
+
+CLASHING = ("kept", "__rows", "__id", "__key", "found_n", "found__kept", "n", "component", "text_key",
+            "score", "a.b", "Doc Id")
+
+
+def test_stages_keep_columns_of_any_name(spark, tables):
+    folder, rows, _, _ = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    plain = docs
+    clash = docs.select("*", *[F.col("n_chars").cast("string").alias(c) for c in CLASHING
+                               if c not in docs.columns])
+    for k in range(4):
+        stage = corpus_pipeline.STAGES[k][1]
+        small, wide = stage(spark, plain, folder), stage(spark, clash, folder)
+        assert wide.columns == clash.columns
+        pick = lambda df: sorted(
+            ((r["doc_id"], r["text"], r["n_chars"]) for r in df.collect()), key=repr)
+        assert pick(small) == pick(wide)
