@@ -30,15 +30,29 @@ TOKENIZER, END_ID = "byte_bpe_50k.json", 0
 ORACLE_SQL = None  # trained, merged and tokenised: SQL can't express it
 
 
+def _column(df: DataFrame, name: str) -> Column:
+    return df["`" + name.replace("`", "``") + "`"]
+
+
 def _text_key(docs: DataFrame) -> Column:
     return F.xxhash64(F.coalesce(docs["text"], F.lit("")))
 
 
-def _matched(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    """``docs`` joined with results of an operator, by id (null ids too) and text."""
-    found = found.withColumnsRenamed({"doc_id": "__id", "text_key": "__key"})
-    same = docs["doc_id"].eqNullSafe(found["__id"]) & (_text_key(docs) == found["__key"])
-    return docs.join(found, same, how)
+def _matched(docs: DataFrame, found: DataFrame, how: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` joined with results of an operator, by id (null ids too) and text; and the names that
+    the results' columns have there, which are no columns of ``docs``."""
+    prefix = "found_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    names = {c: prefix + c for c in found.columns}
+    found = found.withColumnsRenamed(names)
+    same = docs["doc_id"].eqNullSafe(found[names["doc_id"]])
+    same = same & (_text_key(docs) == found[names["text_key"]])
+    return docs.join(found, same, how), names
+
+
+def _as_before(joined: DataFrame, docs: DataFrame) -> DataFrame:
+    return joined.select(*[_column(docs, c) for c in docs.columns])
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,18 +65,19 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: of each group of near copies the document with the smallest id stays."""
     small_batches(spark)
     found = written(near_duplicates(docs, with_key=True), "near-copies")
-    rows = found.groupBy("doc_id", "text_key", "component").agg(F.count(F.lit(1)).alias("__rows"))
+    rows = found.groupBy("doc_id", "text_key", "component").agg(F.count(F.lit(1)).alias("n"))
     # The first of each group by (id, key): a group of any size is one row a task before the shuffle.
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    each = F.struct(order.alias("o"), "__rows")
+    each = F.struct(order.alias("o"), "n")
     first = rows.where("component IS NOT NULL").groupBy("component").agg(F.min(each).alias("m"))
-    wordless = rows.where("component IS NULL").select("doc_id", "text_key", F.lit(1).alias("__rows"))
-    kept = first.select("m.o.doc_id", "m.o.text_key", "m.__rows").unionByName(wordless)
-    joined = _matched(docs, kept, "inner")
+    wordless = rows.where("component IS NULL").select("doc_id", "text_key", F.lit(1).alias("n"))
+    kept = first.select("m.o.doc_id", "m.o.text_key", "m.n").unionByName(wordless)
+    joined, names = _matched(docs, kept, "inner")
     # Rows equal in id and text are copies too; few rows are, so only they are shuffled again.
-    single = joined.where(F.col("__rows") == 1).select(*docs.columns)
-    repeated = joined.where(F.col("__rows") > 1).dropDuplicates(["__id", "__key"])
-    return single.unionByName(repeated.select(*docs.columns))
+    single = joined.where(F.col(names["n"]) == 1)
+    repeated = joined.where(F.col(names["n"]) > 1).dropDuplicates(
+        [names["doc_id"], names["text_key"]])
+    return _as_before(single, docs).unionByName(_as_before(repeated, docs))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,19 +86,20 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     small_batches(spark)
     found = substring_dedup(docs, with_text=True).where("n_removed > 0")
     changed = found.select("doc_id", "text_key", "kept").dropDuplicates(["doc_id", "text_key"])
-    joined = _matched(docs, changed, "left")
-    text = F.when(F.col("kept").isNotNull(), F.col("kept")).otherwise(docs["text"])
-    columns = {"text": text}
+    joined, names = _matched(docs, changed, "left")
+    kept = F.col(names["kept"])
+    columns = {"text": F.when(kept.isNotNull(), kept).otherwise(docs["text"])}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("kept").isNotNull(), F.length("kept")).otherwise(
+        columns["n_chars"] = F.when(kept.isNotNull(), F.length(kept)).otherwise(
             docs["n_chars"]).cast(docs.schema["n_chars"].dataType)
-    return joined.select(*[columns.get(c, docs[c]).alias(c) for c in docs.columns])
+    return joined.select(*[columns.get(c, _column(docs, c)).alias(c) for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: documents that hold a window of a benchmark item go."""
     found = contamination(docs, sf_table(spark, sf_dir, "benchmark"))
-    return _matched(docs, found.where("contaminated").select("doc_id", "text_key"), "left_anti")
+    found = found.where("contaminated").select("doc_id", "text_key")
+    return _as_before(_matched(docs, found, "left_anti")[0], docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
