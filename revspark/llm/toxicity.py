@@ -50,7 +50,7 @@ MAX_FEATURES = 8192
 MIN_EVIDENCE = 20.0  # G of a feature's counts in toxic and in other text; by chance one in 100,000
 BEGINNINGS = (4, 5, 6)  # bytes
 THRESHOLD = 0.7
-STEPS, RATE, PENALTY = 1500, 0.05, 3e-5
+STEPS, RATE, PENALTY = 4000, 0.05, 3e-5
 
 # Words: letters and digits of ASCII, and all bytes of other characters.
 WORD_BYTES = np.zeros(256, bool)
