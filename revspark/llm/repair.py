@@ -256,7 +256,8 @@ def write_blocks(df: DataFrame, tokenizer: str, end_id: int, terminals: int,
     parts = shuffle_partitions(df.sparkSession)
     ordered = (
         id_and_text(df, id_col, text_col)
-        .repartitionByRange(parts, "doc_id")
+        # Rows of one id, or of none, are dealt by their text.
+        .repartitionByRange(parts, "doc_id", F.xxhash64("text"))
         .sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     )
     return written(ordered.mapInArrow(work, BLOCKS), "token-blocks", merge=False)

@@ -1,7 +1,8 @@
 """Token ids of whole texts by the tokenizers library, with a worker's memory of pieces.
 
 Both file kinds encode the pieces of a text independently: byte-level files split it by
-``pretoken``, word files drop white space, so the text's white-space separated words are pieces.
+``pretoken``, word files drop white space, so the text's white-space separated words are pieces,
+without the stops behind them, and in lower case if the file has no other.
 The library encodes each piece when a worker first meets it; the ids of a text are gathered from
 the pieces' ids with numpy. A text that holds a special string goes to the library whole.
 """
@@ -12,12 +13,15 @@ import os
 
 import numpy as np
 
-from revspark.llm.common import BYTE_VALUES, SPACES, kept, lookup, span_hashes, word_spans
+from revspark.llm.common import BYTE_VALUES, LOWER, SPACES, kept, lookup, span_hashes, word_spans
 from revspark.llm.piece_table import PieceTable
 from revspark.llm.pretoken import Classes, split
 
 MAX_PIECES = 2_000_000  # pieces a worker remembers; later ones are encoded in each batch anew
 NOT_ASCII_SPACE = lookup(SPACES)
+ASCII_LETTER = np.zeros(256, bool)
+ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
+STOPS = b".,;:!?"  # pieces of their own behind an ASCII letter, if the file takes them apart too
 
 
 class Encoder:
@@ -30,11 +34,21 @@ class Encoder:
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
         byte_level = type(self.library.pre_tokenizer).__name__ == "ByteLevel"
         self.classes = Classes(self.library.pre_tokenizer) if byte_level else None
+        self.lower, self.stops = False, np.zeros(256, bool)
+        if self.classes is None:
+            normal = self.library.normalizer
+            self.lower = normal is not None and normal.normalize_str("AZ") == "az"
+            self.stops[[b for b in STOPS if self._apart(chr(b))]] = True
         self.table = PieceTable(MAX_PIECES)
         self.ids = np.zeros(0, np.uint16)  # of the known pieces
         self.start = np.zeros(MAX_PIECES, np.int32)
         self.count = np.zeros(MAX_PIECES, np.int32)
 
+    def _apart(self, stop: str) -> bool:
+        """Whether a run of stops behind a letter is a piece of its own."""
+        ids = lambda text: self.library.encode(text, add_special_tokens=False).ids
+        return all(ids("ab" + x) == ids("ab") + ids(x) for x in (stop, stop * 3, stop + ".,!"))
+
     def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces, each encoded by itself, and the number of ids of each."""
         ids, counts = [], []
@@ -52,7 +66,18 @@ class Encoder:
         whole = b"".join(rows)
         data = np.frombuffer(whole, np.uint8)
         offs = np.concatenate([[0], np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)))])
+        if self.lower:
+            data = LOWER[data]
+            whole = data.tobytes()
         starts, ends, before = word_spans(data, offs, NOT_ASCII_SPACE)
+        if len(starts) and self.stops.any():
+            # Where the stops at a word's end begin; apart if a letter is before them.
+            inner = np.where(self.stops[data], 0, np.arange(1, len(data) + 1, dtype=np.int32))
+            cuts = np.maximum.accumulate(inner)[ends - 1]
+            cuts = cuts[(cuts < ends) & (cuts > starts)].astype(np.int64)
+            cuts = cuts[ASCII_LETTER[data[cuts - 1]]]
+            starts, ends = (np.sort(np.concatenate([x, cuts])) for x in (starts, ends))
+            before = np.searchsorted(starts, offs)
         return whole, starts, ends, span_hashes(BYTE_VALUES[data], starts, ends), np.diff(before)
 
     def _new(self, whole, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray

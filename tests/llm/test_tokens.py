@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from revspark.llm import packing, repair
+from revspark.llm import packing, repair, token_ids
 from revspark.llm.pretoken import chunk_maps, compose_maps
 from revspark.llm.token_counts import token_counts
 from tests.llm.helpers import documents, odd_texts, rows
@@ -135,8 +135,38 @@ def test_blocks_round_trip(spark, shard_tokens):
 def test_blocks_with_repeated_and_null_ids(spark):
     df = documents(spark, ["b", "a", None, "c"], [3, 3, 3, None])
     got = repair.read_blocks(repair.write_blocks(df, WORD, 1, 49408)).collect()
-    assert sorted(r["start"] for r in got) == [0, 2, 3, 5] or len(got) == 4
-    assert [r["start"] for r in got if r["doc_id"] is None] == [0]
+    # The null id first, then rows of one id in the order of their text's hash.
+    sizes = {None: len(ids_of(WORD, ["c"])[0]) + 1}
+    assert [(r["start"], r["n_tokens"]) for r in got if r["doc_id"] is None] == [(0, sizes[None])]
+    rest = sorted((r["start"], r["n_tokens"], r["ids_crc32"]) for r in got if r["doc_id"] == 3)
+    at = sizes[None]
+    for start, n, _ in rest:
+        assert start == at
+        at += n
+    want = sorted((len(x) + 1, crc(x + [1])) for x in ids_of(WORD, ["b", "a", ""]))
+    assert sorted(r[1:] for r in rest) == want
+
+
+def test_words_with_stops_and_capitals_are_those_of_the_library():
+    rnd = random.Random(6)
+    signs = ["a", "B", "Zz", "é", "É", "Σ", "ß", "ſ", "1", "'s", "'", ".", ",", "...", "!?", ";", "…", "。",
+             "\u0301", " ", " ", "\n", "-", "_", "İ", "漢", "\u200b", "\u00a0"]
+    texts = ["".join(rnd.choice(signs) for _ in range(rnd.randint(0, 30))) for _ in range(4000)]
+    encode = token_ids.Encoder(public_tokenizers.path(WORD))
+    assert encode.lower and encode.stops[ord(".")]
+    for _ in range(2):
+        found, sizes = encode(texts)
+        parts = np.split(found, np.cumsum(sizes)[:-1])
+        for text, got, want in zip(texts, parts, ids_of(WORD, texts)):
+            assert got.tolist() == want, text
+
+
+def test_null_and_repeated_ids_are_spread_over_parts(spark):
+    texts = [f"text number {i}." for i in range(400)]
+    for ids in ([None] * 400, [7] * 400):
+        blocks = repair.write_blocks(documents(spark, texts, ids), WORD, 1, 49408).collect()
+        assert len({b["part"] for b in blocks}) > 2
+        assert sum(b["tokens"] for b in blocks) == sum(len(x) + 1 for x in ids_of(WORD, texts))
 
 
 def test_repair_grammar_round_trip_and_random_access():
