@@ -2,7 +2,7 @@
 
 A document is the set of its distinct 5-word shingles (52-bit hashes). Two documents link when
 100 * intersection >= 75 * union. A set of n shingles needs T = ceil(0.75 n) of them in common
-with any partner; DivideSkip merges the n - T + 1 short lists and probes the T - 1 long ones.
+with any partner; DivideSkip merges the n - T + 1 short lists, counting, and probes the T - 1 long ones.
 Here, with lists spread over the cluster:
 
 1. Lists. Map tasks sort runs of documents' shingles and cut them by hash range; a range's task
@@ -15,11 +15,14 @@ Here, with lists spread over the cluster:
 3. Stars. Documents left are compared with the most central one among those that share their
    smallest hashed shingle, for a few hash functions: linear in the documents, however large a
    group of near copies. Connected components follow.
-4. Exact rest. Short lists are joined for pairs of *different* components (a list within one
-   component has nothing to add, so a large group of near copies emits no pairs), under the length
-   and the positional bound.
-5. Every candidate pair is decided exactly: the smaller set's shingles are probed by binary
-   search in the larger one's sorted array (shingles of a single document can't be common).
+4. Merging. Short lists are merged between documents of *different* components (a list within one
+   component has nothing to add, so a large group of near copies emits no pairs), by shingle and
+   length band, long lists in parts: a grouped count says how many short lists two documents share.
+   Those that have the required overlap link; those that can't reach it with all that is behind their
+   last shared list are out.
+5. Probing. What is left is decided on the long lists: the smaller set's shingles are probed by binary
+   search in the larger one's sorted array, which holds the lists that its document is on (shingles of
+   a single document can't be common).
 6. Components over all links; a document's component_id is the smallest id in its component.
 
 Equal sets are one node throughout (a fingerprint of the set). Nothing of the size of the
@@ -67,6 +70,8 @@ KEY_BITS = 52
 RUN_SHINGLES = 1_000_000  # shingles a map task sorts at once: some 100 MB of a worker
 ROW_BITS = 24  # of a node's number, for its place in the run
 STAR_KEYS = 3
+LIST_ROWS = 20_000  # documents of a list that one task merges
+PROBED = 500_000  # shingles of the pairs that are probed at once
 NOT_SPACE = lookup(SPACES)
 
 
@@ -253,31 +258,57 @@ def prefixes(lists: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     return lists.groupBy("run").applyInArrow(work, SETS)
 
 
+def in_common(smaller: list[np.ndarray], larger: list[np.ndarray]) -> np.ndarray:
+    """How many of each smaller set's shingles are in the larger one: all are probed by one binary
+    search, each among its own partner's (sorted arrays, at most 4096 pairs)."""
+    tag = lambda sets: np.concatenate(
+        [s | U64(i << KEY_BITS) for i, s in enumerate(sets)] or [np.zeros(0, U64)])
+    lists, probes = tag(larger), tag(smaller)
+    owner = (probes >> U64(KEY_BITS)).astype(np.int64)
+    if not len(lists):
+        return np.zeros(len(smaller), np.int64)
+    at = np.minimum(np.searchsorted(lists, probes), len(lists) - 1)
+    return np.bincount(owner[lists[at] == probes], minlength=len(smaller))
+
+
 def linked(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """Of distinct candidate pairs (a, b: prints; node_a, node_b), those that link."""
 
+    def decided(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+        """(row, common shingles) of a batch's pairs, some thousands of shingles at a time."""
+        known: dict[int, np.ndarray] = {}
+
+        def unpacked(row: int, side: str) -> np.ndarray:
+            node = batch.column(f"node_{side}")[row].as_py()
+            if node not in known:
+                known[node] = unpack(batch.column(f"set_{side}")[row].as_buffer())[0]
+            return known[node]
+
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size, first = 0, 0
+        for row in range(batch.num_rows):
+            a, b = unpacked(row, "a"), unpacked(row, "b")
+            held.append((a, b) if len(a) <= len(b) else (b, a))
+            size += len(a) + len(b)
+            if size >= PROBED or len(held) == 4096 or row == batch.num_rows - 1:
+                common = in_common(*(list(x) for x in zip(*held)))
+                yield from zip(range(first, row + 1), common.tolist())
+                held, size, first = [], 0, row + 1
+                known.clear()
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            sizes_a, sizes_b = (batch.column(c).to_numpy() for c in ("size_a", "size_b"))
-            for i in range(batch.num_rows):
-                a, b = (unpack(batch.column(c)[i].as_buffer())[0] for c in ("set_a", "set_b"))
-                if len(a) > len(b):
-                    a, b = b, a
-                at = np.searchsorted(b, a)
-                at[at == len(b)] = 0
-                common = int((b[at] == a).sum())
-                union = int(sizes_a[i] + sizes_b[i]) - common
-                keep[i] = 100 * common >= similarity * union
+            common = np.array([c for _, c in decided(batch)], np.int64)
+            sizes = sum(batch.column(c).to_numpy() for c in ("size_a", "size_b"))
+            keep = pa.array(100 * common >= similarity * (sizes - common))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))],
-                names=["a", "b"])
+                [batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
     side = lambda s: sets.select(F.col("node").alias(f"node_{s}"),
                                  F.col("n_shingles").alias(f"size_{s}"),
                                  F.col("shared").alias(f"set_{s}"))
     both = pairs.join(side("a"), "node_a").join(side("b"), "node_b")
-    return both.select("a", "b", "size_a", "size_b", "set_a", "set_b").mapInArrow(
+    return both.select("a", "b", "node_a", "node_b", "size_a", "size_b", "set_a", "set_b").mapInArrow(
         work, "a long, b long")
 
 
@@ -309,32 +340,59 @@ def star_links(nodes: DataFrame, sets: DataFrame, similarity: int = SIMILARITY)
     return links
 
 
-def rest_pairs(nodes: DataFrame, labels: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """Candidate pairs of different components out of the prefix lists."""
+def merged_lists(nodes: DataFrame, labels: DataFrame, similarity: int = SIMILARITY,
+                 list_rows: int | None = None) -> DataFrame:
+    """Documents of different components that the merged short lists leave as partners: a, b (prints),
+    node_a, node_b and how many shingles they have ``merged`` in common; ``enough``: that is the
+    required overlap already.
+
+    A list is dealt by shingle and length band (partners are in the same or a neighbouring band), and a
+    long one in parts of ``list_rows`` documents. Lists are ordered alike for all documents, so what two
+    of them have in common up to the last shared short list is counted in full, and behind it there are
+    no more than the shorter rest of either.
+    """
     named = nodes.join(labels.select(F.col("node").alias("print"), "component"), "print", "left")
+    # A little more than the largest ratio of partners' sizes, so rounding can't part them by two bands.
+    band = F.floor(F.log(F.col("n_shingles").cast("double")) / F.lit(
+        float(np.log(100 / similarity * 1.01)))).cast("int")
     posted = named.select(
         "print", "node", "n_shingles", F.coalesce("component", "print").alias("component"),
-        "offset", F.posexplode("prefix").alias("place", "shingle"))
+        band.alias("band"), "offset", F.posexplode("prefix").alias("place", "shingle"))
     posted = posted.withColumn("behind", F.col("n_shingles") - F.col("offset") - F.col("place") - 1)
     posted = written(posted.drop("offset", "place"), "prefix-lists")
     sizes = posted.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("n"))
     # Lists with documents of one component only have nothing to add.
     mixed = sizes.groupBy("shingle").agg(
-        F.max(F.struct("n", "component")).alias("largest"), F.count(F.lit(1)).alias("parts")
-    ).where("parts > 1").select("shingle", F.col("largest.component").alias("largest"))
+        F.max(F.struct("n", "component")).alias("largest"), F.count(F.lit(1)).alias("parts"),
+        F.ceil(F.sum("n") / F.lit(list_rows or LIST_ROWS)).cast("int").alias("salts")
+    ).where("parts > 1").select("shingle", F.col("largest.component").alias("largest"), "salts")
     within = posted.join(mixed, "shingle")
     names = ("print", "node", "n_shingles", "component", "behind")
     side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in names]
+    salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    near = F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])).alias("band")
     few = within.where(F.col("component") != F.col("largest")).select(
-        "shingle", "largest", *side("a"))
-    every = within.select("shingle", *side("b"))
+        "shingle", "largest", near, *side("a"), "salts").select("*", salt).drop("salts")
+    every = within.select(
+        "shingle", "band", F.pmod(F.xxhash64("print"), F.col("salts")).cast("int").alias("salt"),
+        *side("b"))
     once = (F.col("component_b") == F.col("largest")) | (F.col("print_a") < F.col("print_b"))
-    reach = 1 + F.least("behind_a", "behind_b")
-    enough = reach * (100 + similarity) >= similarity * (F.col("n_shingles_a") + F.col("n_shingles_b"))
-    return few.join(every, "shingle").where(
-        (F.col("component_a") != F.col("component_b")) & once & enough
-        & _alike(F.col("n_shingles_a"), F.col("n_shingles_b"), similarity)
-    ).select(F.col("print_a").alias("a"), F.col("print_b").alias("b"), "node_a", "node_b").distinct()
+    common = few.join(every, ["shingle", "band", "salt"]).where(
+        (F.col("component_a") != F.col("component_b")) & once
+        & _alike(F.col("n_shingles_a"), F.col("n_shingles_b"), similarity))
+    need = F.ceil(F.lit(similarity) * (F.col("n_shingles_a") + F.col("n_shingles_b"))
+                  / F.lit(100 + similarity))
+    # The largest component differs from list to list, so a pair may come from either side.
+    a_first = F.col("print_a") < F.col("print_b")
+    pick = lambda c, x, y: F.when(a_first, F.col(f"{c}_{x}")).otherwise(F.col(f"{c}_{y}"))
+    counted = common.select(
+        pick("print", "a", "b").alias("a"), pick("print", "b", "a").alias("b"),
+        pick("node", "a", "b").alias("node_a"), pick("node", "b", "a").alias("node_b"),
+        need.alias("need"), F.least("behind_a", "behind_b").alias("rest"),
+    ).groupBy("a", "b", "node_a", "node_b", "need").agg(
+        F.count(F.lit(1)).alias("merged"), F.min("rest").alias("rest"))
+    return counted.where(F.col("merged") + F.col("rest") >= F.col("need")).select(
+        "a", "b", "node_a", "node_b", "merged", (F.col("merged") >= F.col("need")).alias("enough"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -349,8 +407,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nodes = candidates.drop("doc_id", "text_key", "shared").dropDuplicates(["print"])
     nodes = written(nodes, "shingle-nodes")
     stars = star_links(nodes, candidates, similarity)
-    rest = rest_pairs(nodes, components(stars), similarity)
-    links = stars.unionByName(written(linked(rest, candidates, similarity), "rest-links"))
+    merged = written(merged_lists(nodes, components(stars), similarity), "merged-lists")
+    reached = merged.where("enough").select("a", "b")
+    probed = linked(merged.where("NOT enough"), candidates, similarity)
+    links = stars.unionByName(reached).unionByName(written(probed, "rest-links"))
     labels = components(links).select(F.col("node").alias("print"), "component")
     documents = sets.select("doc_id", "text_key", "n_shingles", "print")
     full = documents.where("n_shingles > 0").join(labels, "print", "left").withColumn(

@@ -96,6 +96,67 @@ def test_empty_tables(spark):
     assert sorted(map(tuple, got)) == [(0, 0, 0), (1, 0, 1)]
 
 
+def boilerplate(seed=5, n=240):
+    """A third of the documents share most of their words without being alike; among them are pairs
+    that are, in the words around."""
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 6)))
+    same = [word() for _ in range(60)]
+    ends = [[word() for _ in range(24)] for _ in range(n // 6)]
+    texts = []
+    for i in range(n):
+        if i % 3:
+            texts.append(" ".join(word() for _ in range(rnd.randint(20, 90))))
+        else:
+            end = list(ends[(i // 3) % len(ends)])
+            if i % 2:
+                end[rnd.randrange(24)] = word()
+            if i % 5 == 0:
+                end = end[:12] + [word() for _ in range(12)]
+            texts.append(" ".join(same + end))
+    return texts
+
+
+@pytest.mark.parametrize("star_keys,list_rows", [(3, 20_000), (1, 7), (1, 1)])
+def test_shared_boilerplate_and_lists_in_parts(spark, monkeypatch, star_keys, list_rows):
+    monkeypatch.setattr(ngram_join, "STAR_KEYS", star_keys)
+    monkeypatch.setattr(ngram_join, "LIST_ROWS", list_rows)
+    texts = boilerplate()
+    ids = random.Random(1).sample(range(9000), len(texts))
+    got = near_duplicates(documents(spark, texts, ids)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute_force(ids, texts)
+
+
+def test_merged_counts_are_those_of_the_short_lists(spark, monkeypatch):
+    texts = [t for t in boilerplate(seed=9, n=120) if t]
+    docs = documents(spark, texts)
+    seen = []
+    whole = ngram_join.merged_lists
+    monkeypatch.setattr(ngram_join, "merged_lists",
+                        lambda nodes, labels, *rest: seen.append(
+                            (nodes, whole(nodes, spark.createDataFrame([], "node long, component long"),
+                                          *rest))) or seen[-1][1])
+    near_duplicates(docs).collect()
+    nodes, merged = seen[0]
+    short = {r["node"]: set(r["prefix"]) for r in nodes.collect()}
+    sets = {r["node"]: r for r in nodes.collect()}
+    rows = merged.collect()
+    assert rows and any(r["merged"] > 1 for r in rows)
+    for r in rows:
+        assert r["merged"] == len(short[r["node_a"]] & short[r["node_b"]])
+        total = sets[r["node_a"]]["n_shingles"] + sets[r["node_b"]]["n_shingles"]
+        assert r["enough"] == (175 * r["merged"] >= 75 * total)
+
+
+def test_probes_count_what_is_in_common():
+    rnd = np.random.default_rng(2)
+    draw = lambda n: np.unique(rnd.integers(0, 60, n).astype(np.uint64))
+    pairs = [(draw(rnd.integers(0, 30)), draw(rnd.integers(0, 90))) for _ in range(200)]
+    got = ngram_join.in_common([a for a, _ in pairs], [b for _, b in pairs])
+    assert got.tolist() == [len(np.intersect1d(a, b)) for a, b in pairs]
+    assert ngram_join.in_common([], []).tolist() == []
+
+
 def test_rest_pairs_find_links_that_stars_miss(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "STAR_KEYS", 1)
     texts = near_copies(seed=7, groups=9, each=12)
