@@ -325,7 +325,9 @@ def star_links(nodes: DataFrame, sets: DataFrame, similarity: int = SIMILARITY)
         best = keyed.groupBy("key").agg(
             F.max(F.struct("centre", F.col("print").alias("b"), F.col("node").alias("node_b"),
                            F.col("n_shingles").alias("n_b"))).alias("m"))
-        pairs = keyed.join(best.select("key", "m.b", "m.node_b", "m.n_b"), "key").where(
+        # Written, so that the join deals both sides anew and Spark can split a key of many documents.
+        best = written(best.select("key", "m.b", "m.node_b", "m.n_b"), "star-centres")
+        pairs = keyed.join(best, "key").where(
             (F.col("print") != F.col("b")) & _alike(F.col("n_shingles"), F.col("n_b"), similarity)
         ).select(F.col("print").alias("a"), "b", F.col("node").alias("node_a"), "node_b").distinct()
         if links is not None:
@@ -419,7 +421,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if with_key:
         columns = ["doc_id", "text_key", "n_shingles", "component"]
         return full.select(*columns).unionByName(empty.select(*columns))
-    least = full.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    full = written(full, "document-components")
+    least = written(full.groupBy("component").agg(F.min("doc_id").alias("component_id")),
+                    "component-ids")
     columns = ["doc_id", "n_shingles", "component_id"]
     return full.join(least, "component").select(*columns).unionByName(
         empty.withColumn("component_id", F.col("doc_id")).select(*columns))
