@@ -5,19 +5,21 @@ A window occurs in a document if all its words do, in order and side by side, so
 asked for is the whole window and the necessary prefix of its words, ordered by rarity, is the
 rarest one. The join key is that word:
 
-1. Rarity: how often each word of the benchmark occurs in all documents (one pass; a document's
-   other words are dropped in the map tasks, the rest are counted there first).
-2. Each item position that is the rarest of some windows becomes one row: the word, the windows'
-   starts, and the words around it.
+1. Windows are interned: the distinct windows of all items are one table, and which items have each is
+   another that comes in last. A prompt that ten thousand items begin with is one window.
+2. Rarity: how often each word of the benchmark occurs in all documents (one pass; a document's
+   other words are dropped in the map tasks, the rest are counted there first). Each window gets its
+   rarest word and that word's place in it.
 3. One pass over the documents' words joins on the word. Positional and length bounds drop
    windows that would begin before the document's first word or end behind its last, then the
-   window's words are compared one by one, still in the same map task: nothing unverified is
-   shuffled.
-4. Verified windows become hit positions and items, counted per document.
+   window is compared with the document's words, once an occurrence, still in the same map task:
+   nothing unverified is shuffled.
+4. Verified windows become hit positions and sets of windows, counted per document; what items a set
+   of windows has is found once for all documents with that set.
 
-What is broadcast is made of the benchmark. A bound of its bytes is computed from the benchmark
-first; beyond ``BROADCAST_BYTES`` the rows are dealt into parts of at most that size, each joined
-in a pass of its own, and the parts' hits are united.
+What is broadcast is made of the benchmark's distinct words and windows. Its bytes are summed first;
+beyond ``BROADCAST_BYTES`` the rows are dealt into parts of at most that size, each joined in a pass of
+its own, and the parts' hits are united.
 
 Defined results: a null text has no words; an item without words or with a null id has no
 windows; repeated items count once; rows with the same id and text get the same result,
@@ -85,38 +87,27 @@ def word_counts(documents: DataFrame, vocabulary: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
-def rarest_words(items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
-    """One row per item position that is the rarest word of some windows: key, item, at (its
-    position), starts (of those windows), size (words a window), context (words from
-    ``at - window + 1`` or 0 to ``at + window - 1``), context_start."""
-    # Equal items share their windows, so they are told apart only by their name.
-    items = items.withColumn("text_key", F.sha2(F.concat_ws(" ", "words"), 256))
-    each = items.select("item", "text_key", F.posexplode("words").alias("at", "word"))
-    each = each.withColumn("key", F.lower("word")).join(counts, "key", "left")
-    rare = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key", "at")
-    ordered = each.groupBy("item", "text_key").agg(F.array_sort(F.collect_list(
-        F.struct("at", rare.alias("rare")))).alias("rares"))
+def window_owners(items: DataFrame, window: int) -> DataFrame:
+    """window (its words, lower case, joined by spaces), size, item: the windows of every item."""
     size = F.least(F.size("words"), F.lit(window))
-    starts = F.sequence(F.lit(0), F.size("words") - F.col("size"))
-    first = F.transform(
-        "starts", lambda s: F.struct(s.alias("start"), F.array_min(F.transform(
-            F.slice("rares", s + 1, F.col("size")), lambda r: r["rare"])).alias("rare")))
-    windows = (
-        items.join(ordered, ["item", "text_key"]).withColumn("size", size)
-        .withColumn("starts", starts)
-        .select("item", "text_key", "words", "size", F.explode(first).alias("w"))
-        .groupBy("item", "text_key", "size", F.col("w.rare.at").alias("at"),
-                 F.col("w.rare.key").alias("key"))
-        .agg(F.first("words").alias("words"), F.collect_set("w.start").alias("starts"))
-    )
-    begin = F.greatest(F.col("at") - (window - 1), F.lit(0))
-    return windows.select(
-        "key", "item", "at", "starts", "size", begin.alias("context_start"),
-        F.slice("words", begin + 1, F.lit(2 * window - 1)).alias("context"))
+    starts = F.sequence(F.lit(0), F.size("words") - size)
+    windows = F.transform(starts, lambda s: F.concat_ws(" ", F.slice("words", s + 1, size)))
+    return items.select("item", size.alias("size"), F.explode(windows).alias("window")).distinct()
+
+
+def rarest_words(owners: DataFrame, counts: DataFrame) -> DataFrame:
+    """One row per distinct window: key (its rarest word), at (that word's place in it), size,
+    window."""
+    distinct = owners.select("window", "size").distinct()
+    each = distinct.select("window", "size", F.posexplode(F.split("window", " ")).alias("at", "word"))
+    each = each.withColumn("key", F.lower("word")).join(counts, "key", "left")
+    rare = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key", "at")).alias("rare")
+    return each.groupBy("window", "size").agg(rare).select(
+        "rare.key", "rare.at", "size", "window")
 
 
 def occurrences(documents: DataFrame, prefixes: DataFrame, window: int) -> DataFrame:
-    """doc_id, text_key, item, start, size of every verified window in ``documents``.
+    """doc_id, text_key, window, start, size of every verified window in ``documents``.
 
     Documents are taken apart into runs of ``CHUNK`` words, each with the words a window can reach
     around it, so what a matching word carries along is bounded, however long the document.
@@ -133,23 +124,24 @@ def occurrences(documents: DataFrame, prefixes: DataFrame, window: int) -> DataF
         F.posexplode_outer("run.core").alias("place", "word"))
     each = each.withColumn("key", F.lower("word")).drop("word")
     joined = each.join(F.broadcast(prefixes), "key")
-
     # Places are counted from the first word of `around`.
-    offset = F.col("base") - F.greatest(F.col("base") - reach, F.lit(0))
+    begin = F.least("base", F.lit(reach)) + F.col("place") - F.col("at")
+    own = F.slice("around", F.greatest(begin, F.lit(0)) + 1, F.col("size"))
+    own = ascii_lower(F.concat_ws(" ", own))  # too short behind the document's end
+    return joined.where((begin >= 0) & (own == F.col("window"))).select(
+        "doc_id", "text_key", "window", "size",
+        (F.col("base") + F.col("place") - F.col("at")).alias("start"))
 
-    def verified(start: Column) -> Column:
-        begin = offset + F.col("place") - F.col("at") + start
-        own = F.transform(F.slice("around", F.greatest(begin, F.lit(0)) + 1, F.col("size")),
-                          ascii_lower)  # too short behind the document's end
-        asked = F.slice("context", start - F.col("context_start") + 1, F.col("size"))
-        return (begin >= 0) & (own == asked)
 
-    found = joined.withColumn("starts", F.filter("starts", verified)).where(F.size("starts") > 0)
-    place = F.col("base") + F.col("place") - F.col("at")
-    return found.select(
-        "doc_id", "text_key", "item", "size", place.alias("origin"),
-        F.explode("starts").alias("start"),
-    ).withColumn("start", F.col("origin") + F.col("start")).drop("origin")
+def items_of_sets(sets: DataFrame, owners: DataFrame) -> DataFrame:
+    """windows, n_items, items_sha256 of every distinct set of windows."""
+    distinct = sets.select("windows").distinct()
+    named = distinct.select("windows", F.explode("windows").alias("window")).join(
+        owners.select("window", "item"), "window")
+    items = F.array_sort(F.collect_set("item"))
+    return named.groupBy("windows").agg(items.alias("items")).select(
+        "windows", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"))
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -163,37 +155,35 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
                             F.xxhash64(text).alias("text_key"),
                             raw_words(F.col(text_col)).alias("words"))
     items = benchmark_words(benchmark, item_col, item_text_col)
-    # Bounds of what is broadcast: a vocabulary row and a prefix row for each word at most, a
-    # prefix row with up to 2 * window - 1 words around it, its key, its item and its starts.
-    word_bytes = F.octet_length(F.concat_ws(" ", "words")) + 32 * F.size("words")
-    totals = items.agg(
-        F.sum(word_bytes + 64 * F.size("words")).alias("vocabulary"),
-        F.sum(2 * window * word_bytes + F.size("words") * (
-            F.octet_length("item") + 8 * window + 192)).alias("prefixes")).first()
+    owners = written(window_owners(items, window), "window-owners")
     vocabulary = items.select(F.explode("words").alias("word")).select(
         F.lower("word").alias("key")).distinct()
-    counts = word_counts(docs, _parts(vocabulary, totals["vocabulary"] or 0, broadcast_bytes))
+    row_bytes = F.sum(F.octet_length("key") + 64)
+    counts = word_counts(docs, _parts(
+        vocabulary, vocabulary.agg(row_bytes).first()[0] or 0, broadcast_bytes))
     # Written, so that the pass that counts words is over before the join's broadcast begins.
-    prefixes = written(rarest_words(items, counts, window), "rarest-words")
+    prefixes = written(rarest_words(owners, counts), "rarest-words")
+    row_bytes = F.sum(F.octet_length("key") + F.octet_length("window") + 96)
     found = [occurrences(docs, part, window) for part in _parts(
-        prefixes, totals["prefixes"] or 0, broadcast_bytes)]
+        prefixes, prefixes.agg(row_bytes).first()[0] or 0, broadcast_bytes)]
     hits = reduce(DataFrame.unionByName, found)
     # One row per document with hits; what it collects is bounded by the document's own words.
     place = F.struct("start", "size")
     marked = hits.groupBy("doc_id", "text_key").agg(
-        F.collect_set(place).alias("places"), F.collect_set("item").alias("items"))
+        F.collect_set(place).alias("places"), F.array_sort(F.collect_set("window")).alias("windows"))
     covered = F.flatten(F.transform("places", lambda p: F.sequence(
         p["start"], p["start"] + p["size"] - 1)))
-    marked = marked.select("doc_id", "text_key", F.size(F.array_distinct(covered)).alias("n_hit"),
-                           F.array_sort("items").alias("items"))
+    marked = written(marked.select(
+        "doc_id", "text_key", F.size(F.array_distinct(covered)).alias("n_hit"), "windows"),
+        "documents-hit")
+    marked = marked.join(items_of_sets(marked, owners), "windows").drop("windows")
     counted = docs.select("doc_id", "text_key", n_words(F.col("words")).alias("n_words"))
     same = (counted["doc_id"].eqNullSafe(marked["doc_id"])
             & (counted["text_key"] == marked["text_key"]))
-    none = F.array().cast("array<string>")
     return counted.join(marked, same, "left").select(
         counted["doc_id"], counted["text_key"], counted["n_words"],
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", F.coalesce("items", none)), 256).alias("items_sha256"),
+        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
     )

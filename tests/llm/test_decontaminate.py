@@ -2,6 +2,9 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
+from revspark.llm import decontaminate
 from revspark.llm.decontaminate import contamination
 from tests.llm.helpers import documents, odd_texts
 
@@ -91,3 +94,21 @@ def test_plan_has_no_python(spark):
     df = contamination(documents(spark, texts), items(spark, bench))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_a_prompt_of_thousands_of_items_is_verified_once(spark, monkeypatch):
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(9))
+    prompt = [word() for _ in range(10)]
+    bench = [(i, " ".join(prompt + [word() for _ in range(3)])) for i in range(3000)]
+    texts = [" ".join([word(), *prompt, word()]) for _ in range(20)] + ["nothing " * 12]
+    seen = []
+    whole = decontaminate.occurrences
+    monkeypatch.setattr(decontaminate, "occurrences",
+                        lambda *args: seen.append((args[1], whole(*args))) or seen[-1][1])
+    ids = list(range(len(texts)))
+    assert run(spark, ids, texts, bench) == brute_force(ids, texts, bench)
+    (prefixes, found), = seen
+    assert found.count() == 20  # one for each place the prompt is at
+    assert prefixes.where(F.col("window") == " ".join(prompt)).count() == 1
+    assert prefixes.count() == 1 + 3 * 3000
