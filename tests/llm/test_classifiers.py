@@ -1,4 +1,6 @@
+import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -117,3 +119,123 @@ def test_bradley_terry_orders_pairs_and_cuts_at_a_quantile():
     cut = quality.quantile_cut(strengths, 1 / 3)
     assert (strengths < cut).sum() == 100
     assert (good @ weights > cut).mean() > 0.95
+
+
+# ---- plain statements of both classifiers, row by row -------------------------------------------
+
+
+def lower(text):
+    return bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
+
+
+def adam(gradient, size, steps, rate, start=None):
+    theta = np.zeros(size) if start is None else start.copy()
+    m, v = np.zeros(size), np.zeros(size)
+    for t in range(1, steps + 1):
+        g = gradient(theta)
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        theta = theta - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
+    return theta
+
+
+def plain_toxicity(texts, marks):
+    """Scores of all texts; ids are their places."""
+    held = {i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 3 == 1}
+
+    def features(text):
+        words = set(re.findall(rb"[0-9A-Za-z\x80-\xff]+", lower(text)))
+        return words | {(n, w[:n]) for w in words for n in (4, 5, 6) if len(w) > n}
+
+    has = [features(t) for t in texts]
+    known = [(i, t) for i, _, t in marks if i not in held]
+    positive = [i for i, t in known if t]
+    unlabelled = [i for i in range(len(texts)) if i not in held]
+    prior = len(positive) / len(known)
+    n_p, n_u = len(positive), len(unlabelled)
+    counts = {}
+    for place, ids in enumerate((positive, unlabelled)):
+        for i in ids:
+            for f in has[i]:
+                counts.setdefault(f, [0, 0])[place] += 1
+    chosen = []
+    for f, (p, u) in counts.items():
+        own, rest = p + 0.5, max(0.0, u - prior * n_u / n_p * p) + 0.5
+        a, b = n_p + 0.5, n_u * (1 - prior) + 0.5
+        whole = (own + rest) / (a + b)
+        g = 2 * (own * math.log(own / (a * whole)) + rest * math.log(rest / (b * whole)))
+        if p >= 2 and (own / a) / (rest / b) > 1 and g >= 20:
+            chosen.append(f)
+    assert len(chosen) < toxicity.MAX_FEATURES
+    row = lambda i: [float(f in has[i]) for f in chosen] + [1.0]
+    x_p, x_u = (np.array([row(i) for i in ids]) for ids in (positive, unlabelled))
+
+    def gradient(theta):
+        s_p, s_u = (1 / (1 + np.exp(-x @ theta)) for x in (x_p, x_u))
+        loss = lambda s: -np.log(1 - s)  # noqa: E731  of a label -1
+        plus = prior * x_p.T @ (s_p - 1) / n_p
+        minus = x_u.T @ s_u / n_u - prior * x_p.T @ s_p / n_p
+        g = plus + minus if loss(s_u).mean() - prior * loss(s_p).mean() >= 0 else -minus
+        g[:-1] += 3e-5 * theta[:-1]
+        return g
+
+    start = np.zeros(len(chosen) + 1)
+    start[-1] = math.log(prior / (1 - prior))
+    theta = adam(gradient, len(start), toxicity.STEPS, 0.05, start)
+    return [1 / (1 + math.exp(-float(np.dot(row(i), theta)))) for i in range(len(texts))]
+
+
+def plain_quality(texts, marks):
+    held = {i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 5 == 0}
+
+    def kind(b):
+        for k, chars in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+                                   b"0123456789", b"\t\x0b\x0c ", b"\n\r", b".,;:'\"-()?")):
+            if b in chars:
+                return k
+        return 7 if b >= 128 else 6
+
+    def features(text):
+        raw = (text or "").encode()
+        kinds = [kind(b) for b in raw]
+        out = [0.0] * 72
+        for pair in zip(kinds, kinds[1:]):
+            out[pair[0] * 8 + pair[1]] += 1
+        out[:64] = [math.sqrt(c / max(1, len(raw))) for c in out[:64]]
+        words = re.findall(rb"[^\x20\x09-\x0d]+", lower(text))
+        n = max(1, len(words))
+        out[64] = len(set(words)) / n
+        out[65] = math.sqrt(max([words.count(w) for w in set(words)] or [0]) / n)
+        out[66] = math.sqrt(sum(a == b for a, b in zip(words, words[1:])) / n)
+        out[67] = sum(map(len, words)) / n / 10
+        lines = re.findall(rb"[^\n\r]+", lower(text))
+        if lines:
+            out[68] = 1 - len(set(lines)) / len(lines)
+            out[69] = math.log1p(len(raw) / len(lines)) / 10
+        out[70], out[71] = math.log1p(len(words)) / 10, float(not words)
+        return out
+
+    x = np.array([features(t) for t in texts])
+    known = sorted((i, q) for i, q, _ in marks if i not in held)
+    good, bad = (x[[i for i, q in known if q == k]] for k in (1, 0))
+    rng = np.random.default_rng(11)
+    a, b = rng.integers(0, len(good), 20_000), rng.integers(0, len(bad), 20_000)
+    both = np.concatenate([good, bad])
+    spread = both.std(0) + 1e-3
+    d = (good[a] - bad[b]) / spread
+    weights = adam(lambda w: -(1 / (1 + np.exp(d @ w))) @ d / len(d) + 1e-4 * w, 72, 400, 0.05) / spread
+    n_bad = min(max(1, round(len(bad) / len(known) * 2000)), 1999)
+    strengths = sorted(np.concatenate([np.quantile(k @ weights, (np.arange(n) + 0.5) / n)
+                                       for k, n in ((bad, n_bad), (good, 2000 - n_bad))]))
+    cut = (strengths[n_bad - 1] + strengths[n_bad]) / 2
+    return (1 / (1 + np.exp(-np.clip(x @ weights - cut + math.log(0.3 / 0.7), -700, 700)))).tolist()
+
+
+@pytest.mark.parametrize("op,plain", [(toxicity.toxicity, plain_toxicity),
+                                      (quality.quality, plain_quality)])
+def test_scores_equal_a_plain_statement(spark, op, plain):
+    texts, marks = corpus(seed=17, n=400)
+    texts += [None, "", "Été été\nÉté grubble, SNARKLE", "a\n\nb\r\nb", "漢字 漢字"]
+    got = {r["doc_id"]: r["score"] for r in op(documents(spark, texts), labels(spark, marks)).collect()}
+    want = plain(texts, marks)
+    assert [got[i] for i in range(len(texts))] == pytest.approx(want, abs=1e-6)
+    assert 0.05 < np.mean(np.array(want) > 0.5) < 0.95

@@ -80,6 +80,21 @@ def test_packing_is_whole_and_gapless(spark):
     check_packing(result, range(len(texts)), texts)
 
 
+def test_packing_pads_little(spark):
+    """Against the least number of sequences that any packing needs."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rnd = random.Random(11)
+    short = spark.createDataFrame([(i, "stone " * rnd.randint(1, 600)) for i in range(400)],
+                                  "doc_id long, text string")
+    same = spark.createDataFrame([(i, "wind " * 299) for i in range(90)], "doc_id long, text string")
+    for df in (docs, short, same):
+        got = packing.pack(df, BYTE).collect()
+        total = sum(r["length"] for r in got)
+        sequences = len({r["sequence_id"] for r in got})
+        least = -(-total // 1024)
+        assert least <= sequences <= least * 1.15 + 1, (least, sequences)
+
+
 def test_packing_of_repeated_rows_and_null_ids(spark):
     result = packing.pack(documents(spark, ["a b c", "a b c", None], [5, 5, None]), BYTE).collect()
     assert sorted((r["doc_id"] or -1, r["length"]) for r in result) == [(-1, 1), (5, 4), (5, 4)]
