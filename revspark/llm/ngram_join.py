@@ -379,11 +379,14 @@ def merged_lists(nodes: DataFrame, labels: DataFrame, similarity: int = SIMILARI
         "shingle", "band", F.pmod(F.xxhash64("print"), F.col("salts")).cast("int").alias("salt"),
         *side("b"))
     once = (F.col("component_b") == F.col("largest")) | (F.col("print_a") < F.col("print_b"))
-    common = few.join(every, ["shingle", "band", "salt"]).where(
-        (F.col("component_a") != F.col("component_b")) & once
-        & _alike(F.col("n_shingles_a"), F.col("n_shingles_b"), similarity))
     need = F.ceil(F.lit(similarity) * (F.col("n_shingles_a") + F.col("n_shingles_b"))
                   / F.lit(100 + similarity))
+    # The first list that partners share leaves them enough behind it, so a pair that has no such list
+    # is never enumerated.
+    reach = 1 + F.least("behind_a", "behind_b") >= need
+    common = few.join(every, ["shingle", "band", "salt"]).where(
+        (F.col("component_a") != F.col("component_b")) & once & reach
+        & _alike(F.col("n_shingles_a"), F.col("n_shingles_b"), similarity))
     # The largest component differs from list to list, so a pair may come from either side.
     a_first = F.col("print_a") < F.col("print_b")
     pick = lambda c, x, y: F.when(a_first, F.col(f"{c}_{x}")).otherwise(F.col(f"{c}_{y}"))
