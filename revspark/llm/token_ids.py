@@ -10,6 +10,7 @@ the pieces' ids with numpy. A text that holds a special string goes to the libra
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
@@ -39,6 +40,11 @@ class Encoder:
             normal = self.library.normalizer
             self.lower = normal is not None and normal.normalize_str("AZ") == "az"
             self.stops[[b for b in STOPS if self._apart(chr(b))]] = True
+        self.mapped = self._letters() if self.classes is None else {}
+        self.letters_only = re.compile(
+            "[" + "".join(map(re.escape, self.mapped)) + "]+" if self.mapped else r"(?!)").fullmatch
+        self.written = {ord(c): m for c, m in self.mapped.items() if c != m}
+        self.model = self.library.model
         self.table = PieceTable(MAX_PIECES)
         self.ids = np.zeros(0, np.uint16)  # of the known pieces
         self.start = np.zeros(MAX_PIECES, np.int32)
@@ -49,15 +55,42 @@ class Encoder:
         ids = lambda text: self.library.encode(text, add_special_tokens=False).ids
         return all(ids("ab" + x) == ids("ab") + ids(x) for x in (stop, stop * 3, stop + ".,!"))
 
+    def _letters(self) -> dict[str, str]:
+        """Small letters that the file's normalizer leaves alone and its pre-tokenizer keeps together,
+        and what it writes for each: words of these alone are given to the model as they are."""
+        normal, split, out = self.library.normalizer, self.library.pre_tokenizer, {}
+        for c in map(chr, range(0x61, 0x180)):
+            word = f"a{c}b"
+            if c.isalpha() and (normal is None or normal.normalize_str(word) == word):
+                found = split.pre_tokenize_str(word) if split is not None else []
+                if len(found) == 1 and found[0][0][:1] + found[0][0][-1:] == "ab":
+                    out[c] = found[0][0][1:-1]
+        return out
+
     def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces, each encoded by itself, and the number of ids of each."""
-        ids, counts = [], []
-        for i in range(0, len(pieces), 4096):
-            some = pieces[i:i + 4096]
-            found = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)
-            ids.append(np.array(found.ids, np.int32))
-            counts.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
-        return np.concatenate(ids), np.concatenate(counts)
+        plain = np.array([self.letters_only(p) is not None for p in pieces], bool)
+        counts, parts = np.zeros(len(pieces), np.int64), []
+        words, own = [], []
+        for at in np.flatnonzero(plain).tolist():
+            word = pieces[at] if pieces[at].isascii() else pieces[at].translate(self.written)
+            found = [t.id for t in self.model.tokenize(word)]
+            words += found
+            own.append(len(found))
+        counts[plain] = own
+        parts.append((np.flatnonzero(plain), np.array(words, np.int32)))
+        others = np.flatnonzero(~plain)
+        for i in range(0, len(others), 4096):
+            some = others[i:i + 4096]
+            found = self.library.encode([pieces[k] for k in some.tolist()], is_pretokenized=True,
+                                        add_special_tokens=False)
+            counts[some] = np.bincount(np.array(found.word_ids, np.int64), minlength=len(some))
+            parts.append((some, np.array(found.ids, np.int32)))
+        starts, out = np.cumsum(counts) - counts, np.empty(int(counts.sum()), np.int32)
+        for which, ids in parts:
+            n = counts[which]
+            out[np.repeat(starts[which] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
+        return out, counts
 
     def _split(self, texts: list[str]):
         if self.classes is not None:
