@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,33 +43,34 @@ def _check(p: float) -> float:
     return p / 100.0
 
 
-def _onwards(spec):
-    return spec.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-
-
 def _running(spec):
     return spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _grouped_sums(rows: DataFrame, spec, group, amount: str, running: str) -> DataFrame:
-    """Rows in the order of ``spec`` with the ``running`` sum of ``amount``; that sum before the
-    row's group begins (``_BEGIN``) and where the group ends (``_UNTIL``); and whether the row is the
-    group's last (``_END``). Groups are neighbours in that order."""
-    rows = rows.withColumns({_PREV: F.lag(group).over(spec), _NEXT: F.lead(group).over(spec),
-                             running: F.sum(amount).over(_running(spec))})
+def _grouped_sums(rows: DataFrame, within: list[str], order: list[str], group: Column, amount: str,
+                  running: str) -> DataFrame:
+    """Rows in the order of ``order`` (``within`` the same values of some columns) with the
+    ``running`` sum of ``amount``; that sum before the row's group begins (``_BEGIN``) and where the
+    group ends (``_UNTIL``); and whether the row is the group's last (``_END``). Groups are neighbours
+    in that order, and no two rows are alike in it."""
+    onwards = Window.partitionBy(*within).orderBy(*order)
+    # Backwards too: a frame from the row to the end would be gone through anew for each row.
+    backwards = Window.partitionBy(*within).orderBy(*[F.desc(c) for c in order])
+    rows = rows.withColumns({_PREV: F.lag(group).over(onwards), _NEXT: F.lead(group).over(onwards),
+                             running: F.sum(amount).over(_running(onwards))})
     starts = F.col(_PREV).isNull() | ~F.col(_PREV).eqNullSafe(group)
     ends = F.col(_NEXT).isNull() | ~F.col(_NEXT).eqNullSafe(group)
     # The running sum never falls, so the last start's is the greatest, the next end's the least.
-    begin = F.max(F.when(starts, F.col(running) - F.col(amount))).over(_running(spec))
-    until = F.min(F.when(ends, F.col(running))).over(_onwards(spec))
-    return rows.withColumns({_BEGIN: begin, _UNTIL: until, _END: ends}).drop(_PREV, _NEXT)
+    begin = F.max(F.when(starts, F.col(running) - F.col(amount))).over(_running(onwards))
+    until = F.min(F.when(F.col(_END), F.col(running))).over(_running(backwards))
+    rows = rows.withColumns({_BEGIN: begin, _END: ends})
+    return rows.withColumn(_UNTIL, until).drop(_PREV, _NEXT)
 
 
-def _across_ranges(ends: DataFrame, group) -> DataFrame:
+def _across_ranges(ends: DataFrame, group: Column) -> DataFrame:
     """One row for each range: what its first group has in earlier ranges, and the sizes of its first
     and its last group. ``ends``: the last row of the first and of the last group of each range."""
-    spec = Window.orderBy(_RNG, _CUM)
-    rows = _grouped_sums(ends.drop(_BEGIN, _UNTIL), spec, group, _SIZE, _SUM)
+    rows = _grouped_sums(ends.drop(_BEGIN, _UNTIL), [], [_RNG, _CUM], group, _SIZE, _SUM)
     rows = rows.withColumns({_AHEAD: F.col(_SUM) - F.col(_SIZE) - F.col(_BEGIN),
                              _WHOLE: F.col(_UNTIL) - F.col(_BEGIN)})
     return rows.groupBy(_RNG).agg(
@@ -103,9 +104,8 @@ def lower_percentile(
     rows = with_range(counts, _RNG, order, cuts, n)
 
     group = F.struct(F.lit(0).alias("none"), *[F.col(c).alias(f"p{i}") for i, c in enumerate(parts)])
-    in_range = Window.partitionBy(_RNG)
-    rows = _grouped_sums(rows, in_range.orderBy(*order), group, _C, _CUM)
-    rows = rows.withColumn(_ALL, F.sum(_C).over(in_range)).withColumns({
+    rows = _grouped_sums(rows, [_RNG], order, group, _C, _CUM)
+    rows = rows.withColumn(_ALL, F.sum(_C).over(Window.partitionBy(_RNG))).withColumns({
         _SIZE: F.col(_UNTIL) - F.col(_BEGIN), _FIRST: F.col(_BEGIN) == 0,
         _LAST: F.col(_UNTIL) == F.col(_ALL)}).drop(_ALL)
     ends = rows.where(F.col(_END) & (F.col(_FIRST) | F.col(_LAST)))

@@ -13,7 +13,8 @@ the whole table, at any size:
 3. Only the first and the last run of each range can cross a border, whatever the number of partition
    keys in it. They make a table of two rows a range; a window over it carries the run number of the
    partition key that is open at each border from range to range.
-4. Inner runs are final. Border runs with the same number are merged.
+4. Inner runs are final. What a run that crosses borders has in all its ranges is summed over that
+   table and goes to its first piece; the other pieces are dropped.
 
 A key held by a third of all rows is split over the ranges like any other. Keys compare null-safely
 (two null keys are equal, as in the reference's comparison).
@@ -32,7 +33,8 @@ RUN_ID = "run_id"
 
 _RNG, _BRK, _CUM, _OPEN, _CLOSE = "__range", "__brk", "__cum", "__open", "__close"
 _PREV, _AHEAD, _LOCAL, _CARRIED = "__prev", "__ahead", "__local", "__carried"
-_SUM, _VALUE, _OFF = "__sum", "__value", "__off"
+_SUM, _VALUE, _OFF, _GOES_ON = "__sum", "__value", "__off", "__goes_on"
+_CHAIN, _WHOLE = "__chain", "__whole"
 
 
 def _as_list(x: str | Sequence[str]) -> list[str]:
@@ -77,19 +79,21 @@ def _local(df: DataFrame, key: str, orders: list[str], parts: list[str], ranges:
                              _CARRIED: F.col(_AHEAD) == 0}).drop(_BRK, _AHEAD)
 
 
-def _range_offsets(ends: DataFrame, key: str, parts: list[str]) -> DataFrame:
-    """How many runs the partition key that is open at a range's start has before that range's
-    first run. ``ends``: the first and last local run (or row) of each range; their run numbers are a
-    sum over the borders that starts anew where a partition key does."""
+def _across(ends: DataFrame, key: str, parts: list[str]) -> DataFrame:
+    """``ends``, the first and last local run (or row) of each range, in the order of the ranges: with
+    the number of runs that the partition key open at the range's start has before (``_OFF``, at rows
+    that open a range), and whether the row goes on with the run of the row before (``_GOES_ON``). Run
+    numbers are a sum over the borders that starts anew where a partition key does."""
     across = Window.orderBy(_RNG, _CUM, F.desc(_OPEN))
     same_part, same = _follows(F.lag(_identity(parts, key)).over(across), _identity(parts, key))
     step = F.when(F.col(_OPEN), F.when(same, 0).otherwise(1)).otherwise(
         F.when(F.col(_CARRIED), F.col(_LOCAL) - 1).otherwise(F.col(_LOCAL)))
     anew = F.when(F.col(_OPEN), ~same_part).otherwise(~F.col(_CARRIED))
-    found = ends.withColumns({_VALUE: step.cast("long"), _BRK: anew})
+    found = ends.withColumns({_VALUE: step.cast("long"), _BRK: anew,
+                              _GOES_ON: F.col(_OPEN) & same})
     found = found.withColumn(_SUM, F.sum(_VALUE).over(_running(across)))
     before = F.max(F.when(F.col(_BRK), F.col(_SUM) - F.col(_VALUE))).over(_running(across))
-    return found.withColumn(_OFF, F.col(_SUM) - before - 1).where(_OPEN).select(_RNG, _OFF)
+    return found.withColumn(_OFF, F.col(_SUM) - before - 1)
 
 
 def _numbered(rows: DataFrame, offsets: DataFrame) -> DataFrame:
@@ -115,7 +119,8 @@ def tag_runs(
     rows = _local(df, key, _as_list(order), parts, ranges)
     ends = rows.where(F.col(_OPEN) | F.col(_CLOSE)).select(
         _RNG, _CUM, _LOCAL, _CARRIED, _OPEN, *dict.fromkeys([*parts, key]))
-    return _numbered(rows, _range_offsets(ends, key, parts)).select(*df.columns, RUN_ID)
+    offsets = _across(ends, key, parts).where(_OPEN).select(_RNG, _OFF)
+    return _numbered(rows, offsets).select(*df.columns, RUN_ID)
 
 
 def tag_runs_window(
@@ -159,7 +164,7 @@ def consecutive_runs(
 ) -> DataFrame:
     """One row per run: partition keys, run_id, key, first and last order value, run_len.
 
-    Rows become local runs before anything is joined; only runs at a range's border are merged.
+    Rows become local runs before anything is joined; only runs at a range's border are put together.
     """
     orders, parts = _as_list(order), _as_list(partition_by)
     o = orders[0]
@@ -169,9 +174,19 @@ def consecutive_runs(
     local = rows.groupBy(*by).agg(
         F.min(o).alias(first), F.max(o).alias(last), F.count(F.lit(1)).alias("run_len"),
         F.max(_OPEN).alias(_OPEN), F.max(_CLOSE).alias(_CLOSE))
-    border = F.col(_OPEN) | F.col(_CLOSE)
-    runs = _numbered(local, _range_offsets(local.where(border), key, parts))
-    columns = [*parts, RUN_ID, key, first, last, "run_len"]
-    merged = runs.where(border).groupBy(*parts, RUN_ID, key).agg(
-        F.min(first).alias(first), F.max(last).alias(last), F.sum("run_len").alias("run_len"))
-    return runs.where(~border).select(*columns).unionByName(merged.select(*columns))
+    ends = _across(local.where(F.col(_OPEN) | F.col(_CLOSE)), key, parts)
+    # A chain: the pieces of one run, from the range it begins in to the one it ends in.
+    ends = ends.withColumn(_CHAIN, F.sum(F.when(F.col(_GOES_ON), 0).otherwise(1)).over(
+        _running(Window.orderBy(_RNG, _CUM))))
+    chain = Window.partitionBy(_CHAIN)
+    whole = F.struct(F.min(first).over(chain).alias("first"), F.max(last).over(chain).alias("last"),
+                     F.sum("run_len").over(chain).alias("n"))
+    ends = ends.withColumn(_WHOLE, whole)
+    # One row a range, that of its first run; with the totals of its last, the same or the next one.
+    last_whole = F.lead(_WHOLE).over(Window.partitionBy(_RNG).orderBy(_CUM))
+    borders = ends.withColumn(_WHOLE, F.when(F.col(_CLOSE), F.col(_WHOLE)).otherwise(last_whole))
+    borders = borders.where(_OPEN).select(_RNG, _OFF, _GOES_ON, _WHOLE)
+    runs = _numbered(local, borders).where(~(F.col(_OPEN) & F.col(_GOES_ON)))
+    of = lambda field, own: F.when(
+        F.col(_CLOSE), F.col(_WHOLE)[field]).otherwise(F.col(own)).alias(own)
+    return runs.select(*parts, RUN_ID, key, of("first", first), of("last", last), of("n", "run_len"))

@@ -49,12 +49,14 @@ def with_range(df: DataFrame, out: str, order: Sequence[str], cuts: Column, rang
                ) -> DataFrame:
     """``df`` with the number of splitters that are not above each row: its range, 0 to
     ``ranges - 1``. A level of the binary search is a column, so the search stays in generated code."""
-    row, known, low = "__order_value", "__splitters", out
+    row, known, low = "__order_value", "__splitters", "__low"
     fields = [F.col(c).alias(f"o{i}") for i, c in enumerate(order)]
-    found = df.withColumns({row: F.struct(*fields), known: cuts, low: F.lit(0)})
+    columns = [F.struct(*fields).alias(row), cuts.alias(known), F.lit(0).alias(low)]
     for level in reversed(range((ranges - 1).bit_length())):
-        width = 1 << level
+        width, higher = 1 << level, f"{low}_"
         # A splitter beyond the last one is null, and so is the comparison: the search stays below.
         ahead = F.get(F.col(known), F.col(low) + F.lit(width - 1)) <= F.col(row)
-        found = found.withColumn(low, F.when(ahead, F.col(low) + F.lit(width)).otherwise(F.col(low)))
-    return found.drop(row, known)
+        columns.append(F.when(ahead, F.col(low) + F.lit(width)).otherwise(F.col(low)).alias(higher))
+        low = higher
+    return df.select("*", *columns).select(*[df[f"`{c}`"] for c in df.columns],
+                                           F.col(low).alias(out))
