@@ -144,8 +144,8 @@ def _sizes(symbols: np.ndarray, lengths: np.ndarray, terminals: int) -> np.ndarr
     return out
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, terminals: int
-           ) -> np.ndarray:
+def _by_levels(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, terminals: int
+               ) -> np.ndarray:
     """The ids that ``symbols`` stand for: all nonterminals are expanded one level at a time, each
     at its place in the result."""
     sizes = _sizes(symbols, lengths, terminals)
@@ -162,6 +162,23 @@ def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, terminal
         symbols = np.concatenate([pairs[:, 0], pairs[:, 1]])
 
 
+def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, terminals: int
+           ) -> np.ndarray:
+    """The ids that ``symbols`` stand for. Of many symbols each rule is expanded once, and its ids are
+    copied to wherever it stands."""
+    if len(symbols) <= 2 * len(rules):
+        return _by_levels(symbols, rules, lengths, terminals)
+    pool = np.concatenate([np.arange(terminals, dtype=np.uint32), _by_levels(
+        np.arange(terminals, terminals + len(rules)), rules, lengths, terminals)])
+    first = np.cumsum(lengths, dtype=np.int64) - lengths + terminals
+    begin, sizes = symbols.astype(np.int64), _sizes(symbols, lengths, terminals)
+    nonterminal = begin >= terminals
+    begin[nonterminal] = first[begin[nonterminal] - terminals]
+    stops = np.cumsum(sizes)
+    total = int(stops[-1]) if len(stops) else 0
+    return pool[np.repeat(begin - (stops - sizes), sizes) + np.arange(total)]
+
+
 class Block:
     """A shard's block, readable at any token."""
 

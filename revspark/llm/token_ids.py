@@ -105,11 +105,14 @@ class Encoder:
         starts, ends, before = word_spans(data, offs, NOT_ASCII_SPACE)
         if len(starts) and self.stops.any():
             # Where the stops at a word's end begin; apart if a letter is before them.
-            inner = np.where(self.stops[data], 0, np.arange(1, len(data) + 1, dtype=np.int32))
-            cuts = np.maximum.accumulate(inner)[ends - 1]
-            cuts = cuts[(cuts < ends) & (cuts > starts)].astype(np.int64)
-            cuts = cuts[ASCII_LETTER[data[cuts - 1]]]
-            starts, ends = (np.sort(np.concatenate([x, cuts])) for x in (starts, ends))
+            at = np.flatnonzero(self.stops[data[ends - 1]])
+            first, cuts, going = starts[at], ends[at] - 1, np.arange(len(at))
+            while len(going):
+                more = (cuts[going] > first[going]) & self.stops[data[cuts[going] - 1]]
+                going = going[more]
+                cuts[going] -= 1
+            cuts = cuts[(cuts > first) & ASCII_LETTER[data[cuts - 1]]]
+            starts, ends = (np.sort(np.concatenate([x, cuts]), kind="stable") for x in (starts, ends))
             before = np.searchsorted(starts, offs)
         return whole, starts, ends, span_hashes(BYTE_VALUES[data], starts, ends), np.diff(before)
 
