@@ -13,7 +13,8 @@ Training reads a bounded sample, chosen by id hash: ``MAX_POSITIVE`` confirmed e
 is significantly more frequent in the confirmed examples than in other text (``MIN_EVIDENCE``, a
 likelihood ratio); of the candidates the ``MAX_FEATURES`` with the highest ratio of frequencies are
 the model's, and their weights decide. What reaches the driver is bounded too: these features and,
-per sampled document, which of them it has. The prior is the toxic share of all labelled rows that are not held out. Scoring is one
+per sampled document, which of them it has. The prior is the toxic share of all labelled rows that
+are not held out. Scoring is one
 narrow map over all documents and whole texts.
 
 Defined results: a null text is empty and scores the classifier's bias; a null id is not held
