@@ -36,6 +36,7 @@ PERCENTILE = 90.0
 MEDIAN = 50.0
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 BROKEN_LINE = "order "  # and the order's key: lines among the JSON reviews that are no JSON
+LINES_PER_FILE = 250_000  # gzip files aren't split when read, so each holds this many lines at most
 # ----------------------------------------------------------------------------------------------
 
 
@@ -248,6 +249,14 @@ def _json_lines(reviews: DataFrame, schema: T.StructType) -> DataFrame:
         F.to_json(F.struct(*[F.col(f.name) for f in schema.fields])).alias("value"))
 
 
+def _written_lines(lines: DataFrame) -> str:
+    """Path of ``lines`` written as text files, gzipped: JSON repeats its field names in every line,
+    so plain text takes many times the bytes of the tables it comes from."""
+    path = shared_path(lines.sparkSession, "reviews-json")
+    lines.write.option("maxRecordsPerFile", LINES_PER_FILE).text(path, compression="gzip")
+    return path
+
+
 def _json_reviews(spark, sf, schema: T.StructType = REVIEW, broken: bool = False) -> str:
     """All reviews as a source of JSON lines; with ``broken``, a line that is no JSON for each
     order among them."""
@@ -256,9 +265,7 @@ def _json_reviews(spark, sf, schema: T.StructType = REVIEW, broken: bool = False
         keys = sf_table(spark, sf, "orders").select("o_orderkey")
         lines = lines.unionByName(keys.select(F.concat(
             F.lit(BROKEN_LINE), F.col("o_orderkey").cast("string")).alias("value")))
-    path = shared_path(spark, "reviews-json")
-    lines.write.text(path)
-    return path
+    return _written_lines(lines)
 
 
 def q_json_reader(spark, sf):
