@@ -1,15 +1,21 @@
 """Quality by Bradley-Terry pairwise ranking.
 
 A document's strength is linear in features of its whole text: shares of neighbouring character
-classes, and how words and lines repeat. Preference pairs (a labelled good document before a
-labelled bad one) are drawn from a bounded sample, and the weights minimise the logistic loss of
-the pairs' feature differences. The cut between good and bad is a quantile of the labelled
-strengths: the share of bad documents among all labelled ones. Scores are the logistic function
-of the strength's distance from the cut, shifted so that the cut lies at ``THRESHOLD``.
-
-Training reads at most ``MAX_EACH`` labelled documents of either kind, chosen by id hash, none of
-them held out; only their features (a fixed number each) reach the driver. Scoring is one narrow
-map over all documents.
+classes, and how words and lines repeat. In a preference pair a labelled good document stands before
+a labelled bad one, and the weights minimise the logistic loss of the pairs' feature differences. The
+cut between good and bad is a quantile of the labelled strengths: the share of bad documents among all
+labelled ones. Scores are the logistic function of the strength's distance from the cut, shifted so
+that the cut lies at ``THRESHOLD``.
+
+Training takes every labelled document that isn't held out. They are dealt into blocks of at most
+``MAX_EACH`` of either kind, so that each block has the labels' shares of both; a kind with fewer
+documents than there are blocks is repeated, so that none lacks it. A block is one task's work: in it,
+``PAIRS`` pairs are drawn, and each document that none of them holds gets one more. The weights are the
+mean of the blocks' weights. The cut is taken from the strengths of all labelled documents, by counting
+them in ranges. The driver sees a block's weights and the ranges' counts.
+
+Features (a fixed number for each document) are computed once, written, and read by the training and by
+the scoring.
 
 Defined results: a null or empty text has the features of no text; a null id is not held out;
 several labels of one id count as the smallest; without both kinds of labels every score is 0.5;
@@ -23,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revspark.llm.common import (
@@ -37,10 +43,13 @@ from revspark.llm.common import (
     span_hashes,
     utf8,
     word_spans,
+    written,
 )
 
-MAX_EACH = 4000
-PAIRS = 20_000
+MAX_EACH = 4000  # labelled documents of either kind in a block
+PAIRS = 20_000  # drawn in a block
+POINTS = 2000  # fewer labelled strengths are interpolated to as many
+RANGES = 1024
 THRESHOLD = 0.3
 STEPS, RATE, PENALTY = 400, 0.05, 1e-4
 
@@ -145,75 +154,151 @@ def quantile_cut(strengths: np.ndarray, share: float) -> float:
     return float(ordered[at - 1] + ordered[at]) / 2
 
 
-def fit(good: np.ndarray, bad: np.ndarray, bad_share: float, pairs: int = PAIRS) -> Model:
-    """``bad_share``: the share of bad documents among all labelled ones, which the sample need
-    not keep; sampled strengths are weighted to it by repeating the scarcer quantile."""
-    if not len(good) or not len(bad):
-        return Model(np.zeros(N_FEATURES), 0.0, 1.0)
+def fit_block(good: np.ndarray, bad: np.ndarray, pairs: int = PAIRS) -> np.ndarray:
+    """Weights from preference pairs in which every document of both kinds takes part."""
     rng = np.random.default_rng(11)
     a, b = rng.integers(0, len(good), pairs), rng.integers(0, len(bad), pairs)
+    more_a, more_b = (np.setdiff1d(np.arange(n), drawn) for n, drawn in ((len(good), a), (len(bad), b)))
+    a, b = (np.concatenate([a, more_a, rng.integers(0, len(good), len(more_b))]),
+            np.concatenate([b, rng.integers(0, len(bad), len(more_a)), more_b]))
     centre, spread = np.concatenate([good, bad]).mean(0), np.concatenate([good, bad]).std(0) + 1e-3
-    weights = train_bradley_terry((good[a] - centre) / spread, (bad[b] - centre) / spread) / spread
-    # A sample with the labelled shares of good and bad: quantiles of each kind, evenly spaced.
-    n = 2000
-    n_bad = min(max(1, round(bad_share * n)), n - 1)
-    kinds = [np.quantile(x @ weights, (np.arange(k) + 0.5) / k)
-             for x, k in ((bad, n_bad), (good, n - n_bad))]
-    return Model(weights, quantile_cut(np.concatenate(kinds), n_bad / n), 1.0)
+    return train_bradley_terry((good[a] - centre) / spread, (bad[b] - centre) / spread) / spread
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    """(rows, N_FEATURES) of a column of features."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy().reshape(-1, N_FEATURES)
 
 
-def fit_from_labels(documents: DataFrame, labels: DataFrame, modulus: int = 5,
+def described(documents: DataFrame) -> DataFrame:
+    """doc_id and features of every row."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            x = features(*utf8(batch.column(1)))
+            borders = np.arange(len(x) + 1, dtype=np.int32) * N_FEATURES
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(borders, pa.array(x.ravel()))],
+                names=["doc_id", "x"])
+
+    return id_and_text(documents).mapInArrow(work, "doc_id long, x array<double>")
+
+
+def dealt(known: DataFrame, totals: dict[int, int], max_each: int) -> DataFrame:
+    """``known`` (doc_id, quality) with the blocks that each document goes to, an array: one of them,
+    or of a kind with fewer documents than blocks, every so many."""
+    blocks = -(-max(totals.values()) // max_each)
+    placed = known.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
+    before = Window.partitionBy("quality").orderBy("part").rowsBetween(
+        Window.unboundedPreceding, -1)  # over a row for each part
+    parts = placed.groupBy("quality", "part").agg(F.count(F.lit(1)).alias("n")).select(
+        "quality", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    rank = F.col("before") + F.row_number().over(
+        Window.partitionBy("quality", "part").orderBy("doc_id")) - 1
+    step = F.when(F.col("quality") == 0, F.lit(totals[0])).otherwise(F.lit(totals[1]))
+    return placed.join(F.broadcast(parts), ["quality", "part"]).withColumn("rank", rank).select(
+        "doc_id", "quality",
+        F.sequence(F.col("rank") % blocks, F.lit(blocks - 1).cast("long"),
+                   step.cast("long")).alias("blocks"))
+
+
+def mean_weights(labelled: DataFrame) -> np.ndarray:
+    """The mean of the weights of all blocks."""
+
+    def work(table: pa.Table) -> pa.Table:
+        table = table.sort_by("doc_id")
+        x, kinds = matrix(table.column("x")), table.column("quality").to_numpy()
+        weights = fit_block(x[kinds == 1], x[kinds == 0])
+        return pa.table({"block": table.column("block")[:1],
+                         "weights": pa.array([weights], pa.list_(pa.float64()))})
+
+    rows = labelled.select("doc_id", "quality", "x", F.explode("blocks").alias("block"))
+    found = rows.groupBy("block").applyInArrow(work, "block long, weights array<double>").collect()
+    return np.mean([r["weights"] for r in sorted(found)], axis=0)
+
+
+def at_rank(strengths: DataFrame, rank: int) -> float:
+    """The strength that has ``rank`` others before it in order. The range that holds it is cut into
+    ``RANGES``, and again, until all in it are equal."""
+    s = F.col("strength")
+    ends = [F.min(s).alias("low"), F.max(s).alias("high")]
+    low, high = strengths.agg(*ends).first()
+    while low < high:
+        place = F.floor((s - F.lit(low)) / F.lit(high - low) * RANGES).alias("place")
+        inside = strengths.where(s.between(low, high)).groupBy(place)
+        for r in sorted(inside.agg(F.count(F.lit(1)).alias("n"), *ends).collect()):
+            if rank < r["n"]:
+                low, high = r["low"], r["high"]
+                break
+            rank -= r["n"]
+    return float(low)
+
+
+def cut_of(strengths: DataFrame, totals: dict[int, int], points: int = POINTS) -> float:
+    """The quantile of all labelled strengths (quality, strength) at the share of bad ones; of fewer
+    than ``points`` strengths, each kind's quantiles are spread over as many."""
+    n = totals[0] + totals[1]
+    if n >= points:
+        return (at_rank(strengths, totals[0] - 1) + at_rank(strengths, totals[0])) / 2
+    of = {0: [], 1: []}
+    for r in strengths.collect():  # fewer than ``points``
+        of[r["quality"]].append(r["strength"])
+    n_bad = min(max(1, round(totals[0] / n * points)), points - 1)
+    kinds = [np.quantile(of[kind], (np.arange(k) + 0.5) / k)
+             for kind, k in ((0, n_bad), (1, points - n_bad))]
+    return quantile_cut(np.concatenate(kinds), n_bad / points)
+
+
+def fit_from_labels(rows: DataFrame, labels: DataFrame, modulus: int = 5,
                     remainder: int = 0, max_each: int = MAX_EACH) -> Model:
-    """Train on labelled rows whose crc32(doc_id) mod ``modulus`` isn't ``remainder``."""
+    """Train on all labelled rows of ``described`` whose crc32(doc_id) mod ``modulus`` isn't
+    ``remainder``."""
+    rows = rows.where("doc_id IS NOT NULL")
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"),
                           F.col("quality").cast("int").alias("quality"))
     known = known.where("quality IS NOT NULL").where(crc_mod("doc_id", modulus) != remainder)
-    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    texts = id_and_text(documents).where("doc_id IS NOT NULL")
-    known = known.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
+    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality IN (0, 1)")
+    known = written(known.join(rows.select("doc_id"), "doc_id", "left_semi"), "quality-known")
     totals = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(
         F.count(F.lit(1)).alias("n")).collect()}
-    chosen = []
-    for kind in (0, 1):
-        chosen += known.where(F.col("quality") == kind).orderBy(
-            F.xxhash64("doc_id"), "doc_id").limit(max_each).collect()
     if not totals.get(0) or not totals.get(1):
         return Model(np.zeros(N_FEATURES), 0.0, 1.0)
-    kinds = {r["doc_id"]: r["quality"] for r in chosen}
-    wanted = documents.sparkSession.createDataFrame([(i,) for i in kinds], "doc_id long")
-    sample = texts.join(F.broadcast(wanted), "doc_id")  # at most 2 * max_each ids
+    labelled = rows.join(dealt(known, totals, max_each), "doc_id").groupBy("doc_id").agg(
+        F.min("quality").alias("quality"), F.min("blocks").alias("blocks"),
+        F.min("x").alias("x"))  # an id may come in many rows
+    labelled = written(labelled, "quality-labelled")
+    weights = mean_weights(labelled)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            x = features(*utf8(batch.column(1)))
+        for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(list(x), pa.list_(pa.float64()))],
-                names=["doc_id", "x"])
+                [batch.column(0), pa.array(matrix(batch.column(1)) @ weights)],
+                names=["quality", "strength"])
 
-    rows = sample.select("doc_id", "text").mapInArrow(work, "doc_id long, x array<double>")
-    rows = rows.groupBy("doc_id").agg(F.min("x").alias("x"))  # an id may come in many rows
-    found = sorted((r["doc_id"], r["x"]) for r in rows.collect())
-    of = lambda kind: np.array([x for i, x in found if kinds[i] == kind])
-    return fit(of(1), of(0), totals[0] / (totals[0] + totals[1]))
+    strengths = labelled.select("quality", "x").mapInArrow(work, "quality int, strength double")
+    return Model(weights, cut_of(written(strengths, "quality-strengths"), totals), 1.0)
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score of every row."""
+def score(rows: DataFrame, model: Model) -> DataFrame:
+    """doc_id and score of every row of ``described``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            x = features(*utf8(batch.column(1)))
+        for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(model.scores(x))], names=["doc_id", "score"])
+                [batch.column(0), pa.array(model.scores(matrix(batch.column(1))))],
+                names=["doc_id", "score"])
 
-    return id_and_text(documents).mapInArrow(work, "doc_id long, score double")
+    return rows.mapInArrow(work, "doc_id long, score double")
 
 
 def quality(documents: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0,
             threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted (1: good) of every document."""
-    model = fit_from_labels(documents, labels, modulus, remainder)
+    rows = written(described(documents), "quality-features")
+    model = fit_from_labels(rows, labels, modulus, remainder)
     held_out = F.coalesce(crc_mod("doc_id", modulus) == remainder, F.lit(False))
-    return score(documents, model).select(
+    return score(rows, model).select(
         "doc_id", held_out.alias("held_out"), "score",
         F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))

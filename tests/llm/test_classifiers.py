@@ -121,6 +121,60 @@ def test_bradley_terry_orders_pairs_and_cuts_at_a_quantile():
     assert (good @ weights > cut).mean() > 0.95
 
 
+def test_quality_trains_on_every_labelled_document(spark):
+    """More of either kind than a block holds: all are dealt, and any of them can turn the weights."""
+    texts, marks = corpus(seed=8, n=300)
+    rows = quality.described(documents(spark, texts)).persist()
+    kinds = {i: q for i, q, _ in marks}
+    known = spark.createDataFrame(list(kinds.items()), "doc_id long, quality int")
+    totals = {k: sum(q == k for q in kinds.values()) for k in (0, 1)}
+    got = [(b, r["doc_id"]) for r in quality.dealt(known, totals, 7).collect() for b in r["blocks"]]
+    for block in range(-(-totals[1] // 7)):
+        mine = [i for b, i in got if b == block]
+        assert {kinds[i] for i in mine} == {0, 1} and sum(kinds[i] for i in mine) <= 7
+    assert {i for _, i in got} == set(kinds)
+    rare = {0: 3, 1: totals[1]}  # fewer than blocks: each in several
+    few = known.where("quality = 1 OR doc_id < 15")
+    got = [(b, r["doc_id"]) for r in quality.dealt(few, rare, 7).collect() for b in r["blocks"]]
+    assert len({b for b, i in got if not kinds[i]}) == -(-totals[1] // 7)
+    assert sorted(i for _, i in got if kinds[i]) == sorted(i for i in kinds if kinds[i])
+
+    x = {r["doc_id"]: r["x"] for r in rows.collect()}
+    blocks = {}
+    labels_ = labels(spark, marks)
+    learnt = {i: q for i, q in kinds.items() if zlib.crc32(str(i).encode()) % 5}
+    totals = {k: sum(q == k for q in learnt.values()) for k in (0, 1)}
+    learnt_df = spark.createDataFrame(list(learnt.items()), "doc_id long, quality int")
+    for r in quality.dealt(learnt_df, totals, 60).collect():
+        for b in r["blocks"]:
+            blocks.setdefault(b, []).append(r["doc_id"])
+    assert len(blocks) > 1
+    want = np.mean([quality.fit_block(*(np.array([x[i] for i in sorted(ids) if learnt[i] == k])
+                                        for k in (1, 0))) for ids in blocks.values()], axis=0)
+    model = quality.fit_from_labels(rows, labels_, max_each=60)
+    assert model.weights == pytest.approx(want, abs=1e-9)
+    rows.unpersist()
+
+
+def test_every_document_of_a_block_is_in_a_pair():
+    """Without a pair of its own the last good one couldn't be told from the bad."""
+    good, bad = np.zeros((50, 2)), np.zeros((40, 2))
+    good[:, 0], good[-1], bad[-1, 1] = 1, (0, 5), -5
+    weights = quality.fit_block(good, bad, pairs=1)
+    assert weights[1] > 0 and (good @ weights).min() > (bad @ weights).max()
+
+
+@pytest.mark.parametrize("values", [[0.5] * 3000, [1e-300, 2.0, 2.0, 1e300, -7.25] * 600, None])
+def test_cut_is_a_quantile_of_all_strengths(spark, values):
+    rnd = random.Random(4)
+    values = values or [rnd.gauss(0, 1) ** 3 for _ in range(5000)]
+    rows = [(int(i % 4 > 0), v) for i, v in enumerate(values)]
+    strengths = spark.createDataFrame(rows, "quality int, strength double")
+    bad = sum(1 - q for q, _ in rows)
+    assert quality.cut_of(strengths, {0: bad, 1: len(rows) - bad}) == quality.quantile_cut(
+        np.array(values), bad / len(rows))
+
+
 # ---- plain statements of both classifiers, row by row -------------------------------------------
 
 
