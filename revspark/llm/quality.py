@@ -296,7 +296,7 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
 def quality(documents: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0,
             threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted (1: good) of every document."""
-    rows = written(described(documents), "quality-features")
+    rows = written(described(documents), "quality-features", merge=False)  # whole texts: many tasks
     model = fit_from_labels(rows, labels, modulus, remainder)
     held_out = F.coalesce(crc_mod("doc_id", modulus) == remainder, F.lit(False))
     return score(rows, model).select(
