@@ -1,3 +1,4 @@
+import datetime
 import json
 import os
 import random
@@ -131,3 +132,38 @@ def test_json_source_of_the_queries_is_small_and_whole(spark, monkeypatch):
         files = spark.read.text(path).groupBy(F.input_file_name()).count().collect()
         assert len(files) == 4 and max(r["count"] for r in files) == 300
         assert input_bytes(spark, path) < sum(len(x.encode()) + 1 for x in want) / 3
+
+
+JSON_QUERIES = [
+    "job_ranked_reviews",
+]
+
+
+@pytest.fixture(scope="module")
+def review_tables(spark, tmp_path_factory):
+    """1,000 orders of two line items each."""
+    rnd, sf = random.Random(9), str(tmp_path_factory.mktemp("tables"))
+    day = datetime.datetime(2021, 3, 4)
+    spark.createDataFrame(
+        [(o, rnd.randrange(300), rnd.choice("FOP")) for o in range(1000)],
+        "o_orderkey long, o_custkey long, o_orderstatus string",
+    ).write.parquet(f"{sf}/orders.parquet")
+    spark.createDataFrame(
+        [(o, rnd.randrange(200), n, float(rnd.randrange(1, 51)), rnd.choice("ANR"),
+          day + datetime.timedelta(days=rnd.randrange(900))) for o in range(1000) for n in (1, 2)],
+        "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, "
+        "l_returnflag string, l_shipdate timestamp",
+    ).coalesce(1).write.parquet(f"{sf}/lineitem.parquet")
+    return sf
+
+
+@pytest.mark.parametrize("name", JSON_QUERIES)
+def test_query_writes_its_json_source_whole_in_few_bytes(spark, review_tables, name):
+    broken = 0 if name == "json_reader" else 1000  # a line for each order
+    with scratch(spark) as scope:
+        queries.QUERIES[name](spark, review_tables).collect()
+        (path,) = [p for p in scope.paths if "reviews-json" in p]
+        lines = [r["value"] for r in spark.read.text(path).collect()]
+        assert len(lines) == 2000 + broken
+        assert len([x for x in lines if x.startswith(queries.BROKEN_LINE)]) == broken
+        assert input_bytes(spark, path) < sum(len(x.encode()) + 1 for x in lines) / 3
